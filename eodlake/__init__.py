@@ -1,6 +1,6 @@
-"""End-of-day market data on Spark: scan, clean, check, upsert, audit, report and query."""
+"""End-of-day market data on Spark: scan, clean, check, upsert, audit, report and query.
 
-from eodlake.operators.store import Store
+Import the modules directly; this file stays empty of imports because Spark's Python workers load it.
+"""
 
-__all__ = ["Store"]
 __version__ = "0.1.0"

@@ -21,8 +21,23 @@ NON_TRADING = "not_a_trading_day"
 LAKH = 100000
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Schema of "name type, ..." (Spark's own DDL reader needs a running session)."""
+    schema = T.StructType()
+    for column in columns.split(", "):
+        name, kind = column.split()
+        schema.add(name, _TYPES[kind])
+    return schema
 
 
 @dataclass(frozen=True)

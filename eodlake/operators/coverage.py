@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eodlake.functions.calendar import days_between, is_holiday, is_trading_day, is_weekday
 from eodlake.model import ERROR, INGESTED, NON_TRADING, SKIPPED
 
+SIDE_TABLES = ("index_daily", "fo_daily", "deliverable_daily")
 GAP_DETAIL = {
     "missing_attempt": "no ingest record",
     "ingest_error": "ingest failed",
@@ -132,7 +133,7 @@ def cross_tables(tables: Mapping[str, DataFrame], start: dt.date, end: dt.date)
     Grouping by day first keeps the distinct count to one row per day in the shuffle.
     """
     out = None
-    for name in ("index_daily", "fo_daily", "deliverable_daily"):
+    for name in SIDE_TABLES:
         per_day = (
             tables[name].where(F.col("date").between(F.lit(start), F.lit(end)))
             .groupBy("date").agg(F.count(F.lit(1)).alias("n"))
