@@ -58,6 +58,9 @@ select event_id as row_no, d as file_date, 'U' || lpad(cast(user_id as string),
     "raw_master": """
 select c_custkey as row_no, case when c_custkey % 113 = 0 then ' ' else ' u' || lpad(cast(c_custkey - c_custkey % 5 + case when c_custkey % 5 = 4 then 1 else c_custkey % 5 end as string), 4, '0') end as symbol, upper(c_name) as name,
   case when c_custkey % 5 = 4 then 'BE' else 'eq' end as series, case c_custkey % 3 when 0 then '03-JAN-1994' when 1 then '1994-01-04' else '05-January-1994' end as listing_date, 'ine' || lpad(cast(c_custkey as string), 9, '0') as isin from customer where c_custkey % 5 <> 0""",
+    "log_attempts": """
+select o_orderkey as seq, o_orderstatus as batch, case substr(o_orderpriority,1,1) when '1' then 'cm' when '2' then 'idx' when '3' then 'fo' when '4' then 'deliv' else 'master' end as product, {LOGD} as date,
+ case when o_orderstatus='P' and o_orderkey % 7 = 0 then 'error' when o_orderkey % 11 = 0 then 'not_a_trading_day' else 'ingested' end as status from orders""",
     "ingest_log": """
 select product, date, status, row_no as seq from (select *, row_number() over (partition by product, date order by row_no desc) rn from (
  select o_orderkey as row_no, case substr(o_orderpriority,1,1) when '1' then 'cm' when '2' then 'idx' when '3' then 'fo' when '4' then 'deliv' else 'master' end as product, {LOGD} as date,
@@ -95,7 +98,7 @@ HEADERS = {
     },
 }
 
-_SOURCE = {"raw_master": "customer", "ingest_log": "orders"}
+_SOURCE = {"raw_master": "customer", "ingest_log": "orders", "log_attempts": "orders"}
 
 
 def sql(view: str, dialect: dict[str, str]) -> str:

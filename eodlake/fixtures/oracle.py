@@ -98,6 +98,32 @@ select row_no, {_ident('symbol')} as symbol, {_strip('name')} as name, {_ident('
     "master": """
 select symbol, name, isin, series, listing_date from (select *, row_number() over (partition by symbol
   order by series <> 'EQ' nulls first, listing_date nulls first, row_no) rn from master_typed where symbol <> '') where rn = 1""",
+    "days": f"select cast(unnest(generate_series(DATE '{RANGE[0]}', DATE '{RANGE[1]}', INTERVAL 1 DAY)) as date) as date",
+    "products": "select unnest(['cm', 'idx', 'fo', 'deliv']) as product",
+    "gaps": """
+select * from (select product, date, case when status is null and date not in (select date from hol) then 'missing_attempt'
+  when status = 'error' then 'ingest_error'
+  when status = 'not_a_trading_day' and date not in (select date from hol) then 'unknown_holiday' end as gap_type
+ from (select product, date from products, days where isodow(date) < 6) left join ingest_log using (product, date)) where gap_type is not null""",
+    "month_cov": """
+select product, month, expected, coalesce(data_days, 0) as data_days, coalesce(holidays, 0) as holidays, coalesce(errors, 0) as errors,
+  case when expected > 0 then round(100.0 * coalesce(data_days, 0) / expected, 2) else 100.0 end as coverage_pct
+from (select product, month, expected from products, (select strftime(date, '%Y-%m') as month,
+   count(*) filter (isodow(date) < 6 and date not in (select date from hol)) as expected from days group by 1))
+left join (select product, strftime(date, '%Y-%m') as month, count(*) filter (status in ('ingested', 'skipped')) as data_days,
+   count(*) filter (status = 'not_a_trading_day') as holidays, count(*) filter (status = 'error') as errors
+  from ingest_log where date in (select date from days) group by 1, 2) using (product, month)""",
+    "drift": "select distinct symbol from bars where series = 'EQ' and symbol not in (select symbol from master)",
+    "gap_table": """
+select product, date, gap_type, case gap_type when 'missing_attempt' then 'no ingest record' when 'ingest_error' then 'ingest failed'
+  else 'server reported non-trading day' end as detail from gaps
+union all select product, (select max(date) from days), 'symbol_not_in_master', n || ' EQ symbols with bars missing from master (e.g. ' || preview || ')'
+from products, (select count(*) as n from drift),
+  (select string_agg(symbol, ', ' order by symbol) as preview from (select symbol from drift order by symbol limit 5)) where n > 0""",
+    "cross_cov": """
+select 'index_daily' as "table", count(distinct date) as days, count(*) as rows, min(date) as first, max(date) as last from indices where date in (select date from days)
+union all select 'fo_daily', count(distinct date), count(*), min(date), max(date) from futures where date in (select date from days)
+union all select 'deliverable_daily', count(distinct date), count(*), min(date), max(date) from deliverables where date in (select date from days)""",
 }
 
 _OHLC_BAD = """(high + 0.001 < greatest(open, low, close) or low - 0.001 > least(open, high, close){prev})"""
@@ -207,11 +233,13 @@ def with_relations(body: str) -> str:
 
     def visit(text: str) -> None:
         for name in RELATIONS:
-            if re.search(rf"\b(?:from|join)\s+{name}\b", text) and name not in needed:
+            if re.search(rf"(?:\b(?:from|join)\s+|, ){name}\b", text) and name not in needed:
                 visit(RELATIONS[name])
                 needed.append(name)
 
     visit(body)
     if not needed:
         return body
+    if body.startswith("with "):
+        body = "select * from (" + body + ")"
     return "with " + ",\n".join(f"{n} as ({RELATIONS[n].strip()})" for n in needed) + "\n" + body

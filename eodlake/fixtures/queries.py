@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.fixtures import bridge, oracle
+from eodlake.fixtures import bridge, landing, oracle
 from eodlake.functions import calendar, text
 from eodlake.model import DAILY_PRODUCTS, PRODUCTS, TABLES
 from eodlake.operators import anomalies, clean, coverage, dedupe, layout, normalize, qc, store
-from eodlake.plans import templates
+from eodlake.plans import export, ingest, report, sql, templates
+from eodlake.sources import archives, files, master, scan
+from eodlake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +27,13 @@ ORACLES: dict[str, str] = {}
 START, END = (dt.date.fromisoformat(d) for d in oracle.RANGE)
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, expected: str | None = None):
+    """Register a callable with the SQL of its result."""
+
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = oracle.with_relations(sql.strip())
+        if expected is not None:
+            ORACLES[name] = oracle.with_relations(expected.strip())
         return fn
 
     return register
@@ -498,3 +502,826 @@ def anomaly_samples(spark, sf):
 def master_drift(spark, sf):
     tables = Tables(spark, sf)
     return anomalies.master_drift(tables["bhav_daily"], tables["equity_master"])
+
+
+# ---- files ----------------------------------------------------------------------------------
+
+SCANNED = ("cm", "idx", "deliv")  # F&O files come zipped, which Spark cannot write
+
+
+def _landing(spark, sf, products=SCANNED) -> str:
+    root = landing.fresh_folder(spark)
+    for p in products:
+        landing.write_landing(bridge.raw(spark, sf, p), p, root)
+    return root
+
+
+def _parts(spark, root, products=SCANNED) -> DataFrame:
+    listed = files.list_files(spark, [f"{root}/{p}" for p in products])
+    return files.resolve_files(listed)
+
+
+_RAW_COLUMNS = {
+    "cm": ("symbol", "date", "close", "delivery_qty"),
+    "idx": ("index_name", "date", "close", "volume"),
+    "deliv": ("symbol", "date", "quantity_traded", "delivery_to_traded"),
+}
+
+
+@query(
+    "scan_raw",
+    " union all ".join(
+        f"select '{p}' as product, file_date, {a} as name, {b} as date, {c} as first, {d} as second from raw_{p}"
+        for p, (a, b, c, d) in _RAW_COLUMNS.items()
+    ),
+)
+def scan_raw(spark, sf):
+    parts = _parts(spark, _landing(spark, sf))
+    inspected = scan.inspect(spark, parts)
+    out = []
+    for p, columns in _RAW_COLUMNS.items():
+        groups = scan.group_by_layout(inspected.where(F.col("product") == p))
+        for frame in scan.scan_raw(spark, p, groups):
+            out.append(
+                layout.normalize_headers(frame, p).select(
+                    F.lit(p).alias("product"), "file_date",
+                    *[F.col(c).alias(n) for c, n in zip(columns, ("name", "date", "first", "second"))],
+                )
+            )
+    return union(out)
+
+
+@query(
+    "zip_member",
+    """select file_date, instrument, symbol, expiry_date, nullif(option_type, '') as option_type,
+    strike_price, date, close, contracts, val_inlakh as value from raw_fo""",
+)
+def zip_member(spark, sf):
+    raw = bridge.raw(spark, sf, "fo")
+    lines = archives.unzip_records(landing.zip_archives(raw, "fo"))
+    header = ",".join(bridge.HEADERS["fo"].values())
+    frame = scan.parse_records(lines, "fo", header)
+    return layout.normalize_headers(frame, "fo").select(
+        "file_date", "instrument", "symbol", "expiry_date", "option_type", "strike_price", "date",
+        "close", "contracts", "value",
+    )
+
+
+@query(
+    "resolve_files",
+    """with d as (select distinct file_date as date, strftime(file_date, '%d') as dd, upper(strftime(file_date, '%b')) as mon,
+      strftime(file_date, '%m') as mm, strftime(file_date, '%Y') as yyyy from raw_cm)
+    select 'cm' as product, date, 'cm' || dd || mon || yyyy || 'bhav.csv' as name, false as zipped from d
+    union all select 'fo', date, 'fo' || dd || mon || yyyy || 'bhav.csv.zip', true from d
+    union all select 'idx', date, 'ind_close_all_' || dd || mm || yyyy || '.csv', false from d
+    union all select 'deliv', date, 'sec_bhavdata_full_' || dd || mm || yyyy || '.csv', false from d""",
+)
+def resolve_files(spark, sf):
+    """Names of every event day: good, zipped twin, wrong month folder, wrong product, other file."""
+    events = bridge.raw(spark, sf, "cm").select("file_date").distinct()
+    day = F.col("file_date")
+    place = F.upper(F.date_format(day, "yyyy/MMM"))
+    names = {p: files.day_file_name(p, day) for p in DAILY_PRODUCTS}
+    root = F.lit("file:/landing/")
+    found = [F.concat(root, F.lit(f"{p}/"), place, F.lit("/"), n) for p, n in names.items()]
+    found += [
+        F.concat(root, F.lit("cm/"), place, F.lit("/"), names["cm"], F.lit(".zip")),
+        F.concat(root, F.lit("cm/"), F.lit("2023/DEC/"), names["cm"]),
+        F.concat(root, F.lit("idx/"), place, F.lit("/"), names["deliv"]),
+        F.concat(root, F.lit("cm/"), place, F.lit("/readme.txt")),
+    ]
+    paths = events.select(F.explode(F.array(*found)).alias("path"))
+    return files.resolve_files(paths).select("product", "date", "name", "zipped")
+
+
+@query("file_fingerprint", "select doc_id, sha256(text) as sha256 from documents")
+def file_fingerprint(spark, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    return documents.select(
+        "doc_id", files.fingerprint(F.encode("text", "UTF-8")).alias("sha256")
+    )
+
+
+def _hashed_days(spark, sf) -> DataFrame:
+    """One file per product and event day, its hash standing for the number of rows in it."""
+    days = [
+        bridge.raw(spark, sf, p).groupBy(F.col("file_date").alias("date"))
+        .agg(F.count(F.lit(1)).cast("string").alias("n"))
+        .select(F.lit(p).alias("product"), "date", F.sha2(F.col("n"), 256).alias("sha256"))
+        for p in DAILY_PRODUCTS
+    ]
+    return union(days)
+
+
+_HASHED_SQL = """hashed as (select product, date, sha256(cast(n as varchar)) as sha256 from products,
+  (select file_date as date, count(*) as n from raw_cm group by 1))"""
+_LOGGED_SQL = """logged as (select product, date, status, sha256(cast(n as varchar)) as sha256
+  from ingest_log join (select file_date as date, count(*) as n from raw_cm where series = 'eq ' or date <> 'not-a-date' group by 1) using (date))"""
+
+
+@query(
+    "skip_ingested",
+    f"""with {_HASHED_SQL}, {_LOGGED_SQL}
+    select h.product, h.date, h.sha256 from hashed h left join (select * from logged where status = 'ingested') l
+      on h.product = l.product and h.date = l.date and h.sha256 = l.sha256 where l.product is null""",
+)
+def skip_ingested(spark, sf):
+    """Days whose row count changed since they were logged, or that were never ingested."""
+    counted = bridge.view(spark, sf, "raw_cm").where("series = 'eq ' or date <> 'not-a-date'")
+    known = counted.groupBy(F.col("file_date").alias("date")).agg(
+        F.sha2(F.count(F.lit(1)).cast("string"), 256).alias("sha256")
+    )
+    log = bridge.view(spark, sf, "ingest_log").join(known, "date")
+    return files.pending_days(_hashed_days(spark, sf), log)
+
+
+@query(
+    "non_trading_days",
+    """select product, date from products, days
+    where isodow(date) < 6 and date not in (select date from hol) and date not in (select file_date from raw_cm)""",
+)
+def non_trading_days(spark, sf):
+    days = calendar.trading_days(calendar.days_between(spark, START, END))
+    candidates = days.withColumn("product", F.explode(F.array(*[F.lit(p) for p in DAILY_PRODUCTS])))
+    return files.non_trading_days(candidates, _hashed_days(spark, sf)).select("product", "date")
+
+
+@query("scan_master", "select symbol, name, series, listing_date, isin from raw_master")
+def scan_master(spark, sf):
+    path = landing.fresh_folder(spark)
+    raw = bridge.raw(spark, sf, "master").drop("row_no")
+    raw.write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return layout.normalize_headers(master.scan_master(spark, path), "master").drop("row_no")
+
+
+@query(
+    "add_source_file",
+    """select 'cm' as product, file_date, 'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file, count(*) as n
+      from raw_cm group by 2
+    union all select 'idx', file_date, 'ind_close_all_' || strftime(file_date, '%d%m%Y') || '.csv', count(*) from raw_idx group by 2""",
+)
+def add_source_file(spark, sf):
+    products = ("cm", "idx")
+    inspected = scan.inspect(spark, _parts(spark, _landing(spark, sf, products), products))
+    names = inspected.select("product", F.col("date").alias("file_date"), "name").distinct()
+    rows = union(
+        [
+            frame.select(F.lit(p).alias("product"), "file_date")
+            for p in products
+            for frame in scan.scan_raw(
+                spark, p, scan.group_by_layout(inspected.where(F.col("product") == p))
+            )
+        ]
+    )
+    return (
+        rows.join(names, ["product", "file_date"])
+        .groupBy("product", "file_date", F.col("name").alias("source_file"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+# ---- stored tables --------------------------------------------------------------------------
+
+def fresh_store(spark) -> store.Store:
+    return store.Store(spark, landing.fresh_folder(spark)).create_tables()
+
+
+def data(df: DataFrame, *also: str) -> DataFrame:
+    """Without load times."""
+    return df.drop("ingested_at", "updated_at", "generated_at", *also)
+
+
+FIRST_LOAD_TO, SECOND_LOAD_FROM = dt.date(2024, 1, 20), dt.date(2024, 1, 10)
+
+
+def _two_loads_sql(p: str, extra: str = "") -> str:
+    """State after loading the files up to the 20th, then those from the 10th again."""
+    key = ", ".join(PRODUCTS[p].key)
+    return f"""select * exclude (rn, load, file_date, row_no){extra} from (
+      select *, row_number() over (partition by {key} order by load desc, file_date desc, row_no) as rn from (
+        select *, 1 as load, 'first.csv' as source_file from {p}_usable where file_date <= DATE '{FIRST_LOAD_TO}'
+        union all select *, 2, 'second.csv' from {p}_usable where file_date >= DATE '{SECOND_LOAD_FROM}')) where rn = 1"""
+
+
+def _register_upsert(key: str, p: str, method: str, extra: str = "") -> None:
+    @query(key, _two_loads_sql(p, extra))
+    def load(spark, sf):
+        rows = cleaned(spark, sf, p).usable
+        s = fresh_store(spark)
+        put = getattr(s, method)
+        put(rows.where(F.col("file_date") <= F.lit(FIRST_LOAD_TO)), "first.csv")
+        put(rows.where(F.col("file_date") >= F.lit(SECOND_LOAD_FROM)), "second.csv")
+        return data(s[PRODUCTS[p].table])
+
+
+for _key, _p, _method, _extra in (
+    ("upsert_bars", "cm", "upsert_bars", ""),
+    ("upsert_index", "idx", "upsert_index", ""),
+    ("upsert_fo", "fo", "upsert_fo", ""),
+    ("upsert_deliverable", "deliv", "upsert_deliverable", ", cast(null as varchar) as isin"),
+):
+    _register_upsert(_key, _p, _method, _extra)
+
+
+@query(
+    "upsert_generic",
+    """select index_name, date, cast(null as double) as open, cast(null as double) as high, cast(null as double) as low,
+    close, volume, turnover, cast(null as varchar) as source_file from indices""",
+)
+def upsert_generic(spark, sf):
+    """Columns the frame lacks are stored as null."""
+    s = fresh_store(spark)
+    rows = cleaned(spark, sf, "idx").usable.drop("open", "high", "low")
+    s.upsert("index_daily", rows, store.last_file_first())
+    return data(s["index_daily"])
+
+
+_BE_MASTER = """select symbol, name, isin, series, listing_date from (select *, row_number() over (partition by symbol
+  order by listing_date nulls first, row_no) rn from master_typed where symbol <> '' and series = 'BE') where rn = 1"""
+
+
+@query(
+    "upsert_master",
+    f"""with be as ({_BE_MASTER})
+    select *, 'listed' as status, cast(null as varchar) as industry, cast(null as date) as delisting_date from (
+      select * from be union all select * from master where symbol not in (select symbol from be))""",
+)
+def upsert_master(spark, sf):
+    raw = bridge.raw(spark, sf, "master")
+    s = fresh_store(spark)
+    s.upsert_master(clean.clean_master(raw))
+    s.upsert_master(clean.clean_master(raw.where(text.col(" SERIES") == "BE")))
+    return data(s["equity_master"])
+
+
+@query(
+    "ingest_log_latest",
+    """select product, date, status, seq as num_rows from (select *, row_number() over (partition by product, date
+      order by batch = 'P' desc, seq desc) as rn from log_attempts) where rn = 1""",
+)
+def ingest_log_latest(spark, sf):
+    attempts = bridge.view(spark, sf, "log_attempts").withColumn("num_rows", F.col("seq"))
+    s = fresh_store(spark)
+    newest = -F.col("seq")
+    s.upsert("ingest_log", attempts.where("batch <> 'P'"), newest)
+    s.upsert("ingest_log", attempts.where("batch = 'P'"), newest)
+    return s["ingest_log"].select("product", "date", "status", "num_rows")
+
+
+@query(
+    "qc_append",
+    f"""select product, date, symbol, series, code, message from (
+      {" union all ".join(f"select '{p}' as product, file_date as date, symbol, series, code, message from {p}_issues" for p in DAILY_PRODUCTS)})
+    where product <> 'cm' or date < DATE '{SECOND_LOAD_FROM}' or code = 'OHLC_INVALID'""",
+)
+def qc_append(spark, sf):
+    """All issues; then the later cm files come again with nothing but their OHLC issues left."""
+    s = fresh_store(spark)
+    for p in DAILY_PRODUCTS:
+        found = cleaned(spark, sf, p).issues.select(
+            F.lit(p).alias("product"), F.col("file_date").alias("date"),
+            "symbol", "series", "code", "message",
+        )
+        s.write_qc_issues(found)
+    c = cleaned(spark, sf, "cm")
+    again = c.typed.where(F.col("file_date") >= F.lit(SECOND_LOAD_FROM)).select(
+        F.lit("cm").alias("product"), F.col("file_date").alias("date")
+    )
+    left = c.issues_of("OHLC_INVALID").where(F.col("file_date") >= F.lit(SECOND_LOAD_FROM))
+    s.write_qc_issues(
+        left.select(F.lit("cm").alias("product"), F.col("file_date").alias("date"),
+                    "symbol", "series", "code", "message"),
+        again.distinct(),
+    )
+    return data(s["qc_issues"])
+
+
+@query(
+    "rekey_deliverable",
+    """select symbol, series, date, quantity_traded, delivery_quantity, delivery_to_traded, cast(null as varchar) as isin,
+    'old.csv' as source_file from (select *, row_number() over (partition by symbol, date order by file_date desc, row_no) as rn
+      from deliv_usable) where rn = 1""",
+)
+def rekey_deliverable(spark, sf):
+    """Rows as an older store held them: one per symbol and date, EQ written as blank."""
+    rows = cleaned(spark, sf, "deliv").usable
+    legacy = dedupe.keep_first(rows, ["symbol", "date"], store.last_file_first()).select(
+        "symbol", F.when(F.col("series") == "EQ", "").otherwise(F.col("series")).alias("series"),
+        "date", "quantity_traded", "delivery_quantity", "delivery_to_traded",
+        F.lit("old.csv").alias("source_file"),
+    )
+    s = fresh_store(spark)
+    s.rekey_deliverable(legacy)
+    return data(s["deliverable_daily"])
+
+
+@query(
+    "create_tables",
+    """select 'bhav_daily' as "table", count(*) as rows from bars
+    union all select * from (values ('index_daily', 0), ('fo_daily', 0), ('deliverable_daily', 0), ('equity_master', 0),
+      ('ingest_log', 0), ('qc_issues', 0), ('data_gaps', 0), ('schema_migrations', 1)) t""",
+)
+def create_tables(spark, sf):
+    """Creating the tables again leaves what is in them."""
+    s = fresh_store(spark)
+    s.upsert_bars(cleaned(spark, sf, "cm").usable, "a.csv")
+    s.create_tables()
+    return templates.count_rows(s, tuple(TABLES))
+
+
+@query(
+    "table_scan",
+    f"""select *, 'a.csv' as source_file from bars where date between DATE '{SECOND_LOAD_FROM}' and DATE '{FIRST_LOAD_TO}'""",
+)
+def table_scan(spark, sf):
+    s = fresh_store(spark)
+    s.upsert_bars(cleaned(spark, sf, "cm").usable, "a.csv")
+    return data(s.table("bhav_daily", SECOND_LOAD_FROM, FIRST_LOAD_TO))
+
+
+# ---- export ---------------------------------------------------------------------------------
+
+_EXPORT_SQL = f"""select * from bars where series = 'EQ' and date >= DATE '{SECOND_LOAD_FROM}' and date <= DATE '{FIRST_LOAD_TO}'"""
+_EXPORT = {"series": "EQ", "start": SECOND_LOAD_FROM, "end": FIRST_LOAD_TO}
+
+
+@query("export_parquet", _EXPORT_SQL)
+def export_parquet(spark, sf):
+    out = landing.fresh_folder(spark)
+    export.export_table(Tables(spark, sf), "bhav_daily", out, fmt="parquet", **_EXPORT)
+    return spark.read.parquet(out)
+
+
+@query("export_csv", _EXPORT_SQL)
+def export_csv(spark, sf):
+    tables = Tables(spark, sf)
+    out = landing.fresh_folder(spark)
+    export.export_table(tables, "bhav_daily", out, fmt="csv", **_EXPORT)
+    return spark.read.schema(tables["bhav_daily"].schema).option("header", True).csv(out)
+
+
+@query(
+    "export_filtered",
+    """select 'index_daily' as "table", index_name as name, date, close from indices
+      where index_name in ('NIFTY 50', 'NIFTY 100') and index_name in ('NIFTY 100', 'NIFTY 10') and date >= DATE '2024-01-05'
+    union all select 'fo_daily', symbol, date, close from futures where symbol in ('NIFTY') and date <= DATE '2024-01-20'
+    union all select 'deliverable_daily', symbol, date, null from deliverables where date >= DATE '2024-01-05'
+    union all select 'equity_master', symbol, listing_date, null from master""",
+)
+def export_filtered(spark, sf):
+    tables = Tables(spark, sf)
+    low, high = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+    none = F.lit(None).cast("double")
+
+    def rows(table: str, name: str, date: str, close, **filters) -> DataFrame:
+        return export.export_rows(tables, table, **filters).select(
+            F.lit(table).alias("table"), F.col(name).alias("name"), F.col(date).alias("date"),
+            close.alias("close"),
+        )
+
+    return union(
+        [
+            rows("index_daily", "index_name", "date", F.col("close"), start=low,
+                 symbols=["NIFTY 50", "NIFTY 100"], indexes=["NIFTY 100", "NIFTY 10"]),
+            rows("fo_daily", "symbol", "date", F.col("close"), symbols=["NIFTY"], end=high),
+            # a series filter applies to the bars only
+            rows("deliverable_daily", "symbol", "date", none, series="N1", start=low),
+            rows("equity_master", "symbol", "listing_date", none, start=low),
+        ]
+    )
+
+
+# ---- calendar -------------------------------------------------------------------------------
+
+def _log_days(spark, sf) -> DataFrame:
+    """One row: first and last day of the log."""
+    return bridge.view(spark, sf, "log_attempts").agg(
+        F.min("date").alias("start"), F.max("date").alias("end")
+    )
+
+
+_LOG_DAYS_SQL = """log_days as (select cast(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) as date) as date from log_attempts)"""
+
+
+@query("date_range", f"with {_LOG_DAYS_SQL} select date from log_days")
+def date_range(spark, sf):
+    return calendar.date_range(_log_days(spark, sf)).select("date")
+
+
+@query("weekdays", f"with {_LOG_DAYS_SQL} select date from log_days where isodow(date) < 6")
+def weekdays(spark, sf):
+    return calendar.weekdays(calendar.date_range(_log_days(spark, sf)).select("date"))
+
+
+@query(
+    "trading_days",
+    f"with {_LOG_DAYS_SQL} select date from log_days where isodow(date) < 6 and date not in (select date from hol)",
+)
+def trading_days(spark, sf):
+    return calendar.trading_days(calendar.date_range(_log_days(spark, sf)).select("date"))
+
+
+@query(
+    "holidays",
+    """select year(date) as year, date, coalesce(n, 0) as n_attempts from hol
+    left join (select date, count(*) as n from log_attempts group by 1) using (date)""",
+)
+def holidays(spark, sf):
+    attempts = bridge.view(spark, sf, "log_attempts").groupBy("date").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return calendar.holidays(spark).join(attempts, "date", "left").select(
+        "year", "date", F.coalesce("n", F.lit(0)).alias("n_attempts")
+    )
+
+
+@query(
+    "is_holiday",
+    """select date, date in (select date from hol) as is_holiday, count(*) as n_attempts from log_attempts group by 1""",
+)
+def is_holiday(spark, sf):
+    return (
+        bridge.view(spark, sf, "log_attempts")
+        .groupBy("date", calendar.is_holiday(F.col("date")).alias("is_holiday"))
+        .agg(F.count(F.lit(1)).alias("n_attempts"))
+    )
+
+
+@query(
+    "month_bounds",
+    """select cast(date_trunc('month', o_orderdate) as date) as first, last_day(o_orderdate) as last, count(*) as n_orders
+    from orders group by 1, 2""",
+)
+def month_bounds(spark, sf):
+    day = F.col("o_orderdate").cast("date")
+    return (
+        spark.read.parquet(f"{sf}/orders.parquet")
+        .groupBy(calendar.month_start(day).alias("first"), calendar.month_end(day).alias("last"))
+        .agg(F.count(F.lit(1)).alias("n_orders"))
+    )
+
+
+@query(
+    "scalar_functions",
+    f"""select row_no, round(close / prev_close, 2) as rounded, abs(close - open) as distance, strftime(file_date, '%Y-%m') as month,
+    coalesce(nullif({oracle._ident('symbol')}, ''), 'EQ') as filled, length({oracle._strip('symbol')}) as n_chars,
+    greatest(open, low, close) as top, least(open, high, close) as bottom
+    from (select row_no, file_date, symbol, {oracle._double('close')} as close, {oracle._double('prev_close')} as prev_close,
+      {oracle._double('open')} as open, {oracle._double('low')} as low, {oracle._double('high')} as high from raw_cm)""",
+)
+def scalar_functions(spark, sf):
+    raw = layout.normalize_headers(bridge.raw(spark, sf, "cm"), "cm")
+    price = {c: text.to_double(F.col(c)) for c in ("open", "high", "low", "close", "prev_close")}
+    return raw.select(
+        "row_no",
+        text.round_to(F.try_divide(price["close"], price["prev_close"]), 2).alias("rounded"),
+        F.abs(price["close"] - price["open"]).alias("distance"),
+        F.date_format("file_date", "yyyy-MM").alias("month"),
+        text.blank_to(F.col("symbol"), "EQ").alias("filled"),
+        F.length(text.strip(F.col("symbol"))).alias("n_chars"),
+        F.greatest(price["open"], price["low"], price["close"]).alias("top"),
+        F.least(price["open"], price["high"], price["close"]).alias("bottom"),
+    )
+
+
+# ---- log and reports ------------------------------------------------------------------------
+
+@query("month_coverage", "select * from month_cov")
+def month_coverage(spark, sf):
+    log = bridge.view(spark, sf, "ingest_log")
+    return coverage.month_coverage(log, list(DAILY_PRODUCTS), START, END)
+
+
+@query("detect_gaps", "select * from gaps")
+def detect_gaps(spark, sf):
+    log = bridge.view(spark, sf, "ingest_log")
+    return coverage.detect_gaps(log, list(DAILY_PRODUCTS), START, END)
+
+
+def _gap_rows(spark, sf) -> DataFrame:
+    tables = Tables(spark, sf)
+    return coverage.gap_rows(
+        coverage.detect_gaps(tables["ingest_log"], list(DAILY_PRODUCTS), START, END),
+        anomalies.master_drift(tables["bhav_daily"], tables["equity_master"]),
+        list(DAILY_PRODUCTS),
+        END,
+    )
+
+
+@query("gap_rows", "select product, date, gap_type, detail from gap_table")
+def gap_rows(spark, sf):
+    return _gap_rows(spark, sf)
+
+
+@query("refresh_gaps", "select product, date, gap_type, detail from gap_table where product <> 'idx'")
+def refresh_gaps(spark, sf):
+    """Twice over for one product, and emptied for another."""
+    rows = _gap_rows(spark, sf)
+    s = fresh_store(spark)
+    for p in ("cm", *DAILY_PRODUCTS):
+        s.refresh_gaps(p, rows.where(F.col("product") == p))
+    s.refresh_gaps("idx", rows.where(F.lit(False)))
+    return data(s["data_gaps"])
+
+
+@query("log_range", 'select product, min(date) as first, max(date) as last from ingest_log group by 1')
+def log_range(spark, sf):
+    return coverage.log_range(bridge.view(spark, sf, "ingest_log"))
+
+
+@query(
+    "status_by_month",
+    """select product, strftime(date, '%Y-%m') as month, count(*) filter (status in ('ingested', 'skipped')) as data_days,
+    count(*) filter (status = 'not_a_trading_day') as holidays, count(*) filter (status = 'error') as errors
+    from ingest_log group by 1, 2 order by 2 desc, 1 limit 24""",
+)
+def status_by_month(spark, sf):
+    return coverage.status_by_month(bridge.view(spark, sf, "ingest_log"))
+
+
+@query("cross_tables", "select * from cross_cov")
+def cross_tables(spark, sf):
+    return coverage.cross_tables(Tables(spark, sf), START, END)
+
+
+@query(
+    "ingest_summary",
+    """select product, count(*) filter (status = 'ingested') as ingested, count(*) filter (status = 'skipped') as skipped,
+    count(*) filter (status = 'not_a_trading_day') as non_trading, count(*) filter (status = 'error') as errors,
+    cast(coalesce(sum(seq) filter (status = 'ingested'), 0) as bigint) as rows from ingest_log group by 1""",
+)
+def ingest_summary(spark, sf):
+    return ingest.ingest_summary(
+        bridge.view(spark, sf, "ingest_log").withColumnRenamed("seq", "num_rows")
+    )
+
+
+@query(
+    "status_totals",
+    """select 'bhav_daily' as "table", count(*) as rows from bars union all select 'equity_master', count(*) from master
+    union all select 'data_gaps', count(*) from gap_table""",
+)
+def status_totals(spark, sf):
+    tables = Tables(spark, sf)
+    tables["data_gaps"] = _gap_rows(spark, sf)
+    return templates.count_rows(tables, ("bhav_daily", "equity_master", "data_gaps"))
+
+
+def _report(spark, sf) -> report.Report:
+    return report.build_report(Tables(spark, sf), "cm", START, END, generated_at="now")
+
+
+@query(
+    "build_report",
+    f"""select 'coverage' as part, month as item, data_days as value from month_cov where product = 'cm'
+    union all select 'gaps', gap_type, count(*) from gaps where product = 'cm' group by 2
+    union all {" union all ".join(f"select 'anomalies', '{c}', count(*) from ({_ANOMALY_SQL[c]})" for c in anomalies.CODES)}
+    union all select 'drift', 'symbols', count(*) from drift
+    union all select 'cross', "table", rows from cross_cov""",
+)
+def build_report(spark, sf):
+    r = _report(spark, sf)
+    many = F.count(F.lit(1)).alias("value")
+    return union(
+        [
+            r.coverage.select(F.lit("coverage").alias("part"), F.col("month").alias("item"),
+                              F.col("data_days").alias("value")),
+            r.gaps.groupBy(F.col("gap_type").alias("item")).agg(many)
+            .select(F.lit("gaps").alias("part"), "item", "value"),
+            r.counts.select(F.lit("anomalies").alias("part"), F.col("code").alias("item"),
+                            F.col("count").alias("value")),
+            r.drift.agg(many).select(F.lit("drift").alias("part"),
+                                     F.lit("symbols").alias("item"), "value"),
+            r.cross.select(F.lit("cross").alias("part"), F.col("table").alias("item"),
+                           F.col("rows").alias("value")),
+        ]
+    )
+
+
+_COLUMNS = {
+    "EXTREME_MOVE": "prev_close | close",
+    "ZERO_VOLUME_WITH_TRADES": "total_traded_quantity | no_of_trades",
+    "NEGATIVE_PRICE": "open | high | low | close",
+    "DELIVERY_MISMATCH": "delivery_qty | delivery_quantity",
+}
+
+
+def _anomaly_lines_sql(code: str, no: int) -> str:
+    columns = ["symbol", "date", *_COLUMNS[code].split(" | ")]
+    header = " | ".join(columns)
+    rule = " | ".join("---" for _ in columns)
+    sample = _sample_sql(code)
+    cells = sample
+    for i, c in enumerate(columns):
+        cells = cells.replace(f"'{c}='", "'| '" if i == 0 else "''").replace("|| ', ' ||", "|| ' | ' ||")
+    count = f"(select count(*) as n from ({_ANOMALY_SQL[code]}))"
+    return " union all ".join(
+        [
+            f"select {no}000 as ord, '### {code} (' || n || ')' as line from {count}",
+            f"select {no}001, '' from {count} where n > 0",
+            f"select {no}002, '| {header} |' from {count} where n > 0",
+            f"select {no}003, '| {rule} |' from {count} where n > 0",
+            f"select {no}003 + ord, sample || ' |' from ({cells})",
+            f"select case when n > 0 then {no}004 + least(n, 5) else {no}001 end, '' from {count}",
+        ]
+    )
+
+
+def _gap_list_sql(kind: str, most: int | None = None) -> str:
+    top = f"order by date limit {most}" if most else ""
+    return (
+        f"(select string_agg(cast(date as varchar), ', ' order by date) as dates, count(*) as n "
+        f"from (select date from gaps where product = 'cm' and gap_type = '{kind}' {top}))"
+    )
+
+
+def _gap_lines_sql() -> str:
+    kinds = [
+        ("missing_attempt", 50, "Missing attempts (weekdays with no record):"),
+        ("ingest_error", None, "Ingest errors:"),
+        ("unknown_holiday", None, "Unknown holidays detected by source (add to the calendar):"),
+    ]
+    rows = ["select 0 as k, '' as line", "select 1, '## Gaps'", "select 2, ''"]
+    for i, (kind, most, title) in enumerate(kinds):
+        found = _gap_list_sql(kind, most)
+        rows += [
+            f"select {10 * i + 10}, '{title}' from {found} where n > 0",
+            f"select {10 * i + 11}, ' - ' || dates from {found} where n > 0",
+            f"select {10 * i + 12}, '' from {found} where n > 0",
+        ]
+    rows += ["select 90, '## Anomalies'", "select 91, ''"]
+    union_all = " union all ".join(rows)
+    return f"select 3 as section, row_number() over (order by k) - 1 as ord, line from ({union_all})"
+
+
+def _values(section: int, lines: list[str]) -> str:
+    rows = ", ".join(f"({i}, {line})" for i, line in enumerate(lines))
+    return f"select {section} as section, ord, line from (values {rows}) t(ord, line)"
+
+
+_GAPS_LINE = (
+    "(select '- gaps: ' || count(*) filter (gap_type = 'missing_attempt') || ' missing, ' || "
+    "count(*) filter (gap_type = 'ingest_error') || ' errors, ' || "
+    "count(*) filter (gap_type = 'unknown_holiday') || ' unknown holidays' from gaps where product = 'cm')"
+)
+_REPORT_LINES_SQL = " union all ".join(
+    [
+        _values(1, [
+            "'# data-quality report — cm'", "''", "'- generated: now'",
+            f"'- range: {START} .. {END}'", _GAPS_LINE, "''", "'## Monthly coverage'", "''",
+            "'| month | expected | data days | holidays | errors | coverage |'",
+            "'| ------ | -------: | --------: | -------: | -----: | -------: |'",
+        ]),
+        """select 2, cast(replace(month, '-', '') as bigint) * 1000, '| ' || month || ' | ' || expected || ' | ' || data_days || ' | '
+          || holidays || ' | ' || errors || ' | ' || cast(cast(coverage_pct as double) as varchar) || '% |' from month_cov where product = 'cm'""",
+        _gap_lines_sql(),
+        *[
+            f"select 4, ord, line from ({_anomaly_lines_sql(c, i)})"
+            for i, c in enumerate(anomalies.CODES, 1)
+        ],
+        _values(5, [
+            "'## Equity master drift'", "''",
+            "(select coalesce('EQ symbols with bars but missing from the master: ' || string_agg(symbol, ', ' order by symbol), 'none') "
+            "from (select symbol from drift order by symbol limit 50))",
+            "''", "'## Cross-dataset coverage'", "''",
+            "'| table | days | rows | first | last |'", "'| --- | ---: | ---: | --- | --- |'",
+        ]),
+        """select 6, list_position(['index_daily', 'fo_daily', 'deliverable_daily'], "table") * 1000, '| ' || "table" || ' | ' || days
+          || ' | ' || rows || ' | ' || coalesce(cast(first as varchar), '-') || ' | ' || coalesce(cast(last as varchar), '-') || ' |' from cross_cov""",
+        "select 7, 0, ''",
+    ]
+)
+
+
+@query("report_lines", _REPORT_LINES_SQL)
+def report_lines(spark, sf):
+    return report.report_lines(_report(spark, sf))
+
+
+def _json_dates(kind: str) -> str:
+    return (
+        "(select '[' || coalesce(string_agg('\"' || cast(date as varchar) || '\"', ',' order by date), '') || ']' "
+        f"from gaps where product = 'cm' and gap_type = '{kind}')"
+    )
+
+
+def _json_code(code: str, no: int) -> str:
+    columns = ["symbol", "date", *_COLUMNS[code].split(" | ")]
+    one = "'{' || " + " || ',' || ".join(
+        f"""'"{c}":"' || cast({c} as varchar) || '"'""" for c in columns
+    ) + " || '}'"
+    inner = _sample_sql(code)
+    rows = inner[inner.index("from (select *"):]
+    return (
+        f"select 4, '{no}', '{',' if no > 1 else ''}{{\"code\":\"{code}\",\"count\":' || "
+        f"(select count(*) from ({_ANOMALY_SQL[code]})) || ',\"samples\":[' || "
+        f"coalesce((select string_agg({one}, ',' order by ord) {rows}), '') || ']}}'"
+    )
+
+
+_BOUNDS = f'"start":"{START}","end":"{END}"'
+_REPORT_JSON_SQL = " union all ".join(
+    [
+        f"""select 1 as section, '' as ord, '{{"product":"cm","generated_at":"now",{_BOUNDS},"coverage":[' as line""",
+        f"""select 2, month, case when month = '{START:%Y-%m}' then '' else ',' end || '{{"product":"cm","month":"' || month || '","expected":' || expected
+          || ',"data_days":' || data_days || ',"holidays_detected":' || holidays || ',"errors":' || errors || ',"coverage_pct":'
+          || cast(cast(coverage_pct as double) as varchar) || '}}' from month_cov where product = 'cm'""",
+        f"""select 3, '', '],"gaps":{{"product":"cm",{_BOUNDS},"missing_attempts":' || {_json_dates('missing_attempt')} || ',"errors":'
+          || {_json_dates('ingest_error')} || ',"unknown_holidays":' || {_json_dates('unknown_holiday')} || '}},"anomalies":['""",
+        *[_json_code(c, i) for i, c in enumerate(anomalies.CODES, 1)],
+        """select 5, '', '],"master_drift":['""",
+        """select 6, symbol, case when symbol = (select min(symbol) from drift) then '' else ',' end || '"' || symbol || '"' from drift""",
+        """select 7, '', '],"cross_tables":['""",
+        """select 8, cast(no as varchar), case when no = 1 then '' else ',' end || '{"table":"' || "table" || '","days":' || days || ',"rows":' || rows
+          || ',"first":' || coalesce('"' || first || '"', 'null') || ',"last":' || coalesce('"' || last || '"', 'null') || '}'
+          from (select *, list_position(['index_daily', 'fo_daily', 'deliverable_daily'], "table") as no from cross_cov)""",
+        "select 9, '', ']}'",
+    ]
+)
+
+
+@query("report_json", _REPORT_JSON_SQL)
+def report_json(spark, sf):
+    return report.report_json(_report(spark, sf))
+
+
+# ---- SQL and whole ingests ------------------------------------------------------------------
+
+@query(
+    "run_sql",
+    "select series, count(*) as bars, max(close) as top_close from bars group by series",
+)
+def run_sql(spark, sf):
+    tables = Tables(spark, sf)
+    tables["bhav_daily"].createOrReplaceTempView("bhav_daily")
+    return sql.run_sql(
+        spark,
+        """SELECT series, count(*) AS bars, max(close) AS top_close FROM bhav_daily
+        GROUP BY series ORDER BY series; -- per series""".replace("; --", " --"),
+    )
+
+
+def _event_days(spark, sf) -> list[dt.date]:
+    days = bridge.raw(spark, sf, "cm").select("file_date").distinct().collect()
+    return sorted(d.file_date for d in days)
+
+
+@query(
+    "ingest_incremental",
+    """select 'bhav_daily' as "table", symbol as name, series, date, close as value, total_traded_quantity as quantity,
+      'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file
+    from (select *, row_number() over (partition by symbol, series, date order by file_date desc, row_no) as rn from cm_usable) where rn = 1
+    union all select 'index_daily', index_name, null, date, close, volume, 'ind_close_all_' || strftime(date, '%d%m%Y') || '.csv' from indices
+    union all select 'deliverable_daily', symbol, series, date, delivery_to_traded, delivery_quantity,
+      'sec_bhavdata_full_' || strftime(date, '%d%m%Y') || '.csv' from deliverables""",
+)
+def ingest_incremental(spark, sf):
+    """Files up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
+    root = landing.fresh_folder(spark)
+    s = fresh_store(spark)
+    early = F.col("file_date") <= F.lit(FIRST_LOAD_TO)
+    for arrived in (early, ~early):
+        for p in SCANNED:
+            landing.write_landing(bridge.raw(spark, sf, p).where(arrived), p, root)
+        stream = incremental.ingest_stream(s, root, f"{s.root}-stream", SCANNED)
+        stream.awaitTermination()
+    none = F.lit(None).cast("string")
+    return union(
+        [
+            s[table].select(
+                F.lit(table).alias("table"), F.col(name).alias("name"), series.alias("series"),
+                "date", F.col(value).alias("value"), F.col(quantity).alias("quantity"),
+                "source_file",
+            )
+            for table, name, series, value, quantity in (
+                ("bhav_daily", "symbol", F.col("series"), "close", "total_traded_quantity"),
+                ("index_daily", "index_name", none, "close", "volume"),
+                ("deliverable_daily", "symbol", F.col("series"), "delivery_to_traded",
+                 "delivery_quantity"),
+            )
+        ]
+    )
+
+
+@query(
+    "restate_day",
+    """select * exclude (rn, load, file_date, row_no, total_traded_quantity),
+      case when load = 2 then 7 else total_traded_quantity end as total_traded_quantity
+    from (select *, row_number() over (partition by symbol, series, date order by load desc, file_date desc, row_no) as rn from (
+      select *, 1 as load from cm_usable union all select *, 2 from cm_usable where file_date >= DATE '2024-01-28')) where rn = 1""",
+)
+def restate_day(spark, sf):
+    """All days, then the last ones again under the same names with other quantities."""
+    root = _landing(spark, sf, ("cm",))
+    s = fresh_store(spark)
+    days = _event_days(spark, sf)
+    ingest.update_product(s, root, "cm", days)
+    raw = bridge.raw(spark, sf, "cm").withColumn("TTL_TRD_QNTY", F.lit("7"))
+    landing.write_landing(
+        raw.where(F.col("file_date") >= F.lit(dt.date(2024, 1, 28))), "cm", root
+    )
+    again = ingest.update_product(s, root, "cm", days)
+    assert again.skipped == sum(d < dt.date(2024, 1, 28) for d in days), again
+    return data(s["bhav_daily"], "source_file")

@@ -47,6 +47,15 @@ def to_double(c: Column) -> Column:
     return F.when(plain, s.try_cast("double"))
 
 
+def round_to(c: Column, digits: int) -> Column:
+    """Round the scaled binary value half away from zero, so 1.005 gives 1.0.
+
+    Spark's own round works on the decimal spelling of a double and would give 1.01.
+    """
+    factor = 10.0**digits
+    return F.round(c * factor, 0) / factor
+
+
 def to_date(c: Column, *patterns: str) -> Column:
     """First pattern that fits, else null. The text is taken as it is: strip it first if need be."""
     return F.coalesce(*[F.try_to_date(c, p) for p in patterns])

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.functions.calendar import is_trading_day
+from eodlake.functions.calendar import days_between, is_trading_day
 from eodlake.model import DAILY_PRODUCTS, ERROR, INGESTED, NON_TRADING, PRODUCTS, SKIPPED
 from eodlake.operators.clean import Cleaned, clean_layouts, clean_master, file_status
 from eodlake.operators.anomalies import master_drift
@@ -25,7 +25,6 @@ from eodlake.sources import files, scan
 from eodlake.sources.master import scan_master
 
 NO_ROWS = "no rows parsed"
-_OUTCOME = "product string, date date, status string, num_rows bigint"
 
 
 @dataclass(frozen=True)
@@ -112,14 +111,14 @@ def update_product(
     with Scratch(spark) as scratch:
         listed = files.list_files(spark, files.month_folders(landing, product, days))
         wanted = files.resolve_files(listed).join(candidates, ["product", "date"], "left_semi")
-        parts = scratch.write(scan.inspect(spark, scratch.write(wanted)))
-        groups = scan.group_by_layout(parts)
-        bad = _layout_errors(store, product, groups)
+        # every byte is hashed once; the result is one row per file
+        parts = scratch.write(scan.inspect(spark, wanted))
+        bad = _layout_errors(store, product, scan.group_by_layout(parts))
         parts = parts.join(bad, "header", "left").withColumn(
             "error", F.coalesce("error", "reason")
         ).drop("reason")
-        found = scratch.write(files.day_fingerprints(parts))
-        pending = scratch.write(files.pending_days(found, store["ingest_log"], force))
+        found = files.day_fingerprints(parts)
+        pending = files.pending_days(found, store["ingest_log"], force)
         # one unusable part fails its day
         usable = pending.where(F.col("error").isNull()).select("product", "date")
         loaded = _clean_and_store(
@@ -138,23 +137,22 @@ def update_product(
         missing = files.non_trading_days(candidates, found).select(
             "product", "date", F.lit(NON_TRADING).alias("status"), F.lit(0).alias("num_rows")
         )
+        skipped = found.join(pending, ["product", "date"], "left_anti").select(
+            "product", "date", F.lit(SKIPPED).alias("status"), F.lit(0).alias("num_rows")
+        )
+        # fixed before the log changes, on which `pending` depends
         outcomes = scratch.write(
             attempts.unionByName(missing, allowMissingColumns=True)
+            .unionByName(skipped, allowMissingColumns=True)
             .withColumn("duration_sec", F.lit(time.monotonic() - started))
         )
-        store.write_ingest_log(outcomes)
-        skipped = found.join(pending, ["product", "date"], "left_anti").select(
-            "product", "date", F.lit(SKIPPED).alias("status"), F.lit(0).alias("num_rows")
-        )
-        told = outcomes.select("product", "date", "status", "num_rows").unionByName(skipped)
-        row = ingest_summary(told).first()
+        store.write_ingest_log(outcomes.where(F.col("status") != SKIPPED))
+        row = ingest_summary(outcomes).first()
     return IngestSummary(**row.asDict()) if row else IngestSummary(product)
 
 
 def trading_days_of(store: Store, start: dt.date, end: dt.date) -> list[dt.date]:
     """Candidate days of a range, on the driver: a calendar, not data."""
-    from eodlake.functions.calendar import days_between
-
     if end < start:
         return []
     days = days_between(store.spark, start, end).where(is_trading_day(F.col("date")))

@@ -12,6 +12,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eodlake.functions.text import round_to
+
 Tables = Mapping[str, DataFrame]
 
 COUNTED = ("bhav_daily", "index_daily", "fo_daily", "deliverable_daily", "equity_master")
@@ -59,7 +61,7 @@ def _movers(tables: Tables) -> DataFrame:
         latest_day(tables["bhav_daily"])
         .where((F.col("series") == "EQ") & (F.col("prev_close") > 0))
         .withColumn("_ratio", ratio)
-        .withColumn("pct", F.round((F.col("_ratio") - 1) * 100, 2))
+        .withColumn("pct", round_to((F.col("_ratio") - 1) * 100, 2))
     )
 
 
@@ -83,7 +85,7 @@ def volume_leaders(tables: Tables) -> DataFrame:
         .limit(10)
         .select(
             "symbol", "date", F.col("total_traded_quantity").alias("qty"),
-            F.round("turnover", 2).alias("turnover"),
+            round_to(F.col("turnover"), 2).alias("turnover"),
         )
     )
 
@@ -96,7 +98,7 @@ def delivery_spike(tables: Tables) -> DataFrame:
         .limit(10)
         .select(
             "symbol", "date", "delivery_qty", "total_traded_quantity",
-            F.round("delivery_pct", 2).alias("delivery_pct"),
+            round_to(F.col("delivery_pct"), 2).alias("delivery_pct"),
         )
     )
 
@@ -111,7 +113,7 @@ def fo_most_traded(tables: Tables) -> DataFrame:
         .limit(10)
         .select(
             "instrument", "symbol", "expiry_date", "option_type", "strike_price", "contracts",
-            F.round("value", 0).alias("value"),
+            round_to(F.col("value"), 0).alias("value"),
         )
     )
 

@@ -55,7 +55,8 @@ def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
     """
     limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
     schema = "path string, sha256 string, header string, error string"
-    listed = parts.select("path", "length", "zipped").collect()  # names only, never content
+    listed = parts.collect()  # names only, never content
+    parts = spark.createDataFrame(listed, parts.schema)
     blank = [r.path for r in listed if r.length == 0]
     plain = [r.path for r in listed if not r.zipped and 0 < r.length <= limit]
     zipped = [r.path for r in listed if r.zipped and r.length > 0]
