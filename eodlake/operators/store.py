@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eodlake.model import SCHEMA_VERSION, TABLES, Table
 from eodlake.operators.dedupe import keep_first
-from eodlake.session import Scratch, delete, exists
+from eodlake.session import Scratch, delete, make_folder
 
 _LOAD_TIMES = ("ingested_at", "updated_at", "applied_at", "generated_at")
 
@@ -76,20 +76,16 @@ class Store:
 
     def create_tables(self) -> Store:
         """Create what is missing and bring an older store to the current version."""
-        version = self.schema_version if exists(self.spark, self.path("schema_migrations")) else None
-        for table in TABLES.values():
-            empty = self.spark.createDataFrame([], table.schema)
-            writer = empty.write.mode("ignore")
-            if table.partition:
-                writer = writer.partitionBy(*table.partition)
-            writer.parquet(self.path(table.name))
-        if version is not None and version < 2:
+        for name in TABLES:
+            make_folder(self.spark, self.path(name))
+        version = self.schema_version
+        if version == SCHEMA_VERSION:
+            return self
+        if version is not None:
             self.rekey_deliverable(self.table("deliverable_daily"))
-        if version != SCHEMA_VERSION:
-            self.upsert(
-                "schema_migrations",
-                self.spark.createDataFrame([(SCHEMA_VERSION,)], "version int"),
-            )
+        row = self.spark.createDataFrame([(SCHEMA_VERSION,)], "version int")
+        table = TABLES["schema_migrations"]
+        conform(row, table).write.mode("append").parquet(self.path(table.name))
         return self
 
     @property
@@ -161,10 +157,16 @@ class Store:
             if table.partition:
                 column = table.partition[0]
                 old = old.where(F.col(column).isin([p[0] for p in parts]))
-                self._write(merge(old, new, table), table)
+            if old.isEmpty():  # a first load has nothing to merge with
+                merged = new
+            else:
+                merged = merge(old, new, table)
+            if table.partition:
+                self._write(merged, table)
             else:
                 # a path cannot be overwritten while it is read
-                merged = scratch.write(merge(old, new, table))
+                if merged is not new:
+                    merged = scratch.write(merged)
                 merged.write.mode("overwrite").parquet(self.path(name))
             return n
 

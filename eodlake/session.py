@@ -38,6 +38,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = file_system(spark, path)
     fs.delete(target, True)
