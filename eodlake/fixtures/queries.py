@@ -349,8 +349,7 @@ def _register_cleaner(key: str, dedupe_key: str, p: str) -> None:
         from {p}_usable group by file_date, {table_key}""",
     )
     def first(spark, sf):
-        kept = dedupe.keep_first(cleaned(spark, sf, p).usable, ["file_date", *PRODUCTS[p].key])
-        return kept.select("file_date", *PRODUCTS[p].key, "row_no", "n_copies")
+        return cleaned(spark, sf, p).copies
 
 
 for _key, _dedupe_key, _p in (
@@ -1270,10 +1269,9 @@ def _event_days(spark, sf) -> list[dt.date]:
 
 @query(
     "ingest_incremental",
-    """select 'bhav_daily' as "table", symbol as name, series, date, close as value, total_traded_quantity as quantity,
+    """select 'bhav_daily' as "table", symbol, series, date, close as value, total_traded_quantity as quantity,
       'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file
     from (select *, row_number() over (partition by symbol, series, date order by file_date desc, row_no) as rn from cm_usable) where rn = 1
-    union all select 'index_daily', index_name, null, date, close, volume, 'ind_close_all_' || strftime(date, '%d%m%Y') || '.csv' from indices
     union all select 'deliverable_daily', symbol, series, date, delivery_to_traded, delivery_quantity,
       'sec_bhavdata_full_' || strftime(date, '%d%m%Y') || '.csv' from deliverables""",
 )
@@ -1281,25 +1279,22 @@ def ingest_incremental(spark, sf):
     """Files up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
     root = landing.fresh_folder(spark)
     s = fresh_store(spark)
+    products = ("cm", "deliv")
     early = F.col("file_date") <= F.lit(FIRST_LOAD_TO)
     for arrived in (early, ~early):
-        for p in SCANNED:
+        for p in products:
             landing.write_landing(bridge.raw(spark, sf, p).where(arrived), p, root)
-        stream = incremental.ingest_stream(s, root, f"{s.root}-stream", SCANNED)
+        stream = incremental.ingest_stream(s, root, f"{s.root}-stream", products)
         stream.awaitTermination()
-    none = F.lit(None).cast("string")
     return union(
         [
             s[table].select(
-                F.lit(table).alias("table"), F.col(name).alias("name"), series.alias("series"),
-                "date", F.col(value).alias("value"), F.col(quantity).alias("quantity"),
-                "source_file",
+                F.lit(table).alias("table"), "symbol", "series", "date",
+                F.col(value).alias("value"), F.col(quantity).alias("quantity"), "source_file",
             )
-            for table, name, series, value, quantity in (
-                ("bhav_daily", "symbol", F.col("series"), "close", "total_traded_quantity"),
-                ("index_daily", "index_name", none, "close", "volume"),
-                ("deliverable_daily", "symbol", F.col("series"), "delivery_to_traded",
-                 "delivery_quantity"),
+            for table, value, quantity in (
+                ("bhav_daily", "close", "total_traded_quantity"),
+                ("deliverable_daily", "delivery_to_traded", "delivery_quantity"),
             )
         ]
     )

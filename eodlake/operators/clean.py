@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eodlake.model import ERROR, INGESTED, PRODUCTS, TABLES
 from eodlake.operators import qc
-from eodlake.operators.dedupe import keep_first, prefer_equity
+from eodlake.operators.dedupe import copies, keep_first, prefer_equity
 from eodlake.operators.normalize import typed
 
 
@@ -37,13 +37,18 @@ class Cleaned:
         )
 
     @property
-    def deduped(self) -> DataFrame:
-        """First row per file and key, with `n_copies`."""
-        return keep_first(self.usable, ["file_date", *PRODUCTS[self.product].key])
+    def file_key(self) -> list[str]:
+        return ["file_date", *PRODUCTS[self.product].key]
 
     @property
     def rows(self) -> DataFrame:
-        return self.deduped.select("file_date", "row_no", *self.columns)
+        """First row per file and key."""
+        return keep_first(self.usable, self.file_key)
+
+    @property
+    def copies(self) -> DataFrame:
+        """Per file and key: first `row_no` and `n_copies`."""
+        return copies(self.usable, self.file_key)
 
     @property
     def issues(self) -> DataFrame:
@@ -51,7 +56,7 @@ class Cleaned:
         return (
             qc.row_issues(self.typed, p)
             .unionByName(qc.count_issues(qc.file_counts(self.typed, p), p))
-            .unionByName(qc.count_issues(qc.copy_counts(self.deduped), p))
+            .unionByName(qc.count_issues(qc.copy_counts(self.copies), p))
         )
 
     def issues_of(self, code: str) -> DataFrame:
@@ -60,7 +65,7 @@ class Cleaned:
         if code in qc.row_codes(p):
             return qc.row_issues(self.typed, p, [code])
         if code == "DUPLICATE_ROWS":
-            return qc.count_issues(qc.copy_counts(self.deduped), p)
+            return qc.count_issues(qc.copy_counts(self.copies), p)
         counted = qc.count_issues(qc.file_counts(self.typed, p), p)
         return counted.where(F.col("code") == code)
 
@@ -125,17 +130,13 @@ def file_status(cleaned: Cleaned | None, failed: list) -> DataFrame:
     out = None
     if cleaned is not None:
         table = TABLES[PRODUCTS[cleaned.product].table]
-        keys = ["file_date", *table.key]
         # keys and nullable columns only: the rows themselves stay out of this shuffle
-        needed = [c for c in table.not_null if c in cleaned.columns]
         broken = F.lit(False)
-        for c in needed:
-            broken = broken | F.col(c).isNull()
-        kept = keep_first(
-            cleaned.usable.select(
-                "file_date", "row_no", *table.key, broken.alias("broken")
-            ),
-            keys,
+        for c in table.not_null:
+            if c in cleaned.columns:
+                broken = broken | F.col(c).isNull()
+        kept = cleaned.usable.groupBy(*cleaned.file_key).agg(
+            F.min_by(broken, "row_no").alias("broken")
         )
         # a file without any usable row is ingested with 0 rows
         read = cleaned.typed.select("file_date").distinct()

@@ -1,24 +1,33 @@
-"""One row per key, as aggregations.
+"""One row per key.
 
-`min_by`/`max_by` combine on the map side, so a key that holds a large share of all rows reaches the
-shuffle as one row per task, and the number of copies comes out of the same pass.
+Both forms thin out each task's rows before the shuffle, so a key that holds a large share of all rows
+reaches it as one row per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: str | Column = "row_no") -> DataFrame:
-    """First row per key by `order`; `n_copies` counts the rows of the key."""
-    rest = [c for c in df.columns if c not in key]
-    return (
-        df.groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), order).alias("_row"), F.count(F.lit(1)).alias("n_copies"))
-        .select(*key, "_row.*", "n_copies")
+def keep_first(
+    df: DataFrame, key: Sequence[str], order: str | Column | Sequence[Column] = "row_no"
+) -> DataFrame:
+    """First row per key by `order`.
+
+    Spark turns `row_number() = 1` into a group limit that runs on both sides of the shuffle.
+    """
+    by = [order] if isinstance(order, (str, Column)) else list(order)
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*by))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Per key the first `row_no` and the number of rows, without moving the rows themselves."""
+    return df.groupBy(*key).agg(
+        F.min("row_no").alias("row_no"), F.count(F.lit(1)).alias("n_copies")
     )
 
 
@@ -27,7 +36,9 @@ def prefer_equity(master: DataFrame) -> DataFrame:
 
     Null rank and null date sort before all others, file order decides the rest.
     """
-    order = F.struct(
-        F.col("series") != "EQ", F.col("listing_date"), F.col("row_no")
-    )
-    return keep_first(master, ["symbol"], order).drop("n_copies")
+    order = [
+        F.asc_nulls_first(F.col("series") != "EQ"),
+        F.asc_nulls_first("listing_date"),
+        F.asc("row_no"),
+    ]
+    return keep_first(master, ["symbol"], order)

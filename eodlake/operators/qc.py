@@ -153,9 +153,9 @@ def file_counts(typed: DataFrame, product: str) -> DataFrame:
     )
 
 
-def copy_counts(deduped: DataFrame) -> DataFrame:
-    """Rows kept and dropped as duplicates, per file, from the `n_copies` of `keep_first`."""
-    return deduped.groupBy("file_date").agg(
+def copy_counts(copies: DataFrame) -> DataFrame:
+    """Rows kept and dropped as duplicates, per file, from the `n_copies` of each key."""
+    return copies.groupBy("file_date").agg(
         F.count(F.lit(1)).alias("num_rows"),
         F.sum(F.col("n_copies") - 1).alias("n_duplicates"),
     )
@@ -180,15 +180,3 @@ def count_issues(counts: DataFrame, product: str) -> DataFrame:
         counts.select("file_date", F.explode(F.array_compact(F.array(*found))).alias("issue"))
         .select("file_date", "issue.*")
     )
-
-
-def not_null_violations(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Files holding a null where the table allows none; such a file fails as a whole."""
-    broken = F.lit(False)
-    for c in columns:
-        if c in rows.columns:
-            broken = broken | F.col(c).isNull()
-    return (
-        rows.groupBy("file_date").agg(F.bool_or(broken).alias("broken"))
-        .where("broken").select("file_date")
-    )

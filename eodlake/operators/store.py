@@ -32,14 +32,14 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*columns)
 
 
-def last_file_first() -> Column:
+def last_file_first() -> list[Column]:
     """Order in which the first row is the one that wins: latest file, then file order."""
-    return F.struct(-F.unix_date("file_date"), F.col("row_no"))
+    return [F.desc("file_date"), F.asc("row_no")]
 
 
 def last_writer(rows: DataFrame, table: str) -> DataFrame:
     """State of a table after loading cleaned files day by day: the later file wins its keys."""
-    return keep_first(rows, TABLES[table].key, last_file_first()).drop("n_copies")
+    return keep_first(rows, TABLES[table].key, last_file_first())
 
 
 def merge(old: DataFrame, new: DataFrame, table: Table) -> DataFrame:
@@ -130,7 +130,9 @@ class Store:
             .parquet(self.path(table.name))
         )
 
-    def upsert(self, name: str, staged: DataFrame, winner: Column | None = None) -> int:
+    def upsert(
+        self, name: str, staged: DataFrame, winner: Column | list[Column] | None = None
+    ) -> int:
         """Replace by primary key; returns the number of rows staged after deduplication.
 
         `winner` orders rows of equal key, first wins; without it the keys must be unique.
@@ -226,13 +228,12 @@ class Store:
     def rekey_deliverable(self, legacy: DataFrame) -> int:
         """Bring rows keyed by (symbol, date) under (symbol, series, date); no series means EQ."""
         rows = legacy.withColumn("series", default_series(F.col("series")))
-        order = F.struct(-F.unix_micros("ingested_at")) if "ingested_at" in legacy.columns else None
+        table = TABLES["deliverable_daily"]
+        newest = F.desc("ingested_at") if "ingested_at" in legacy.columns else F.lit(0)
         with Scratch(self.spark) as scratch:
-            # the legacy rows may sit in the folder about to be rewritten, under a blank series
-            rekeyed = scratch.write(keep_first(
-                rows, ["symbol", "series", "date"], order if order is not None else F.lit(0)
-            ).drop("n_copies"))
-            self._write(conform(rekeyed, TABLES["deliverable_daily"]), TABLES["deliverable_daily"])
+            # the legacy rows may sit in the very folders that are rewritten
+            rekeyed = scratch.write(conform(keep_first(rows, table.key, newest), table))
+            self._write(rekeyed, table)
             return rekeyed.count()
 
 
