@@ -98,6 +98,9 @@ select row_no, {_ident('symbol')} as symbol, {_strip('name')} as name, {_ident('
     "master": """
 select symbol, name, isin, series, listing_date from (select *, row_number() over (partition by symbol
   order by series <> 'EQ' nulls first, listing_date nulls first, row_no) rn from master_typed where symbol <> '') where rn = 1""",
+    "last_bars": "select * from bars where date = (select max(date) from bars)",
+    "last_futures": "select * from futures where date = (select max(date) from futures)",
+    "range_bars": "select * from bars where date in (select date from days)",
     "days": f"select cast(unnest(generate_series(DATE '{RANGE[0]}', DATE '{RANGE[1]}', INTERVAL 1 DAY)) as date) as date",
     "products": "select unnest(['cm', 'idx', 'fo', 'deliv']) as product",
     "gaps": """

@@ -374,31 +374,33 @@ def master_prefer_eq(spark, sf):
 
 # ---- named queries --------------------------------------------------------------------------
 
+_MOVERS_SQL = """select symbol, date, close, prev_close, round((close / prev_close - 1) * 100, 2) as pct
+  from last_bars where series = 'EQ' and prev_close > 0"""
 _TEMPLATE_SQL = {
     "latest": "select max(date) as last_trading_day, count(*) as rows from bars",
-    "table_counts": """select 'bhav_daily' as "table", count(*) as rows from bars
-      union all select 'index_daily', count(*) from indices union all select 'fo_daily', count(*) from futures
-      union all select 'deliverable_daily', count(*) from deliverables union all select 'equity_master', count(*) from master""",
-    "top_gainers": """select symbol, date, close, prev_close, round((close/prev_close - 1) * 100, 2) as pct from bars
-      where series = 'EQ' and date = (select max(date) from bars) and prev_close > 0
-      order by close/prev_close desc nulls last, symbol limit 10""",
-    "top_losers": """select symbol, date, close, prev_close, round((close/prev_close - 1) * 100, 2) as pct from bars
-      where series = 'EQ' and date = (select max(date) from bars) and prev_close > 0
-      order by close/prev_close nulls last, symbol limit 10""",
-    "volume_leaders": """select symbol, date, total_traded_quantity as qty, round(turnover, 2) as turnover from bars
-      where date = (select max(date) from bars) order by total_traded_quantity desc, symbol, series limit 10""",
-    "delivery_spike": """select symbol, date, delivery_qty, total_traded_quantity, round(delivery_pct, 2) as delivery_pct from bars
-      where date = (select max(date) from bars) and total_traded_quantity > 0 and delivery_pct > 70
-      order by delivery_pct desc, symbol, series limit 10""",
-    "fo_most_traded": """select instrument, symbol, expiry_date, option_type, strike_price, contracts, round(value, 0) as value from futures
-      where date = (select max(date) from futures)
-      order by contracts desc, instrument, symbol, expiry_date, option_type, strike_price limit 10""",
-    "fo_open_interest": """select instrument, symbol, date, open_interest from futures where symbol = 'NIFTY' and option_type = 'XX'
-      order by date, expiry_date, instrument, strike_price limit 20""",
-    "index_history": "select index_name, date, close from indices where index_name = 'NIFTY 50' order by date limit 30",
-    "delivery_ratio": """select b.symbol, b.date, b.delivery_qty, d.delivery_quantity from bars b
-      join deliverables d on b.symbol = d.symbol and b.date = d.date where b.delivery_qty > 0
-      order by b.date, b.symbol, b.series, d.series limit 10""",
+    "table_counts": " union all ".join(
+        f"select '{table}' as \"table\", count(*) as rows from {relation}"
+        for table, relation in (
+            ("bhav_daily", "bars"), ("index_daily", "indices"), ("fo_daily", "futures"),
+            ("deliverable_daily", "deliverables"), ("equity_master", "master"),
+        )
+    ),
+    "top_gainers": _MOVERS_SQL + " order by close / prev_close desc nulls last, symbol limit 10",
+    "top_losers": _MOVERS_SQL + " order by close / prev_close nulls last, symbol limit 10",
+    "volume_leaders": """select symbol, date, total_traded_quantity as qty, round(turnover, 2) as turnover
+      from last_bars order by qty desc, symbol, series limit 10""",
+    "delivery_spike": """select symbol, date, delivery_qty, total_traded_quantity, round(delivery_pct, 2) as delivery_pct
+      from (select * from last_bars where delivery_pct > 70 and total_traded_quantity > 0
+        order by delivery_pct desc, symbol, series limit 10)""",
+    "fo_most_traded": """select instrument, symbol, expiry_date, option_type, strike_price, contracts, round(value, 0) as value
+      from last_futures order by contracts desc, instrument, symbol, expiry_date, option_type, strike_price limit 10""",
+    "fo_open_interest": """select instrument, symbol, date, open_interest from futures
+      where option_type = 'XX' and symbol = 'NIFTY' order by date, expiry_date, instrument, strike_price limit 20""",
+    "index_history": """select index_name, date, close from indices
+      where index_name = 'NIFTY 50' order by date limit 30""",
+    "delivery_ratio": """select symbol, date, delivery_qty, delivery_quantity
+      from (select * from bars where delivery_qty > 0) b join deliverables d using (symbol, date)
+      order by date, symbol, b.series, d.series limit 10""",
 }
 
 
@@ -420,36 +422,41 @@ def execute_template(spark, sf):
 # ---- anomalies and drift --------------------------------------------------------------------
 
 _ANOMALY_SQL = {
-    "EXTREME_MOVE": f"""select symbol, date, prev_close, close from bars where series = 'EQ' and prev_close > 0
-      and date between '{START}' and '{END}' and abs(close/prev_close - 1) > 0.25""",
-    "ZERO_VOLUME_WITH_TRADES": f"""select symbol, date, total_traded_quantity, no_of_trades from bars
-      where total_traded_quantity <= 0 and no_of_trades > 0 and date between '{START}' and '{END}'""",
-    "NEGATIVE_PRICE": f"""select symbol, date, open, high, low, close from bars
-      where (close < 0 or high < 0 or open < 0 or low < 0) and date between '{START}' and '{END}'""",
-    "DELIVERY_MISMATCH": f"""select b.symbol, b.date, b.delivery_qty, d.delivery_quantity from bars b
-      join deliverables d on b.symbol = d.symbol and b.date = d.date
-      where d.series = 'EQ' and b.delivery_qty > 0 and b.delivery_qty <> d.delivery_quantity
-      and d.date between '{START}' and '{END}'""",
+    "EXTREME_MOVE": """select series, symbol, date, prev_close, close from range_bars
+      where series = 'EQ' and prev_close > 0 and abs(close / prev_close - 1) > 0.25""",
+    "ZERO_VOLUME_WITH_TRADES": """select series, symbol, date, total_traded_quantity, no_of_trades from range_bars
+      where no_of_trades > 0 and total_traded_quantity <= 0""",
+    "NEGATIVE_PRICE": """select series, symbol, date, open, high, low, close from range_bars
+      where least(open, high, low, close) < 0""",
+    "DELIVERY_MISMATCH": """select b.series, symbol, date, delivery_qty, delivery_quantity
+      from (select * from range_bars where delivery_qty > 0) b
+      join (select * from deliverables where series = 'EQ') d using (symbol, date)
+      where delivery_qty <> delivery_quantity""",
 }
-_DRIFT_SQL = "select distinct symbol from bars where series = 'EQ' and symbol not in (select symbol from master)"
 
 
-@query("anomaly_extreme_move", _ANOMALY_SQL["EXTREME_MOVE"])
+def _anomaly_sql(code: str) -> str:
+    return f"select * exclude (series) from ({_ANOMALY_SQL[code]})"
+
+
+
+
+@query("anomaly_extreme_move", _anomaly_sql("EXTREME_MOVE"))
 def anomaly_extreme_move(spark, sf):
     return anomalies.extreme_moves(Tables(spark, sf)["bhav_daily"], START, END)
 
 
-@query("anomaly_zero_volume", _ANOMALY_SQL["ZERO_VOLUME_WITH_TRADES"])
+@query("anomaly_zero_volume", _anomaly_sql("ZERO_VOLUME_WITH_TRADES"))
 def anomaly_zero_volume(spark, sf):
     return anomalies.zero_volumes(Tables(spark, sf)["bhav_daily"], START, END)
 
 
-@query("anomaly_negative_price", _ANOMALY_SQL["NEGATIVE_PRICE"])
+@query("anomaly_negative_price", _anomaly_sql("NEGATIVE_PRICE"))
 def anomaly_negative_price(spark, sf):
     return anomalies.negative_prices(Tables(spark, sf)["bhav_daily"], START, END)
 
 
-@query("anomaly_delivery_mismatch", _ANOMALY_SQL["DELIVERY_MISMATCH"])
+@query("anomaly_delivery_mismatch", _anomaly_sql("DELIVERY_MISMATCH"))
 def anomaly_delivery_mismatch(spark, sf):
     tables = Tables(spark, sf)
     return anomalies.delivery_mismatches(
@@ -478,13 +485,9 @@ def _sample_sql(code: str) -> str:
     pairs = " || ', ' || ".join(
         f"'{c}=' || coalesce(cast({c} as varchar), 'None')" for c in ("symbol", "date", *columns)
     )
-    # the series breaks ties, so it is read along
-    inner = _ANOMALY_SQL[code].replace("select symbol", "select series, symbol", 1).replace(
-        "select b.symbol", "select b.series, b.symbol", 1
-    )
     return (
         f"select '{code}' as code, ord, {pairs} as sample from (select *, "
-        f"row_number() over (order by date, symbol, series) as ord from ({inner})) where ord <= 5"
+        f"row_number() over (order by date, symbol, series) as ord from ({_ANOMALY_SQL[code]})) where ord <= 5"
     )
 
 
@@ -497,7 +500,7 @@ def anomaly_samples(spark, sf):
     )
 
 
-@query("master_drift", _DRIFT_SQL)
+@query("master_drift", "select symbol from drift")
 def master_drift(spark, sf):
     tables = Tables(spark, sf)
     return anomalies.master_drift(tables["bhav_daily"], tables["equity_master"])
