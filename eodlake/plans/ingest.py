@@ -54,7 +54,7 @@ def _layout_errors(store: Store, product: str, groups: list[scan.FileGroup]) ->
     reasons = []
     for header in sorted({g.header for g in groups}):
         try:
-            match_headers(product, scan.text_schema(scan.header_fields(header)).fieldNames())
+            match_headers(product, scan.header_fields(header))
         except ValueError as exc:
             reasons.append((header, str(exc)))
     return store.spark.createDataFrame(reasons, "header string, reason string")

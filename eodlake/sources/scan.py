@@ -47,14 +47,21 @@ def _first_line(content: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"^[^\r\n]*", 0), F.lit(""))
 
 
+def _breaks_in_quotes(content: Column) -> Column:
+    """True if a quoted field holds a line break; files without any quote are not looked through."""
+    lines = F.split(F.decode(content, "UTF-8"), "\n")
+    odd = F.exists(lines, lambda line: F.regexp_count(line, F.lit('"')) % 2 == 1)
+    return F.when(F.contains(content, F.lit(b'"')), odd).otherwise(False)
+
+
 def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
-    """Add (sha256, header, error) to resolved parts in one pass over their bytes.
+    """Add (sha256, header, breaks, error) to resolved parts in one pass over their bytes.
 
     A plain file beyond the size Spark can hold in one value gets no hash, hence is never skipped;
-    its header is read alone.
+    its header is read alone and its records are taken to be single lines.
     """
     limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
-    schema = "path string, sha256 string, header string, error string"
+    schema = "path string, sha256 string, header string, breaks boolean, error string"
     listed = parts.collect()  # names only, never content
     parts = spark.createDataFrame(listed, parts.schema)
     blank = [r.path for r in listed if r.length == 0]
@@ -67,20 +74,23 @@ def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
         header = _first_line(F.col("content"))
         found.append(
             whole.select(
-                "path", fingerprint(F.col("content")).alias("sha256"), header.alias("header")
+                "path", fingerprint(F.col("content")).alias("sha256"), header.alias("header"),
+                _breaks_in_quotes(F.col("content")).alias("breaks"),
             ).withColumn("error", F.when(F.col("header").isNull(), EMPTY))
         )
     if zipped:
         whole = spark.read.format("binaryFile").load(zipped)
         hashes = whole.select("path", fingerprint(F.col("content")).alias("sha256"))
         found.append(
-            hashes.join(peek_headers(whole), "path").select("path", "sha256", "header", "error")
+            hashes.join(peek_headers(whole), "path").select(
+                "path", "sha256", "header", F.lit(False).alias("breaks"), "error"
+            )
         )
     if blank:
         nothing = hashlib.sha256(b"").hexdigest()
-        found.append(spark.createDataFrame([(p, nothing, None, EMPTY) for p in blank], schema))
+        found.append(spark.createDataFrame([(p, nothing, None, False, EMPTY) for p in blank], schema))
     if large:
-        lines = [(p, None, spark.read.text(p).first().value, None) for p in large]
+        lines = [(p, None, spark.read.text(p).first().value, False, None) for p in large]
         found.append(spark.createDataFrame(lines, schema))
     if not found:
         found.append(spark.createDataFrame([], schema))
@@ -102,12 +112,13 @@ def _raw(df: DataFrame, product: str, path: Column, fields: list[Column], *order
 
 
 def scan_plain(
-    spark: SparkSession, product: str, header: str, paths: list[str]
+    spark: SparkSession, product: str, header: str, paths: list[str], breaks: bool = False
 ) -> DataFrame:
     """Plain files of one layout. Within a split lines come in file order, so (part, split start,
-    running number) orders the rows of a day."""
+    running number) orders the rows of a day. Only files with `breaks` inside quotes are read
+    unsplit."""
     schema = text_schema(header_fields(header))
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=breaks).csv(paths)
     return _raw(
         df, product, F.col("_metadata.file_path"),
         [col(f.name) for f in schema],
@@ -142,24 +153,28 @@ def _ddl(schema: T.StructType) -> str:
 
 @dataclass(frozen=True)
 class FileGroup:
-    """Parts that share header and packing."""
+    """Parts that share header and packing; `breaks` = quoted fields hold line breaks."""
 
     header: str
     zipped: bool
+    breaks: bool
     paths: list[str]
 
 
 def group_by_layout(parts: DataFrame) -> list[FileGroup]:
     """Group inspected parts of one product. File names go through the driver, as in any listing."""
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for row in parts.where(F.col("error").isNull()).select("header", "zipped", "path").collect():
-        groups.setdefault((row.header, row.zipped), []).append(row.path)
-    return [FileGroup(h, z, sorted(paths)) for (h, z), paths in sorted(groups.items())]
+    groups: dict[tuple[str, bool, bool], list[str]] = {}
+    usable = parts.where(F.col("error").isNull())
+    for row in usable.select("header", "zipped", "breaks", "path").collect():
+        groups.setdefault((row.header, row.zipped, row.breaks), []).append(row.path)
+    return [FileGroup(*key, sorted(paths)) for key, paths in sorted(groups.items())]
 
 
 def scan_raw(spark: SparkSession, product: str, groups: list[FileGroup]) -> list[DataFrame]:
     """One raw frame per group: `file_date`, `row_no` and the verbatim header columns."""
     return [
-        (scan_zipped if g.zipped else scan_plain)(spark, product, g.header, g.paths)
+        scan_zipped(spark, product, g.header, g.paths)
+        if g.zipped
+        else scan_plain(spark, product, g.header, g.paths, g.breaks)
         for g in groups
     ]

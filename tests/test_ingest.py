@@ -166,6 +166,16 @@ def test_hash_of_oversized_file_is_null(spark, landing):
         spark.conf.set(key, before)
 
 
+def test_line_breaks_inside_quotes(store, landing):
+    text = CM_CSV.replace("ALPHA", '"AL\nPHA"').replace(" beta ", '"be,ta"')
+    landing.cm(DAY, text)
+    landing.cm(NEXT, CM_CSV.replace("GAMMA", '"GAMMA"'))
+    update_product(store, str(landing.root), "cm", [DAY, NEXT])
+    got = [r.symbol for r in store["bhav_daily"].where("source_file LIKE '%03JAN%'").collect()]
+    assert sorted(got) == ["AL\nPHA", "BE,TA"]  # the rest came again with the next file
+    assert log(store)["cm", NEXT].num_rows == 3
+
+
 def test_quoted_fields_and_archive_members(spark, tmp_path):
     import io
     import zipfile
