@@ -1272,35 +1272,19 @@ def _event_days(spark, sf) -> list[dt.date]:
 
 @query(
     "ingest_incremental",
-    """select 'bhav_daily' as "table", symbol, series, date, close as value, total_traded_quantity as quantity,
-      'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file
-    from (select *, row_number() over (partition by symbol, series, date order by file_date desc, row_no) as rn from cm_usable) where rn = 1
-    union all select 'deliverable_daily', symbol, series, date, delivery_to_traded, delivery_quantity,
-      'sec_bhavdata_full_' || strftime(date, '%d%m%Y') || '.csv' from deliverables""",
+    """select * exclude (rn, file_date, row_no), 'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file
+    from (select *, row_number() over (partition by symbol, series, date order by file_date desc, row_no) as rn from cm_usable) where rn = 1""",
 )
 def ingest_incremental(spark, sf):
     """Files up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
     root = landing.fresh_folder(spark)
     s = fresh_store(spark)
-    products = ("cm", "deliv")
+    raw = bridge.raw(spark, sf, "cm")
     early = F.col("file_date") <= F.lit(FIRST_LOAD_TO)
     for arrived in (early, ~early):
-        for p in products:
-            landing.write_landing(bridge.raw(spark, sf, p).where(arrived), p, root)
-        stream = incremental.ingest_stream(s, root, f"{s.root}-stream", products)
-        stream.awaitTermination()
-    return union(
-        [
-            s[table].select(
-                F.lit(table).alias("table"), "symbol", "series", "date",
-                F.col(value).alias("value"), F.col(quantity).alias("quantity"), "source_file",
-            )
-            for table, value, quantity in (
-                ("bhav_daily", "close", "total_traded_quantity"),
-                ("deliverable_daily", "delivery_to_traded", "delivery_quantity"),
-            )
-        ]
-    )
+        landing.write_landing(raw.where(arrived), "cm", root)
+        incremental.ingest_stream(s, root, f"{s.root}-stream", ["cm"]).awaitTermination()
+    return data(s["bhav_daily"])
 
 
 @query(
