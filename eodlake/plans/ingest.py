@@ -112,13 +112,14 @@ def update_product(
         listed = files.list_files(spark, files.month_folders(landing, product, days))
         wanted = files.resolve_files(listed).join(candidates, ["product", "date"], "left_semi")
         # every byte is hashed once; the result is one row per file
-        parts = scratch.write(scan.inspect(spark, wanted))
+        parts = scratch.write(scan.inspect(spark, scratch.write(wanted)))
         bad = _layout_errors(store, product, scan.group_by_layout(parts))
         parts = parts.join(bad, "header", "left").withColumn(
             "error", F.coalesce("error", "reason")
         ).drop("reason")
-        found = files.day_fingerprints(parts)
-        pending = files.pending_days(found, store["ingest_log"], force)
+        # day facts as tables: known sizes let Spark broadcast them, and the log may change below
+        found = scratch.write(files.day_fingerprints(parts))
+        pending = scratch.write(files.pending_days(found, store["ingest_log"], force))
         # one unusable part fails its day
         usable = pending.where(F.col("error").isNull()).select("product", "date")
         loaded = _clean_and_store(
@@ -140,7 +141,6 @@ def update_product(
         skipped = found.join(pending, ["product", "date"], "left_anti").select(
             "product", "date", F.lit(SKIPPED).alias("status"), F.lit(0).alias("num_rows")
         )
-        # fixed before the log changes, on which `pending` depends
         outcomes = scratch.write(
             attempts.unionByName(missing, allowMissingColumns=True)
             .unionByName(skipped, allowMissingColumns=True)
