@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm import decontaminate, mixing, quality_rules, url_filters, warc
+from eodlake.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules, url_filters, warc
 from eodlake.llm.common import table
 
 SEED = 11
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     docs = docs.select(
@@ -22,6 +26,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -64,7 +73,9 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
