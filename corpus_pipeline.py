@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm import decontaminate, mixing, quality_rules
+from eodlake.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
 from eodlake.llm.common import DOCUMENT_COLUMNS, cut, table
 
 SEED = 11
@@ -22,6 +22,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(docs.select(*DOCUMENT_COLUMNS), "text").where("kept").select(*DOCUMENT_COLUMNS)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line matches; n_chars follows the text."""
+    return line_dedup.dedup(docs.select(*DOCUMENT_COLUMNS), n_chars="n_chars").select(*DOCUMENT_COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return ngram_join.keep_one(docs.select(*DOCUMENT_COLUMNS)).select(*DOCUMENT_COLUMNS)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.clean(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "benchmark"))
@@ -38,6 +48,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
     ("benchmark decontamination", decontamination),
     ("source mixing", mixture),
 ]

@@ -79,7 +79,7 @@ def _matched(join: SetJoin, scratch: Scratch) -> DataFrame:
     # A pivot is the earliest of its group, so what matches it goes.
     gone = scratch.write(join.verified(pairs).select(F.col("b1").alias("c1"), F.col("b2").alias("c2")).distinct())
     side = seen.select("token", "c1", "c2", "n", "at", "own")
-    open_ = side.join(gone, ["c1", "c2"], "left_anti")
+    open_ = side.join(gone, ["c1", "c2"], "left_anti").select(*side.columns)
     a = side.toDF("token", "a1", "a2", "na", "ata", "owna")
     b = open_.toDF("token", "b1", "b2", "nb", "atb", "ownb")
     rest = (
