@@ -118,12 +118,12 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df`, all columns, whose id is the smallest of what links reach; rows without shingles all stay.
 
-    Rows without an id stay if nothing they are linked with has an id. Rows that repeat an id share its verdict.
+    Rows without an id always stay. Rows that repeat an id share its verdict.
     """
     gone = (
         join_ngrams(df, id_col, text_col)
-        .where("component_id is not null and (id is null or id != component_id)")
+        .where("id != component_id")
         .select(F.col("id").alias("gone_id"))
         .distinct()
     )
-    return df.join(gone, df[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    return df.join(gone, df[id_col].cast("long") == gone["gone_id"], "left_anti")
