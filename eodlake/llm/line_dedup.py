@@ -39,7 +39,7 @@ def line_sets(min_words: int = MIN_WORDS) -> Splitter:
                     words.append(found)
         n = np.array([len(x) for x in words], np.int64)
         h = hashes.of(list(itertools.chain.from_iterable(words)))
-        sizes, tokens = distinct(np.repeat(np.arange(len(n)), n), h, len(n))
+        sizes, tokens = distinct(h, n)
         return Sets(np.array(text, np.int64), np.array(number, np.int64), sizes, tokens)
 
     return split

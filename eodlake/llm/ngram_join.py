@@ -34,17 +34,26 @@ def shingles(words: int = WORDS) -> Splitter:
         found = [t.lower().split() for t in texts]  # of bytes: A-Z only, and ASCII blanks only
         n = np.array([len(x) for x in found], np.int64)
         h = hashes.of(list(itertools.chain.from_iterable(found)))
-        text = np.repeat(np.arange(len(n)), n)
-        size = np.minimum(n, words)[text]
-        left = np.repeat(np.cumsum(n), n) - np.arange(len(h))
-        starts = np.flatnonzero(left >= size)
-        value = size[starts].astype(np.uint64)
+        value = np.full(max(0, len(h) - words + 1), words, np.uint64)
         for k in range(words):
-            inside = size[starts] > k
-            value[inside] = mixed(value[inside] * MIX[0] + h[starts[inside] + k])
-        sizes, tokens = distinct(text[starts], value, len(n))
-        every = np.arange(len(n))
-        return Sets(every, np.zeros(len(n), np.int64), sizes, tokens)
+            value = mixed(value * MIX[0] + h[k : len(h) - words + 1 + k])
+        ends = np.cumsum(n)
+        inside = np.ones(len(value), bool)  # windows that don't go on into the next text
+        for k in range(1, words):
+            inside[(ends - k)[(ends >= k) & (ends - k < len(value))]] = False
+        sizes, short = np.maximum(0, n - words + 1), np.flatnonzero((n > 0) & (n < words))
+        value = value[inside]
+        if len(short):
+            whole = []
+            for i in short.tolist():
+                one = np.full(1, n[i], np.uint64)
+                for x in h[ends[i] - n[i] : ends[i]]:
+                    one = mixed(one * MIX[0] + x)
+                whole.append(one[0])
+            value = np.insert(value, np.cumsum(sizes)[short], np.array(whole, np.uint64))
+            sizes[short] = 1
+        sizes, tokens = distinct(value, sizes)
+        return Sets(np.arange(len(n)), np.zeros(len(n), np.int64), sizes, tokens)
 
     return split
 
@@ -57,15 +66,23 @@ def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
     # Groups are of GROUP_ROWS at most in the mean of what shares a counter: a hot token has many salts.
     seen = (
         prefixes.drop("id", "record")
-        .withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own)})
+        .withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own), "many": F.count("*").over(own)})
         .where((F.col("low") < F.col("high")) | (F.col("salt") > 0))
         .dropDuplicates(["token", "salt", "c1", "c2"])
+        .drop("low", "high")
     )
     seen = scratch.write(seen)
-    pivots = seen.where("c1 = low").select(*group, F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("n").alias("na"), F.col("at").alias("ata"))
+    # The pivot of a group is its most central set, the one whose tokens are shared most: copies lie around their original.
+    central = seen.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central"))
+    best = (
+        seen.join(central, ["c1", "c2"])
+        .groupBy(*group)
+        .agg(F.max(F.struct("central", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("n").alias("na"), F.col("at").alias("ata"))).alias("p"))
+        .select(*group, "p.a1", "p.a2", "p.na", "p.ata")
+    )
     first = (
-        seen.where("c1 != low")
-        .join(pivots, group)
+        seen.join(best, group)
+        .where("c1 != a1 or c2 != a2")
         .where(join.lengths_fit(F.col("n"), F.col("na")))
         .groupBy("a1", "a2", F.col("c1").alias("b1"), F.col("c2").alias("b2"), "na", "n")
         .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("at").alias("atb"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules, url_filters, warc
+from eodlake.llm import decontaminate, line_dedup, mixing, ngram_join, quality_model, quality_rules, url_filters, warc
 from eodlake.llm.common import table
 
 SEED = 11
@@ -60,6 +60,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *facts, base.alias("base_failed"), "kept")
 
 
+def _held_out(of: int, rest: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of)) == rest
+
+
+def _labelled(spark: SparkSession, sf_dir: str, label: str, of: int, rest: int) -> DataFrame:
+    """(text, label) of the labelled rows that may be learned from. A document labelled twice counts twice."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label")).where(~_held_out(of, rest))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id").select("text", "label")
+
+
+def _predictions(scored: DataFrame, of: int, rest: int) -> DataFrame:
+    return scored.select(
+        "doc_id", F.coalesce(_held_out(of, rest), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_model.fit(_labelled(spark, sf_dir, "quality", 5, 0))
+    return _predictions(quality_model.score(table(spark, sf_dir, "documents"), model), 5, 0)
+
+
 #: The rules that the contract of the query names.
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -79,5 +100,6 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_model": op7_quality_model,
     "op8_url_filters": op8_url_filters,
 }

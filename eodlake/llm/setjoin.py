@@ -82,13 +82,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def distinct(record: np.ndarray, tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sizes, tokens) of n records, each token once a record; record: that of each token, ascending."""
-    order = np.lexsort((tokens, record))
-    record, tokens = record[order], tokens[order]
+def sort_each(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """`values` with every run of the given sizes sorted, in place."""
+    end = 0
+    for size in sizes.tolist():
+        values[end : end + size].sort()
+        end += size
+    return values
+
+
+def distinct(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, tokens) of records, each token once a record, sorted; tokens lie record by record. Changes `tokens`."""
+    sort_each(tokens, sizes)
     new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (record[1:] != record[:-1])
-    return np.bincount(record[new], minlength=n), tokens[new]
+    new[1:] = tokens[1:] != tokens[:-1]
+    starts = np.cumsum(sizes) - sizes
+    new[starts[sizes > 0]] = True
+    kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(new)])
+    return kept[starts + sizes] - kept[starts], tokens[new]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
@@ -119,14 +130,12 @@ def _remembered(seen: dict, one: np.ndarray, two: np.ndarray, wanted: np.ndarray
     return new
 
 
-def _ranker(table, bits: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Tokens as numbers in the global order, rare first, and how many salts each has."""
+def _ranker(table, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Tokens as numbers in the global order, rare first."""
 
-    def ranked(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        levels, salts = table.value
-        bucket = (tokens >> np.uint64(64 - bits)).astype(np.int64)
-        value = (levels[bucket].astype(np.uint64) << np.uint64(63 - LEVEL_BITS)) | (tokens >> np.uint64(LEVEL_BITS + 1))
-        return value, salts[bucket]
+    def ranked(tokens: np.ndarray) -> np.ndarray:
+        levels = table.value[0][(tokens >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
+        return (levels << np.uint64(63 - LEVEL_BITS)) | (tokens >> np.uint64(LEVEL_BITS + 1))
 
     return ranked
 
@@ -141,7 +150,8 @@ class SetJoin:
         self.spark = df.sparkSession
         self.texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
         self.splitter, self.num, self.den, self.bits, self.scratch = splitter, num, den, bits, scratch
-        self.ranked = _ranker(self.spark.sparkContext.broadcast(self._table()), bits)
+        self.table = self.spark.sparkContext.broadcast(self._table())
+        self.ranked = _ranker(self.table, bits)
 
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
         """(level, salts) of each counter: 2^bits numbers."""
@@ -182,7 +192,9 @@ class SetJoin:
         salt is 0 for tokens that need none. A row without an id counts as the last. Within a task, a class is listed
         once while it is remembered, and again when it comes at a smaller id.
         """
-        splitter, ranked, num, den = self.splitter, self.ranked, self.num, self.den
+        splitter, ranked, table, num, den = self.splitter, self.ranked, self.table, self.num, self.den
+        # A ranked token keeps all but the last bits of its hash, so its counter can be read from it.
+        below, mask = np.uint64(63 - LEVEL_BITS - self.bits), np.uint64((1 << self.bits) - 1)
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen = splitter(), {}
@@ -191,20 +203,20 @@ class SetJoin:
                 one, two = sets.digests()
                 own = np.array([NO_ID if i is None else i for i in ids], np.int64)[sets.text]
                 new, record, n = _remembered(seen, one, two, sets.size > 0, own), sets.record, sets.size
-                value, salts = ranked(sets.tokens)
-                order = np.lexsort((value, record))
-                at = np.arange(len(order)) - np.repeat(sets.ends - n, n)
+                value = sort_each(ranked(sets.tokens), n)
+                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
                 keep = new[record] & (at < (n - -(-num * n // den) + 1)[record])
-                record, order = record[keep], order[keep]
-                salt = np.where(salts[order] > 1, 1 + (one[record] & 0x7FFFFFFF) % salts[order], 0)
-                columns = value[order].astype(np.int64), salt.astype(np.int32), one[record], two[record], n[record].astype(np.int32), at[keep].astype(np.int32), own[record], sets.number[record].astype(np.int32)
+                record, value = record[keep], value[keep]
+                salts = table.value[1][(value >> below & mask).astype(np.int64)]
+                salt = np.where(salts > 1, 1 + (one[record] & 0x7FFFFFFF) % salts, 0)
+                columns = value.astype(np.int64), salt.astype(np.int32), one[record], two[record], n[record].astype(np.int32), at[keep].astype(np.int32), own[record], sets.number[record].astype(np.int32)
                 for i in range(0, len(record), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["token", "salt", "c1", "c2", "n", "at", "id", "record"])
 
         return self.texts.mapInArrow(listed, "token long, salt int, c1 long, c2 long, n int, at int, id long, record int")
 
     def sets(self, classes: DataFrame) -> DataFrame:
-        """(c1, c2, set) of the classes listed in (c1, c2); set: the ranked tokens as big-endian bytes."""
+        """(c1, c2, set) of the classes whose digest is marked by one in (c1); set: the ranked tokens as big-endian bytes."""
         shift = 64 - MARK_BITS
         marked = np.zeros(1 << MARK_BITS, bool)
         marks = classes.select(F.shiftrightunsigned("c1", shift).cast("int").alias("m")).distinct().toArrow()["m"].to_numpy()
@@ -220,11 +232,10 @@ class SetJoin:
                 here = (sets.size > 0) & wanted[(one.astype(np.uint64) >> np.uint64(shift)).astype(np.int64)]
                 new = _remembered(seen, one, two, here, np.zeros(len(one), np.int64))
                 ends = sets.ends
-                raw = [np.sort(ranked(sets.tokens[ends[i] - sets.size[i] : ends[i]])[0]).astype(">u8").tobytes() for i in np.flatnonzero(new)]
+                raw = [np.sort(ranked(sets.tokens[ends[i] - sets.size[i] : ends[i]])).astype(">u8").tobytes() for i in np.flatnonzero(new)]
                 yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(two[new]), pa.array(raw, pa.binary())], names=["c1", "c2", "set"])
 
-        found = self.texts.mapInArrow(listed, "c1 long, c2 long, set binary")
-        return found.join(classes.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi").dropDuplicates(["c1", "c2"])
+        return self.texts.mapInArrow(listed, "c1 long, c2 long, set binary").dropDuplicates(["c1", "c2"])
 
     def lengths_fit(self, a: Column, b: Column) -> Column:
         return (F.least(a, b) * self.den) >= (F.greatest(a, b) * self.num)
@@ -243,16 +254,13 @@ class SetJoin:
         partners are spread.
         """
         pairs = self.scratch.write(pairs)
-        classes = pairs.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).union(pairs.select("b1", "b2"))
-        sets = self.scratch.write(self.sets(classes))
         many = pairs.groupBy("a1", "a2").agg((F.count("*") / 500).cast("int").alias("parts"))
-        spread = pairs.join(many, ["a1", "a2"]).withColumn("part", F.pmod(F.col("b1"), F.col("parts") + 1))
-        heads = (
-            many.join(sets.toDF("a1", "a2", "set"), ["a1", "a2"])
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts"))))
-            .select("a1", "a2", F.col("part").cast("long"), F.lit(None).cast("long").alias("b1"), F.lit(None).cast("long").alias("b2"), "set")
-        )
-        others = spread.join(sets.toDF("b1", "b2", "set"), ["b1", "b2"]).select("a1", "a2", F.col("part").cast("long"), "b1", "b2", "set")
+        none = F.lit(None).cast("long")
+        heads = many.select("a1", "a2", F.explode(F.sequence(F.lit(0), "parts")).alias("part"), none.alias("b1"), none.alias("b2"))
+        spread = pairs.join(many, ["a1", "a2"]).select("a1", "a2", F.pmod("b1", F.col("parts") + 1).cast("int").alias("part"), "b1", "b2")
+        # Whose set goes where: each set is shuffled once to its class, and once for each place where it is compared.
+        roles = self.scratch.write(heads.union(spread).withColumns({"c1": F.coalesce("b1", "a1"), "c2": F.coalesce("b2", "a2")}))
+        placed = self.sets(roles).join(roles, ["c1", "c2"]).select("a1", "a2", "part", "b1", "b2", "set")
         num, den = self.num, self.den
 
         def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +277,7 @@ class SetJoin:
                             found[k].append(v)
                 yield pa.RecordBatch.from_pydict(found, schema=pa.schema([(k, pa.int64()) for k in found]))
 
-        ordered = heads.union(others).repartition("a1", "a2", "part").sortWithinPartitions("a1", "a2", "part", F.col("b1").isNotNull(), "set")
+        ordered = placed.repartition("a1", "a2", "part").sortWithinPartitions("a1", "a2", "part", F.col("b1").isNotNull(), "set")
         return ordered.mapInArrow(walked, "a1 long, a2 long, b1 long, b2 long")
 
 
