@@ -1,7 +1,7 @@
 """Quality classifier: naive Bayes support vectors over n-gram indicators.
 
 Features are indicators of a text's byte n-grams (1 to 3 of the lower-cased text and its letter cases) and of how
-often its word 3-grams repeat, hashed to 2^18 numbers. Class counts of every feature are taken over all labelled
+often its word 3-grams repeat, hashed to 2^18 numbers. Class counts of every feature are taken over at most LABELLED_ROWS labelled
 rows; indicators are scaled by the log-count ratio of the classes, and a linear hinge-loss model is fitted by
 dual coordinate descent on a seeded sample of at most SAMPLE_ROWS labelled rows. A sigmoid turns margins into scores.
 """
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BITS = 18
 #: Bound of the sample that the linear model is fitted on, rows of each label alike.
 SAMPLE_ROWS = 3000
+#: Bound of the labelled rows, of label 0 and 1, that class counts are taken from.
+LABELLED_ROWS = (10_000, 10_000)
 ALPHA = 1.0
 COST = 0.1
 EPOCHS = 20
@@ -104,12 +106,12 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> M
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t.as_py() or b"").tolist() for t in batch.column(0)]
+            found = [features(t.as_py() or b"").astype(np.int32) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["label", "features"])
 
-    rows = sample.mapInArrow(listed, "label int, features array<int>").collect()
-    sets = [np.array(r.features, np.int64) for r in rows]
-    y = np.array([2 * r.label - 1 for r in rows])
+    rows = sample.mapInArrow(listed, "label int, features array<int>").toArrow()
+    sets = [r.values.to_numpy().astype(np.int64) for r in rows["features"]]
+    y = 2 * rows["label"].to_numpy().astype(np.int64) - 1
     half = np.arange(len(rows)) % 4 > 0
     w, bias = dual_descent([s for s, h in zip(sets, half) if h], y[half], ratios, seed)
     margins = np.array([_margin(w, s) for s in sets]) + bias

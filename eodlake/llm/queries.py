@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm import decontaminate, line_dedup, mixing, ngram_join, quality_model, quality_rules, url_filters, warc
+from eodlake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality_model, quality_rules, toxicity, url_filters, warc
 from eodlake.llm.common import table
 
 SEED = 11
@@ -64,10 +64,14 @@ def _held_out(of: int, rest: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of)) == rest
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str, of: int, rest: int) -> DataFrame:
-    """(text, label) of the labelled rows that may be learned from. A document labelled twice counts twice."""
+def _labelled(spark: SparkSession, sf_dir: str, label: str, of: int, rest: int, rows: tuple[int, int]) -> DataFrame:
+    """(text, label) of a seeded sample of about `rows` labelled rows that may be learned from, of label 0 and 1."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label")).where(~_held_out(of, rest))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id").select("text", "label")
+    totals = {r.label: r.n for r in labels.where("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1_000_000)) / 1e6
+    share = F.when(F.col("label") == 1, rows[1] / max(1, totals.get(1, 0))).otherwise(rows[0] / max(1, totals.get(0, 0)))
+    sample = labels.where("label in (0, 1)").where(place < share)
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
 
 
 def _predictions(scored: DataFrame, of: int, rest: int) -> DataFrame:
@@ -77,10 +81,24 @@ def _predictions(scored: DataFrame, of: int, rest: int) -> DataFrame:
 
 
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality_model.fit(_labelled(spark, sf_dir, "quality", 5, 0))
+    model = quality_model.fit(_labelled(spark, sf_dir, "quality", 5, 0, quality_model.LABELLED_ROWS))
     return _predictions(quality_model.score(table(spark, sf_dir, "documents"), model), 5, 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(_labelled(spark, sf_dir, "toxic", 4, 2, (toxicity.ORDINARY_ROWS, toxicity.TOXIC_ROWS)))
+    return _predictions(toxicity.score(table(spark, sf_dir, "documents"), model), 4, 2)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files <source>/<language>/<id>."""
+    part = lambda c: F.coalesce(F.col(c), F.lit("none"))
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.concat_ws("/", part("source"), part("lang"), F.col("doc_id").cast("string")).alias("path")
+    )
+    return licenses.scan(files, "doc_id", "path", "text", licenses.matcher(files)).withColumnRenamed("id", "doc_id")
+
+
 #: The rules that the contract of the query names.
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -102,4 +120,6 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_model": op7_quality_model,
     "op8_url_filters": op8_url_filters,
+    "op9_toxicity": op9_toxicity,
+    "op10_licenses": op10_licenses,
 }
