@@ -25,6 +25,7 @@ HEADLINE = (
     "anomaly_extreme_move", "anomaly_delivery_mismatch", "anomaly_counts", "anomaly_samples",
     "master_drift", "month_coverage", "detect_gaps", "cross_tables", "status_by_month",
     "upsert_bars", "upsert_fo", "export_parquet", "zip_member", "file_fingerprint",
+    "ingest_incremental", "restate_day", "scan_raw", "report_lines", "report_json",
 )
 COPIES = 20
 

@@ -8,12 +8,14 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodlake.functions.text import col
 from eodlake.session import checkpoint_root, delete, file_system
 from eodlake.sources.files import day_file_name
+from eodlake.sources.streams import located
 
 
 def fresh_folder(spark: SparkSession) -> str:
@@ -50,25 +52,26 @@ def write_landing(raw: DataFrame, product: str, root: str) -> None:
     delete(spark, draft)
 
 
-def zip_archives(raw: DataFrame, product: str) -> DataFrame:
-    """(path, content) of zip archives holding the rows of a raw frame.
+def write_archives(raw: DataFrame, product: str, root: str) -> None:
+    """Write a raw frame as one folder of zip archives per day, in the landing layout.
 
-    Each Arrow batch is packed by itself, one archive per day in it, so no task holds more than a
-    batch; a day comes as several archives, like parts.
+    Rows are spread by range of `row_no`. Each Arrow batch is packed by itself, one archive per day in it, so no
+    task holds more than a batch; names follow the file order.
     """
     headers = [c for c in raw.columns if c not in ("file_date", "row_no")]
-    named = raw.select(
+    placed = raw.select(
         F.concat(
-            F.lit(f"/landing/{product}/"),
-            F.upper(F.date_format("file_date", "yyyy/MMM")),
-            F.lit("/"),
-            day_file_name(product, F.col("file_date")),
+            F.lit(f"{root}/{product}/"), F.upper(F.date_format("file_date", "yyyy/MMM")),
+            F.lit("/"), day_file_name(product, F.col("file_date")),
         ).alias("_path"),
+        "row_no",
         *[col(h) for h in headers],
     )
+    ordered = placed.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for k, batch in enumerate(batches):
             packed = []
             for path, rows in batch.groupby("_path", sort=False):
                 buffer = io.BytesIO()
@@ -76,7 +79,27 @@ def zip_archives(raw: DataFrame, product: str) -> DataFrame:
                     archive.writestr("readme.txt", "not this one")
                     member = path.rsplit("/", 1)[1].removesuffix(".zip").upper()
                     archive.writestr(member, rows[headers].to_csv(index=False))
-                packed.append((f"{path}/{uuid.uuid4().hex}.zip", buffer.getvalue()))
-            yield pd.DataFrame(packed, columns=["path", "content"])
+                packed.append(put(f"{path}/{part:05d}-{k:05d}.zip", buffer.getvalue()))
+            yield pd.DataFrame({"path": packed}, dtype=object)
+
+    ordered.mapInPandas(pack, "path string").count()
+
+
+def put(path: str, content: bytes) -> str:
+    """Write one small file."""
+    store, inner = located(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(inner, compression=None) as out:
+        out.write(content)
+    return path
+
+
+def write_files(files: DataFrame) -> None:
+    """Write every (path, content) row, text as UTF-8, as a file."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = [put(p, c.encode()) for p, c in zip(batch["path"], batch["content"], strict=True)]
+            yield pd.DataFrame({"path": done}, dtype=object)
 
-    return named.mapInPandas(pack, "path string, content binary")
+    files.select("path", "content").mapInPandas(write, "path string").count()

@@ -16,7 +16,7 @@ from eodlake.functions import calendar, text
 from eodlake.model import DAILY_PRODUCTS, PRODUCTS, TABLES
 from eodlake.operators import anomalies, clean, coverage, dedupe, layout, normalize, qc, store
 from eodlake.plans import export, ingest, report, sql, templates
-from eodlake.sources import archives, files, master, scan
+from eodlake.sources import files, master, scan
 from eodlake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,7 +349,10 @@ def _register_cleaner(key: str, dedupe_key: str, p: str) -> None:
         from {p}_usable group by file_date, {table_key}""",
     )
     def first(spark, sf):
-        return cleaned(spark, sf, p).copies
+        key = ["file_date", *PRODUCTS[p].key]
+        c = cleaned(spark, sf, p)
+        counts = c.copies.select(*key, "n_copies")
+        return dedupe.keep_first(c.usable, key).select(*key, "row_no").join(counts, key)
 
 
 for _key, _dedupe_key, _p in (
@@ -508,25 +511,44 @@ def master_drift(spark, sf):
 
 # ---- files ----------------------------------------------------------------------------------
 
-SCANNED = ("cm", "idx", "deliv")  # F&O files come zipped, which Spark cannot write
+def _land(raw: DataFrame, product: str, root: str) -> None:
+    """F&O as archives, the others as plain files."""
+    (landing.write_archives if product == "fo" else landing.write_landing)(raw, product, root)
 
 
-def _landing(spark, sf, products=SCANNED) -> str:
+def _landing(spark, sf, products=DAILY_PRODUCTS) -> str:
     root = landing.fresh_folder(spark)
     for p in products:
-        landing.write_landing(bridge.raw(spark, sf, p), p, root)
+        _land(bridge.raw(spark, sf, p), p, root)
     return root
 
 
-def _parts(spark, root, products=SCANNED) -> DataFrame:
+def _parts(spark, root, products=DAILY_PRODUCTS) -> DataFrame:
     listed = files.list_files(spark, [f"{root}/{p}" for p in products])
     return files.resolve_files(listed)
 
 
+def _scanned(spark, sf, products=DAILY_PRODUCTS) -> tuple[DataFrame, list[tuple[str, DataFrame]]]:
+    """Inspected parts of landed files, and the raw frames that a scan gives, by product."""
+    inspected = scan.inspect(spark, _parts(spark, _landing(spark, sf, products), products))
+    data = scan.unpacked(inspected, landing.fresh_folder(spark))
+    # kept: unpacking again would give other file names
+    kept = landing.fresh_folder(spark)
+    data.write.parquet(kept)
+    data = spark.read.parquet(kept)
+    frames = [
+        (p, frame)
+        for p in products
+        for frame in scan.scan_raw(spark, p, scan.group_by_layout(data.where(F.col("product") == p)))
+    ]
+    return inspected, frames
+
+
 _RAW_COLUMNS = {
     "cm": ("symbol", "date", "close", "delivery_qty"),
     "idx": ("index_name", "date", "close", "volume"),
     "deliv": ("symbol", "date", "quantity_traded", "delivery_to_traded"),
+    "fo": ("symbol", "date", "close", "contracts"),
 }
 
 
@@ -538,19 +560,15 @@ _RAW_COLUMNS = {
     ),
 )
 def scan_raw(spark, sf):
-    parts = _parts(spark, _landing(spark, sf))
-    inspected = scan.inspect(spark, parts)
-    out = []
-    for p, columns in _RAW_COLUMNS.items():
-        groups = scan.group_by_layout(inspected.where(F.col("product") == p))
-        for frame in scan.scan_raw(spark, p, groups):
-            out.append(
-                layout.normalize_headers(frame, p).select(
-                    F.lit(p).alias("product"), "file_date",
-                    *[F.col(c).alias(n) for c, n in zip(columns, ("name", "date", "first", "second"))],
-                )
+    return union(
+        [
+            layout.normalize_headers(frame, p).select(
+                F.lit(p).alias("product"), "file_date",
+                *[F.col(c).alias(n) for c, n in zip(_RAW_COLUMNS[p], ("name", "date", "first", "second"))],
             )
-    return union(out)
+            for p, frame in _scanned(spark, sf)[1]
+        ]
+    )
 
 
 @query(
@@ -559,13 +577,15 @@ def scan_raw(spark, sf):
     strike_price, date, close, contracts, val_inlakh as value from raw_fo""",
 )
 def zip_member(spark, sf):
-    raw = bridge.raw(spark, sf, "fo")
-    lines = archives.unzip_records(landing.zip_archives(raw, "fo"))
-    header = ",".join(bridge.HEADERS["fo"].values())
-    frame = scan.parse_records(lines, "fo", header)
-    return layout.normalize_headers(frame, "fo").select(
-        "file_date", "instrument", "symbol", "expiry_date", "option_type", "strike_price", "date",
-        "close", "contracts", "value",
+    frames = [layout.normalize_headers(frame, "fo") for _, frame in _scanned(spark, sf, ("fo",))[1]]
+    return union(
+        [
+            frame.select(
+                "file_date", "instrument", "symbol", "expiry_date", "option_type", "strike_price", "date",
+                "close", "contracts", "value",
+            )
+            for frame in frames
+        ]
     )
 
 
@@ -596,12 +616,22 @@ def resolve_files(spark, sf):
     return files.resolve_files(paths).select("product", "date", "name", "zipped")
 
 
-@query("file_fingerprint", "select doc_id, sha256(text) as sha256 from documents")
+@query(
+    "file_fingerprint",
+    """select product, date, sha256(product || ' rows ' || n || chr(10)) as sha256
+    from products, (select file_date as date, count(*) as n from raw_cm group by 1)""",
+)
 def file_fingerprint(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
-    return documents.select(
-        "doc_id", files.fingerprint(F.encode("text", "UTF-8")).alias("sha256")
-    )
+    """A file per product and event day, of known bytes, hashed on its way through the intake."""
+    root = landing.fresh_folder(spark)
+    day = F.col("file_date")
+    counts = bridge.raw(spark, sf, "cm").groupBy("file_date").agg(F.count(F.lit(1)).alias("n"))
+    for p in DAILY_PRODUCTS:
+        place = F.concat_ws("/", F.lit(root), F.lit(p), F.upper(F.date_format(day, "yyyy/MMM")), files.day_file_name(p, day))
+        content = F.concat(F.lit(f"{p} rows "), F.col("n").cast("string"), F.lit("\n"))
+        landing.write_files(counts.select(place.alias("path"), content.alias("content")))
+    parts = scan.inspect(spark, _parts(spark, root))
+    return files.day_fingerprints(parts).select("product", "date", "sha256")
 
 
 def _hashed_days(spark, sf) -> DataFrame:
@@ -658,25 +688,25 @@ def scan_master(spark, sf):
     return layout.normalize_headers(master.scan_master(spark, path), "master").drop("row_no")
 
 
+_FILE_NAMES_SQL = {
+    "cm": "'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv'",
+    "idx": "'ind_close_all_' || strftime(file_date, '%d%m%Y') || '.csv'",
+    "fo": "'fo' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv.zip'",
+    "deliv": "'sec_bhavdata_full_' || strftime(file_date, '%d%m%Y') || '.csv'",
+}
+
+
 @query(
     "add_source_file",
-    """select 'cm' as product, file_date, 'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file, count(*) as n
-      from raw_cm group by 2
-    union all select 'idx', file_date, 'ind_close_all_' || strftime(file_date, '%d%m%Y') || '.csv', count(*) from raw_idx group by 2""",
+    " union all ".join(
+        f"select '{p}' as product, file_date, {name} as source_file, count(*) as n from raw_{p} group by 2"
+        for p, name in _FILE_NAMES_SQL.items()
+    ),
 )
 def add_source_file(spark, sf):
-    products = ("cm", "idx")
-    inspected = scan.inspect(spark, _parts(spark, _landing(spark, sf, products), products))
+    inspected, frames = _scanned(spark, sf)
     names = inspected.select("product", F.col("date").alias("file_date"), "name").distinct()
-    rows = union(
-        [
-            frame.select(F.lit(p).alias("product"), "file_date")
-            for p in products
-            for frame in scan.scan_raw(
-                spark, p, scan.group_by_layout(inspected.where(F.col("product") == p))
-            )
-        ]
-    )
+    rows = union([frame.select(F.lit(p).alias("product"), "file_date") for p, frame in frames])
     return (
         rows.join(names, ["product", "file_date"])
         .groupBy("product", "file_date", F.col("name").alias("source_file"))
@@ -1270,21 +1300,41 @@ def _event_days(spark, sf) -> list[dt.date]:
     return sorted(d.file_date for d in days)
 
 
-@query(
-    "ingest_incremental",
-    """select * exclude (rn, file_date, row_no), 'cm' || upper(strftime(file_date, '%d%b%Y')) || 'bhav.csv' as source_file
-    from (select *, row_number() over (partition by symbol, series, date order by file_date desc, row_no) as rn from cm_usable) where rn = 1""",
-)
+#: Table, name column and two values of each product, for one result over all four tables.
+_INGESTED = {
+    "cm": ("bhav_daily", "symbol", "close", "total_traded_quantity"),
+    "idx": ("index_daily", "index_name", "close", "volume"),
+    "fo": ("fo_daily", "symbol", "close", "contracts"),
+    "deliv": ("deliverable_daily", "symbol", "delivery_to_traded", "quantity_traded"),
+}
+
+
+def _last_sql(p: str) -> str:
+    _, name, first, second = _INGESTED[p]
+    key = ", ".join(PRODUCTS[p].key)
+    return f"""select '{p}' as product, {name} as name, date, {first} as first, cast({second} as double) as second, {_FILE_NAMES_SQL[p]} as source_file
+      from (select *, row_number() over (partition by {key} order by file_date desc, row_no) as rn from {p}_usable) where rn = 1"""
+
+
+@query("ingest_incremental", " union all ".join(_last_sql(p) for p in _INGESTED))
 def ingest_incremental(spark, sf):
-    """Files up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
+    """Files of all products up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
     root = landing.fresh_folder(spark)
     s = fresh_store(spark)
-    raw = bridge.raw(spark, sf, "cm")
     early = F.col("file_date") <= F.lit(FIRST_LOAD_TO)
     for arrived in (early, ~early):
-        landing.write_landing(raw.where(arrived), "cm", root)
-        incremental.ingest_stream(s, root, f"{s.root}-stream", ["cm"]).awaitTermination()
-    return data(s["bhav_daily"])
+        for p in DAILY_PRODUCTS:
+            _land(bridge.raw(spark, sf, p).where(arrived), p, root)
+        incremental.ingest_stream(s, root, f"{s.root}-stream", DAILY_PRODUCTS).awaitTermination()
+    return union(
+        [
+            s[t].select(
+                F.lit(p).alias("product"), F.col(name).alias("name"), "date", F.col(first).alias("first"),
+                F.col(second).cast("double").alias("second"), "source_file",
+            )
+            for p, (t, name, first, second) in _INGESTED.items()
+        ]
+    )
 
 
 @query(

@@ -11,11 +11,7 @@ from eodlake.model import HOLIDAYS
 
 
 def holiday_dates() -> list[dt.date]:
-    return [
-        dt.date.fromisoformat(f"{year}-{day}")
-        for year, days in sorted(HOLIDAYS.items())
-        for day in days.split()
-    ]
+    return [dt.date.fromisoformat(day) for day in HOLIDAYS]
 
 
 def holidays(spark: SparkSession, years: list[int] | None = None) -> DataFrame:

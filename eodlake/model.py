@@ -297,10 +297,17 @@ PRODUCTS: dict[str, Product] = {
 DAILY_PRODUCTS = ("cm", "idx", "fo", "deliv")
 LISTING_DATE_PATTERNS = ("d-MMM-yyyy", "d-MMMM-yyyy", "yyyy-MM-dd")
 
-# Advisory exchange holidays, one text per year, as month-day.
-HOLIDAYS: dict[int, str] = {
-    2023: "01-26 03-07 03-30 04-04 04-07 04-14 05-01 06-28 08-15 09-18 10-24 11-27 12-25",
-    2024: "01-22 01-26 03-08 03-25 03-29 04-11 05-01 06-17 07-08 08-15 10-02 11-01 11-15 12-25",
-    2025: "02-26 03-14 03-31 04-10 04-14 04-18 05-01 05-12 08-15 08-27 10-02 10-21 11-05 12-25",
-    2026: "02-17 03-04 04-01 04-03 05-01 08-15 10-02 11-09 12-25",
-}
+# Advisory exchange holidays.
+HOLIDAYS = (
+    "2023-01-26", "2023-03-07", "2023-03-30", "2023-04-04", "2023-04-07", "2023-04-14",
+    "2023-05-01", "2023-06-28", "2023-08-15", "2023-09-18", "2023-10-24", "2023-11-27",
+    "2023-12-25",
+    "2024-01-22", "2024-01-26", "2024-03-08", "2024-03-25", "2024-03-29", "2024-04-11",
+    "2024-05-01", "2024-06-17", "2024-07-08", "2024-08-15", "2024-10-02", "2024-11-01",
+    "2024-11-15", "2024-12-25",
+    "2025-02-26", "2025-03-14", "2025-03-31", "2025-04-10", "2025-04-14", "2025-04-18",
+    "2025-05-01", "2025-05-12", "2025-08-15", "2025-08-27", "2025-10-02", "2025-10-21",
+    "2025-11-05", "2025-12-25",
+    "2026-02-17", "2026-03-04", "2026-04-01", "2026-04-03", "2026-05-01", "2026-08-15",
+    "2026-10-02", "2026-11-09", "2026-12-25",
+)

@@ -7,13 +7,14 @@ date predicate in any query prunes folders without help.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodlake.model import SCHEMA_VERSION, TABLES, Table
 from eodlake.operators.dedupe import keep_first
-from eodlake.session import Scratch, delete, make_folder
+from eodlake.session import Scratch, delete, make_folder, recover_folder, replace_folder
 
 _LOAD_TIMES = ("ingested_at", "updated_at", "applied_at", "generated_at")
 
@@ -77,6 +78,7 @@ class Store:
     def create_tables(self) -> Store:
         """Create what is missing and bring an older store to the current version."""
         for name in TABLES:
+            recover_folder(self.spark, self.path(name))
             make_folder(self.spark, self.path(name))
         version = self.schema_version
         if version == SCHEMA_VERSION:
@@ -166,10 +168,10 @@ class Store:
             if table.partition:
                 self._write(merged, table)
             else:
-                # a path cannot be overwritten while it is read
-                if merged is not new:
-                    merged = scratch.write(merged)
-                merged.write.mode("overwrite").parquet(self.path(name))
+                # written whole beside the table, then moved into its place
+                fresh = f"{self.path(name)}.new-{uuid.uuid4().hex}"
+                merged.write.parquet(fresh)
+                replace_folder(self.spark, fresh, self.path(name))
             return n
 
     def _upsert_file(self, name: str, df: DataFrame, source_file: str | None) -> int:

@@ -23,7 +23,8 @@ def export_rows(
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
-    """Rows of a table under the filters that apply to it, sorted by its first two columns.
+    """Rows of a table under the filters that apply to it, sorted by its first two columns, then by the rest of
+    its key: rows of one frequent pair are then split over tasks, too.
 
     Names match exactly; stored index names are upper case. `symbols` and `indexes` both
     constrain the index table.
@@ -43,7 +44,8 @@ def export_rows(
             df = df.where(F.col("date") >= F.lit(start))
         if end:
             df = df.where(F.col("date") <= F.lit(end))
-    return df.orderBy(*[F.asc_nulls_last(c) for c in TABLES[table].columns[:2]])
+    order = list(dict.fromkeys([*TABLES[table].columns[:2], *TABLES[table].key]))
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order])
 
 
 def export_table(

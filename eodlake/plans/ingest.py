@@ -22,7 +22,7 @@ from eodlake.operators.layout import match_headers
 from eodlake.operators.store import Store, last_file_first
 from eodlake.session import Scratch
 from eodlake.sources import files, scan
-from eodlake.sources.master import scan_master
+from eodlake.sources.master import inspect_master, scan_master
 
 NO_ROWS = "no rows parsed"
 
@@ -49,10 +49,10 @@ def ingest_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _layout_errors(store: Store, product: str, groups: list[scan.FileGroup]) -> DataFrame:
+def _layout_errors(store: Store, product: str, headers: list[str]) -> DataFrame:
     """(header, reason) of layouts that cannot be used."""
     reasons = []
-    for header in sorted({g.header for g in groups}):
+    for header in headers:
         try:
             match_headers(product, scan.header_fields(header))
         except ValueError as exc:
@@ -64,7 +64,8 @@ def _clean_and_store(
     store: Store, scratch: Scratch, product: str, parts: DataFrame
 ) -> DataFrame:
     """Load the given parts; (date, status, num_rows, error) per day that had rows."""
-    frames = scan.scan_raw(store.spark, product, scan.group_by_layout(parts))
+    data = scratch.write(scan.unpacked(parts, scratch.folder()))
+    frames = scan.scan_raw(store.spark, product, scan.group_by_layout(data))
     cleaned, _ = clean_layouts(frames, product)
     if cleaned is None:
         return store.spark.createDataFrame(
@@ -113,7 +114,7 @@ def update_product(
         wanted = files.resolve_files(listed).join(candidates, ["product", "date"], "left_semi")
         # every byte is hashed once; the result is one row per file
         parts = scratch.write(scan.inspect(spark, scratch.write(wanted)))
-        bad = _layout_errors(store, product, scan.group_by_layout(parts))
+        bad = _layout_errors(store, product, scan.headers(parts))
         parts = parts.join(bad, "header", "left").withColumn(
             "error", F.coalesce("error", "reason")
         ).drop("reason")
@@ -181,12 +182,11 @@ def refresh_master(store: Store, path: str, today: dt.date | None = None) -> dic
     started = time.monotonic()
     spark = store.spark
     with Scratch(spark) as scratch:
-        rows = scratch.write(clean_master(scan_master(spark, path)))
+        parts = scratch.write(inspect_master(spark, path))
+        rows = scratch.write(clean_master(scan_master(spark, path, parts)))
         n = store.upsert_master(rows)
-        whole = spark.read.format("binaryFile").load(path)
         # a folder of parts gets the hash of the hashes, like a day file
-        hashes = whole.select("path", files.fingerprint(F.col("content")).alias("sha256"))
-        sha = hashes.select(
+        sha = parts.select(
             F.lit("master").alias("product"), F.lit(today or dt.date.today()).alias("date"),
             F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("name"),
             F.lit(None).cast("string").alias("error"), "path", "sha256",

@@ -48,6 +48,27 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put the complete folder `new` in the place of `target`; the old one stays until the new one is there."""
+    fs, place = file_system(spark, target)
+    old = file_system(spark, f"{target}.old")[1]
+    fs.delete(old, True)
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"could not move {target}")
+    if not fs.rename(file_system(spark, new)[1], place):
+        fs.rename(old, place)
+        raise OSError(f"could not move {new}")
+    fs.delete(old, True)
+
+
+def recover_folder(spark: SparkSession, target: str) -> None:
+    """Bring back the old folder of a `replace_folder` that was cut off between its two moves."""
+    fs, place = file_system(spark, target)
+    old = file_system(spark, f"{target}.old")[1]
+    if not fs.exists(place) and fs.exists(old):
+        fs.rename(old, place)
+
+
 class Scratch:
     """A fresh folder for intermediate tables, removed on leaving the `with` block.
 
@@ -66,6 +87,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def folder(self) -> str:
+        """The address of a folder inside, for files that are no table."""
+        self._count += 1
+        return f"{self.path}/files-{self._count}"
+
     def __enter__(self) -> Scratch:
         return self
 

@@ -1,24 +1,25 @@
-"""Zip archives: the one input Spark cannot read, so the one place where Python touches rows.
+"""Zip archives: the one input Spark cannot read, so a task unpacks them to plain files that it can.
 
-Archives go in as (path, content) and come out as CSV records in bounded Arrow batches; parsing the
-records is left to Spark. An archive is one stream and is unpacked by one task without ever being
-held unpacked as a whole.
+An archive goes through a task block by block and is never held as a whole, packed or unpacked.
 """
 
 from __future__ import annotations
 
-import io
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-RECORDS_PER_BATCH = 8192
+from eodlake.sources.streams import blocks, located
+
 NO_CSV = "no CSV found in archive"
+DAMAGED = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
 
-def find_member(archive: zipfile.ZipFile, inner_name: str | None) -> str | None:
+def find_member(archive: zipfile.ZipFile, inner_name: str | None = None) -> str | None:
     """The named member, in any case, or else the first CSV."""
     names = [n for n in archive.namelist() if not n.endswith("/")]
     if inner_name:
@@ -28,84 +29,44 @@ def find_member(archive: zipfile.ZipFile, inner_name: str | None) -> str | None:
     return wanted[0] if wanted else None
 
 
-def records(stream) -> Iterator[str]:
-    """Non-blank CSV records; a line break inside quotes does not end a record."""
-    pending = ""
-    for line in io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="\n"):
-        pending += line
-        if pending.count('"') % 2 == 0:
-            record = pending.rstrip("\r\n")
-            pending = ""
-            if record.strip():
-                yield record
-    if pending.strip():
-        yield pending.rstrip("\r\n")
-
-
-def _peek(content: bytes, inner_name: str | None) -> tuple[str | None, str | None]:
+def member_blocks(path: str, inner_name: str | None = None) -> Iterator[bytes]:
+    """The bytes of the CSV member, checked to its end; ValueError if there is none or it is damaged."""
+    store, inner = located(path)
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with store.open_input_file(inner) as file, zipfile.ZipFile(file) as archive:
             member = find_member(archive, inner_name)
             if member is None:
-                return None, NO_CSV
+                raise ValueError(NO_CSV)
             with archive.open(member) as stream:
-                header = next(records(stream), None)
-            return header, None if header else "file is empty"
-    except (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError) as exc:
-        return None, f"unreadable archive: {exc}"
+                yield from blocks(stream)
+    except DAMAGED as exc:
+        raise ValueError(f"unreadable archive: {exc}") from exc
 
 
-def peek_headers(archives: DataFrame, inner_name: str | None = None) -> DataFrame:
-    """(path, header, error) of (path, content) rows."""
+def task_count(files: DataFrame) -> int:
+    """Tasks to spread a listing over: a task for each file, up to some for each core."""
+    return max(1, min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism))
 
-    def peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths = batch.column("path")
-            found = [_peek(c.as_py(), inner_name) for c in batch.column("content")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    paths,
-                    pa.array([h for h, _ in found], pa.string()),
-                    pa.array([e for _, e in found], pa.string()),
-                ],
-                names=["path", "header", "error"],
-            )
-
-    return archives.select("path", "content").mapInArrow(
-        peek, "path string, header string, error string"
-    )
-
-
-def unzip_records(archives: DataFrame, inner_name: str | None = None) -> DataFrame:
-    """(path, line, record) of (path, content) rows; line 0 is the header."""
-
-    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(path: str, first: int, found: list[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([path] * len(found), pa.string()),
-                    pa.array(range(first, first + len(found)), pa.int64()),
-                    pa.array(found, pa.string()),
-                ],
-                names=["path", "line", "record"],
-            )
 
+def unpack(archives: DataFrame, folder: str) -> DataFrame:
+    """(path, data) of (product, path) rows: where each archive's CSV now lies below `folder`.
+
+    The place below the product stays the same. Every attempt writes to a folder of its own, and only those
+    of the result are read. Lazy: keep the result, or each use unpacks again.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                    member = find_member(archive, inner_name)
-                    if member is None:
-                        raise ValueError(f"{path.as_py()}: {NO_CSV}")
-                    first, found = 0, []
-                    with archive.open(member) as stream:
-                        for record in records(stream):
-                            found.append(record)
-                            if len(found) == RECORDS_PER_BATCH:
-                                yield emit(path.as_py(), first, found)
-                                first, found = first + len(found), []
-                    if found:
-                        yield emit(path.as_py(), first, found)
-
-    return archives.select("path", "content").mapInArrow(
-        unzip, "path string, line bigint, record string"
-    )
+            found = []
+            for product, path in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                place = path.rsplit(f"/{product}/", 1)[1]
+                data = f"{folder}/{uuid.uuid4().hex}/{product}/{place}"
+                store, inner = located(data)
+                store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(inner, compression=None) as out:
+                    for block in member_blocks(path):
+                        out.write(block)
+                found.append(data)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.string())], names=["path", "data"])
+
+    return archives.select("product", "path").repartition(task_count(archives), "path").mapInArrow(write, "path string, data string")

@@ -1,26 +1,30 @@
 """Raw scan: day files -> all-text frames, one per header layout.
 
-Plain CSV goes through Spark's own reader, which splits large files and reads only the columns in
-use. Zipped files are unpacked in `archives.py` and parsed by the same CSV parser.
+All CSV goes through Spark's own reader, which splits large files and reads only the columns in use; zipped
+files are unpacked first (`archives.py`), so the same bytes give the same rows either way.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eodlake.functions.text import col
-from eodlake.sources.archives import peek_headers, unzip_records
-from eodlake.sources.files import claimed_day, fingerprint
+from eodlake.sources.archives import member_blocks, task_count, unpack
+from eodlake.sources.files import claimed_day
+from eodlake.sources.streams import RecordScan, blocks, located
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-HEADER_BYTES = 65536
 EMPTY = "file is empty"
+NOT_UTF8 = "not UTF-8"
 
 
 def header_fields(header: str) -> list[str]:
@@ -40,63 +44,74 @@ def text_schema(fields: list[str]) -> T.StructType:
     return schema
 
 
-def _first_line(content: Column) -> Column:
-    """Header line of a plain file; the byte-order mark goes."""
-    start = F.decode(F.substring(content, 1, HEADER_BYTES), "UTF-8")
-    text = F.btrim(start, F.lit("\ufeff\r\n \t"))
-    return F.nullif(F.regexp_extract(text, r"^[^\r\n]*", 0), F.lit(""))
-
-
-def _breaks_in_quotes(content: Column) -> Column:
-    """True if a quoted field holds a line break; files without any quote are not looked through."""
-    lines = F.split(F.decode(content, "UTF-8"), "\n")
-    odd = F.exists(lines, lambda line: F.regexp_count(line, F.lit('"')) % 2 == 1)
-    return F.when(F.contains(content, F.lit(b'"')), odd).otherwise(False)
+def _look(path: str, zipped: bool) -> tuple[str | None, str | None, bool, str | None]:
+    """(sha256, header, breaks, error) of one file, block by block."""
+    sha, seen, decoder = hashlib.sha256(), RecordScan(), codecs.getincrementaldecoder("utf-8")()
+    digest = None
+    try:
+        store, inner = located(path)
+        with store.open_input_stream(inner, compression=None) as stream:
+            for block in blocks(stream):
+                sha.update(block)
+                if not zipped and seen is not None:
+                    seen = _followed(seen, decoder, block)
+        digest = sha.hexdigest()
+        if zipped:
+            for block in member_blocks(path):
+                if (seen := _followed(seen, decoder, block)) is None:
+                    break
+        if seen is None or not _ended(decoder):
+            return digest, None, False, NOT_UTF8
+        return digest, seen.header, seen.breaks, None if seen.header else EMPTY
+    except (ValueError, OSError) as exc:
+        return digest, None, False, str(exc)
+
+
+def _followed(seen: RecordScan, decoder, block: bytes) -> RecordScan | None:
+    """The scan one block further; None from the first byte on that is not UTF-8."""
+    try:
+        decoder.decode(block)
+    except UnicodeDecodeError:
+        return None
+    seen.feed(block)
+    return seen
+
+
+def _ended(decoder) -> bool:
+    try:
+        decoder.decode(b"", final=True)
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
-    """Add (sha256, header, breaks, error) to resolved parts in one pass over their bytes.
+    """Add (sha256, header, breaks, error) to resolved parts, plain and zipped, of any size.
 
-    A plain file beyond the size Spark can hold in one value gets no hash, hence is never skipped;
-    its header is read alone and its records are taken to be single lines.
+    One task streams a file from start to end. A file that cannot be used says so in `error`.
     """
-    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
-    schema = "path string, sha256 string, header string, breaks boolean, error string"
-    listed = parts.select("path", "length", "zipped").collect()  # names only, never content
-    blank = [r.path for r in listed if r.length == 0]
-    plain = [r.path for r in listed if not r.zipped and 0 < r.length <= limit]
-    zipped = [r.path for r in listed if r.zipped and r.length > 0]
-    large = [r.path for r in listed if not r.zipped and r.length > limit]
-    found = []
-    if plain:
-        whole = spark.read.format("binaryFile").load(plain)
-        header = _first_line(F.col("content"))
-        found.append(
-            whole.select(
-                "path", fingerprint(F.col("content")).alias("sha256"), header.alias("header"),
-                _breaks_in_quotes(F.col("content")).alias("breaks"),
-            ).withColumn("error", F.when(F.col("header").isNull(), EMPTY))
-        )
-    if zipped:
-        whole = spark.read.format("binaryFile").load(zipped)
-        hashes = whole.select("path", fingerprint(F.col("content")).alias("sha256"))
-        found.append(
-            hashes.join(peek_headers(whole), "path").select(
-                "path", "sha256", "header", F.lit(False).alias("breaks"), "error"
-            )
-        )
-    if blank:
-        nothing = hashlib.sha256(b"").hexdigest()
-        found.append(spark.createDataFrame([(p, nothing, None, False, EMPTY) for p in blank], schema))
-    if large:
-        lines = [(p, None, spark.read.text(p).first().value, False, None) for p in large]
-        found.append(spark.createDataFrame(lines, schema))
-    if not found:
-        found.append(spark.createDataFrame([], schema))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return parts.join(out, "path")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, zipped = (c.to_pylist() for c in batch.columns)
+            found = zip(*[(p, *_look(p, z)) for p, z in zip(paths, zipped, strict=True)], strict=True)
+            kinds = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string())
+            columns = [pa.array(x, k) for x, k in zip(found, kinds, strict=True)] or [pa.array([], k) for k in kinds]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "sha256", "header", "breaks", "error"])
+
+    tasks = task_count(parts)
+    looked = parts.select("path", "zipped").repartition(tasks, "path").mapInArrow(
+        look, "path string, sha256 string, header string, breaks boolean, error string"
+    )
+    return parts.join(looked, "path")
+
+
+def unpacked(parts: DataFrame, folder: str) -> DataFrame:
+    """Add `data`, the plain file to scan: the part itself, or its archive's member below `folder`."""
+    usable = parts.where(F.col("zipped") & F.col("error").isNull())
+    return parts.join(unpack(usable, folder), "path", "left").withColumn(
+        "data", F.when(F.col("zipped"), F.col("data")).otherwise(F.col("path"))
+    )
 
 
 def _raw(df: DataFrame, product: str, path: Column, fields: list[Column], *order: Column):
@@ -125,55 +140,29 @@ def scan_plain(
     )
 
 
-def parse_records(lines: DataFrame, product: str, header: str) -> DataFrame:
-    """Raw frame from the (path, line, record) rows of unpacked archives of one layout."""
-    schema = text_schema(header_fields(header))
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
-    parsed = lines.where(F.col("line") > 0).withColumn(
-        "_fields", F.from_csv("record", F.lit(_ddl(schema)), options)
-    )
-    return _raw(
-        parsed, product, F.col("path"),
-        [F.col("_fields").getField(f.name).alias(f.name) for f in schema],
-        F.lit(0).cast("bigint"), F.col("line"),
-    )
-
-
-def scan_zipped(
-    spark: SparkSession, product: str, header: str, paths: list[str]
-) -> DataFrame:
-    archives = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return parse_records(unzip_records(archives), product, header)
-
-
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
-
-
 @dataclass(frozen=True)
 class FileGroup:
-    """Parts that share header and packing; `breaks` = quoted fields hold line breaks."""
+    """Plain files that share a header; `breaks` = quoted fields hold line breaks."""
 
     header: str
-    zipped: bool
     breaks: bool
     paths: list[str]
 
 
 def group_by_layout(parts: DataFrame) -> list[FileGroup]:
-    """Group inspected parts of one product. File names go through the driver, as in any listing."""
-    groups: dict[tuple[str, bool, bool], list[str]] = {}
-    usable = parts.where(F.col("error").isNull())
-    for row in usable.select("header", "zipped", "breaks", "path").collect():
-        groups.setdefault((row.header, row.zipped, row.breaks), []).append(row.path)
+    """Group unpacked parts of one product. File names go through the driver, as in any listing."""
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in parts.where(F.col("error").isNull()).select("header", "breaks", "data").collect():
+        groups.setdefault((row.header, row.breaks), []).append(row.data)
     return [FileGroup(*key, sorted(paths)) for key, paths in sorted(groups.items())]
 
 
+def headers(parts: DataFrame) -> list[str]:
+    """The layouts of inspected parts."""
+    usable = parts.where(F.col("error").isNull())
+    return sorted(r.header for r in usable.select("header").distinct().collect())
+
+
 def scan_raw(spark: SparkSession, product: str, groups: list[FileGroup]) -> list[DataFrame]:
     """One raw frame per group: `file_date`, `row_no` and the verbatim header columns."""
-    return [
-        scan_zipped(spark, product, g.header, g.paths)
-        if g.zipped
-        else scan_plain(spark, product, g.header, g.paths, g.breaks)
-        for g in groups
-    ]
+    return [scan_plain(spark, product, g.header, g.paths, g.breaks) for g in groups]

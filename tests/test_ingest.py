@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
+import zipfile
 
 import pytest
 from conftest import CM_CSV, CM_HEADER, CM_ROWS, DAY, DELIV_CSV, FO_CSV, IDX_CSV, rows_of
@@ -9,6 +11,8 @@ from conftest import CM_CSV, CM_HEADER, CM_ROWS, DAY, DELIV_CSV, FO_CSV, IDX_CSV
 from eodlake.plans import ingest
 from eodlake.plans.ingest import update, update_product
 from eodlake.sources import files, scan
+from eodlake.sources.archives import member_blocks
+from eodlake.sources.streams import RecordScan
 from eodlake.streaming.incremental import ingest_stream
 
 NEXT = dt.date(2024, 1, 4)
@@ -152,18 +156,43 @@ def test_stream_takes_only_new_files(store, landing, tmp_path):
     assert sorted(store["ingest_log"].collect()) == sorted(before)
 
 
-def test_hash_of_oversized_file_is_null(spark, landing):
-    """A file Spark cannot hold in one value is read all the same, but never skipped."""
-    landing.cm(DAY, CM_CSV)
+@pytest.mark.parametrize("limit", [None, "10"])
+def test_size_makes_no_difference(spark, store, landing, limit):
+    """Two leading blank lines and a break in quotes: the same rows, plain and zipped, at any limit of Spark's."""
+    text = "\n\n" + CM_CSV.replace("ALPHA", '"AL\nPHA"')
+    path = landing.cm(DAY, text)
+    landing.cm_zip(NEXT, text.replace("03-JAN", "04-JAN").replace("03-Jan", "04-Jan").replace("3-JAN", "4-JAN"))
     key = "spark.sql.sources.binaryFile.maxLength"
     before = spark.conf.get(key)
-    spark.conf.set(key, "10")
+    if limit:
+        spark.conf.set(key, limit)
     try:
-        found = files.resolve_files(files.list_files(spark, [str(landing.root)]))
-        row = scan.inspect(spark, found).first()
-        assert (row.sha256, row.header, row.error) == (None, CM_HEADER, None)
+        assert update_product(store, str(landing.root), "cm", [DAY, NEXT]).rows == 6
+        assert update_product(store, str(landing.root), "cm", [DAY, NEXT]).skipped == 2
     finally:
         spark.conf.set(key, before)
+    assert log(store)["cm", DAY].sha256 == hashlib.sha256(path.read_bytes()).hexdigest()
+    assert {r.symbol for r in store["bhav_daily"].collect()} == {"AL\nPHA", "BETA", "GAMMA"}
+
+
+def test_damaged_files_fail_their_own_day(store, landing):
+    good, latin, wide, torn, none = [dt.date(2024, 1, d) for d in (3, 4, 5, 8, 9)]
+    landing.cm(good, CM_CSV)
+    landing.cm(latin, "").write_bytes(CM_CSV.replace("ALPHA", "ALPH\xc4").encode("latin-1"))
+    head = CM_HEADER + ",NOTE" + "x" * (65535 - len(CM_HEADER) - 5)
+    landing.cm(wide, head + "\xe4\n" + CM_ROWS[0].replace("03-JAN", "05-JAN") + "\n")
+    filler = "\n".join([CM_HEADER, *[f"S{i:06d},{hash(i * 7919)}" for i in range(20000)]])
+    archive = landing.cm_zip(torn, filler)
+    content = bytearray(archive.read_bytes())
+    content[len(content) // 2 : len(content) // 2 + 50] = b"\xff" * 50
+    archive.write_bytes(bytes(content))
+    with zipfile.ZipFile(landing.cm_zip(none, ""), "w") as empty:
+        empty.writestr("readme.txt", "hello")
+    summary = update_product(store, str(landing.root), "cm", [good, latin, wide, torn, none])
+    assert (summary.ingested, summary.errors, summary.rows) == (2, 3, 4)
+    errors = {d.day: r.error for (_, d), r in log(store).items() if r.status == "error"}
+    assert errors[4] == "not UTF-8" and errors[9] == "no CSV found in archive"
+    assert errors[8].startswith("unreadable archive")
 
 
 def test_line_breaks_inside_quotes(store, landing):
@@ -176,18 +205,37 @@ def test_line_breaks_inside_quotes(store, landing):
     assert log(store)["cm", NEXT].num_rows == 3
 
 
-def test_quoted_fields_and_archive_members(spark, tmp_path):
-    import io
-    import zipfile
-
-    from eodlake.sources.archives import peek_headers, unzip_records
-
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
+@pytest.mark.parametrize("name", ['A 5" PIPE', '"A ""5"" X"', '"open'])
+def test_same_records_plain_and_zipped(spark, landing, tmp_path, name):
+    """A stray quote, escaped quotes and a quote that never closes."""
+    text = "\n".join([CM_HEADER, CM_ROWS[0].replace("ALPHA", name), *CM_ROWS[1:]]) + "\n"
+    got = []
+    for put in (landing.cm, landing.cm_zip):
+        path = put(DAY, text)
+        parts = files.resolve_files(files.list_files(spark, [str(landing.root)]))
+        data = scan.unpacked(scan.inspect(spark, parts), str(tmp_path / "out")).checkpoint()
+        (frame,) = scan.scan_raw(spark, "cm", scan.group_by_layout(data))
+        got.append(sorted(map(str, frame.drop("row_no").collect())))
+        path.unlink()
+    assert got[0] == got[1]
+
+
+def test_many_lines_after_a_stray_quote():
+    seen, started = RecordScan(), time.monotonic()
+    seen.feed(b'A,B\n5" x,1\n')
+    for _ in range(100):
+        seen.feed(b"x,1\n" * 10_000)
+    assert (seen.header, seen.breaks) == ("A,B", False)
+    assert time.monotonic() - started < 5
+
+
+def test_archive_members(tmp_path):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as archive:
         archive.writestr("a.txt", "no")
-        archive.writestr("One.CSV", 'A,B\n"x,\ny",2\n\n')
+        archive.writestr("One.CSV", "A,B\n")
         archive.writestr("two.csv", "C\n1\n")
-    df = spark.createDataFrame([("p", buffer.getvalue())], "path string, content binary")
-    assert [r.record for r in unzip_records(df).collect()] == ["A,B", '"x,\ny",2']
-    assert [r.record for r in unzip_records(df, "TWO.csv").collect()] == ["C", "1"]
-    assert peek_headers(df, "none.csv").first().error == "no CSV found in archive"
+    assert b"".join(member_blocks(str(path))) == b"A,B\n"
+    assert b"".join(member_blocks(str(path), "TWO.csv")) == b"C\n1\n"
+    with pytest.raises(ValueError, match="no CSV found in archive"):
+        list(member_blocks(str(path), "none.csv"))
