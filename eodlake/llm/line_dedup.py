@@ -1,27 +1,40 @@
 """Line dedup: lines whose word sets have a Jaccard similarity of 0.8 or more with an earlier line go.
 
-An exact set-similarity join: words of a line are ordered by rarity, candidates share a word of their prefixes
-and pass the length and positional filters, and the Jaccard similarity of the rest is computed (see setjoin).
+An exact set-similarity join: words of a line are ordered by rarity, lines that share a word of their prefixes meet
+in that word's group, and pass the length and positional filters there. A 128-bit parity sketch of each set bounds
+the distance of two sets from below, so pairs of unlike lines are dropped unseen by the rest, and no like ones are.
+Each group names at most one earlier line for each line, the nearest by sketch, so groups of copies give no pairs of
+their own; the Jaccard similarity of what is named is computed. Only lines that it leaves open, having more than one
+line to compare with and no match yet, meet all of theirs.
+
 Later means a larger (document id, line number). A line goes if any earlier line matches it, itself removed
 or not, so the result doesn't depend on the order of the work.
 """
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eodlake.llm.common import cut, fresh
-from eodlake.llm.setjoin import NO_ID, SetJoin, Sets, Splitter, WordHashes, distinct
+from eodlake.llm.setjoin import MIX, NO_ID, SetJoin, Sets, Splitter, WordHashes, _chunks, _remembered, distinct, mixed, sort_each
 from eodlake.session import Scratch
 
 NUM, DEN = 4, 5
 #: Lines of fewer words are left alone: short ones repeat by chance.
 MIN_WORDS = 5
 BITS = 21
+#: The group of a word that more lines have is split: every two of its parts meet in a group of their own.
+GROUP_ROWS = 50_000
+#: Classes or words that are wanted again are marked in a bitmap of 2^22 bits; false marks only cost time.
+MARK_BITS = 22
+BATCH_ROWS = 100_000
+#: A class of equal sets: 64 bits of a digest and the 128 bits of the sketch.
+CLASS = ("c1", "s1", "s2")
 
 
 def line_sets(min_words: int = MIN_WORDS) -> Splitter:
@@ -29,68 +42,269 @@ def line_sets(min_words: int = MIN_WORDS) -> Splitter:
     hashes = WordHashes()
 
     def split(texts: list[bytes]) -> Sets:
-        text, number, words = [], [], []
-        for i, t in enumerate(texts):
-            for k, line in enumerate(t.lower().split(b"\n")):
-                found = line.split()
-                if len(found) >= min_words:
-                    text.append(i)
-                    number.append(k)
-                    words.append(found)
-        n = np.array([len(x) for x in words], np.int64)
-        h = hashes.of(list(itertools.chain.from_iterable(words)))
+        raw = b"\n".join(texts).lower()
+        starts, h = hashes.of(raw)
+        breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+        # Lines of all texts are numbered through; the first one of each text takes its number from the breaks before it.
+        line = np.searchsorted(breaks, starts)
+        text_start = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        first = np.searchsorted(breaks, text_start)
+        lines, n = np.unique(line, return_counts=True)
+        long = n >= min_words
+        h = h[np.repeat(long, n)]
+        lines, n = lines[long], n[long]
+        text = np.searchsorted(first, lines, side="right") - 1
         sizes, tokens = distinct(h, n)
-        return Sets(np.array(text, np.int64), np.array(number, np.int64), sizes, tokens)
+        return Sets(text, lines - first[text], sizes, tokens)
 
     return split
 
 
-def _place(*names: str) -> Column:
-    return F.struct(*names)
+def sketches(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
+    """The parity of how many tokens of each set fall on each of 128 bits; two sketches differ in no more bits than their sets in tokens."""
+    if not len(sets.size):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    spot = mixed(sets.tokens + MIX[2]) >> np.uint64(57)
+    bit, starts = np.uint64(1) << (spot & np.uint64(63)), sets.ends - sets.size
+    return tuple(np.bitwise_xor.reduceat(np.where(spot >> np.uint64(6) == half, bit, np.uint64(0)), starts).view(np.int64) for half in (0, 1))
+
+
+def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.ndarray]:
+    """For each row that an earlier one of its group may match, the nearest such row by sketch, and whether it is the only one.
+
+    Rows lie group by group, see `LineJoin.prefixes`. Memory is linear in them, whatever a group holds.
+    """
+    new = np.zeros(len(rows["token"]), np.int64)
+    for k in ("token", "part"):
+        new[1:] |= rows[k][1:] != rows[k][:-1]
+    group = np.cumsum(new)
+    order = np.lexsort((rows["record"], rows["id"], rows["c1"], rows["n"], group))
+    rows, group = {k: v[order] for k, v in rows.items()}, group[order]
+    again = np.zeros(len(order), bool)
+    again[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in (group, rows["n"], *(rows[k] for k in CLASS))])
+    rows, group = {k: v[~again] for k, v in rows.items()}, group[~again]
+    n, at, place, record, s1, s2 = (rows[k] for k in ("n", "at", "id", "record", "s1", "s2"))
+    s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
+    size, left = len(n), n - at
+    best, by, several = np.full(size, 1 << 30), np.full(size, -1), np.zeros(size, bool)
+    i, step = np.arange(size), 1
+    while len(i):
+        # Of rows in order of n, each meets the one that many steps on, until that is too long or of another group.
+        i = i[i + step < size]
+        j = i + step
+        fits = (group[i] == group[j]) & (n[i] * den >= n[j] * num)
+        i, j = i[fits], j[fits]
+        both, apart = n[i] + n[j], np.bitwise_count(s1[i] ^ s1[j]).astype(np.int64) + np.bitwise_count(s2[i] ^ s2[j])
+        hit = (apart * (num + den) <= both * (den - num)) & (np.minimum(left[i], left[j]) * (num + den) >= both * num)
+        if hit.any():
+            a, b, apart = i[hit], j[hit], apart[hit]
+            before = (place[a] < place[b]) | (place[a] == place[b]) & (record[a] < record[b])
+            for later, early, these in ((b, a, before), (a, b, ~before)):
+                later, early, d = later[these], early[these], apart[these]
+                several[later] |= by[later] >= 0
+                closer = d < best[later]
+                best[later[closer]], by[later[closer]] = d[closer], early[closer]
+        step += 1
+    named = np.flatnonzero(by >= 0)
+    out = {f"b_{k}": rows[k][named] for k in CLASS} | {f"a_{k}": rows[k][by[named]] for k in CLASS}
+    return out | {"apart": best[named], "several": several[named]}
+
+
+class LineJoin(SetJoin):
+    """The join of the lines of some documents; classes are known by `CLASS`."""
+
+    def group_sizes(self) -> np.ndarray:
+        """Into how many parts the group of each counter is split, by how many prefixes hold its tokens."""
+        splitter, ranked, num, den, bits = self.splitter, self.ranked, self.num, self.den, self.bits
+        below, mask = np.uint64(57 - bits), np.uint64((1 << bits) - 1)
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split, seen, counts = splitter(), {}, np.zeros(1 << bits, np.int64)
+            for _, texts in _chunks(batches):
+                sets = split(texts)
+                n = sets.size
+                new = _remembered(seen, sets.digests()[0], sketches(sets)[0], n > 0, np.zeros(len(n), np.int64))
+                value = sort_each(ranked(sets.tokens), n)
+                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
+                keep = np.repeat(new, n) & (at < np.repeat(n - -(-num * n // den) + 1, n))
+                counts += np.bincount((value[keep] >> below & mask).astype(np.int64), minlength=1 << bits)
+            full = np.flatnonzero(counts)
+            for i in range(0, len(full), BATCH_ROWS):
+                part = full[i : i + BATCH_ROWS]
+                yield pa.RecordBatch.from_pydict({"bucket": part.astype(np.int32), "n": counts[part]})
+
+        counts = self.texts.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        large = counts.where(F.col("n") > GROUP_ROWS).toArrow()  # at most 2^bits rows
+        parts = np.ones(1 << bits, np.int32)
+        parts[large["bucket"].to_numpy()] = -(-large["n"].to_numpy() // GROUP_ROWS)
+        return parts
+
+    def rows(self) -> DataFrame:
+        """(id, record, *CLASS) of every line that takes part."""
+        splitter = self.splitter
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split = splitter()
+            for ids, texts in _chunks(batches):
+                sets = split(texts)
+                columns = pa.array(ids, pa.int64()).take(pa.array(sets.text)), sets.number.astype(np.int32), sets.digests()[0], *sketches(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "record", *CLASS])
+
+        return self.texts.mapInArrow(listed, "id long, record int, c1 long, s1 long, s2 long")
+
+    def marks(self, df: DataFrame, column: str) -> np.ndarray:
+        """The leading bits of a column, as a bitmap of bounded size."""
+        found = df.select(F.shiftrightunsigned(column, 64 - MARK_BITS).cast("int").alias("m")).distinct().toArrow()["m"].to_numpy()
+        marked = np.zeros(1 << MARK_BITS, bool)
+        marked[found] = True
+        return np.packbits(marked)
+
+    def prefixes(self, classes: np.ndarray | None = None, tokens: np.ndarray | None = None) -> DataFrame:
+        """(token, part, n, at, id, record, *CLASS): the prefix of every class, once or more, by rarity of tokens.
+
+        Only of the marked classes, and only the marked tokens, where marks are given. A row without an id counts as the
+        last. Within a task, a class is listed once while it is remembered, and again when it comes at a smaller id.
+        """
+        splitter, ranked, parts, num, den, bits = self.splitter, self.ranked, self.parts, self.num, self.den, self.bits
+        below, mask, shift = np.uint64(57 - bits), np.uint64((1 << bits) - 1), np.uint64(64 - MARK_BITS)
+        wanted = self.spark.sparkContext.broadcast((classes, tokens))
+
+        def among(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
+            at = (values.view(np.uint64) >> shift).astype(np.int64)
+            return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split, seen = splitter(), {}
+            classes, tokens = wanted.value
+            for ids, texts in _chunks(batches):
+                sets = split(texts)
+                one, (s1, s2), n = sets.digests()[0], sketches(sets), sets.size
+                own = np.array([NO_ID if i is None else i for i in ids], np.int64)[sets.text]
+                want = sets.size > 0 if classes is None else among(classes, one)
+                record = np.repeat(np.arange(len(n)), n)
+                new = _remembered(seen, one, s1, want, own)
+                value = sort_each(ranked(sets.tokens), n)
+                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
+                keep = new[record] & (at < (n - -(-num * n // den) + 1)[record])
+                record, value, at = record[keep], value[keep], at[keep]
+                if tokens is not None:
+                    keep = among(tokens, value)
+                    record, value, at = record[keep], value[keep], at[keep]
+                salts = parts.value[(value >> below & mask).astype(np.int64)]
+                part = np.zeros(len(value), np.int32)
+                hot = np.flatnonzero(salts > 1)
+                if len(hot):
+                    # A row of a hot token goes to the groups in which its part meets each of the others.
+                    copies = np.ones(len(value), np.int64)
+                    copies[hot] = salts[hot]
+                    which = np.repeat(np.arange(len(value)), copies)
+                    other = np.arange(len(which)) - np.repeat(np.cumsum(copies) - copies, copies)
+                    record, value, at, salts = record[which], value[which], at[which], salts[which]
+                    mine = (one[record] & 0x7FFFFFFF) % salts
+                    low, high = np.minimum(mine, other), np.maximum(mine, other)
+                    part = np.where(salts > 1, 1 + low * salts + high, 0).astype(np.int32)
+                    keep = (salts == 1) | (mine != other)
+                    record, value, at, part = record[keep], value[keep], at[keep], part[keep]
+                columns = value.view(np.int64), part, n[record].astype(np.int32), at.astype(np.int32), own[record], sets.number[record].astype(np.int32), one[record], s1[record], s2[record]
+                for i in range(0, len(record), BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + BATCH_ROWS]) for c in columns], names=["token", "part", "n", "at", "id", "record", *CLASS])
 
-def _matched(join: SetJoin, scratch: Scratch) -> DataFrame:
-    """(c1, c2) of the classes that a class which begins earlier matches."""
-    group = ["token", "salt"]
-    own = Window.partitionBy(*group)
-    seen = (
-        join.prefixes()
-        .withColumns(
-            {
-                "low": F.min("c1").over(own),
-                "high": F.max("c1").over(own),
-                "pivot": F.min(_place("id", "record", "c1", "c2", "n", "at")).over(own),
-            }
+        return self.texts.mapInArrow(listed, "token long, part int, n int, at int, id long, record int, c1 long, s1 long, s2 long")
+
+    def named(self) -> DataFrame:
+        """(b_*, a, several): for each class that an earlier one may match, the nearest one, and whether there are others."""
+        num, den = self.num, self.den
+
+        def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[dict[str, np.ndarray]] = []
+
+            def found(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+                return pa.RecordBatch.from_pydict(nearest(rows, num, den))
+
+            for batch in batches:
+                held.append({k: batch.column(k).to_numpy().astype(np.int64) for k in batch.schema.names})
+                if sum(len(x["token"]) for x in held) >= BATCH_ROWS:
+                    rows = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+                    last = np.flatnonzero((rows["token"] != rows["token"][-1]) | (rows["part"] != rows["part"][-1]))
+                    end = int(last[-1]) + 1 if len(last) else 0
+                    if end:
+                        yield found({k: v[:end] for k, v in rows.items()})
+                    held = [{k: v[end:] for k, v in rows.items()}]
+            if held:
+                yield found({k: np.concatenate([x[k] for x in held]) for k in held[0]})
+
+        fields = ", ".join(f"{side}_{k} long" for side in "ba" for k in CLASS)
+        together = self.prefixes().repartition("token", "part").sortWithinPartitions("token", "part")
+        each = together.mapInArrow(grouped, f"{fields}, apart long, several boolean")
+        near = F.struct("apart", *(f"a_{k}" for k in CLASS))
+        other = F.struct(*(f"a_{k}" for k in CLASS))
+        return (
+            each.groupBy(*(f"b_{k}" for k in CLASS))
+            .agg(F.min(near).alias("a"), (F.bool_or("several") | (F.min(other) != F.max(other))).alias("several"))
+            .select(*(f"b_{k}" for k in CLASS), *(F.col(f"a.a_{k}") for k in CLASS), "several")
         )
-        .where((F.col("low") < F.col("high")) | (F.col("salt") > 0))
-        .groupBy(*group, "c1", "c2", "n", "at")
-        .agg(F.min(_place("id", "record", "c1", "c2")).alias("own"), F.first("pivot").alias("pivot"))
-    )
-    seen = scratch.write(seen)
-    p = F.col("pivot")
-    pairs = (
-        seen.where((F.col("c1") != p["c1"]) | (F.col("c2") != p["c2"]))
-        .where(join.lengths_fit(F.col("n"), p["n"]))
-        .groupBy(p["c1"].alias("a1"), p["c2"].alias("a2"), F.col("c1").alias("b1"), F.col("c2").alias("b2"), p["n"].alias("na"), "n")
-        .agg(F.count("*").alias("shared"), F.max(p["at"]).alias("ata"), F.max("at").alias("atb"))
-        .where(join.can_reach(F.col("na"), F.col("n"), F.col("shared"), F.col("ata"), F.col("atb")))
-        .select("a1", "a2", "b1", "b2")
-    )
-    # A pivot is the earliest of its group, so what matches it goes.
-    gone = scratch.write(join.verified(pairs).select(F.col("b1").alias("c1"), F.col("b2").alias("c2")).distinct())
-    side = seen.select("token", "c1", "c2", "n", "at", "own")
-    open_ = side.join(gone, ["c1", "c2"], "left_anti").select(*side.columns)
-    a = side.toDF("token", "a1", "a2", "na", "ata", "owna")
-    b = open_.toDF("token", "b1", "b2", "nb", "atb", "ownb")
-    rest = (
-        a.join(b, "token")
-        .where((F.col("owna") < F.col("ownb")) & join.lengths_fit(F.col("na"), F.col("nb")))
-        .groupBy("a1", "a2", "b1", "b2", "na", "nb")
-        .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("atb").alias("atb"))
-        .where(join.can_reach(F.col("na"), F.col("nb"), F.col("shared"), F.col("ata"), F.col("atb")))
-        .select("a1", "a2", "b1", "b2")
-    )
-    return gone.union(join.verified(rest).select("b1", "b2")).distinct()
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """The rows of `pairs` (a_*, b_*, ...) whose sets have the similarity."""
+        splitter, ranked = self.splitter, self.ranked
+        sides = [pairs.select(*(F.col(f"{side}_{k}").alias(k) for k in CLASS)) for side in "ab"]
+        wanted, shift = self.spark.sparkContext.broadcast(self.marks(sides[0].union(sides[1]), "c1")), np.uint64(64 - MARK_BITS)
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split, marked, seen = splitter(), np.unpackbits(wanted.value).astype(bool), {}
+            for _, texts in _chunks(batches):
+                sets = split(texts)
+                one, (s1, s2) = sets.digests()[0], sketches(sets)
+                here = marked[(one.view(np.uint64) >> shift).astype(np.int64)]
+                new = _remembered(seen, one, s1, here, np.zeros(len(one), np.int64))
+                ends = np.concatenate([[0], np.cumsum(sets.size[new])]).astype(np.int32)
+                tokens = ranked(sets.tokens[np.repeat(new, sets.size)]).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(s1[new]), pa.array(s2[new]), lists], names=[*CLASS, "words"])
+
+        sets = self.texts.mapInArrow(listed, "c1 long, s1 long, s2 long, words array<long>").dropDuplicates(list(CLASS))
+        sets = self.scratch.write(sets)
+        joined = pairs
+        for side in "ba":
+            own = sets.select(*(F.col(k).alias(f"{side}_{k}") for k in CLASS), F.col("words").alias(f"{side}_words"))
+            joined = joined.join(own, [f"{side}_{k}" for k in CLASS])
+        shared, both = F.size(F.array_intersect("a_words", "b_words")), F.size("a_words") + F.size("b_words")
+        return joined.where(shared * (self.num + self.den) >= both * self.num).select(*pairs.columns)
+
+    def met(self, open_: DataFrame) -> DataFrame:
+        """(a_*, b_*): all earlier classes that may match each class b of `open_`."""
+        tokens = self.marks(self.prefixes(classes=self.marks(open_, "c1")), "token")
+        own = ("token", "part", "n", "at", *CLASS)
+        rows = self.prefixes(tokens=tokens).groupBy(*own).agg(F.min(_place("id", "record")).alias("first"))
+        rows = self.scratch.write(rows)
+        side = lambda x, df: df.select("token", "part", *(F.col(k).alias(f"{x}_{k}") for k in df.columns if k not in ("token", "part")))
+        a, b = side("a", rows), side("b", rows.join(open_, list(CLASS), "left_semi").select(*rows.columns))
+        differ = sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in ("s1", "s2")), F.lit(0))
+        both = F.col("a_n") + F.col("b_n")
+        may = (
+            (F.col("a_first") < F.col("b_first"))
+            & self.lengths_fit(F.col("a_n"), F.col("b_n"))
+            & (differ * (self.num + self.den) <= both * (self.den - self.num))
+            & self.can_reach(F.col("a_n"), F.col("b_n"), F.lit(1), F.col("a_at"), F.col("b_at"))
+        )
+        same = F.struct(*(f"a_{k}" for k in CLASS)) == F.struct(*(f"b_{k}" for k in CLASS))
+        return a.join(b, ["token", "part"]).where(may & ~same).select(*(f"{x}_{k}" for x in "ab" for k in CLASS)).distinct()
+
+    def matched(self) -> DataFrame:
+        """The classes that an earlier one matches."""
+        self.parts = self.spark.sparkContext.broadcast(self.group_sizes())
+        named = self.scratch.write(self.named())
+        gone = self.scratch.write(self.similar(named).select(*(F.col(f"b_{k}").alias(k) for k in CLASS)))
+        open_ = named.where("several").select(*(F.col(f"b_{k}").alias(k) for k in CLASS)).join(gone, list(CLASS), "left_anti")
+        open_ = self.scratch.write(open_)
+        if open_.isEmpty():
+            return gone
+        pairs = self.scratch.write(self.met(open_))
+        return gone.union(self.similar(pairs).select(*(F.col(f"b_{k}").alias(k) for k in CLASS)).distinct())
+
+
+def _place(*names: str) -> Column:
+    return F.struct(*names)
 
 
 def removed_lines(
@@ -103,13 +317,11 @@ def removed_lines(
     each of them. An empty table gives no rows. Further columns are not read.
     """
     with Scratch(df.sparkSession) as scratch:
-        join = SetJoin(df, id_col, text_col, lambda: line_sets(min_words), num, den, BITS, scratch)
-        rows = join.rows().select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "record", "c1", "c2")
-        rows = scratch.write(rows)
-        first = rows.groupBy("c1", "c2").agg(F.min(_place("id", "record")).alias("first"))
-        matched = _matched(join, scratch).withColumn("matched", F.lit(True))
-        verdict = first.join(matched, ["c1", "c2"], "left")
-        found = rows.join(verdict, ["c1", "c2"]).where(F.col("matched").isNotNull() | (_place("id", "record") != F.col("first")))
+        join = LineJoin(df, id_col, text_col, lambda: line_sets(min_words), num, den, BITS, scratch)
+        rows = scratch.write(join.rows().withColumn("id", F.coalesce("id", F.lit(NO_ID))))
+        first = rows.groupBy(*CLASS).agg(F.min(_place("id", "record")).alias("first"))
+        verdict = first.join(join.matched().withColumn("matched", F.lit(True)), list(CLASS), "left")
+        found = rows.join(verdict, list(CLASS)).where(F.col("matched").isNotNull() | (_place("id", "record") != F.col("first")))
         return cut(found.select("id", "record"))
 
 

@@ -8,8 +8,6 @@ different components is lost.
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,9 +29,10 @@ def shingles(words: int = WORDS) -> Splitter:
     hashes = WordHashes()
 
     def split(texts: list[bytes]) -> Sets:
-        found = [t.lower().split() for t in texts]  # of bytes: A-Z only, and ASCII blanks only
-        n = np.array([len(x) for x in found], np.int64)
-        h = hashes.of(list(itertools.chain.from_iterable(found)))
+        raw = b" ".join(texts).lower()  # of bytes: A-Z only, and ASCII blanks only
+        starts, h = hashes.of(raw)
+        texts_end = np.cumsum([len(t) + 1 for t in texts])
+        n = np.diff(np.searchsorted(starts, texts_end), prepend=0)
         value = np.full(max(0, len(h) - words + 1), words, np.uint64)
         for k in range(words):
             value = mixed(value * MIX[0] + h[k : len(h) - words + 1 + k])

@@ -9,12 +9,12 @@ pivot, which is linear, and only what pivots leave open is joined pair by pair.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +29,9 @@ MARK_BITS = 22
 CACHED_WORDS = 500_000
 CHUNK_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1
+#: Words are hashed block by block, so that running sums stay in the processor's cache.
+BLOCK_BYTES = 1 << 17
+BASE = 0xD6E8FEB86659FD93
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -62,17 +65,41 @@ class Sets(NamedTuple):
 Splitter = Callable[[list[bytes]], Sets]
 
 
-class WordHashes(dict):
-    """Hashes of words, the frequent ones from memory."""
+class WordHashes:
+    """64-bit hashes of the words of a text, all at once.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+    A word is a polynomial in an odd base over 2^64 of a number for each of its bytes; differences of running sums
+    give it for every word of a block, and the inverse of the base shifts it to the word's own start.
+    """
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def __init__(self) -> None:
+        self.power = self.inverse = np.ones(0, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.power) < n:
+            for name, base in (("power", BASE), ("inverse", pow(BASE, -1, 1 << 64))):
+                steps = np.full(n, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+
+    def of(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of every word of `raw`."""
+        data = np.frombuffer(raw, np.uint8)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~BLANK[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        cuts = np.append(np.searchsorted(starts, np.arange(0, len(data), BLOCK_BYTES)), len(starts)).tolist()
+        found = np.zeros(len(starts), np.uint64)
+        for i, j in itertools.pairwise(cuts):
+            if i < j:
+                first, last = starts[i], ends[j - 1]
+                self._powers(int(last - first) + 1)
+                sums = np.zeros(last - first + 1, np.uint64)
+                np.cumsum(BYTES[data[first:last]] * self.power[: last - first], out=sums[1:])
+                here = starts[i:j] - first
+                found[i:j] = (sums[ends[i:j] - first] - sums[here]) * self.inverse[here]
+        return starts, mixed(found)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,6 +109,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * MIX[0])
+
+
 def sort_each(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """`values` with every run of the given sizes sorted, in place."""
     end = 0
@@ -160,7 +191,7 @@ class SetJoin:
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, counts = splitter(), np.zeros(1 << bits, np.int64)
             for _, texts in _chunks(batches):
-                np.add.at(counts, (split(texts).tokens >> np.uint64(64 - bits)).astype(np.int64), 1)
+                counts += np.bincount((split(texts).tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
             full = np.flatnonzero(counts)
             for i in range(0, len(full), 100_000):
                 part = full[i : i + 100_000]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from eodlake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality_model, quality_rules, toxicity, url_filters, warc
 from eodlake.llm.oracle import ORACLES
 from eodlake.llm.queries import QUERIES
+from eodlake.llm.setjoin import WordHashes
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, Kept string, token string, c1 string, row string, size string"
@@ -101,6 +102,35 @@ def test_line_dedup_against_all_pairs(spark):
             assert texts[d].text == left and texts[d].n_chars == len(left or "") and texts[d].Kept == "k"
 
 
+@pytest.mark.parametrize("group_rows", [50_000, 20])
+def test_line_dedup_near_the_threshold_and_in_split_groups(spark, monkeypatch, group_rows):
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", group_rows)
+    rnd = random.Random(5)
+    bases = [[f"w{rnd.randrange(60)}" for _ in range(rnd.randint(5, 25))] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(4):
+            words = list(rnd.choice(bases))
+            for _ in range(rnd.randint(0, 4)):
+                words[rnd.randrange(len(words))] = f"w{rnd.randrange(60)}"
+            lines.append(" ".join(words))
+        rows.append((i, "\n".join(lines)))
+    got = {r.id: list(r.removed) for r in line_dedup.line_counts(docs(spark, *rows)).collect()}
+    assert got == lines_removed(rows)
+
+
+def test_word_hashes_are_those_of_the_words_alone():
+    raw = ("a  b\tab ba\x0bÄ\n" * 30_000 + "x" * 300_000 + " a").encode()
+    starts, hashes = WordHashes().of(raw)
+    words = raw.split()
+    of = {}
+    assert len(words) == len(hashes) and all(raw[p : p + len(w)] == w for p, w in list(zip(starts.tolist(), words, strict=True))[:2000])
+    for w, h in zip(words, hashes.tolist(), strict=True):
+        assert of.setdefault(w, h) == h
+    assert len(set(of.values())) == len(of) and len(WordHashes().of(b"")[1]) == len(WordHashes().of(b" \n")[1]) == 0
+
+
 def test_joins_without_ids_repeated_rows_and_without_rows(spark):
     text = " ".join(f"w{i}" for i in range(20))
     df = docs(spark, (None, text), (4, text), (4, text), (None, None))
