@@ -152,7 +152,7 @@ class LineJoin(SetJoin):
 
         return self.texts.mapInArrow(listed, "id long, record int, c1 long, s1 long, s2 long")
 
-    def marks(self, df: DataFrame, column: str) -> np.ndarray:
+    def marked(self, df: DataFrame, column: str) -> np.ndarray:
         """The leading bits of a column, as a bitmap of bounded size."""
         found = df.select(F.shiftrightunsigned(column, 64 - MARK_BITS).cast("int").alias("m")).distinct().toArrow()["m"].to_numpy()
         marked = np.zeros(1 << MARK_BITS, bool)
@@ -248,7 +248,7 @@ class LineJoin(SetJoin):
         """The rows of `pairs` (a_*, b_*, ...) whose sets have the similarity."""
         splitter, ranked = self.splitter, self.ranked
         sides = [pairs.select(*(F.col(f"{side}_{k}").alias(k) for k in CLASS)) for side in "ab"]
-        wanted, shift = self.spark.sparkContext.broadcast(self.marks(sides[0].union(sides[1]), "c1")), np.uint64(64 - MARK_BITS)
+        wanted, shift = self.spark.sparkContext.broadcast(self.marked(sides[0].union(sides[1]), "c1")), np.uint64(64 - MARK_BITS)
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, marked, seen = splitter(), np.unpackbits(wanted.value).astype(bool), {}
@@ -273,7 +273,7 @@ class LineJoin(SetJoin):
 
     def met(self, open_: DataFrame) -> DataFrame:
         """(a_*, b_*): all earlier classes that may match each class b of `open_`."""
-        tokens = self.marks(self.prefixes(classes=self.marks(open_, "c1")), "token")
+        tokens = self.marked(self.prefixes(classes=self.marked(open_, "c1")), "token")
         own = ("token", "part", "n", "at", *CLASS)
         rows = self.prefixes(tokens=tokens).groupBy(*own).agg(F.min(_place("id", "record")).alias("first"))
         rows = self.scratch.write(rows)

@@ -8,13 +8,16 @@ different components is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eodlake.llm.common import cut
 from eodlake.llm.components import components
-from eodlake.llm.setjoin import MIX, SetJoin, Sets, Splitter, WordHashes, distinct, mixed
+from eodlake.llm.setjoin import MIX, PACK, PACKED, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, mixed, packed
 from eodlake.session import Scratch
 
 WORDS = 4
@@ -57,6 +60,39 @@ def shingles(words: int = WORDS) -> Splitter:
     return split
 
 
+class NgramJoin(SetJoin):
+    """The join of whole texts. One pass lists the rows and counts their tokens."""
+
+    def _table(self) -> tuple[np.ndarray, np.ndarray]:
+        splitter, bits = self.splitter, self.bits
+        row = {"id": pa.int64(), "n": pa.int32(), "c1": pa.int64(), "c2": pa.int64()}
+        counters = {"bucket": pa.int32()} | {f"n{i}": pa.int64() for i in range(PACK)}
+        schema = pa.schema(list((row | counters).items()))
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split, counts = splitter(), np.zeros(1 << bits, np.int64)
+            whole = lambda known, n: pa.RecordBatch.from_arrays([known.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+            for ids, texts in _chunks(batches):
+                sets = split(texts)
+                counts += counted_tokens(sets, bits)
+                one, two = sets.digests()
+                listed = pa.array(ids, pa.int64()), pa.array(sets.size.astype(np.int32)), pa.array(one), pa.array(two)
+                yield whole(dict(zip(row, listed, strict=True)), len(ids))
+            for part in packed(counts):
+                yield whole(dict(zip(counters, part.columns, strict=True)), part.num_rows)
+
+        self.read = self.scratch.write(self.texts.mapInArrow(read, f"id long, n int, c1 long, c2 long, {PACKED}"))
+        return self._levels(self.read.where("bucket is not null").select("bucket", *(f"n{i}" for i in range(PACK))))
+
+    def rows(self) -> DataFrame:
+        """(id, n, c1, c2) of every row; n is the size of its set."""
+        return self.read.where("bucket is null").select("id", "n", "c1", "c2")
+
+    def first_ids(self) -> DataFrame:
+        """(c1, c2, id) of every class with a shingle."""
+        return self.classes
+
+
 def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
     """(u, v) of structs (c1, c2): links whose components are those of all links."""
     prefixes = join.prefixes()
@@ -64,8 +100,7 @@ def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
     own = Window.partitionBy(*group)
     # Groups are of GROUP_ROWS at most in the mean of what shares a counter: a hot token has many salts.
     seen = (
-        prefixes.drop("id", "record")
-        .withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own), "many": F.count("*").over(own)})
+        prefixes.withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own), "many": F.count("*").over(own)})
         .where((F.col("low") < F.col("high")) | (F.col("salt") > 0))
         .dropDuplicates(["token", "salt", "c1", "c2"])
         .drop("low", "high")
@@ -118,17 +153,19 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     linked with has an id. An empty table gives no rows. Further columns are not read.
     """
     with Scratch(df.sparkSession) as scratch:
-        join = SetJoin(df, id_col, text_col, lambda: shingles(words), num, den, BITS, scratch)
-        rows = cut(join.rows().select("id", "n", "c1", "c2"))
+        join = NgramJoin(df, id_col, text_col, lambda: shingles(words), num, den, BITS, scratch)
+        rows = join.rows()
+        join.classes = scratch.write(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id")))
         roots = components(_links(join, scratch))
-        classes = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("first_id"))
-        joined = classes.join(roots.select(F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), "root"), ["c1", "c2"], "left")
+        joined = join.classes.join(roots.select(F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), "root"), ["c1", "c2"], "left")
         joined = joined.withColumn("root", F.coalesce("root", F.struct("c1", "c2")))
-        whole = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        named = cut(joined.join(whole, "root").select("c1", "c2", "component_id"))
-    return rows.join(named, ["c1", "c2"], "left").select(
-        "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
-    )
+        whole = joined.groupBy("root").agg(F.min("id").alias("component_id"))
+        named = joined.join(whole, "root").select("c1", "c2", "component_id")
+        return cut(
+            rows.join(named, ["c1", "c2"], "left").select(
+                "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+            )
+        )
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

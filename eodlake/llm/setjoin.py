@@ -26,6 +26,9 @@ LEVEL_BITS = 6
 GROUP_ROWS = 200_000
 #: Classes whose sets are needed are marked in a bitmap of 2^22 bits; false marks only cost time.
 MARK_BITS = 22
+#: So many counters travel in one row.
+PACK = 16
+PACKED = "bucket int, " + ", ".join(f"n{i} long" for i in range(PACK))
 CACHED_WORDS = 500_000
 CHUNK_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1
@@ -171,6 +174,20 @@ def _ranker(table, bits: int) -> Callable[[np.ndarray], np.ndarray]:
     return ranked
 
 
+def counted_tokens(sets: Sets, bits: int) -> np.ndarray:
+    """How many tokens of some sets each counter gets."""
+    return np.bincount((sets.tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def packed(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counters that aren't zero, PACK of them a row."""
+    table = counts.reshape(-1, PACK)
+    full = np.flatnonzero(table.any(axis=1))
+    for i in range(0, len(full), 10_000):
+        part = full[i : i + 10_000]
+        yield pa.RecordBatch.from_pydict({"bucket": part.astype(np.int32)} | {f"n{k}": table[part, k] for k in range(PACK)})
+
+
 class SetJoin:
     """One similarity join over the records of a text column; similar: den * overlap >= num * union.
 
@@ -191,18 +208,19 @@ class SetJoin:
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, counts = splitter(), np.zeros(1 << bits, np.int64)
             for _, texts in _chunks(batches):
-                counts += np.bincount((split(texts).tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-            full = np.flatnonzero(counts)
-            for i in range(0, len(full), 100_000):
-                part = full[i : i + 100_000]
-                yield pa.RecordBatch.from_pydict({"bucket": part.astype(np.int32), "n": counts[part]})
-
-        counts = self.texts.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-        at, n = counts["bucket"].to_numpy(), counts["n"].to_numpy()
-        levels, salts = np.zeros(1 << bits, np.uint8), np.ones(1 << bits, np.int32)
-        levels[at] = np.minimum(np.floor(2 * np.log2(n)), (1 << LEVEL_BITS) - 1).astype(np.uint8)
-        salts[at] = np.maximum(1, n // GROUP_ROWS)
-        return levels, salts
+                counts += counted_tokens(split(texts), bits)
+            yield from packed(counts)
+
+        return self._levels(self.texts.mapInArrow(counted, PACKED))
+
+    def _levels(self, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """(level, salts) of each counter, of the packed counts of all tasks."""
+        summed = counts.groupBy("bucket").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(PACK))).toArrow()  # at most 2^bits numbers
+        n = np.zeros((1 << self.bits) // PACK * PACK, np.int64).reshape(-1, PACK)
+        n[summed["bucket"].to_numpy()] = np.stack([summed[f"n{i}"].to_numpy() for i in range(PACK)], axis=1)
+        n = n.ravel()
+        levels = np.minimum(np.floor(2 * np.log2(np.maximum(n, 1))), (1 << LEVEL_BITS) - 1).astype(np.uint8)
+        return levels, np.maximum(1, n // GROUP_ROWS).astype(np.int32)
 
     def rows(self) -> DataFrame:
         """(id, record, n, c1, c2) of every record; n is the size of its set."""
@@ -218,10 +236,9 @@ class SetJoin:
         return self.texts.mapInArrow(listed, "id long, record int, n int, c1 long, c2 long")
 
     def prefixes(self) -> DataFrame:
-        """(token, salt, c1, c2, n, at, id, record): the prefix of every class, once or more.
+        """(token, salt, c1, c2, n, at): the prefix of every class, once or more.
 
-        salt is 0 for tokens that need none. A row without an id counts as the last. Within a task, a class is listed
-        once while it is remembered, and again when it comes at a smaller id.
+        salt is 0 for tokens that need none. Within a task, a class is listed once while it is remembered.
         """
         splitter, ranked, table, num, den = self.splitter, self.ranked, self.table, self.num, self.den
         # A ranked token keeps all but the last bits of its hash, so its counter can be read from it.
@@ -229,38 +246,45 @@ class SetJoin:
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen = splitter(), {}
-            for ids, texts in _chunks(batches):
+            for _, texts in _chunks(batches):
                 sets = split(texts)
                 one, two = sets.digests()
-                own = np.array([NO_ID if i is None else i for i in ids], np.int64)[sets.text]
-                new, record, n = _remembered(seen, one, two, sets.size > 0, own), sets.record, sets.size
-                value = sort_each(ranked(sets.tokens), n)
-                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
-                keep = new[record] & (at < (n - -(-num * n // den) + 1)[record])
+                new = _remembered(seen, one, two, sets.size > 0, np.zeros(len(one), np.int64))
+                tokens, n, one, two = sets.tokens[np.repeat(new, sets.size)], sets.size[new], one[new], two[new]
+                record = np.repeat(np.arange(len(n)), n)
+                value = sort_each(ranked(tokens), n)
+                at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
+                keep = at < (n - -(-num * n // den) + 1)[record]
                 record, value = record[keep], value[keep]
                 salts = table.value[1][(value >> below & mask).astype(np.int64)]
                 salt = np.where(salts > 1, 1 + (one[record] & 0x7FFFFFFF) % salts, 0)
-                columns = value.astype(np.int64), salt.astype(np.int32), one[record], two[record], n[record].astype(np.int32), at[keep].astype(np.int32), own[record], sets.number[record].astype(np.int32)
+                columns = value.astype(np.int64), salt.astype(np.int32), one[record], two[record], n[record].astype(np.int32), at[keep].astype(np.int32)
                 for i in range(0, len(record), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["token", "salt", "c1", "c2", "n", "at", "id", "record"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["token", "salt", "c1", "c2", "n", "at"])
 
-        return self.texts.mapInArrow(listed, "token long, salt int, c1 long, c2 long, n int, at int, id long, record int")
+        return self.texts.mapInArrow(listed, "token long, salt int, c1 long, c2 long, n int, at int")
 
     def sets(self, classes: DataFrame) -> DataFrame:
-        """(c1, c2, set) of the classes whose digest is marked by one in (c1); set: the ranked tokens as big-endian bytes."""
-        shift = 64 - MARK_BITS
-        marked = np.zeros(1 << MARK_BITS, bool)
-        marks = classes.select(F.shiftrightunsigned("c1", shift).cast("int").alias("m")).distinct().toArrow()["m"].to_numpy()
-        marked[marks] = True  # at most 2^22 numbers, whatever the corpus
-        bits = self.spark.sparkContext.broadcast(np.packbits(marked))
+        """(c1, c2, set) of the classes of `classes` (c1, c2); set: the ranked tokens as big-endian bytes.
+
+        Only the text at the first id of such a class is split into its set, besides texts without an id and falsely
+        marked ones.
+        """
+        first = self.first_ids().join(classes.select("c1", "c2"), ["c1", "c2"], "left_semi")
+        # bitmaps of 2^22 bits, whatever the corpus
+        bits = self.spark.sparkContext.broadcast((
+            self.marks(first.where("id is not null").select(F.col("id").bitwiseAND((1 << MARK_BITS) - 1))),
+            self.marks(first.select(F.shiftrightunsigned("c1", 64 - MARK_BITS))),
+        ))
         splitter, ranked = self.splitter, self.ranked
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, wanted, seen = splitter(), np.unpackbits(bits.value).astype(bool), {}
-            for _, texts in _chunks(batches):
-                sets = split(texts)
+            split, (by_id, by_class), seen = splitter(), (np.unpackbits(b).astype(bool) for b in bits.value), {}
+            for ids, texts in _chunks(batches):
+                wanted = [i is None or by_id[i & ((1 << MARK_BITS) - 1)] for i in ids]
+                sets = split([t if w else b"" for t, w in zip(texts, wanted, strict=True)])
                 one, two = sets.digests()
-                here = (sets.size > 0) & wanted[(one.astype(np.uint64) >> np.uint64(shift)).astype(np.int64)]
+                here = (sets.size > 0) & by_class[(one.astype(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)]
                 new = _remembered(seen, one, two, here, np.zeros(len(one), np.int64))
                 ends = sets.ends
                 raw = [np.sort(ranked(sets.tokens[ends[i] - sets.size[i] : ends[i]])).astype(">u8").tobytes() for i in np.flatnonzero(new)]
@@ -268,6 +292,17 @@ class SetJoin:
 
         return self.texts.mapInArrow(listed, "c1 long, c2 long, set binary").dropDuplicates(["c1", "c2"])
 
+    def first_ids(self) -> DataFrame:
+        """(c1, c2, id): the smallest id of every class, null if none of its rows has one."""
+        return self.rows().groupBy("c1", "c2").agg(F.min("id").alias("id"))
+
+    @staticmethod
+    def marks(numbers: DataFrame) -> np.ndarray:
+        """A bitmap of the numbers below 2^MARK_BITS in the one column of a table."""
+        marked = np.zeros(1 << MARK_BITS, bool)
+        marked[numbers.toDF("m").select(F.col("m").cast("int")).distinct().toArrow()["m"].to_numpy()] = True
+        return np.packbits(marked)
+
     def lengths_fit(self, a: Column, b: Column) -> Column:
         return (F.least(a, b) * self.den) >= (F.greatest(a, b) * self.num)
 
