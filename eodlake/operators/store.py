@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eodlake.model import SCHEMA_VERSION, TABLES, Table
 from eodlake.operators.dedupe import keep_first
-from eodlake.session import Scratch, delete, make_folder, recover_folder, replace_folder
+from eodlake.session import Scratch, delete, folders, make_folder, recover_folder, replace_folder
 
 _LOAD_TIMES = ("ingested_at", "updated_at", "applied_at", "generated_at")
 
@@ -113,6 +113,11 @@ class Store:
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
+    def days(self, name: str) -> list[dt.date]:
+        """Days that a table partitioned by date has a folder for, in order; no file is opened."""
+        found = [f.partition("date=")[2] for f in folders(self.spark, self.path(name)) if f.startswith("date=")]
+        return sorted(dt.date.fromisoformat(d) for d in found if d[:1].isdigit())
+
     def register_views(self) -> None:
         """Make every table available to SQL under its own name."""
         for name in TABLES:

@@ -67,9 +67,13 @@ def build_report(
     start: dt.date,
     end: dt.date,
     generated_at: str | None = None,
+    scratch: Scratch | None = None,
 ) -> Report:
+    """The parts of a report; with `scratch`, anomalies are found once for their counts and samples."""
     log = tables["ingest_log"].where(F.col("product") == product)
     found = anomalies.anomalies(tables, start, end)
+    if scratch is not None:
+        found = scratch.write(found)
     return Report(
         product,
         generated_at or dt.datetime.now().isoformat(timespec="seconds"),
@@ -337,7 +341,7 @@ def run_report(
     """
     low, high = report_range(store["ingest_log"], product, month, start, end)
     with Scratch(store.spark) as scratch:
-        report = materialized(build_report(store, product, low, high), scratch)
+        report = materialized(build_report(store, product, low, high, scratch=scratch), scratch)
         n = store.refresh_gaps(product, report_gap_rows(report))
         done = {"start": low, "end": high, "gap_rows": n}
         if out is not None:

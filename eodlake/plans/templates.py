@@ -1,8 +1,9 @@
 """The named read-only queries.
 
 `tables` is anything that maps a table name to a DataFrame: a `Store`, or a dict in tests. Ties are
-broken by the rest of the primary key, so results are the same on every run. The latest day is a
-scalar subquery on the partition column, which prunes the scan to one folder.
+broken by the rest of the primary key, so results are the same on every run. A `Store` knows its days
+from its folders: queries of the latest or the earliest days open only those. Elsewhere the latest day is
+a scalar subquery.
 """
 
 from __future__ import annotations
@@ -33,6 +34,34 @@ def latest_day(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("date") == rows.agg(F.max("date")).scalar())
 
 
+def latest_rows(tables: Tables, name: str) -> DataFrame:
+    """Rows of the newest date of a table."""
+    if not hasattr(tables, "days"):
+        return latest_day(tables[name])
+    for day in reversed(tables.days(name)):
+        rows = tables.table(name, day, day)
+        if not rows.isEmpty():  # a folder may be empty
+            return rows
+    return tables[name]
+
+
+def earliest_rows(
+    tables: Tables, names: tuple[str, ...], wanted: int, query: Callable[[Tables], DataFrame]
+) -> DataFrame:
+    """`query` over the tables, or over as many of their first days as hold `wanted` rows of it.
+
+    The first `wanted` rows by date are the same. The stretch of days grows fourfold until it holds enough.
+    """
+    days = tables.days(names[0]) if hasattr(tables, "days") else []
+    width = 1
+    while width < len(days):
+        found = query({n: tables.table(n, end=days[width - 1]) for n in names})
+        if found.limit(wanted).count() == wanted:
+            return found
+        width *= 4
+    return query(tables)
+
+
 def latest(tables: Tables) -> DataFrame:
     return tables["bhav_daily"].agg(
         F.max("date").alias("last_trading_day"), F.count(F.lit(1)).alias("rows")
@@ -58,7 +87,7 @@ def table_counts(tables: Tables) -> DataFrame:
 def _movers(tables: Tables) -> DataFrame:
     ratio = F.try_divide(F.col("close"), F.col("prev_close"))
     return (
-        latest_day(tables["bhav_daily"])
+        latest_rows(tables, "bhav_daily")
         .where((F.col("series") == "EQ") & (F.col("prev_close") > 0))
         .withColumn("_ratio", ratio)
         .withColumn("pct", round_to((F.col("_ratio") - 1) * 100, 2))
@@ -80,7 +109,7 @@ def top_losers(tables: Tables) -> DataFrame:
 
 def volume_leaders(tables: Tables) -> DataFrame:
     return (
-        latest_day(tables["bhav_daily"])
+        latest_rows(tables, "bhav_daily")
         .orderBy(desc("total_traded_quantity"), asc("symbol"), asc("series"))
         .limit(10)
         .select(
@@ -92,7 +121,7 @@ def volume_leaders(tables: Tables) -> DataFrame:
 
 def delivery_spike(tables: Tables) -> DataFrame:
     return (
-        latest_day(tables["bhav_daily"])
+        latest_rows(tables, "bhav_daily")
         .where((F.col("total_traded_quantity") > 0) & (F.col("delivery_pct") > 70))
         .orderBy(desc("delivery_pct"), asc("symbol"), asc("series"))
         .limit(10)
@@ -105,7 +134,7 @@ def delivery_spike(tables: Tables) -> DataFrame:
 
 def fo_most_traded(tables: Tables) -> DataFrame:
     return (
-        latest_day(tables["fo_daily"])
+        latest_rows(tables, "fo_daily")
         .orderBy(
             desc("contracts"), asc("instrument"), asc("symbol"), asc("expiry_date"),
             asc("option_type"), asc("strike_price"),
@@ -119,9 +148,9 @@ def fo_most_traded(tables: Tables) -> DataFrame:
 
 
 def fo_open_interest(tables: Tables) -> DataFrame:
+    wanted = (F.col("symbol") == "NIFTY") & (F.col("option_type") == FUTURE)
     return (
-        tables["fo_daily"]
-        .where((F.col("symbol") == "NIFTY") & (F.col("option_type") == FUTURE))
+        earliest_rows(tables, ("fo_daily",), 20, lambda t: t["fo_daily"].where(wanted))
         .orderBy(asc("date"), asc("expiry_date"), asc("instrument"), asc("strike_price"))
         .limit(20)
         .select("instrument", "symbol", "date", "open_interest")
@@ -130,8 +159,9 @@ def fo_open_interest(tables: Tables) -> DataFrame:
 
 def index_history(tables: Tables) -> DataFrame:
     return (
-        tables["index_daily"]
-        .where(F.col("index_name") == "NIFTY 50")
+        earliest_rows(
+            tables, ("index_daily",), 30, lambda t: t["index_daily"].where(F.col("index_name") == "NIFTY 50")
+        )
         .orderBy(asc("date"))
         .limit(30)
         .select("index_name", "date", "close")
@@ -140,12 +170,16 @@ def index_history(tables: Tables) -> DataFrame:
 
 def delivery_ratio(tables: Tables) -> DataFrame:
     """Bars with their deliveries. The join leaves out series, so a bar meets every series."""
-    bars = tables["bhav_daily"].where(F.col("delivery_qty") > 0)
-    deliveries = tables["deliverable_daily"].select(
-        "symbol", "date", "delivery_quantity", F.col("series").alias("_delivered_series")
-    )
+
+    def joined(tables: Tables) -> DataFrame:
+        bars = tables["bhav_daily"].where(F.col("delivery_qty") > 0)
+        deliveries = tables["deliverable_daily"].select(
+            "symbol", "date", "delivery_quantity", F.col("series").alias("_delivered_series")
+        )
+        return bars.join(deliveries, ["symbol", "date"])
+
     return (
-        bars.join(deliveries, ["symbol", "date"])
+        earliest_rows(tables, ("bhav_daily", "deliverable_daily"), 10, joined)
         .orderBy(asc("date"), asc("symbol"), asc("series"), asc("_delivered_series"))
         .limit(10)
         .select("symbol", "date", "delivery_qty", "delivery_quantity")

@@ -38,6 +38,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, target = file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()] if fs.exists(target) else []
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = file_system(spark, path)
     fs.mkdirs(target)

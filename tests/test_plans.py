@@ -13,7 +13,7 @@ from eodlake.model import TABLES
 from eodlake.operators import anomalies, clean, dedupe
 from eodlake.operators import store as stores
 from eodlake.plans import templates
-from eodlake.session import Scratch
+from eodlake.session import Scratch, make_folder
 from eodlake.sources import scan
 
 
@@ -59,6 +59,24 @@ def test_latest_day_prunes_folders(spark, store):
     assert df.count() == 1
 
 
+def test_latest_day_of_a_store_opens_one_folder(spark, store):
+    store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, dt.date(2024, 1, 4))]), "a.csv")
+    make_folder(spark, store.path("bhav_daily") + "/date=2024-01-05")
+    assert store.days("bhav_daily") == [DAY, dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
+    df = templates.latest_rows(store, "bhav_daily")
+    filters = plan(df).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "2024-01-04" in filters and "subquery" not in filters.lower()
+    assert [r.close for r in df.collect()] == [2.0]
+
+
+@pytest.mark.parametrize(("wanted", "last"), [(1, 1), (2, 4), (4, 4), (5, None), (99, None)])
+def test_earliest_rows_stop_at_the_day_that_fills_them(spark, store, wanted, last):
+    days = [DAY + dt.timedelta(i) for i in range(7)]
+    store.upsert_bars(bars(spark, [("A", 1.0, d) for d in days]), "a.csv")
+    df = templates.earliest_rows(store, ("bhav_daily",), wanted, lambda t: t["bhav_daily"])
+    assert sorted(r.date for r in df.collect()) == days[:last]
+
+
 def test_date_range_prunes_folders(spark, store):
     store.upsert_bars(bars(spark, [("A", 1.0, DAY)]), "a.csv")
     text = plan(store.table("bhav_daily", DAY, DAY).where("symbol = 'A'"))
