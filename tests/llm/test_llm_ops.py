@@ -8,6 +8,7 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,3 +276,28 @@ def test_pipeline(spark):
     assert 0 < len(rows) < len(source) and {r.doc_id for r in rows} <= {d for d, _ in source}
     components = Counter(c for _, _, c in shingle_components([(r.doc_id, r.text) for r in rows]))
     assert max(components.values()) == 1
+
+
+def test_toxic_dictionary_of_few_texts_and_of_many_words():
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("aeioutnsr") for _ in range(rnd.randint(3, 8)))
+    ordinary = [" ".join(word() for _ in range(120)).encode() for _ in range(80)]
+    few, other = toxicity.dictionaries([b"you utter blockhead, nothing else", b"a blockhead of the worst kind"], ordinary, 1)
+    assert b"blockhead" in few and b"blockhead" not in other and len(few) == len(other)
+    rude = [b"rude%05d" % i for i in range(3000)]
+    many, other = toxicity.dictionaries([b" ".join(rude)] * 4, ordinary, 1)
+    assert all(b" " + w + b" " in many for w in rude) and len(many) == len(other)
+
+
+def test_toxic_thresholds_come_from_the_calibration_texts():
+    found = []
+    for insult in ("blockhead", "blockheadedly-unreasonable"):
+        rnd = random.Random(1)
+        word = lambda: "".join(rnd.choice("aeioutnsr") for _ in range(rnd.randint(3, 8)))  # noqa: B023, E731
+        texts = [" ".join(insult if i % 2 and k % 15 == 3 else word() for k in range(120)).encode() for i in range(300)]
+        y = [i % 2 for i in range(300)]
+        model = toxicity.Model(*toxicity.dictionaries([t for t, x in zip(texts[:150], y) if x], [t for t, x in zip(texts[:150], y) if not x], 1))
+        model.start()
+        model.calibrate(texts[150:], np.array(y[150:]))
+        found.append(model.thresholds)
+    assert max(found[1]) > max(found[0])
