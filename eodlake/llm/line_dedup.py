@@ -7,6 +7,9 @@ Each group names at most one earlier line for each line, the nearest by sketch,
 their own; the Jaccard similarity of what is named is computed. Only lines that it leaves open, having more than one
 line to compare with and no match yet, meet all of theirs.
 
+Every line with a word takes part. Sets of up to three words match equal ones only (at 0.8): their class settles them,
+and they have no prefixes.
+
 Later means a larger (document id, line number). A line goes if any earlier line matches it, itself removed
 or not, so the result doesn't depend on the order of the work.
 """
@@ -25,8 +28,8 @@ from eodlake.llm.setjoin import MIX, NO_ID, SetJoin, Sets, Splitter, WordHashes,
 from eodlake.session import Scratch
 
 NUM, DEN = 4, 5
-#: Lines of fewer words are left alone: short ones repeat by chance.
-MIN_WORDS = 5
+#: Every line with a word takes part.
+MIN_WORDS = 1
 BITS = 21
 #: The group of a word that more lines have is split: every two of its parts meet in a group of their own.
 GROUP_ROWS = 50_000
@@ -69,6 +72,11 @@ def sketches(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.bitwise_xor.reduceat(np.where(spot >> np.uint64(6) == half, bit, np.uint64(0)), starts).view(np.int64) for half in (0, 1))
 
 
+def others_match(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which set sizes another set can be similar to: one more token must leave the similarity. Smaller sets only match equal ones."""
+    return (n > 0) & (n * den >= (n + 1) * num)
+
+
 def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.ndarray]:
     """For each row that an earlier one of its group may match, the nearest such row by sketch, and whether it is the only one.
 
@@ -123,7 +131,7 @@ class LineJoin(SetJoin):
             for _, texts in _chunks(batches):
                 sets = split(texts)
                 n = sets.size
-                new = _remembered(seen, sets.digests()[0], sketches(sets)[0], n > 0, np.zeros(len(n), np.int64))
+                new = _remembered(seen, sets.digests()[0], sketches(sets)[0], others_match(n, num, den), np.zeros(len(n), np.int64))
                 value = sort_each(ranked(sets.tokens), n)
                 at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
                 keep = np.repeat(new, n) & (at < np.repeat(n - -(-num * n // den) + 1, n))
@@ -180,7 +188,9 @@ class LineJoin(SetJoin):
                 sets = split(texts)
                 one, (s1, s2), n = sets.digests()[0], sketches(sets), sets.size
                 own = np.array([NO_ID if i is None else i for i in ids], np.int64)[sets.text]
-                want = sets.size > 0 if classes is None else among(classes, one)
+                want = others_match(n, num, den)
+                if classes is not None:
+                    want &= among(classes, one)
                 record = np.repeat(np.arange(len(n)), n)
                 new = _remembered(seen, one, s1, want, own)
                 value = sort_each(ranked(sets.tokens), n)

@@ -301,3 +301,19 @@ def test_toxic_thresholds_come_from_the_calibration_texts():
         model.calibrate(texts[150:], np.array(y[150:]))
         found.append(model.thresholds)
     assert max(found[1]) > max(found[0])
+
+
+def test_line_dedup_of_short_lines(spark):
+    lines = ["a", "b a", "A", "a b", "a  a", "one two three four", "x one two three", "One two three four five", "four three two one", "three two one", "", "p q r s t", "p q r s", "k l m", "k l n"]
+    rows = [(i, "\n".join(lines[i:] + lines[:i])) for i in range(2)] + [(2, lines[5]), (3, "A B"), (4, "z"), (5, "x y z\nz")]
+    seen, want = [], {}
+    for d, t in rows:
+        want[d] = []
+        for k, s in enumerate(set(x.lower().split()) for x in t.split("\n")):
+            if any(10 * len(s & x) >= 8 * len(s | x) for x in seen if s):
+                want[d].append(k)
+            seen.append(s)
+    assert want[3] == [0] and want[5] == [1] and {2, 3, 4, 7, 8, 12} <= set(want[0])
+    got = {r.id: list(r.removed) for r in line_dedup.line_counts(docs(spark, *rows)).collect()}
+    assert got == want
+    assert {r.doc_id for r in line_dedup.dedup(docs(spark, *rows)).collect()} == {0, 4, 5}
