@@ -28,8 +28,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return ngram_join.keep_one(docs.select(*DOCUMENT_COLUMNS)).select(*DOCUMENT_COLUMNS)
+    """One document of each group of near copies (five words, 0.8), the one with the smallest id."""
+    return ngram_join.keep_one(docs.select(*DOCUMENT_COLUMNS), words=5, num=80, den=100).select(*DOCUMENT_COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,13 +168,13 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
         )
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of `df`, all columns, whose id is the smallest of what links reach; rows without shingles all stay.
 
     Rows without an id always stay. Rows that repeat an id share its verdict.
     """
     gone = (
-        join_ngrams(df, id_col, text_col)
+        join_ngrams(df, id_col, text_col, words, num, den)
         .where("id != component_id")
         .select(F.col("id").alias("gone_id"))
         .distinct()

@@ -317,3 +317,33 @@ def test_line_dedup_of_short_lines(spark):
     got = {r.id: list(r.removed) for r in line_dedup.line_counts(docs(spark, *rows)).collect()}
     assert got == want
     assert {r.doc_id for r in line_dedup.dedup(docs(spark, *rows)).collect()} == {0, 4, 5}
+
+
+def test_near_copies_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(4)
+    rows = []
+    for i in range(40):
+        if i % 2 and i > 2:
+            words = rows[-1][1].split()
+            for _ in range(rnd.randint(1, 2)):
+                words[rnd.randrange(len(words))] = f"new{i}"
+        else:
+            words = [f"w{rnd.randrange(500)}" for _ in range(rnd.randint(40, 120))]
+        rows.append((i, " ".join(words)))
+    base = [f"x{i}" for i in range(50)]
+    rows += [(50, " ".join(base)), (51, " ".join([*base[:25], "other", *base[26:]])), (52, "one two three"), (53, "One two  three"), (54, None), (55, "")]
+    sets, kept = [], set()
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    group = list(range(len(rows)))
+    for _ in rows:  # until nothing moves
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 10 * len(a & b) >= 8 * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    kept = {rows[i][0] for i, g in enumerate(group) if g == i}
+    assert not {51, 53} & kept and {50, 52, 54, 55} <= kept
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs(spark, *rows), SF).collect()} == kept
