@@ -347,3 +347,23 @@ def test_near_copies_stage_takes_five_words_and_four_fifths(spark):
     kept = {rows[i][0] for i, g in enumerate(group) if g == i}
     assert not {51, 53} & kept and {50, 52, 54, 55} <= kept
     assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs(spark, *rows), SF).collect()} == kept
+
+
+def test_license_files_of_any_length_and_wrapped_notices(spark):
+    full = dict(licenses.full_texts())
+    filler = "\n".join(f"value{i} = compute{i}" for i in range(60))
+    header = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {} General Public License as published\n# by the Free Software Foundation\n"
+    rows = [
+        (1, "mit/LICENSE", "Copyright (c) 2020 Somebody Else\n\n" + full["MIT"]), (2, "mit/src/a.py", filler),
+        (3, "gpl/docs/terms.txt", full["GPL-3.0"]), (4, "gpl/docs/b.py", filler), (5, "gpl2/COPYING", full["GPL-2.0"]),
+        (6, "x/wrapped.py", f"{filler}\n# Licensed under the Apache\n# License, Version 2.0\n{filler}"), (7, "x/c.py", filler),
+        (8, "x/long.py", filler.replace("\n", " ") + " Released under the MIT License " + filler.replace("\n", " ")),
+        (9, "y/affero.py", header.format("Affero") + filler), (10, "y/lesser.py", header.format("Lesser") + filler), (11, "y/plain.py", header.replace("{} ", "") + filler),
+        (12, "z/NOTICE.txt", f"{filler}\nReleased under the MIT License\n{filler}"), (13, "z/d.py", filler),
+    ]
+    files = spark.createDataFrame(rows, "id long, path string, text string")
+    got = {r.id: (r.license, r.basis) for r in licenses.scan(files, "id", "path", "text", licenses.matcher(files)).collect()}
+    assert got == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("GPL-2.0", "own"), 6: ("Apache-2.0", "own"),
+        7: (None, None), 8: ("MIT", "own"), 9: ("AGPL-3.0", "own"), 10: ("LGPL-3.0", "own"), 11: ("GPL-3.0", "own"), 12: ("MIT", "own"), 13: ("MIT", "inherited"),
+    }
