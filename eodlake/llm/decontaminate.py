@@ -34,6 +34,8 @@ _TYPED = (
     (rf"(?<=[\p{{L}}\p{{N}}⟩])\p{{Punct}}+{_END}", ""),
     (r"(?<![^\x20\x09-\x0D])\p{Punct}+(?=[\p{L}\p{N}⟨])", ""),
 )
+#: Outer punctuation of slot values; signs, currencies and per cents belong to the value.
+_OUTER = rf"(?<=[\p{{L}}\p{{N}}%])[\p{{Punct}}&&[^%]]+{_END}|(?<![^\x20\x09-\x0D])[\p{{Punct}}&&[^+\-$]]+(?=[\p{{L}}\p{{N}}+\-$€£])"
 
 
 def _words(text: Column) -> Column:
@@ -50,14 +52,14 @@ def template(text: Column) -> Column:
 def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int]) -> DataFrame:
     """(keys, position, hash, slots) of each window with at least two literal words.
 
-    slots: the text's words at the window's placeholders, in order; null if the text has none. Windows shorter
+    slots: the text's words at the window's placeholders, without outer punctuation, in order; null if the text has none. Windows shorter
     than WINDOW have as many words as the item that they stand for and need one literal word.
     """
     typed = df.select(*keys, F.col(text).alias("raw"), template(F.col(text)).alias("canonical"))
     split = typed.select(
         *keys,
         _words(F.col("canonical")).alias("w"),
-        F.when(F.contains("canonical", F.lit("⟨")), _words(F.col("raw"))).alias("raw_w"),
+        F.when(F.contains("canonical", F.lit("⟨")), _words(F.regexp_replace("raw", F.lit(_OUTER), F.lit("")))).alias("raw_w"),
     )
 
     def at(k: int) -> Column:

@@ -367,3 +367,14 @@ def test_license_files_of_any_length_and_wrapped_notices(spark):
         1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("GPL-2.0", "own"), 6: ("Apache-2.0", "own"),
         7: (None, None), 8: ("MIT", "own"), 9: ("AGPL-3.0", "own"), 10: ("LGPL-3.0", "own"), 11: ("GPL-3.0", "own"), 12: ("MIT", "own"), 13: ("MIT", "inherited"),
     }
+
+
+def test_punctuation_of_slot_values_does_not_count(spark):
+    item = "then Anna gave 12 ripe apples to the old man by the sea and so Anna kept 12 for the way home"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [
+        (1, item.replace("then Anna", "then Anna,").replace("gave 12", "gave (12)")), (2, item.replace("Anna kept 12", "Anna! kept 12,")),
+        (3, item.replace("kept 12", "kept -12").replace("gave 12", "gave +12")), (4, item),
+    ]
+    got = {r.doc_key.id: r.other_values for r in decontaminate.leaks(docs(spark, *rows), bench).collect()}
+    assert got == {1: 0, 2: 0, 4: 0}
