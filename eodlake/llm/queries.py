@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality_model, quality_rules, toxicity, url_filters, warc
+from eodlake.llm import (
+    conversations, decontaminate, licenses, line_dedup, mixing, ngram_join, quality_model, quality_rules, spelling, suffix_dedup, toxicity,
+    url_filters, warc,
+)
 from eodlake.llm.common import table
 
 SEED = 11
@@ -111,6 +114,35 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows of conversations with the damage that the contract names; `there` is false for dropped rows."""
+    space = F.lit(" ")
+    text = F.coalesce("text", space)
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"), (F.crc32(name) % 20).alias("harm"))
+    harm = F.col("harm")
+    return rows.select(
+        "conv_id", "turn", (harm != 0).alias("there"),
+        F.when(harm == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(harm == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversations.repair(damaged(table(spark, sf_dir, "conversations")), there=F.col("there"))
+    return found.withColumnRenamed("key", "conv_id")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents"), harm=199))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -122,4 +154,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_toxicity": op9_toxicity,
     "op10_licenses": op10_licenses,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_repair_conversations": op12_repair_conversations,
+    "op13_spelling": op13_spelling,
 }
