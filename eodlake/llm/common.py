@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps whose rows are cut: Spark removes them when the driver has collected what named them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` doesn't have yet, in any spelling."""
     taken = {c.lower() for c in df.columns}

@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import cut, utf8
+from eodlake.llm.common import cut, release, utf8
 from eodlake.llm.suffix_array import common_prefixes, suffix_order
 
 LENGTH = 50
@@ -41,8 +41,10 @@ _BASES = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * _U(2) + _U(1)
 _SEPARATOR = 255  # never a byte of UTF-8
 
-OPEN = "a long, e long, doc long, part long, start int, stop int, open boolean"
-FOUND = "a long, e long, doc long, part long, start int, stop int, covered boolean"
+#: `place` is where a span starts and how long it is, in one number: most of the shuffled bytes are these rows.
+OPEN = "a long, e long, doc long, part long, place long, open boolean"
+FOUND = "a long, e long, doc long, part long, place long, covered boolean"
+START, STOP = "cast(place >> 32 AS int)", "cast((place >> 32) + (place & 4294967295) AS int)"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -51,6 +53,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
+def _place(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    return start.astype(np.int64) << 32 | (stop - start).astype(np.int64)
+
+
 class Hashes:
     """Hashes of any substring of a block from running sums of powers, the same wherever the substring lies."""
 
@@ -174,7 +180,7 @@ def _sent(doc: np.ndarray, part: np.ndarray, at: np.ndarray, text: np.ndarray, e
     return _batch(
         OPEN,
         np.append(a[mine], _mix(ids[rest].view(_U))).view(np.int64), np.append(e[mine], np.zeros(len(rest), _U)).view(np.int64),
-        ids[pick], part[local[pick]], start[pick] - shift, np.append(open_stop, done_stop) - shift, np.arange(len(pick)) < n,
+        ids[pick], part[local[pick]], _place(start[pick] - shift, np.append(open_stop, done_stop) - shift), np.arange(len(pick)) < n,
     )
 
 
@@ -201,7 +207,7 @@ def _settle(branches: bool):
         for batch in batches:
             decided = batch.filter(pa.compute.invert(batch.column("open")))
             if decided.num_rows:
-                yield _batch(FOUND, *decided.columns[:6], np.ones(decided.num_rows, bool))
+                yield _batch(FOUND, *decided.columns[:5], np.ones(decided.num_rows, bool))
             batch = batch.filter(batch.column("open"))
             n = batch.num_rows
             if not n:
@@ -214,7 +220,7 @@ def _settle(branches: bool):
             least = np.append(before[2], doc[new_e])[group]
             covered = doc > least
             if covered.any():
-                yield _batch(FOUND, *batch.filter(pa.array(covered)).columns[:6], np.ones(int(covered.sum()), bool))
+                yield _batch(FOUND, *batch.filter(pa.array(covered)).columns[:5], np.ones(int(covered.sum()), bool))
             if branches:
                 anchor = np.cumsum(new_a)  # 0: goes on from the batch before
                 kinds = np.bincount(anchor, new_e).astype(np.int64)
@@ -223,7 +229,7 @@ def _settle(branches: bool):
                     yield from waiting
                 if len(kinds) > 1 or kinds[0] > 1:
                     waiting = []
-                kept = _batch(FOUND, *batch.filter(pa.array(~covered)).columns[:6], np.zeros(n - int(covered.sum()), bool))
+                kept = _batch(FOUND, *batch.filter(pa.array(~covered)).columns[:5], np.zeros(n - int(covered.sum()), bool))
                 many = kinds[anchor[~covered]] > 1
                 if many.any():
                     yield kept.filter(pa.array(many))
@@ -271,11 +277,11 @@ def _same_strings(block: list[tuple], length: int, split: int | None) -> Iterato
     covered = covered[np.lexsort((place[covered], owner[covered]))]
     first, stop = merged(owner[covered], place[covered], place[covered] + length)
     pick = covered[first]
-    yield _batch(OPEN, a[owner[pick]], np.zeros(len(pick)), doc[owner[pick]], part[owner[pick]], place[pick], stop, np.zeros(len(pick), bool))
+    yield _batch(OPEN, a[owner[pick]], np.zeros(len(pick)), doc[owner[pick]], part[owner[pick]], _place(place[pick], stop), np.zeros(len(pick), bool))
     if split is not None:
         left = np.flatnonzero((doc[owner] == least) & (a[owner] == split))
         one, two = (Hashes(text, i).at(order[left], order[left] + length).view(np.int64) for i in (0, 1))
-        yield _batch(OPEN, one, two, doc[owner[left]], part[owner[left]], place[left], place[left] + length, np.ones(len(left), bool))
+        yield _batch(OPEN, one, two, doc[owner[left]], part[owner[left]], _place(place[left], place[left] + length), np.ones(len(left), bool))
 
 
 def _sort_suffixes(length: int, size: int):
@@ -313,16 +319,20 @@ def _sort_suffixes(length: int, size: int):
 def covered(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """(doc, part, start, stop) of the spans to remove, of `docs` (doc, part, text as bytes); ids not null."""
     known = docs.where("doc IS NOT NULL").where(F.length("text") >= length)
+    spark = docs.sparkSession
     sent = known.mapInArrow(_anchors(length), OPEN)
     found = cut(sent.repartition("a").sortWithinPartitions("a", "e", "doc").mapInArrow(_settle(True), FOUND))
-    wanted = found.where("NOT covered").groupBy("doc", "part").agg(F.collect_list(F.struct("a", "start", "stop")).alias("wanted"))
+    release(spark)
+    wanted = F.collect_list(F.struct("a", F.expr(START).alias("start"), F.expr(STOP).alias("stop"))).alias("wanted")
+    wanted = found.where("NOT covered").groupBy("doc", "part").agg(wanted)
     pieces = known.join(wanted, ["doc", "part"]).select("doc", "part", "text", "wanted").mapInArrow(
         _cut_out, "a long, doc long, part long, start int, text binary"
     )
     sorted_ = cut(pieces.repartition("a").sortWithinPartitions("a").mapInArrow(_sort_suffixes(length, block), OPEN))
+    release(spark)
     split = sorted_.where("open").repartition("a").sortWithinPartitions("a", "e", "doc").mapInArrow(_settle(False), FOUND)
-    spans = ("doc", "part", "start", "stop")
-    return found.where("covered").select(*spans).union(sorted_.where("NOT open").select(*spans)).union(split.select(*spans))
+    spans = found.where("covered").select("doc", "part", "place").union(sorted_.where("NOT open").select("doc", "part", "place"))
+    return spans.union(split.select("doc", "part", "place")).selectExpr("doc", "part", f"{START} AS start", f"{STOP} AS stop")
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,11 +366,13 @@ def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", len
     `kept` is binary, as a run may end inside a character. For nulls and repeated ids see above.
     """
     docs = docs.select(F.col(id_).cast("long").alias("doc"), utf8(text).alias("text"))
-    # rows of one id are told apart only where there are several
-    again = docs.where("doc IS NOT NULL").groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc", F.lit(True).alias("again"))
-    docs = docs.join(again, "doc", "left").select(
-        "doc", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("part"), "text"
-    )
+    # rows of one id are told apart by their text, where there are several
+    again = cut(docs.where("doc IS NOT NULL").groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc", F.lit(True).alias("again")))
+    if again.isEmpty():
+        docs = docs.withColumn("part", F.lit(0).cast("long"))
+    else:
+        part = F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+        docs = docs.join(again, "doc", "left").withColumn("part", part)
     spans = covered(docs, length, block).groupBy("doc", "part").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     return (

@@ -102,8 +102,9 @@ def test_long_texts_come_in_pieces(monkeypatch):
     covered = defaultdict(set)
     for out in suffix_dedup._anchors(50)(iter([batch])):
         for row in out.to_pylist():
-            assert 50 <= row["stop"] - row["start"]
-            covered[row["doc"]].update(range(row["start"], row["stop"] - 49))
+            start, long = row["place"] >> 32, row["place"] & 0xFFFFFFFF
+            assert long >= 50
+            covered[row["doc"]].update(range(start, start + long - 49))
     assert {d: len(s) for d, s in covered.items()} == {d: len(t) - 49 for d, t in enumerate(texts) if len(t) >= 50}
 
 
