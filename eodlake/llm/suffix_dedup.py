@@ -187,8 +187,8 @@ def _sent(doc: np.ndarray, part: np.ndarray, at: np.ndarray, text: np.ndarray, e
 def _anchors(length: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, part = (np.asarray(batch.column(i)) for i in (0, 1))
-            offsets, data = _bytes_of(batch.column(2))
+            doc, part = (np.asarray(batch.column(c)) for c in ("doc", "part"))
+            offsets, data = _bytes_of(batch.column("text"))
             for i, j, lo, hi in _blocks(offsets, length):
                 found = _sent(doc[i:j], part[i:j], offsets[i:j] - lo, data[lo:hi], np.minimum(offsets[i + 1 : j + 1], hi) - lo, length)
                 if found is not None:
