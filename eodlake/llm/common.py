@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import string
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ def cut(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps whose rows are cut: Spark removes them when the driver has collected what named them."""
     gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what named them is itself held by objects that go in a first round
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def fresh(df: DataFrame, name: str) -> str:
