@@ -9,7 +9,8 @@ from __future__ import annotations
 import codecs
 import csv
 import hashlib
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -20,11 +21,13 @@ from pyspark.sql import types as T
 from eodlake.functions.text import col
 from eodlake.sources.archives import member_blocks, task_count, unpack
 from eodlake.sources.files import claimed_day
-from eodlake.sources.streams import RecordScan, blocks, located
+from eodlake.sources.streams import BLOCK, START, QuoteMap, RecordScan, blocks, located
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EMPTY = "file is empty"
 NOT_UTF8 = "not UTF-8"
+#: Bytes of a plain file that one task scans.
+RANGE = 1 << 28
 
 
 def header_fields(header: str) -> list[str]:
@@ -44,66 +47,169 @@ def text_schema(fields: list[str]) -> T.StructType:
     return schema
 
 
-def _look(path: str, zipped: bool) -> tuple[str | None, str | None, bool, str | None]:
-    """(sha256, header, breaks, error) of one file, block by block."""
-    sha, seen, decoder = hashlib.sha256(), RecordScan(), codecs.getincrementaldecoder("utf-8")()
-    digest = None
+def _digest(path: str) -> tuple[str | None, str | None]:
+    """(sha256, error) of the bytes of a file."""
+    sha = hashlib.sha256()
     try:
         store, inner = located(path)
         with store.open_input_stream(inner, compression=None) as stream:
             for block in blocks(stream):
                 sha.update(block)
-                if not zipped and seen is not None:
-                    seen = _followed(seen, decoder, block)
-        digest = sha.hexdigest()
-        if zipped:
-            for block in member_blocks(path):
-                if (seen := _followed(seen, decoder, block)) is None:
-                    break
-        if seen is None or not _ended(decoder):
-            return digest, None, False, NOT_UTF8
-        return digest, seen.header, seen.breaks, None if seen.header else EMPTY
+        return sha.hexdigest(), None
     except (ValueError, OSError) as exc:
-        return digest, None, False, str(exc)
+        return None, str(exc)
 
 
-def _followed(seen: RecordScan, decoder, block: bytes) -> RecordScan | None:
-    """The scan one block further; None from the first byte on that is not UTF-8."""
+def _tasks(rows: DataFrame, *by: str) -> DataFrame:
+    """A listing spread over tasks."""
+    return rows.repartition(task_count(rows), *by)
+
+
+def fingerprints(spark: SparkSession, parts: DataFrame) -> DataFrame:
+    """Add (sha256, error) to resolved parts. A hash goes through a file from start to end, so one task reads it."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            found = [_digest(p) for p in paths]
+            columns = [pa.array(c, pa.string()) for c in (paths, [f[0] for f in found], [f[1] for f in found])]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "sha256", "error"])
+
+    return parts.join(_tasks(parts.select("path"), "path").mapInArrow(digest, "path string, sha256 string, error string"), "path")
+
+
+class _Text:
+    """Whether the bytes of a range are UTF-8. A character across two ranges counts with the first."""
+
+    def __init__(self, first: bool):
+        self._decoder = codecs.getincrementaldecoder("utf-8")()
+        self._skip = 0 if first else 3  # bytes that may still belong to the range before
+        self.good = True
+
+    def feed(self, block: bytes, final: bool = False) -> None:
+        while self._skip and block:
+            if block[0] & 0xC0 == 0x80:
+                block, self._skip = block[1:], self._skip - 1
+            else:
+                self._skip = 0
+        try:
+            self._decoder.decode(block, final)
+        except UnicodeDecodeError:
+            self.good = False
+
+
+def _follow(source: Iterator[bytes], seen: RecordScan | QuoteMap, first: bool, rest: Callable[[], bytes] = bytes) -> str | None:
+    """Lead a scan over a range; the error if it is not UTF-8. `rest` gives the bytes right behind the range."""
+    text = _Text(first)
+    for block in source:
+        text.feed(block)
+        if not text.good:
+            return NOT_UTF8
+        seen.feed(block)
+    behind = rest()[:3]
+    text.feed(behind[: len(behind) - len(behind.lstrip(_CONTINUED))], final=True)
+    return None if text.good else NOT_UTF8
+
+
+_CONTINUED = bytes(range(0x80, 0xC0))
+
+
+def _range(path: str, offset: int, size: int) -> tuple:
+    """(header, end, breaks, error) of a range of a plain file; the header only of the first one."""
+    first = offset == 0
+    seen = RecordScan() if first else QuoteMap()
     try:
-        decoder.decode(block)
-    except UnicodeDecodeError:
-        return None
-    seen.feed(block)
-    return seen
+        store, inner = located(path)
+        with store.open_input_file(inner) as file:
+            file.seek(offset)
+
+            def upto() -> Iterator[bytes]:
+                left = size
+                while left and (block := file.read(min(BLOCK, left))):
+                    left -= len(block)
+                    yield block
+
+            error = _follow(upto(), seen, first, lambda: file.read(3))
+            if error or not first:
+                return None, list(seen.end) if not first else None, list(seen.breaks) if not first else None, error
+            end, breaks = seen.end, seen.breaks
+            file.seek(offset + size)
+            while not seen.headed and (block := file.read(BLOCK)):  # a header longer than the range
+                seen.feed(block)
+            return seen.header, [end] * 3, [breaks] * 3, None
+    except (ValueError, OSError) as exc:
+        return None, None, None, str(exc)
 
 
-def _ended(decoder) -> bool:
+def _member(path: str, target: str | None) -> tuple:
+    """The same of the CSV in an archive, written to `target` on the way."""
+    seen = RecordScan()
     try:
-        decoder.decode(b"", final=True)
-    except UnicodeDecodeError:
-        return False
-    return True
+        if target is None:
+            error = _follow(member_blocks(path), seen, True)
+        else:
+            store, inner = located(target)
+            store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(inner, compression=None) as out:
+
+                def copied() -> Iterator[bytes]:
+                    for block in member_blocks(path):
+                        out.write(block)
+                        yield block
+
+                error = _follow(copied(), seen, True)
+        return (None, None, None, error) if error else (seen.header, [seen.end] * 3, [seen.breaks] * 3, None)
+    except (ValueError, OSError) as exc:
+        return None, None, None, str(exc)
 
 
-def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
-    """Add (sha256, header, breaks, error) to resolved parts, plain and zipped, of any size.
+_RANGE_SCHEMA = "path string, offset long, header string, end array<int>, breaks array<boolean>, error string, data string"
 
-    One task streams a file from start to end. A file that cannot be used says so in `error`.
-    """
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def look(spark: SparkSession, parts: DataFrame, folder: str | None = None, size: int = RANGE) -> DataFrame:
+    """Add (header, breaks, error, data) to resolved parts, plain and zipped, of any size.
+
+    Plain files are scanned in ranges of `size` bytes by as many tasks: what quotes do to a range is a map between
+    three states, and the maps of a file are joined in order. An archive is unpacked once, below `folder` if there is one,
+    and scanned on the way. `data` is the plain file to read. A file that cannot be used says so in `error`.
+    """
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.string(), pa.string())
+        names = [c.split()[0] for c in _RANGE_SCHEMA.split(", ")]
         for batch in batches:
-            paths, zipped = (c.to_pylist() for c in batch.columns)
-            found = zip(*[(p, *_look(p, z)) for p, z in zip(paths, zipped, strict=True)], strict=True)
-            kinds = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string())
-            columns = [pa.array(x, k) for x, k in zip(found, kinds, strict=True)] or [pa.array([], k) for k in kinds]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "sha256", "header", "breaks", "error"])
-
-    tasks = task_count(parts)
-    looked = parts.select("path", "zipped").repartition(tasks, "path").mapInArrow(
-        look, "path string, sha256 string, header string, breaks boolean, error string"
+            found = []
+            for path, zipped, place, offset in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                data = path
+                if zipped:
+                    data = f"{folder}/{uuid.uuid4().hex}/{place}" if folder else None
+                found.append((path, offset, *(_member(path, data) if zipped else _range(path, offset, size)), data))
+            columns = list(zip(*found, strict=True)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    # the place below the landing folder stays the same, as days are read from it
+    place = F.concat_ws("/", F.col("product"), F.element_at(F.split("path", F.concat(F.lit("/"), F.col("product"), F.lit("/"))), -1)) if "product" in parts.columns else F.lit("")
+    last = F.when(F.col("zipped"), F.lit(0)).otherwise(F.greatest(F.col("length") - 1, F.lit(0)))
+    wanted = parts.select("path", "zipped", place.alias("place"), F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"), F.lit(size).cast("long"))).alias("offset"))
+    looked = _tasks(wanted, "path", "offset").mapInArrow(ranges, _RANGE_SCHEMA)
+    error = F.min(F.when(F.col("error").isNotNull(), F.struct("offset", "error"))).getField("error")
+    steps = F.array_sort(F.collect_list(F.struct("offset", "end", "breaks")))
+    files = looked.groupBy("path").agg(F.max("header").alias("header"), steps.alias("steps"), error.alias("error"), F.max("data").alias("data"))
+    joined = F.aggregate(
+        "steps", F.struct(F.lit(START).alias("at"), F.lit(False).alias("breaks")),
+        lambda done, step: F.struct(step["end"][done["at"]].alias("at"), (done["breaks"] | step["breaks"][done["at"]]).alias("breaks")),
+    ).getField("breaks")
+    error = F.coalesce("error", F.when(F.col("header").isNull(), EMPTY))
+    files = files.select(
+        "path", F.when(error.isNull(), F.col("header")).alias("header"), (error.isNull() & joined).alias("breaks"), error.alias("error"), "data"
     )
-    return parts.join(looked, "path")
+    return parts.join(files, "path")
+
+
+def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
+    """Add (sha256, header, breaks, error) to resolved parts, plain and zipped, of any size."""
+    hashed = fingerprints(spark, parts).withColumnRenamed("error", "unread")
+    found = look(spark, hashed).withColumn("error", F.coalesce("unread", "error"))
+    return found.drop("unread", "data")
 
 
 def unpacked(parts: DataFrame, folder: str) -> DataFrame:
