@@ -1,7 +1,7 @@
 """Stored tables: Parquet folders, the daily ones partitioned by date.
 
 Every daily key contains `date`, so an upsert reads and rewrites only the days it touches, and a
-date predicate in any query prunes folders without help.
+date predicate in any query prunes folders without help. Days are replaced whole (`commit.py`).
 """
 
 from __future__ import annotations
@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eodlake.model import SCHEMA_VERSION, TABLES, Table
+from eodlake.operators.commit import Stage, leaves, recover
 from eodlake.operators.dedupe import keep_first
-from eodlake.session import Scratch, delete, folders, make_folder, recover_folder, replace_folder
+from eodlake.session import Scratch, folders, make_folder, recover_folder, replace_folder
 
 _LOAD_TIMES = ("ingested_at", "updated_at", "applied_at", "generated_at")
 
@@ -79,6 +80,8 @@ class Store:
         """Create what is missing and bring an older store to the current version."""
         for name in TABLES:
             recover_folder(self.spark, self.path(name))
+            if TABLES[name].partition:
+                recover(self.spark, self.root, name, TABLES[name].partition)
             make_folder(self.spark, self.path(name))
         version = self.schema_version
         if version == SCHEMA_VERSION:
@@ -125,59 +128,59 @@ class Store:
 
     # ---- writing ----
 
-    def _write(self, df: DataFrame, table: Table) -> None:
-        """Replace the partitions present in `df`; file sizes are left to adaptive execution."""
-        by = [F.col(c) for c in table.partition]
-        ordered = [c for c in table.key if c not in table.partition]
-        out = df.hint("rebalance", *by).sortWithinPartitions(*by, *ordered)
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*table.partition)
-            .parquet(self.path(table.name))
-        )
+    def _stage(self, table: Table) -> Stage:
+        recover(self.spark, self.root, table.name, table.partition)
+        return Stage(self.spark, self.root, table.name, table.partition)
 
     def upsert(
         self, name: str, staged: DataFrame, winner: Column | list[Column] | None = None
     ) -> int:
         """Replace by primary key; returns the number of rows staged after deduplication.
 
-        `winner` orders rows of equal key, first wins; without it the keys must be unique.
+        `winner` orders rows of equal key, first wins; without it the keys must be unique. The rows are written once,
+        where they are counted and checked on the way. Partitions not stored before are then in place but for a
+        move; the others are merged with what is stored.
         """
         table = TABLES[name]
-        key = list(table.key)
         if winner is not None:
-            staged = keep_first(staged, key, winner)
-        with Scratch(self.spark) as scratch:
-            new = scratch.write(conform(staged, table))
-            broken = F.lit(False)
-            for c in table.not_null:
-                broken = broken | F.col(c).isNull()
-            # one value per day or product at most
-            touched = F.collect_set(F.struct(*table.partition)) if table.partition else F.lit(None)
-            n, n_broken, parts = new.agg(
-                F.count(F.lit(1)), F.count_if(broken), touched
-            ).first()
-            if n_broken:
-                raise ValueError(f"{name}: {n_broken} rows with null in {table.not_null}")
-            if n == 0:
+            staged = keep_first(staged, list(table.key), winner)
+        broken = F.lit(False)
+        for c in table.not_null:
+            broken = broken | F.col(c).isNull()
+        seen = Observation()
+        new = conform(staged, table).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("broken"))
+        if not table.partition:
+            return self._replace(table, new, seen)
+        with self._stage(table) as stage:
+            touched = stage.write(new, table.key)
+            if not touched:
                 return 0
-            old = self.table(name)
-            if table.partition:
+            self._refuse(table, seen)
+            stored = set(leaves(self.spark, self.path(name), len(table.partition)))
+            both = [leaf.partition("=")[2] for leaf in touched if leaf in stored]
+            if both:
                 column = table.partition[0]
-                old = old.where(F.col(column).isin([p[0] for p in parts]))
-            if old.isEmpty():  # a first load has nothing to merge with
-                merged = new
-            else:
-                merged = merge(old, new, table)
-            if table.partition:
-                self._write(merged, table)
-            else:
-                # written whole beside the table, then moved into its place
-                fresh = f"{self.path(name)}.new-{uuid.uuid4().hex}"
-                merged.write.parquet(fresh)
-                replace_folder(self.spark, fresh, self.path(name))
-            return n
+                here = F.col(column).isin([F.lit(v).cast(table.schema[column].dataType) for v in both])
+                again = self.spark.read.schema(table.schema).parquet(stage.new).where(here)
+                stage.write(merge(self.table(name).where(here), again, table), table.key, "merged")
+                stage.replace("merged")
+            stage.commit()
+        return seen.get["n"]
+
+    def _refuse(self, table: Table, seen: Observation) -> None:
+        if seen.get["broken"]:
+            raise ValueError(f"{table.name}: {seen.get['broken']} rows with null in {table.not_null}")
+
+    def _replace(self, table: Table, new: DataFrame, seen: Observation) -> int:
+        """A table without partitions is written whole beside its place, then moved there."""
+        with Scratch(self.spark) as scratch:
+            new = scratch.write(new)
+            self._refuse(table, seen)
+            if seen.get["n"]:
+                fresh = f"{self.path(table.name)}.new-{uuid.uuid4().hex}"
+                merge(self.table(table.name), new, table).write.parquet(fresh)
+                replace_folder(self.spark, fresh, self.path(table.name))
+        return seen.get["n"]
 
     def _upsert_file(self, name: str, df: DataFrame, source_file: str | None) -> int:
         if source_file is not None:
@@ -213,17 +216,14 @@ class Store:
         A slice without new issues ends up empty.
         """
         table = TABLES["qc_issues"]
-        with Scratch(self.spark) as scratch:
-            new = scratch.write(conform(issues, table))
-            found = new.select("product", "date").distinct()
-            # days without issues: bounded by the calendar
-            stale = [] if slices is None else slices.join(
-                found, ["product", "date"], "left_anti"
-            ).distinct().collect()
-            if not new.isEmpty():
-                self._write(new, table)
-        for row in stale:
-            delete(self.spark, f"{self.path('qc_issues')}/product={row.product}/date={row.date}")
+        with self._stage(table) as stage:
+            found = stage.write(conform(issues, table), table.key)
+            if slices is not None:  # bounded by the calendar
+                slices = [f"product={r.product}/date={r.date}" for r in slices.select("product", "date").distinct().collect()]
+                stored = set(leaves(self.spark, self.path(table.name), 2)) if slices else set()
+                for leaf in set(slices) & stored - set(found):
+                    stage.empty(leaf)
+            stage.commit()
 
     def refresh_gaps(self, product: str, rows: DataFrame) -> int:
         """Replace all gap rows of one product; no rows clears them."""
@@ -237,11 +237,13 @@ class Store:
         rows = legacy.withColumn("series", default_series(F.col("series")))
         table = TABLES["deliverable_daily"]
         newest = F.desc("ingested_at") if "ingested_at" in legacy.columns else F.lit(0)
-        with Scratch(self.spark) as scratch:
-            # the legacy rows may sit in the very folders that are rewritten
-            rekeyed = scratch.write(conform(keep_first(rows, table.key, newest), table))
-            self._write(rekeyed, table)
-            return rekeyed.count()
+        seen = Observation()
+        rekeyed = conform(keep_first(rows, table.key, newest), table).observe(seen, F.count(F.lit(1)).alias("n"))
+        with self._stage(table) as stage:
+            if not stage.write(rekeyed, table.key):
+                return 0
+            stage.commit()
+        return seen.get["n"]
 
 
 def default_series(series: Column) -> Column:
