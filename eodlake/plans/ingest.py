@@ -1,18 +1,20 @@
-"""Ingest job: all pending days of a product in one pass.
+"""Ingest job: all pending days of all products in one pass.
 
-list -> resolve -> hash -> skip what the log has -> scan -> clean -> gate per file -> upsert -> quality
-issues -> log. The log is written last, so a run that dies is simply repeated.
+list -> resolve -> hash -> skip what the log has -> scan quotes and headers -> per product: clean, gate per file,
+upsert -> quality issues -> log. The log is written last, so a run that dies is simply repeated.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from eodlake.functions.calendar import days_between, is_trading_day
 from eodlake.model import DAILY_PRODUCTS, ERROR, INGESTED, NON_TRADING, PRODUCTS, SKIPPED
@@ -49,91 +51,107 @@ def ingest_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _layout_errors(store: Store, product: str, headers: list[str]) -> DataFrame:
-    """(header, reason) of layouts that cannot be used."""
+def _layout_errors(spark: SparkSession, layouts: list[tuple[str, str]]) -> DataFrame:
+    """(product, header, reason) of layouts that cannot be used."""
     reasons = []
-    for header in headers:
+    for product, header in layouts:
         try:
             match_headers(product, scan.header_fields(header))
         except ValueError as exc:
-            reasons.append((header, str(exc)))
-    return store.spark.createDataFrame(reasons, "header string, reason string")
-
-
-def _clean_and_store(
-    store: Store, scratch: Scratch, product: str, parts: DataFrame
-) -> DataFrame:
-    """Load the given parts; (date, status, num_rows, error) per day that had rows."""
-    data = scratch.write(scan.unpacked(parts, scratch.folder()))
-    frames = scan.scan_raw(store.spark, product, scan.group_by_layout(data))
-    cleaned, _ = clean_layouts(frames, product)
-    if cleaned is None:
-        return store.spark.createDataFrame(
-            [], "date date, status string, num_rows bigint, error string"
-        )
+            reasons.append((product, header, str(exc)))
+    return spark.createDataFrame(reasons, "product string, header string, reason string")
+
+
+_STATUS = "product string, date date, status string, num_rows bigint, error string"
+
+
+def _load(store: Store, scratch: Scratch, product: str, groups: list[scan.FileGroup], names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Load the files of one product: status per day, and the issues of the days that were ingested."""
+    cleaned, _ = clean_layouts(scan.scan_raw(store.spark, product, groups), product)
     # parsed once, as text; everything below reads the columns it needs from Parquet
     cleaned = Cleaned(product, scratch.write(cleaned.typed))
-    status = scratch.write(file_status(cleaned, []).withColumnRenamed("file_date", "date"))
-    good = status.where(F.col("status") == INGESTED).select(F.col("date").alias("file_date"))
-    names = parts.select(F.col("date").alias("file_date"), F.col("name").alias("source_file"))
-    named = good.join(names.distinct(), "file_date")
-    rows = cleaned.usable.join(named, "file_date")
-    store.upsert(PRODUCTS[product].table, rows, last_file_first())
+    status = scratch.write(file_status(cleaned, []))
+    good = status.where(F.col("status") == INGESTED).select("file_date")
+    named = good.join(names.where(F.col("product") == product).drop("product"), "file_date")
+    store.upsert(PRODUCTS[product].table, cleaned.usable.join(named, "file_date"), last_file_first())
     issues = cleaned.issues.join(good, "file_date").select(
         F.lit(product).alias("product"), F.col("file_date").alias("date"),
         "symbol", "series", "code", "message",
     )
-    store.write_qc_issues(
-        issues, good.select(F.lit(product).alias("product"), F.col("file_date").alias("date"))
-    )
-    return status
+    return status.select(F.lit(product).alias("product"), F.col("file_date").alias("date"), "status", "num_rows", "error"), issues
 
 
-def update_product(
-    store: Store,
-    landing: str,
-    product: str,
-    days: Iterable[dt.date],
-    force: bool = False,
-) -> IngestSummary:
-    """Ingest one product over candidate days from a landing folder.
+def _side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
+    """Run loads that share no table at the same time, so that the end of one's jobs is not idle time."""
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [r.result() for r in running]
 
-    A day whose content is already in the log is skipped unless `force`; a day without a file is
-    logged as non-trading; a file that cannot be used is logged as an error and stops nothing else.
+
+def update_days(
+    store: Store, landing: str, days: dict[str, Iterable[dt.date]], force: bool = False
+) -> list[IngestSummary]:
+    """Ingest several products, each over candidate days, from a landing folder.
+
+    One listing, one pass of hashes, one scan of quotes and headers, one log and one write of issues serve all
+    products; their tables are loaded at the same time. A day whose content is already in the log is skipped unless
+    `force`; a day without a file is logged as non-trading; a file that cannot be used is logged as an error and
+    stops nothing else.
     """
-    if product not in DAILY_PRODUCTS:
-        raise ValueError(f"unknown product {product!r}; must be one of {DAILY_PRODUCTS}")
+    for product in days:
+        if product not in DAILY_PRODUCTS:
+            raise ValueError(f"unknown product {product!r}; must be one of {DAILY_PRODUCTS}")
     started = time.monotonic()
-    days = sorted(set(days))
-    if not days:
-        return IngestSummary(product)
+    days = {p: sorted(set(d)) for p, d in days.items()}
     spark = store.spark
-    candidates = spark.createDataFrame([(product, d) for d in days], "product string, date date")
+    rows = [(p, d) for p, some in days.items() for d in some]
+    if not rows:
+        return [IngestSummary(p) for p in days]
+    candidates = spark.createDataFrame(rows, "product string, date date")
     with Scratch(spark) as scratch:
-        listed = files.list_files(spark, files.month_folders(landing, product, days))
-        wanted = files.resolve_files(listed).join(candidates, ["product", "date"], "left_semi")
-        # every byte is hashed once; the result is one row per file
-        parts = scratch.write(scan.inspect(spark, scratch.write(wanted)))
-        bad = _layout_errors(store, product, scan.headers(parts))
-        parts = parts.join(bad, "header", "left").withColumn(
-            "error", F.coalesce("error", "reason")
-        ).drop("reason")
+        listed = files.list_files(spark, [f for p, some in days.items() for f in files.month_folders(landing, p, some)])
+        wanted = scratch.write(files.resolve_files(listed).join(candidates, ["product", "date"], "left_semi"))
+        hashed = scratch.write(scan.fingerprints(spark, wanted))
         # day facts as tables: known sizes let Spark broadcast them, and the log may change below
-        found = scratch.write(files.day_fingerprints(parts))
+        found = scratch.write(files.day_fingerprints(hashed))
         pending = scratch.write(files.pending_days(found, store["ingest_log"], force))
+        # only files of pending days are read further; archives are unpacked on the way
+        fresh = hashed.join(pending.where(F.col("error").isNull()).select("product", "date"), ["product", "date"], "left_semi")
+        parts = scratch.write(scan.look(spark, scratch.write(fresh.drop("error")), scratch.folder()))
+        layouts = parts.where(F.col("error").isNull()).select("product", "header").distinct().collect()
+        bad = _layout_errors(spark, [tuple(r) for r in layouts])
+        parts = scratch.write(
+            parts.join(bad, ["product", "header"], "left").withColumn("error", F.coalesce("error", "reason")).drop("reason")
+        )
         # one unusable part fails its day
-        usable = pending.where(F.col("error").isNull()).select("product", "date")
-        loaded = _clean_and_store(
-            store, scratch, product, parts.join(usable, ["product", "date"], "left_semi")
+        faults = parts.where(F.col("error").isNotNull()).groupBy("product", "date").agg(F.min("error").alias("fault"))
+        usable = scratch.write(parts.join(faults, ["product", "date"], "left_anti"))
+        groups = scan.groups_by_product(usable)
+        names = usable.select("product", F.col("date").alias("file_date"), F.col("name").alias("source_file")).distinct()
+        loads = [lambda p=p: _load(store, scratch, p, groups[p], names) for p in days if p in groups]
+        loaded = spark.createDataFrame([], _STATUS)
+        done = _side_by_side(spark, loads)
+        for status, _ in done:
+            loaded = loaded.unionByName(status)
+        if done:
+            issues = done[0][1]
+            for _, more in done[1:]:
+                issues = issues.unionByName(more)
+            store.write_qc_issues(issues, loaded.where(F.col("status") == INGESTED).select("product", "date"))
+        attempted = (
+            pending.withColumnRenamed("error", "_error")
+            .join(faults, ["product", "date"], "left")
+            .join(loaded, ["product", "date"], "left")
         )
-        attempted = pending.withColumnRenamed("error", "_error").join(loaded, "date", "left")
         no_rows = F.col("status").isNull()
         attempts = attempted.select(
             "product", "date", F.col("name").alias("file_name"), "sha256",
             F.lit(landing).alias("source_url"),
             F.coalesce("num_rows", F.lit(0)).alias("num_rows"),
             F.when(no_rows, ERROR).otherwise(F.col("status")).alias("status"),
-            F.when(no_rows, F.coalesce("_error", F.lit(NO_ROWS)))
+            F.when(no_rows, F.coalesce("_error", "fault", F.lit(NO_ROWS)))
             .otherwise(F.col("error")).alias("error"),
         )
         missing = files.non_trading_days(candidates, found).select(
@@ -148,8 +166,19 @@ def update_product(
             .withColumn("duration_sec", F.lit(time.monotonic() - started))
         )
         store.write_ingest_log(outcomes.where(F.col("status") != SKIPPED))
-        row = ingest_summary(outcomes).first()
-    return IngestSummary(**row.asDict()) if row else IngestSummary(product)
+        summaries = {r["product"]: IngestSummary(**r.asDict()) for r in ingest_summary(outcomes).collect()}
+    return [summaries.get(p, IngestSummary(p)) for p in days]
+
+
+def update_product(
+    store: Store,
+    landing: str,
+    product: str,
+    days: Iterable[dt.date],
+    force: bool = False,
+) -> IngestSummary:
+    """Ingest one product over candidate days from a landing folder, as `update_days` does."""
+    return update_days(store, landing, {product: days}, force)[0]
 
 
 def trading_days_of(store: Store, start: dt.date, end: dt.date) -> list[dt.date]:
@@ -174,7 +203,7 @@ def update(
     if unknown:
         raise ValueError(f"{unknown} not implemented (datasets: {', '.join(DAILY_PRODUCTS)})")
     days = trading_days_of(store, start, end)
-    return [update_product(store, landing, p, days, force) for p in products]
+    return update_days(store, landing, dict.fromkeys(products, days), force)
 
 
 def refresh_master(store: Store, path: str, today: dt.date | None = None) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -85,18 +86,16 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{checkpoint_root(spark)}/eodlake/{uuid.uuid4().hex}"
-        self._count = 0
+        self._numbers = itertools.count(1)  # loads that run side by side share a scratch folder
 
     def write(self, df: DataFrame) -> DataFrame:
-        self._count += 1
-        path = f"{self.path}/{self._count}"
+        path = f"{self.path}/{next(self._numbers)}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def folder(self) -> str:
         """The address of a folder inside, for files that are no table."""
-        self._count += 1
-        return f"{self.path}/files-{self._count}"
+        return f"{self.path}/files-{next(self._numbers)}"
 
     def __enter__(self) -> Scratch:
         return self

@@ -255,18 +255,17 @@ class FileGroup:
     paths: list[str]
 
 
-def group_by_layout(parts: DataFrame) -> list[FileGroup]:
-    """Group unpacked parts of one product. File names go through the driver, as in any listing."""
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for row in parts.where(F.col("error").isNull()).select("header", "breaks", "data").collect():
-        groups.setdefault((row.header, row.breaks), []).append(row.data)
-    return [FileGroup(*key, sorted(paths)) for key, paths in sorted(groups.items())]
+def groups_by_product(parts: DataFrame) -> dict[str, list[FileGroup]]:
+    """Files to scan, by product and layout. File names go through the driver, as in any listing."""
+    groups: dict[str, dict[tuple[str, bool], list[str]]] = {}
+    for row in parts.where(F.col("error").isNull()).select("product", "header", "breaks", "data").collect():
+        groups.setdefault(row["product"], {}).setdefault((row.header, row.breaks), []).append(row.data)
+    return {p: [FileGroup(*key, sorted(paths)) for key, paths in sorted(of.items())] for p, of in groups.items()}
 
 
-def headers(parts: DataFrame) -> list[str]:
-    """The layouts of inspected parts."""
-    usable = parts.where(F.col("error").isNull())
-    return sorted(r.header for r in usable.select("header").distinct().collect())
+def group_by_layout(parts: DataFrame) -> list[FileGroup]:
+    """Group unpacked parts of one product."""
+    return next(iter(groups_by_product(parts).values()), [])
 
 
 def scan_raw(spark: SparkSession, product: str, groups: list[FileGroup]) -> list[DataFrame]:

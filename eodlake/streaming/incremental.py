@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eodlake.model import DAILY_PRODUCTS
 from eodlake.operators.store import Store
-from eodlake.plans.ingest import update_product
+from eodlake.plans.ingest import update_days
 from eodlake.sources import files
 
 
@@ -47,8 +47,7 @@ def ingest_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         days = files.resolve_files(batch).select("product", "date").distinct().collect()
-        for product in products:
-            update_product(store, landing, product, [d.date for d in days if d.product == product])
+        update_days(store, landing, {p: [d.date for d in days if d.product == p] for p in products})
 
     return (
         new_files(store, landing, files_per_batch)
