@@ -15,7 +15,7 @@ from eodlake.sources.archives import member_blocks
 from eodlake.sources.streams import RecordScan
 from eodlake.streaming.incremental import ingest_stream
 
-NEXT = dt.date(2024, 1, 4)
+NEXT = dt.date(2024, 3, 14)
 
 
 def log(store):
@@ -41,30 +41,30 @@ def test_ingest_rerun_force_and_missing_file(store, landing):
 
 
 def test_restated_day_replaces_rows_and_issues(store, landing):
-    landing.cm(DAY, CM_CSV.replace("105.50", "90.00"))
+    landing.cm(DAY, CM_CSV.replace("829.75", "90.00"))
     update_product(store, str(landing.root), "cm", [DAY])
     assert store["qc_issues"].count() == 1
-    landing.cm(DAY, CM_CSV.replace("104.50", "104.75"))
+    landing.cm(DAY, CM_CSV.replace("820.30", "821.15"))
     summary = update_product(store, str(landing.root), "cm", [DAY])
     assert summary.ingested == 1
-    assert store["bhav_daily"].where("symbol = 'ALPHA'").first().close == 104.75
+    assert store["bhav_daily"].where("symbol = 'HERON'").first().close == 821.15
     assert store["qc_issues"].count() == 0
 
 
 def test_a_bad_file_stops_nothing_else(store, landing):
     landing.cm(DAY, CM_CSV)
     landing.cm(NEXT, "SYMBOL,SERIES\nA,EQ\n")
-    landing.cm(dt.date(2024, 1, 5), "")
-    landing.cm(dt.date(2024, 1, 8), CM_HEADER + "\n")
-    landing.cm(dt.date(2024, 1, 9), "\n".join([CM_HEADER, CM_ROWS[0].replace("22.62", "-")]))
-    days = [DAY, NEXT, *[dt.date(2024, 1, d) for d in (5, 8, 9)]]
+    landing.cm(dt.date(2024, 3, 15), "")
+    landing.cm(dt.date(2024, 3, 18), CM_HEADER + "\n")
+    landing.cm(dt.date(2024, 3, 19), "\n".join([CM_HEADER, CM_ROWS[0].replace("54.97", "-")]))
+    days = [DAY, NEXT, *[dt.date(2024, 3, d) for d in (15, 18, 19)]]
     summary = update_product(store, str(landing.root), "cm", days)
     assert (summary.ingested, summary.errors, summary.rows) == (1, 4, 3)
     errors = {d.day: r.error for (_, d), r in log(store).items() if r.status == "error"}
-    assert "missing required columns" in errors[4]
+    assert "missing required columns" in errors[14]
     assert errors[5] == "file is empty"
-    assert errors[8] == "no rows parsed"
-    assert "NOT NULL" in errors[9]
+    assert errors[18] == "no rows parsed"
+    assert "NOT NULL" in errors[19]
     assert store["bhav_daily"].count() == 3
 
 
@@ -85,17 +85,17 @@ def test_other_products_and_archives(store, landing):
     got = [update_product(store, str(landing.root), p, [DAY, NEXT]) for p in ("idx", "fo", "deliv")]
     assert [(s.ingested, s.errors, s.rows) for s in got] == [(1, 0, 2), (1, 1, 3), (1, 0, 3)]
     assert log(store)["fo", NEXT].error == "no CSV found in archive"
-    assert store["fo_daily"].where("symbol = 'ALPHA'").first().option_type == "XX"
+    assert store["fo_daily"].where("symbol = 'HERON'").first().option_type == "XX"
 
 
 def test_plain_file_counts_before_its_zipped_twin(store, landing):
-    landing.cm_zip(DAY, CM_CSV.replace("104.50", "1.00"))
+    landing.cm_zip(DAY, CM_CSV.replace("820.30", "1.00"))
     landing.cm(DAY, CM_CSV)
-    landing.cm_zip(NEXT, CM_CSV.replace("03-JAN", "04-JAN").replace("03-Jan", "04-Jan"))
+    landing.cm_zip(NEXT, CM_CSV.replace("13-MAR", "14-MAR").replace("13-Mar", "14-Mar"))
     summary = update_product(store, str(landing.root), "cm", [DAY, NEXT])
     assert summary.ingested == 2
-    closes = rows_of(store["bhav_daily"].where("symbol = 'ALPHA'"), "date", "close")
-    assert closes == [(DAY, 104.5), (NEXT, 104.5)]
+    closes = rows_of(store["bhav_daily"].where("symbol = 'HERON'"), "date", "close")
+    assert closes == [(DAY, 820.3), (NEXT, 820.3)]
 
 
 def test_day_folder_of_parts(store, landing):
@@ -105,18 +105,18 @@ def test_day_folder_of_parts(store, landing):
     folder.mkdir()
     (folder / "part-0.csv").write_text("\n".join([CM_HEADER, CM_ROWS[0]]) + "\n")
     (folder / "part-1.csv").write_text(
-        "\n".join([CM_HEADER, CM_ROWS[0].replace("104.50", "1.00"), *CM_ROWS[1:]]) + "\n"
+        "\n".join([CM_HEADER, CM_ROWS[0].replace("820.30", "1.00"), *CM_ROWS[1:]]) + "\n"
     )
     summary = update_product(store, str(landing.root), "cm", [DAY])
     assert (summary.ingested, summary.rows) == (1, 3)
-    assert store["bhav_daily"].where("symbol = 'ALPHA'").first().close == 104.5
+    assert store["bhav_daily"].where("symbol = 'HERON'").first().close == 820.3
     assert update_product(store, str(landing.root), "cm", [DAY]).skipped == 1
 
 
 def test_order_survives_file_splits(spark, landing):
     """Duplicates in different splits of one file: the first one in the file is kept."""
-    filler = [CM_ROWS[0].replace("ALPHA", f"S{i:05d}") for i in range(3000)]
-    first, last = CM_ROWS[1], CM_ROWS[1].replace("51.50", "9.00")
+    filler = [CM_ROWS[0].replace("HERON", f"S{i:05d}") for i in range(3000)]
+    first, last = CM_ROWS[1], CM_ROWS[1].replace("34.05", "9.00")
     path = landing.cm(DAY, "\n".join([CM_HEADER, first, *filler, last]) + "\n")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
@@ -127,7 +127,7 @@ def test_order_survives_file_splits(spark, landing):
         assert frame.rdd.getNumPartitions() > 4
         cleaned = clean(frame, "cm")
         assert cleaned.rows.count() == 3001
-        assert cleaned.rows.where("symbol = 'BETA'").first().close == 51.5
+        assert cleaned.rows.where("symbol = 'PLOVER'").first().close == 34.05
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
@@ -137,8 +137,8 @@ def test_update_checks_products_and_ranges(store, landing):
         update(store, str(landing.root), DAY, NEXT, ["bonds"])
     assert update(store, str(landing.root), NEXT, DAY, ["cm"])[0] == ingest.IngestSummary("cm")
     landing.cm(DAY, CM_CSV)
-    # 2024-01-06 and 07 are a weekend: no candidates
-    summary = update(store, str(landing.root), DAY, dt.date(2024, 1, 7))[0]
+    # 2024-03-16 and 17 are a weekend: no candidates
+    summary = update(store, str(landing.root), DAY, dt.date(2024, 3, 17))[0]
     assert (summary.ingested, summary.non_trading) == (1, 2)
 
 
@@ -147,7 +147,7 @@ def test_stream_takes_only_new_files(store, landing, tmp_path):
     landing.cm(DAY, CM_CSV)
     ingest_stream(store, root, checkpoint, ["cm"]).awaitTermination()
     assert rows_of(store["ingest_log"], "date", "status") == [(DAY, "ingested")]
-    landing.cm(NEXT, CM_CSV.replace("03-JAN", "04-JAN"))
+    landing.cm(NEXT, CM_CSV.replace("13-MAR", "14-MAR"))
     landing.idx(DAY, IDX_CSV)
     ingest_stream(store, root, checkpoint, ["cm", "idx"]).awaitTermination()
     assert store["ingest_log"].count() == 3
@@ -159,9 +159,9 @@ def test_stream_takes_only_new_files(store, landing, tmp_path):
 @pytest.mark.parametrize("limit", [None, "10"])
 def test_size_makes_no_difference(spark, store, landing, limit):
     """Two leading blank lines and a break in quotes: the same rows, plain and zipped, at any limit of Spark's."""
-    text = "\n\n" + CM_CSV.replace("ALPHA", '"AL\nPHA"')
+    text = "\n\n" + CM_CSV.replace("HERON", '"HE\nRON"')
     path = landing.cm(DAY, text)
-    landing.cm_zip(NEXT, text.replace("03-JAN", "04-JAN").replace("03-Jan", "04-Jan").replace("3-JAN", "4-JAN"))
+    landing.cm_zip(NEXT, text.replace("13-MAR", "14-MAR").replace("13-Mar", "14-Mar"))
     key = "spark.sql.sources.binaryFile.maxLength"
     before = spark.conf.get(key)
     if limit:
@@ -172,15 +172,15 @@ def test_size_makes_no_difference(spark, store, landing, limit):
     finally:
         spark.conf.set(key, before)
     assert log(store)["cm", DAY].sha256 == hashlib.sha256(path.read_bytes()).hexdigest()
-    assert {r.symbol for r in store["bhav_daily"].collect()} == {"AL\nPHA", "BETA", "GAMMA"}
+    assert {r.symbol for r in store["bhav_daily"].collect()} == {"HE\nRON", "PLOVER", "TERN"}
 
 
 def test_damaged_files_fail_their_own_day(store, landing):
-    good, latin, wide, torn, none = [dt.date(2024, 1, d) for d in (3, 4, 5, 8, 9)]
+    good, latin, wide, torn, none = [dt.date(2024, 3, d) for d in (13, 14, 15, 18, 19)]
     landing.cm(good, CM_CSV)
-    landing.cm(latin, "").write_bytes(CM_CSV.replace("ALPHA", "ALPH\xc4").encode("latin-1"))
+    landing.cm(latin, "").write_bytes(CM_CSV.replace("HERON", "HERO\xc4").encode("latin-1"))
     head = CM_HEADER + ",NOTE" + "x" * (65535 - len(CM_HEADER) - 5)
-    landing.cm(wide, head + "\xe4\n" + CM_ROWS[0].replace("03-JAN", "05-JAN") + "\n")
+    landing.cm(wide, head + "\xe4\n" + CM_ROWS[0].replace("13-MAR", "15-MAR") + "\n")
     filler = "\n".join([CM_HEADER, *[f"S{i:06d},{hash(i * 7919)}" for i in range(20000)]])
     archive = landing.cm_zip(torn, filler)
     content = bytearray(archive.read_bytes())
@@ -191,24 +191,24 @@ def test_damaged_files_fail_their_own_day(store, landing):
     summary = update_product(store, str(landing.root), "cm", [good, latin, wide, torn, none])
     assert (summary.ingested, summary.errors, summary.rows) == (2, 3, 4)
     errors = {d.day: r.error for (_, d), r in log(store).items() if r.status == "error"}
-    assert errors[4] == "not UTF-8" and errors[9] == "no CSV found in archive"
-    assert errors[8].startswith("unreadable archive")
+    assert errors[14] == "not UTF-8" and errors[19] == "no CSV found in archive"
+    assert errors[18].startswith("unreadable archive")
 
 
 def test_line_breaks_inside_quotes(store, landing):
-    text = CM_CSV.replace("ALPHA", '"AL\nPHA"').replace(" beta ", '"be,ta"')
+    text = CM_CSV.replace("HERON", '"HE\nRON"').replace(" plover ", '"plo,ver"')
     landing.cm(DAY, text)
-    landing.cm(NEXT, CM_CSV.replace("GAMMA", '"GAMMA"'))
+    landing.cm(NEXT, CM_CSV.replace("TERN", '"TERN"'))
     update_product(store, str(landing.root), "cm", [DAY, NEXT])
-    got = [r.symbol for r in store["bhav_daily"].where("source_file LIKE '%03JAN%'").collect()]
-    assert sorted(got) == ["AL\nPHA", "BE,TA"]  # the rest came again with the next file
+    got = [r.symbol for r in store["bhav_daily"].where("source_file LIKE '%13MAR%'").collect()]
+    assert sorted(got) == ["HE\nRON", "PLO,VER"]  # the rest came again with the next file
     assert log(store)["cm", NEXT].num_rows == 3
 
 
 @pytest.mark.parametrize("name", ['A 5" PIPE', '"A ""5"" X"', '"open'])
 def test_same_records_plain_and_zipped(spark, landing, tmp_path, name):
     """A stray quote, escaped quotes and a quote that never closes."""
-    text = "\n".join([CM_HEADER, CM_ROWS[0].replace("ALPHA", name), *CM_ROWS[1:]]) + "\n"
+    text = "\n".join([CM_HEADER, CM_ROWS[0].replace("HERON", name), *CM_ROWS[1:]]) + "\n"
     got = []
     for put in (landing.cm, landing.cm_zip):
         path = put(DAY, text)

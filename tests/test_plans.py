@@ -52,7 +52,7 @@ def test_scan_reads_only_the_columns_in_use(day_file):
 
 
 def test_latest_day_prunes_folders(spark, store):
-    store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, dt.date(2024, 1, 4))]), "a.csv")
+    store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, dt.date(2024, 3, 14))]), "a.csv")
     df = templates.latest_day(store["bhav_daily"])
     filters = plan(df).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "date" in filters and "subquery" in filters.lower()
@@ -60,12 +60,12 @@ def test_latest_day_prunes_folders(spark, store):
 
 
 def test_latest_day_of_a_store_opens_one_folder(spark, store):
-    store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, dt.date(2024, 1, 4))]), "a.csv")
-    make_folder(spark, store.path("bhav_daily") + "/date=2024-01-05")
-    assert store.days("bhav_daily") == [DAY, dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
+    store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, dt.date(2024, 3, 14))]), "a.csv")
+    make_folder(spark, store.path("bhav_daily") + "/date=2024-03-15")
+    assert store.days("bhav_daily") == [DAY, dt.date(2024, 3, 14), dt.date(2024, 3, 15)]
     df = templates.latest_rows(store, "bhav_daily")
     filters = plan(df).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
-    assert "2024-01-04" in filters and "subquery" not in filters.lower()
+    assert "2024-03-14" in filters and "subquery" not in filters.lower()
     assert [r.close for r in df.collect()] == [2.0]
 
 

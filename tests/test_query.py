@@ -10,7 +10,7 @@ from eodlake.plans.export import export_rows, export_table
 from eodlake.plans.sql import run_sql
 from eodlake.plans.templates import TEMPLATES, execute_template
 
-NEXT = dt.date(2024, 1, 4)
+NEXT = dt.date(2024, 3, 14)
 
 
 @pytest.fixture
@@ -35,7 +35,7 @@ def test_every_template_runs_on_empty_tables(store):
 
 def test_run_sql(loaded):
     loaded.register_views()
-    query = "SELECT symbol, close FROM bhav_daily WHERE date = '2024-01-03' ORDER BY close DESC; "
+    query = "SELECT symbol, close FROM bhav_daily WHERE date = '2024-03-13' ORDER BY close DESC; "
     assert [tuple(r) for r in run_sql(loaded.spark, query).collect()] == [("B", 2.0), ("A", 1.0)]
     assert run_sql(loaded.spark, "WITH a AS (SELECT 1 AS x) SELECT x FROM a -- done").first().x == 1
 

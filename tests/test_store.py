@@ -43,7 +43,7 @@ def test_upsert_replaces_and_keeps_the_first_load_time(spark, store):
 
 
 def test_upsert_touches_only_its_days(spark, store, tmp_path):
-    other = dt.date(2024, 1, 4)
+    other = dt.date(2024, 3, 14)
     store.upsert_bars(bars(spark, [("A", 1.0, DAY), ("A", 2.0, other)]), "a.csv")
     folder = tmp_path / "store" / "bhav_daily" / f"date={other}"
     before = sorted(p.name for p in folder.iterdir())
@@ -73,7 +73,7 @@ def test_no_rows(spark, store):
 
 def test_deliverable_key_has_series(raw, store):
     store.upsert_deliverable(clean_deliverable(raw(DELIV_CSV), DAY).rows, "d.csv")
-    assert store["deliverable_daily"].where("symbol = 'ALPHA'").count() == 2
+    assert store["deliverable_daily"].where("symbol = 'HERON'").count() == 2
 
 
 def test_master_keeps_columns_no_file_fills(spark, store):
