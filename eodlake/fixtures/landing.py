@@ -67,6 +67,8 @@ def write_archives(raw: DataFrame, product: str, root: str) -> None:
         "row_no",
         *[col(h) for h in headers],
     )
+    for row in placed.select("_path").distinct().collect():
+        delete(raw.sparkSession, row["_path"])
     ordered = placed.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -616,21 +616,29 @@ def resolve_files(spark, sf):
     return files.resolve_files(paths).select("product", "date", "name", "zipped")
 
 
+#: Texts to a file: its bytes cross the blocks of a stream, and their number grows with the table.
+_TEXTS_A_FILE = 500
+
+
 @query(
     "file_fingerprint",
-    """select product, date, sha256(product || ' rows ' || n || chr(10)) as sha256
-    from products, (select file_date as date, count(*) as n from raw_cm group by 1)""",
+    f"""select ['cm', 'idx', 'fo', 'deliv'][k % 4 + 1] as product, DATE '2024-01-01' + cast(k as integer) as date, sha256(content) as sha256
+    from (select doc_id // {_TEXTS_A_FILE} as k, string_agg(coalesce(text, ''), chr(10) order by doc_id) as content from documents group by 1)""",
 )
 def file_fingerprint(spark, sf):
-    """A file per product and event day, of known bytes, hashed on its way through the intake."""
+    """Files of whole texts under the names of days, hashed on their way through the intake."""
     root = landing.fresh_folder(spark)
-    day = F.col("file_date")
-    counts = bridge.raw(spark, sf, "cm").groupBy("file_date").agg(F.count(F.lit(1)).alias("n"))
-    for p in DAILY_PRODUCTS:
-        place = F.concat_ws("/", F.lit(root), F.lit(p), F.upper(F.date_format(day, "yyyy/MMM")), files.day_file_name(p, day))
-        content = F.concat(F.lit(f"{p} rows "), F.col("n").cast("string"), F.lit("\n"))
-        landing.write_files(counts.select(place.alias("path"), content.alias("content")))
-    parts = scan.inspect(spark, _parts(spark, root))
+    k = F.floor(F.col("doc_id") / _TEXTS_A_FILE)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))), lambda r: r["text"])
+    packed = (
+        spark.read.parquet(f"{sf}/documents.parquet").groupBy(k.alias("k")).agg(F.array_join(texts, "\n").alias("content"))
+        .withColumn("day", F.date_add(F.lit(START), F.col("k").cast("int")))
+    )
+    day, product = F.col("day"), F.element_at(F.array(*[F.lit(p) for p in ("cm", "idx", "fo", "deliv")]), (F.col("k") % 4 + 1).cast("int"))
+    name = F.coalesce(*[F.when(product == p, files.day_file_name(p, day)) for p in DAILY_PRODUCTS])
+    place = F.concat_ws("/", F.lit(root), product, F.upper(F.date_format(day, "yyyy/MMM")), name)
+    landing.write_files(packed.select(place.alias("path"), "content"))
+    parts = scan.fingerprints(spark, _parts(spark, root))
     return files.day_fingerprints(parts).select("product", "date", "sha256")
 
 
@@ -1300,23 +1308,26 @@ def _event_days(spark, sf) -> list[dt.date]:
     return sorted(d.file_date for d in days)
 
 
-#: Table, name column and two values of each product, for one result over all four tables.
-_INGESTED = {
-    "cm": ("bhav_daily", "symbol", "close", "total_traded_quantity"),
-    "idx": ("index_daily", "index_name", "close", "volume"),
-    "fo": ("fo_daily", "symbol", "close", "contracts"),
-    "deliv": ("deliverable_daily", "symbol", "delivery_to_traded", "quantity_traded"),
-}
+#: Columns that no file fills.
+_UNFILLED = {"deliv": ", cast(null as varchar) as isin"}
 
 
 def _last_sql(p: str) -> str:
-    _, name, first, second = _INGESTED[p]
     key = ", ".join(PRODUCTS[p].key)
-    return f"""select '{p}' as product, {name} as name, date, {first} as first, cast({second} as double) as second, {_FILE_NAMES_SQL[p]} as source_file
+    return f"""select '{p}' as product, * exclude (rn, file_date, row_no){_UNFILLED.get(p, "")}, {_FILE_NAMES_SQL[p]} as source_file
       from (select *, row_number() over (partition by {key} order by file_date desc, row_no) as rn from {p}_usable) where rn = 1"""
 
 
-@query("ingest_incremental", " union all ".join(_last_sql(p) for p in _INGESTED))
+def _all_tables(s: Store, *also: str) -> DataFrame:
+    """Every key and value column of the daily tables, told apart by product."""
+    frames = [data(s[PRODUCTS[p].table], *also).withColumn("product", F.lit(p)) for p in DAILY_PRODUCTS]
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+@query("ingest_incremental", " union all by name ".join(_last_sql(p) for p in DAILY_PRODUCTS))
 def ingest_incremental(spark, sf):
     """Files of all products up to the 20th arrive and are streamed in; then the rest, with one stream checkpoint."""
     root = landing.fresh_folder(spark)
@@ -1326,34 +1337,61 @@ def ingest_incremental(spark, sf):
         for p in DAILY_PRODUCTS:
             _land(bridge.raw(spark, sf, p).where(arrived), p, root)
         incremental.ingest_stream(s, root, f"{s.root}-stream", DAILY_PRODUCTS).awaitTermination()
-    return union(
-        [
-            s[t].select(
-                F.lit(p).alias("product"), F.col(name).alias("name"), "date", F.col(first).alias("first"),
-                F.col(second).cast("double").alias("second"), "source_file",
-            )
-            for p, (t, name, first, second) in _INGESTED.items()
-        ]
-    )
+    return _all_tables(s)
 
 
-@query(
-    "restate_day",
-    """select * exclude (rn, load, file_date, row_no, total_traded_quantity),
-      case when load = 2 then 7 else total_traded_quantity end as total_traded_quantity
-    from (select *, row_number() over (partition by symbol, series, date order by load desc, file_date desc, row_no) as rn from (
-      select *, 1 as load from cm_usable union all select *, 2 from cm_usable where file_date >= DATE '2024-01-28')) where rn = 1""",
-)
+#: What the restated files say: a header of each product, and the column it fills.
+_RESTATED = {
+    "cm": ("TTL_TRD_QNTY", "total_traded_quantity"), "idx": ("Volume", "volume"),
+    "fo": ("CONTRACTS", "contracts"), "deliv": (" TTL_TRD_QNTY", "quantity_traded"),
+}
+RESTATED_FROM = dt.date(2024, 1, 28)
+
+
+def _restated_sql(p: str) -> str:
+    key, column = ", ".join(PRODUCTS[p].key), _RESTATED[p][1]
+    return f"""select '{p}' as product, * exclude (rn, load, file_date, row_no, {column}), case when load = 2 then 7 else {column} end as {column}{_UNFILLED.get(p, "")}
+    from (select *, row_number() over (partition by {key} order by load desc, file_date desc, row_no) as rn from (
+      select *, 1 as load from {p}_usable union all select *, 2 from {p}_usable where file_date >= DATE '{RESTATED_FROM}')) where rn = 1"""
+
+
+@query("restate_day", " union all by name ".join(_restated_sql(p) for p in DAILY_PRODUCTS))
 def restate_day(spark, sf):
-    """All days, then the last ones again under the same names with other quantities."""
-    root = _landing(spark, sf, ("cm",))
+    """All days of all products, then the last ones again under the same names with other quantities."""
+    root = _landing(spark, sf)
     s = fresh_store(spark)
     days = _event_days(spark, sf)
-    ingest.update_product(s, root, "cm", days)
-    raw = bridge.raw(spark, sf, "cm").withColumn("TTL_TRD_QNTY", F.lit("7"))
-    landing.write_landing(
-        raw.where(F.col("file_date") >= F.lit(dt.date(2024, 1, 28))), "cm", root
-    )
-    again = ingest.update_product(s, root, "cm", days)
-    assert again.skipped == sum(d < dt.date(2024, 1, 28) for d in days), again
-    return data(s["bhav_daily"], "source_file")
+    ingest.update_days(s, root, dict.fromkeys(DAILY_PRODUCTS, days))
+    for p, (header, _) in _RESTATED.items():
+        raw = bridge.raw(spark, sf, p).withColumn(header, F.lit("7"))
+        _land(raw.where(F.col("file_date") >= F.lit(RESTATED_FROM)), p, root)
+    for again in ingest.update_days(s, root, dict.fromkeys(DAILY_PRODUCTS, days)):
+        assert again.skipped == sum(d < RESTATED_FROM for d in days), again
+    return _all_tables(s, "source_file")
+
+
+# ---- named queries as a user runs them: over a store, by folder -----------------------------
+
+_STORED = {
+    "bhav_daily": ("top_gainers", "top_losers", "volume_leaders"),
+    "fo_daily": ("fo_most_traded", "fo_open_interest"),
+    "index_daily": ("index_history",),
+}
+
+
+def _register_stored(name: str, tables: tuple[str, ...]) -> None:
+    @query(f"stored_{name}", _TEMPLATE_SQL[name])
+    def stored(spark, sf):
+        """The named query over a loaded store: only folders of the days it needs are opened."""
+        s = fresh_store(spark)
+        for product in DAILY_PRODUCTS:
+            if PRODUCTS[product].table in tables:
+                s.upsert(PRODUCTS[product].table, cleaned(spark, sf, product).usable, store.last_file_first())
+        return templates.execute_template(s, name)
+
+
+for _table, _names in _STORED.items():
+    for _name in _names:
+        _register_stored(_name, (_table,))
+for _name in ("delivery_spike", "delivery_ratio"):
+    _register_stored(_name, ("bhav_daily", "deliverable_daily"))

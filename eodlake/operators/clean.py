@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eodlake.model import ERROR, INGESTED, PRODUCTS, TABLES
@@ -50,13 +50,36 @@ class Cleaned:
         """Per file and key: first `row_no` and `n_copies`."""
         return copies(self.usable, self.file_key)
 
+    @property
+    def broken(self) -> Column:
+        """A row that breaks a NOT NULL column of the table."""
+        out = F.lit(False)
+        for c in TABLES[PRODUCTS[self.product].table].not_null:
+            if c in self.columns:
+                out = out | F.col(c).isNull()
+        return out
+
+    @property
+    def facts(self) -> DataFrame:
+        """Per file and key: `n_copies`, and how many of them are broken.
+
+        Only keys and flags are shuffled, and all buffers have a fixed width, so Spark aggregates by hash.
+        """
+        return self.usable.groupBy(*self.file_key).agg(
+            F.count(F.lit(1)).alias("n_copies"), F.count_if(self.broken).alias("n_broken")
+        )
+
     @property
     def issues(self) -> DataFrame:
+        return self.issues_with(self.copies)
+
+    def issues_with(self, copies: DataFrame) -> DataFrame:
+        """All issues, by facts of the keys that are already known."""
         p = self.product
         return (
             qc.row_issues(self.typed, p)
             .unionByName(qc.count_issues(qc.file_counts(self.typed, p), p))
-            .unionByName(qc.count_issues(qc.copy_counts(self.copies), p))
+            .unionByName(qc.count_issues(qc.copy_counts(copies), p))
         )
 
     def issues_of(self, code: str) -> DataFrame:
@@ -121,7 +144,7 @@ def clean_layouts(frames: list[DataFrame], product: str) -> tuple[Cleaned | None
     return Cleaned(product, rows), failed
 
 
-def file_status(cleaned: Cleaned | None, failed: list) -> DataFrame:
+def file_status(cleaned: Cleaned | None, failed: list, facts: DataFrame | None = None) -> DataFrame:
     """(file_date, status, num_rows, error) of every file.
 
     A file fails as a whole if its layout does not fit or a row breaks a NOT NULL column; it then
@@ -129,23 +152,20 @@ def file_status(cleaned: Cleaned | None, failed: list) -> DataFrame:
     """
     out = None
     if cleaned is not None:
-        table = TABLES[PRODUCTS[cleaned.product].table]
-        # keys and nullable columns only: the rows themselves stay out of this shuffle
-        broken = F.lit(False)
-        for c in table.not_null:
-            if c in cleaned.columns:
-                broken = broken | F.col(c).isNull()
-        kept = cleaned.usable.groupBy(*cleaned.file_key).agg(
-            F.min_by(broken, "row_no").alias("broken")
+        facts = cleaned.facts if facts is None else facts
+        per_file = facts.groupBy("file_date").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bool_or(F.col("n_broken") == F.col("n_copies")).alias("broken"),
         )
+        # a key with broken and whole rows: its first row decides, and only such keys are put in order
+        mixed = facts.where("n_broken > 0 AND n_broken < n_copies").select(*cleaned.file_key)
+        first = keep_first(cleaned.usable.join(mixed, cleaned.file_key, "left_semi"), cleaned.file_key)
+        late = first.where(cleaned.broken).select("file_date").distinct().withColumn("late", F.lit(True))
         # a file without any usable row is ingested with 0 rows
         read = cleaned.typed.select("file_date").distinct()
-        per_file = kept.groupBy("file_date").agg(
-            F.count(F.lit(1)).alias("n"), F.bool_or("broken").alias("broken")
-        )
         message = "NOT NULL constraint failed: " + PRODUCTS[cleaned.product].table
-        is_broken = F.coalesce("broken", F.lit(False))
-        out = read.join(per_file, "file_date", "left").select(
+        is_broken = F.coalesce("broken", F.lit(False)) | F.coalesce("late", F.lit(False))
+        out = read.join(per_file, "file_date", "left").join(late, "file_date", "left").select(
             "file_date",
             F.when(is_broken, ERROR).otherwise(INGESTED).alias("status"),
             F.when(is_broken, 0).otherwise(F.coalesce("n", F.lit(0))).cast("bigint").alias("num_rows"),

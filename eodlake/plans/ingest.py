@@ -70,14 +70,18 @@ def _load(store: Store, scratch: Scratch, product: str, groups: list[scan.FileGr
     cleaned, _ = clean_layouts(scan.scan_raw(store.spark, product, groups), product)
     # parsed once, as text; everything below reads the columns it needs from Parquet
     cleaned = Cleaned(product, scratch.write(cleaned.typed))
-    status = scratch.write(file_status(cleaned, []))
+    facts = scratch.write(cleaned.facts)
+    status = scratch.write(file_status(cleaned, [], facts))
     good = status.where(F.col("status") == INGESTED).select("file_date")
     named = good.join(names.where(F.col("product") == product).drop("product"), "file_date")
-    store.upsert(PRODUCTS[product].table, cleaned.usable.join(named, "file_date"), last_file_first())
-    issues = cleaned.issues.join(good, "file_date").select(
+    rows = cleaned.usable.join(named, "file_date")
+    issues = cleaned.issues_with(facts).join(good, "file_date").select(
         F.lit(product).alias("product"), F.col("file_date").alias("date"),
         "symbol", "series", "code", "message",
     )
+    _, issues = _side_by_side(store.spark, [
+        lambda: store.upsert(PRODUCTS[product].table, rows, last_file_first()), lambda: scratch.write(issues)
+    ])
     return status.select(F.lit(product).alias("product"), F.col("file_date").alias("date"), "status", "num_rows", "error"), issues
 
 
