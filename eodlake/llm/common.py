@@ -44,6 +44,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_keys(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """`df` with a number `name`, the same for rows alike in id and text and for no others, in the order of the ids, nulls last.
+
+    Where ids are there and differ, as they should, they are the numbers. Else the distinct (id, hash of the text) are sorted
+    over all tasks and numbered along.
+    """
+    id_ = F.col(id_col).cast("long")
+    odd = df.groupBy(id_.alias("id")).agg(F.count("*").alias("n")).where("id IS NULL OR n > 1")
+    if odd.isEmpty():
+        return df.withColumn(name, id_)
+    mark = fresh(df, "text_mark")
+    marked = df.withColumn(mark, F.xxhash64(text_col))
+    keys = marked.select(id_.alias("key_id"), F.col(mark).alias("key_mark")).distinct()
+    keys = cut(keys.orderBy(F.asc_nulls_last("key_id"), "key_mark").withColumn(name, F.monotonically_increasing_id()))
+    same = id_.eqNullSafe(F.col("key_id")) & (F.col(mark) == F.col("key_mark"))
+    return marked.join(keys, same).select(*df.columns, name)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import cut, fresh
+from eodlake.llm.common import cut, fresh, row_keys
 from eodlake.llm.setjoin import MIX, NO_ID, SetJoin, Sets, Splitter, WordHashes, _chunks, _remembered, distinct, mixed, sort_each
 from eodlake.session import Scratch
 
@@ -352,12 +352,14 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars
     """`df` without the removed lines; documents that lose every line with a word go.
 
     Other columns stay as they are, but the one named by n_chars, which gets the new length. Texts that lose nothing
-    stay byte for byte, null and empty ones included.
+    stay byte for byte, null and empty ones included. Rows that repeat an id, and rows without one, are documents of
+    their own unless their texts are equal; of equal ones all stay or all go.
     """
-    key, gone, found = fresh(df, "line_key"), fresh(df, "removed_lines"), removed_lines(df, id_col, text_col)
-    removed = found.distinct().groupBy(F.col("id").alias(key)).agg(F.collect_list("record").alias(gone))
+    key, gone = fresh(df, "line_key"), fresh(df, "removed_lines")
+    numbered = row_keys(df, id_col, text_col, key)
+    removed = removed_lines(numbered, key, text_col).distinct().groupBy(F.col("id").alias(key)).agg(F.collect_list("record").alias(gone))
     lines = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(gone, i))
-    joined = df.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).join(removed, key, "left")
+    joined = numbered.join(removed, key, "left")
     cleaned = joined.withColumn(text_col, F.when(F.col(gone).isNotNull(), F.array_join(lines, "\n")).otherwise(F.col(text_col)))
     kept = cleaned.where(F.col(gone).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     if n_chars is not None:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import cut
+from eodlake.llm.common import cut, fresh, row_keys
 from eodlake.llm.components import components
 from eodlake.llm.setjoin import MIX, PACK, PACKED, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, mixed, packed
 from eodlake.session import Scratch
@@ -171,12 +171,10 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of `df`, all columns, whose id is the smallest of what links reach; rows without shingles all stay.
 
-    Rows without an id always stay. Rows that repeat an id share its verdict.
+    Rows without an id always stay. Rows that repeat an id are judged by their own text; of equal rows all stay or all go.
     """
-    gone = (
-        join_ngrams(df, id_col, text_col, words, num, den)
-        .where("id != component_id")
-        .select(F.col("id").alias("gone_id"))
-        .distinct()
-    )
-    return df.join(gone, df[id_col].cast("long") == gone["gone_id"], "left_anti")
+    key, gone_key = fresh(df, "row_key"), fresh(df, "gone_key")
+    numbered = row_keys(df, id_col, text_col, key)
+    gone = join_ngrams(numbered, key, text_col, words, num, den).where("id != component_id").select(F.col("id").alias(gone_key)).distinct()
+    gone_too = (F.col(key) == F.col(gone_key)) & F.col(id_col).isNotNull()
+    return numbered.join(gone, gone_too, "left_anti").select(*df.columns)

@@ -378,3 +378,14 @@ def test_punctuation_of_slot_values_does_not_count(spark):
     ]
     got = {r.doc_key.id: r.other_values for r in decontaminate.leaks(docs(spark, *rows), bench).collect()}
     assert got == {1: 0, 2: 0, 4: 0}
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_lose_no_text_of_their_own(spark):
+    """A, and texts that nothing else has, under no id and under one id twice."""
+    same = "every word of this first line is here again"
+    alone = ["quite another story about ships and their crews", "mountains of paper stood on the old wooden desk"]
+    rows = [(1, same), (None, same), (None, alone[0]), (7, same), (7, alone[1]), (7, alone[1])]
+    left = [(r.doc_id, r.text) for r in line_dedup.dedup(docs(spark, *rows)).collect()]
+    assert sorted(left, key=str) == sorted([(1, same), (None, alone[0]), (7, alone[1]), (7, alone[1])], key=str)
+    left = [(r.doc_id, r.text) for r in ngram_join.keep_one(docs(spark, *rows), words=5, num=80, den=100).collect()]
+    assert sorted(left, key=str) == sorted([r for r in rows if r != (7, same)], key=str)
