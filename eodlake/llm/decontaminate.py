@@ -3,7 +3,8 @@
 Texts are brought to templates: numbers, names and units become typed placeholders, and case and outer
 punctuation go. Windows of five template words are hash-joined with those of the benchmark. Matched windows
 of one alignment (document position less item position) must fill each slot value of the item by one
-value of the document: a question asked again with other numbers passes, rows of unrelated numbers don't.
+value of the document, the one it has most often: a question asked again with other numbers passes, rows of unrelated
+numbers don't, and one changed number of a repeated value leaves out only the windows that hold it.
 A document is contaminated by an item when half of the item's windows are found.
 """
 
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eodlake.llm.common import cut
+
 WINDOW = 5
 SHARE = 0.5
 #: Benchmarks of up to so many windows are sent to every task (16 MB); larger ones are joined by shuffle.
@@ -49,35 +52,65 @@ def template(text: Column) -> Column:
     return F.lower(text)
 
 
+def _split(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, w, raw_w): template words, and the text's own ones without outer punctuation; the latter null if no word is typed."""
+    typed = df.select(*keys, F.col(text).alias("raw"), template(F.col(text)).alias("canonical"))
+    own = _words(F.lower(F.regexp_replace("raw", F.lit(_OUTER), F.lit(""))))
+    return typed.select(*keys, _words(F.col("canonical")).alias("w"), F.when(F.contains("canonical", F.lit("⟨")), own).alias("raw_w"))
+
+
+def _hashes(k: int, literal: int) -> Column:
+    """The hash of each window of k words, in order. With fewer than `literal` literal words it takes the values themselves."""
+
+    def one(i: Column) -> Column:
+        part = F.slice("w", i, k)
+        of_words = F.xxhash64(F.lit(k), part)
+        typed = F.size(F.filter(part, lambda x: F.startswith(x, F.lit("⟨"))))
+        plain = F.xxhash64(F.lit(-k), F.slice("raw_w", i, k))
+        return F.when(F.col("raw_w").isNotNull() & (F.lit(k) - typed < literal), plain).otherwise(of_words)
+
+    found = F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), one))
+    return F.coalesce(found, F.array().cast("array<bigint>"))
+
+
+def _slots(k: int) -> Column:
+    """The text's words at the placeholders of each window, in order."""
+
+    def one(i: Column) -> Column:
+        marks = F.transform(F.slice("w", i, k), lambda x: F.startswith(x, F.lit("⟨")))
+        return F.filter(F.slice("raw_w", i, k), lambda _, j: F.get(marks, j))
+
+    none = F.array().cast("array<string>")
+    return F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), lambda i: F.when(F.col("raw_w").isNotNull(), one(i)).otherwise(none)))
+
+
 def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int]) -> DataFrame:
-    """(keys, position, hash, slots) of each window with at least two literal words.
+    """(keys, position, hash, slots) of each window.
 
-    slots: the text's words at the window's placeholders, without outer punctuation, in order; null if the text has none. Windows shorter
-    than WINDOW have as many words as the item that they stand for and need one literal word.
+    slots: the text's words at the window's placeholders, in lower case and without outer punctuation, in order. Windows shorter than
+    WINDOW have as many words as the item that they stand for. A window with fewer than two literal words (one, if items
+    are shorter) is told by its values too: it meets only windows that hold the same.
     """
-    typed = df.select(*keys, F.col(text).alias("raw"), template(F.col(text)).alias("canonical"))
-    split = typed.select(
-        *keys,
-        _words(F.col("canonical")).alias("w"),
-        F.when(F.contains("canonical", F.lit("⟨")), _words(F.regexp_replace("raw", F.lit(_OUTER), F.lit("")))).alias("raw_w"),
-    )
+    split, literal = _split(df, keys, text), min(2, min(lengths))
+    out = None
+    for k in lengths:
+        pairs = F.arrays_zip(_hashes(k, literal).alias("hash"), F.coalesce(_slots(k), F.array().cast("array<array<string>>")).alias("slots"))
+        rows = split.select(*keys, F.posexplode(pairs).alias("at", "x")).select(*keys, (F.col("at") + 1).alias("position"), "x.hash", "x.slots")
+        out = rows if out is None else out.union(rows)
+    return out
 
-    def at(k: int) -> Column:
-        def one(i: Column) -> Column:
-            part = F.slice("w", i, k)
-            marks = F.transform(part, lambda x: F.startswith(x, F.lit("⟨")))
-            slots = F.when(
-                F.col("raw_w").isNotNull(),
-                F.filter(F.slice("raw_w", i, k), lambda _, j: F.get(marks, j)),
-            )
-            return F.struct(i.alias("position"), F.xxhash64(F.lit(k), part).alias("hash"), slots.alias("slots"))
 
-        return F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), one))
+def _agreed(pairs: Column) -> Column:
+    """Of the (asked, found) pairs of an alignment, those that count: equal ones, and for each asked value the pair seen most often."""
+    distinct = F.array_distinct(pairs)
 
-    parts = [F.coalesce(at(k), F.array().cast("array<struct<position:int,hash:bigint,slots:array<string>>>")) for k in lengths]
-    rows = split.select(*keys, F.explode(F.concat(*parts)).alias("x")).select(*keys, "x.position", "x.hash", "x.slots")
-    literal = F.least(F.lit(2), F.lit(min(lengths)))
-    return rows.where(F.coalesce(F.size("slots"), F.lit(0)) <= F.lit(WINDOW) - literal)
+    def most(p: Column) -> Column:
+        rivals = F.filter(distinct, lambda q: q["asked"] == p["asked"])
+        times = lambda q: F.size(F.filter(pairs, lambda r: r == q))
+        best = F.array_max(F.transform(rivals, lambda q: F.struct(times(q).alias("n"), (q["asked"] == q["found"]).alias("same"), q["found"].alias("found"))))
+        return (p["asked"] == p["found"]) | (best["found"] == p["found"])
+
+    return F.filter(distinct, most)
 
 
 def leaks(
@@ -89,7 +122,10 @@ def leaks(
     doc_key is (id, hash of the text), so rows without an id and ids given twice are judged on their own;
     rows alike in both count as one. other_values: slot values that differ from the item's. Null and empty texts
     have no windows. Items of fewer than five words are looked for as a whole; items without words never
-    match. Neither side's further columns are read. Empty tables give no rows.
+    match, items of nothing but numbers only by the same numbers. Neither side's further columns are read. Empty tables
+    give no rows.
+
+    A first pass over the documents makes hashes alone and keeps those that meet a window; slots are read of these.
     """
     items = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
     length = F.least(F.size(_words(F.col("text"))), F.lit(WINDOW))
@@ -101,26 +137,31 @@ def leaks(
         wanted = own if wanted is None else wanted.union(own)
     wanted = wanted.toDF("item", "item_position", "hash", "item_slots")
     totals = wanted.groupBy("item").agg(F.count("*").alias("item_windows"))
-    key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"))
-    docs = windows(documents.select(key.alias("doc_key"), F.col(text).alias("text")), ["doc_key"], "text", lengths)
+    hashes = wanted.select("hash").distinct()
     if wanted.count() <= BROADCAST_WINDOWS:
-        wanted, totals = F.broadcast(wanted), F.broadcast(totals)
+        wanted, totals, hashes = F.broadcast(wanted), F.broadcast(totals), F.broadcast(hashes)
+    key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"))
+    texts = documents.select(key.alias("doc_key"), F.col(text).alias("text"))
+    all_hashes = F.flatten(F.array(*[_hashes(k, min(2, min(lengths))) for k in lengths]))
+    met = _split(texts, ["doc_key"], "text").select("doc_key", F.explode(all_hashes).alias("hash")).join(hashes, "hash", "left_semi")
+    # rows alike in id and text are told once
+    met = cut(texts.dropDuplicates(["doc_key"]).join(met.select("doc_key").distinct(), "doc_key", "left_semi"))
     pair = lambda a, b: F.struct(a.alias("asked"), b.alias("found"))
-    found = docs.join(wanted, "hash").select(
+    found = windows(met, ["doc_key"], "text", lengths).join(wanted, "hash").select(
         "doc_key", "item", "item_position", (F.col("position") - F.col("item_position")).alias("shift"),
-        F.when(F.size("slots") > 0, F.zip_with("item_slots", "slots", pair)).alias("pairs"),
+        F.zip_with("item_slots", "slots", pair).alias("pairs"),
     )
-    aligned = found.groupBy("doc_key", "item", "shift").agg(
-        F.collect_set("item_position").alias("positions"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    # an alignment has one window a position of the item, so its size is bounded by the item
+    aligned = found.groupBy("doc_key", "item", "shift").agg(F.collect_list(F.struct("item_position", "pairs")).alias("met"))
+    aligned = aligned.withColumn("agreed", _agreed(F.flatten(F.transform("met", lambda m: m["pairs"]))))
+    kept = aligned.select(
+        "doc_key", "item", F.explode(F.filter("met", lambda m: F.forall(m["pairs"], lambda p: F.array_contains(F.col("agreed"), p)))).alias("m"), "agreed"
     )
-    # One value of the document for each value of the item: as many values as pairs.
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["asked"])))
-    kept = aligned.where(values == F.size("pairs"))
     return (
         kept.groupBy("doc_key", "item")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("positions")))).cast("long").alias("found_windows"),
-            F.max(F.size(F.filter("pairs", lambda p: p["asked"] != p["found"]))).cast("long").alias("other_values"),
+            F.size(F.collect_set("m.item_position")).cast("long").alias("found_windows"),
+            F.max(F.size(F.filter("agreed", lambda p: p["asked"] != p["found"]))).cast("long").alias("other_values"),
         )
         .join(totals, "item")
         .where(F.col("found_windows") >= F.lit(share) * F.col("item_windows"))

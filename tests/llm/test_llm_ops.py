@@ -169,17 +169,21 @@ def test_decontamination(spark):
     item = "Anna bought 12 red apples for 30 dollars and gave 12 of them to the old man"
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "a b c")], "item_id long, text string")
     other = item.replace("12", "57").replace("30", "8").replace("Anna", "Lena")
-    broken = item.replace("12 red", "57 red")  # the same slot with two values
+    broken = item.replace("12 red", "57 red")  # a copy but for one of two equal numbers
     rows = [
         (1, f"before that. {item}! and after"), (2, "Well. " + other), (3, broken), (4, "nothing of the kind is told here"),
         (5, None), (6, ""), (7, "so A b c!"), (8, " ".join(str(i) for i in range(50))), (None, item), (None, "fine words only"),
+        (9, "now 12 17, 19 23 29 31 then"), (10, "now 12 17 18 23 29 31 then"), (1, "the same id, another text"),
     ]
+    bench = bench.union(spark.createDataFrame([(5, "12 17 19 23 29 31")], bench.schema))
     found = decontaminate.leaks(docs(spark, *rows), bench)
     got = {(r.doc_key.id, r.item): r.other_values for r in found.collect()}
-    assert set(got) == {(1, 1), (2, 1), (7, 4), (None, 1)} and got[1, 1] == 0 and got[2, 1] >= 2
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (7, 4), (None, 1), (9, 5)}
+    assert got[1, 1] == got[9, 5] == 0 and got[2, 1] >= 2
     clean = decontaminate.clean(docs(spark, *rows), bench)
-    assert sorted(str(r.doc_id) for r in clean.collect()) == ["3", "4", "5", "6", "8", "None"]
+    assert sorted(str(r.doc_id) for r in clean.collect()) == ["1", "10", "4", "5", "6", "8", "None"]
     assert decontaminate.leaks(docs(spark, *rows), bench.where("false")).count() == 0
+    assert decontaminate.leaks(docs(spark, *rows).where("false"), bench).count() == 0
 
 
 def test_warc_round_trip(spark, tmp_path):
