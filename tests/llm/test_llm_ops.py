@@ -381,7 +381,8 @@ def test_punctuation_of_slot_values_does_not_count(spark):
         (3, item.replace("kept 12", "kept -12").replace("gave 12", "gave +12")), (4, item),
     ]
     got = {r.doc_key.id: r.other_values for r in decontaminate.leaks(docs(spark, *rows), bench).collect()}
-    assert got == {1: 0, 2: 0, 4: 0}
+    # signs belong to the value: row 3 has another one, and loses the windows of the rarer of its two
+    assert got == {1: 0, 2: 0, 3: 1, 4: 0}
 
 
 def test_rows_without_an_id_or_with_a_repeated_one_lose_no_text_of_their_own(spark):
