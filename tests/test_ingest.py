@@ -62,7 +62,7 @@ def test_a_bad_file_stops_nothing_else(store, landing):
     assert (summary.ingested, summary.errors, summary.rows) == (1, 4, 3)
     errors = {d.day: r.error for (_, d), r in log(store).items() if r.status == "error"}
     assert "missing required columns" in errors[14]
-    assert errors[5] == "file is empty"
+    assert errors[15] == "file is empty"
     assert errors[18] == "no rows parsed"
     assert "NOT NULL" in errors[19]
     assert store["bhav_daily"].count() == 3
