@@ -15,16 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import cut, fresh, row_keys
+from eodlake.llm.common import cut, fresh, release, row_keys
 from eodlake.llm.components import components
-from eodlake.llm.setjoin import MIX, PACK, PACKED, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, mixed, packed
+from eodlake.llm.setjoin import MIX, SetJoin, Sets, Splitter, WordHashes, _chunks, distinct, level, mixed, salts
 from eodlake.session import Scratch
 
 WORDS = 4
 NUM, DEN = 85, 100
-
-
-BITS = 20
+#: Rarity comes from 2^24 counters, one byte each where they are used; they are summed in slices of 2^16.
+BITS, SLICE_BITS = 24, 16
+#: How often each class meets a pivot before what is left open is joined.
+ROUNDS = 2
+#: What one pass over the texts writes: rows, and counters of slices.
+READ = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("slice", pa.int32()), ("low", pa.binary())])
 
 
 def shingles(words: int = WORDS) -> Splitter:
@@ -60,89 +63,137 @@ def shingles(words: int = WORDS) -> Splitter:
     return split
 
 
+def _with_nulls(**columns) -> pa.RecordBatch:
+    """Some columns of READ, the others null."""
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in READ], schema=READ)
+
+
 class NgramJoin(SetJoin):
     """The join of whole texts. One pass lists the rows and counts their tokens."""
 
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
         splitter, bits = self.splitter, self.bits
-        row = {"id": pa.int64(), "n": pa.int32(), "c1": pa.int64(), "c2": pa.int64()}
-        counters = {"bucket": pa.int32()} | {f"n{i}": pa.int64() for i in range(PACK)}
-        schema = pa.schema(list((row | counters).items()))
+        parts = 1 << (bits - SLICE_BITS)
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, counts = splitter(), np.zeros(1 << bits, np.int64)
-            whole = lambda known, n: pa.RecordBatch.from_arrays([known.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+            split = splitter()
             for ids, texts in _chunks(batches):
                 sets = split(texts)
-                counts += counted_tokens(sets, bits)
                 one, two = sets.digests()
-                listed = pa.array(ids, pa.int64()), pa.array(sets.size.astype(np.int32)), pa.array(one), pa.array(two)
-                yield whole(dict(zip(row, listed, strict=True)), len(ids))
-            for part in packed(counts):
-                yield whole(dict(zip(counters, part.columns, strict=True)), part.num_rows)
-
-        self.read = self.scratch.write(self.texts.mapInArrow(read, f"id long, n int, c1 long, c2 long, {PACKED}"))
-        return self._levels(self.read.where("bucket is not null").select("bucket", *(f"n{i}" for i in range(PACK))))
+                yield _with_nulls(id=pa.array(ids, pa.int64()), n=sets.size.astype(np.int32), c1=one, c2=two)
+                counter = np.sort((sets.tokens >> np.uint64(64 - bits)).astype(np.uint32))
+                ends = np.searchsorted(counter, np.arange(1, parts + 1) << SLICE_BITS)
+                low = (counter & ((1 << SLICE_BITS) - 1)).astype("<u2")
+                found = [low[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+                full = [k for k in range(parts) if found[k]]
+                yield _with_nulls(slice=np.array(full, np.int32), low=pa.array([found[k] for k in full], pa.binary()))
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts: dict[int, np.ndarray] = {}  # 2^bits numbers at most
+            for batch in batches:
+                for k, low in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    n = counts.setdefault(k, np.zeros(1 << SLICE_BITS, np.int64))
+                    n += np.bincount(np.frombuffer(low.as_py(), "<u2"), minlength=1 << SLICE_BITS)
+            levels = [level(n).tobytes() for n in counts.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int32()), pa.array(levels, pa.binary())], names=["slice", "levels"])
+
+        self.read = self.scratch.write(self.texts.mapInArrow(read, "id long, n int, c1 long, c2 long, slice int, low binary"))
+        counters = self.read.where("slice is not null").select("slice", "low").repartition("slice")
+        table = np.zeros(1 << bits, np.uint8).reshape(parts, -1)
+        for row in counters.mapInArrow(summed, "slice int, levels binary").collect():  # 2^bits bytes at most
+            table[row.slice] = np.frombuffer(row.levels, np.uint8)
+        return table.ravel(), salts()
 
     def rows(self) -> DataFrame:
         """(id, n, c1, c2) of every row; n is the size of its set."""
-        return self.read.where("bucket is null").select("id", "n", "c1", "c2")
+        return self.read.where("slice is null").select("id", "n", "c1", "c2")
 
     def first_ids(self) -> DataFrame:
         """(c1, c2, id) of every class with a shingle."""
         return self.classes
 
 
-def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
-    """(u, v) of structs (c1, c2): links whose components are those of all links."""
-    prefixes = join.prefixes()
-    group = ["token", "salt"]
-    own = Window.partitionBy(*group)
-    # Groups are of GROUP_ROWS at most in the mean of what shares a counter: a hot token has many salts.
-    seen = (
-        prefixes.withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own), "many": F.count("*").over(own)})
-        .where((F.col("low") < F.col("high")) | (F.col("salt") > 0))
-        .dropDuplicates(["token", "salt", "c1", "c2"])
-        .drop("low", "high")
-    )
-    seen = scratch.write(seen)
-    # The pivot of a group is its most central set, the one whose tokens are shared most: copies lie around their original.
-    central = seen.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central"))
-    best = (
-        seen.join(central, ["c1", "c2"])
-        .groupBy(*group)
-        .agg(F.max(F.struct("central", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("n").alias("na"), F.col("at").alias("ata"))).alias("p"))
-        .select(*group, "p.a1", "p.a2", "p.na", "p.ata")
-    )
-    first = (
-        seen.join(best, group)
-        .where("c1 != a1 or c2 != a2")
-        .where(join.lengths_fit(F.col("n"), F.col("na")))
-        .groupBy("a1", "a2", F.col("c1").alias("b1"), F.col("c2").alias("b2"), "na", "n")
-        .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("at").alias("atb"))
-        .where(join.can_reach(F.col("na"), F.col("n"), F.col("shared"), F.col("ata"), F.col("atb")))
-        .select("a1", "a2", "b1", "b2")
-    )
-    ends = lambda df: df.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("u"), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("v"))
-    found = scratch.write(ends(join.verified(first)))
+def _ends(df: DataFrame) -> DataFrame:
+    return df.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("u"), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("v"))
+
+
+def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """`rows` with the components (r1, r2) of their classes (c1, c2) by the links found."""
     roots = components(found).select(F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), F.col("root.c1").alias("r1"), F.col("root.c2").alias("r2"))
-    rooted = seen.join(roots, ["c1", "c2"], "left").select(
-        "token", "c1", "c2", "n", "at", F.coalesce("r1", "c1").alias("r1"), F.coalesce("r2", "c2").alias("r2")
+    return rows.drop("r1", "r2").join(roots, ["c1", "c2"], "left").withColumns({"r1": F.coalesce("r1", "c1"), "r2": F.coalesce("r2", "c2")})
+
+
+def _open(rows: DataFrame, *group: str) -> DataFrame:
+    """The groups that hold more than one component."""
+    roots = F.struct("r1", "r2")
+    return rows.groupBy(*group).agg(F.min(roots).alias("low"), F.max(roots).alias("high")).where("low != high").select(*group)
+
+
+def _to_pivots(join: SetJoin, rows: DataFrame) -> DataFrame:
+    """(a1, a2, b1, b2): for each class b one pivot a of another component, the one that it shares most with.
+
+    Each token group names one pivot, its most central class, so a group gives a row a member, and a class one pair.
+    """
+    group = ["token", "salt"]
+    pivot = F.struct("central", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("n").alias("na"), F.col("at").alias("ata"), F.col("r1").alias("ra1"), F.col("r2").alias("ra2"))
+    best = rows.groupBy(*group).agg(F.max(pivot).alias("p")).select(*group, "p.*").drop("central")
+    met = rows.join(best, group).where((F.col("r1") != F.col("ra1")) | (F.col("r2") != F.col("ra2")))
+    met = met.where(join.lengths_fit(F.col("n"), F.col("na")) & join.in_prefixes(F.col("n"), F.col("na"), F.col("at"), F.col("ata")))
+    shared = (
+        met.groupBy(F.col("c1").alias("b1"), F.col("c2").alias("b2"), "a1", "a2", "na", "n")
+        .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("at").alias("at"))
+        .where(join.can_reach(F.col("na"), F.col("n"), F.col("shared"), F.col("ata"), F.col("at")))
     )
-    rooted = scratch.write(rooted)
-    open_ = rooted.groupBy("token").agg(F.min("r1").alias("low"), F.max("r1").alias("high")).where("low < high").select("token")
-    rest = rooted.join(open_, "token", "left_semi")
+    return shared.groupBy("b1", "b2").agg(F.max(F.struct("shared", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2")
+
+
+def _left_open(join: SetJoin, rows: DataFrame) -> DataFrame:
+    """(a1, a2, b1, b2): all pairs of different components that may be similar."""
+    rest = rows.join(_open(rows, "token"), "token", "left_semi").select("token", "c1", "c2", "n", "at", "r1", "r2")
     a = rest.toDF("token", "a1", "a2", "na", "ata", "ra1", "ra2")
     b = rest.toDF("token", "b1", "b2", "nb", "atb", "rb1", "rb2")
-    second = (
-        a.join(b, "token")
-        .where((F.col("a1") < F.col("b1")) & (F.col("ra1") != F.col("rb1")) & join.lengths_fit(F.col("na"), F.col("nb")))
+    # of two sets, the smaller one is a; of equal size, the one with the smaller digest
+    ordered = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.struct("a1", "a2") < F.struct("b1", "b2"))
+    other = (F.col("ra1") != F.col("rb1")) | (F.col("ra2") != F.col("rb2"))
+    sizes = F.col("na"), F.col("nb")
+    places = F.col("ata"), F.col("atb")
+    return (
+        a.join(b, (a["token"] == b["token"]) & ordered & other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, *places))
         .groupBy("a1", "a2", "b1", "b2", "na", "nb")
         .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("atb").alias("atb"))
-        .where(join.can_reach(F.col("na"), F.col("nb"), F.col("shared"), F.col("ata"), F.col("atb")))
+        .where(join.can_reach(*sizes, F.col("shared"), *places))
         .select("a1", "a2", "b1", "b2")
     )
-    return found.union(ends(join.verified(second)))
+
+
+def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
+    """(u, v) of structs (c1, c2): links whose components are those of all links.
+
+    ROUNDS times, each class meets one pivot, and what is linked is contracted. Then all pairs of components that are left are
+    compared, which those rounds make few: so no link between components is lost.
+    """
+    own = Window.partitionBy("token", "salt")
+    # Groups are of GROUP_ROWS at most in the mean of what shares a counter: a hot token has many salts.
+    rows = (
+        join.prefixes()
+        .withColumns({"low": F.min("c1").over(own), "high": F.max("c1").over(own), "many": F.count("*").over(own)})
+        .where((F.col("low") < F.col("high")) | (F.col("salt") > 0))
+        .dropDuplicates(["token", "salt", "c1", "c2"])
+        .drop("low", "high")
+    )
+    rows = scratch.write(rows)
+    # Central is a class whose tokens are shared most: copies lie around their original.
+    central = rows.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central"))
+    rows = scratch.write(rows.drop("many").join(central, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
+    release(join.spark)
+    found = None
+    for _ in range(ROUNDS):
+        links = scratch.write(_ends(join.verified(_to_pivots(join, rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")))))
+        found = links if found is None else found.union(links)
+        rows = scratch.write(_rooted(rows, found))
+        release(join.spark)
+    return found.union(_ends(join.verified(_left_open(join, rows))))
 
 
 def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:

@@ -188,6 +188,16 @@ def packed(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"bucket": part.astype(np.int32)} | {f"n{k}": table[part, k] for k in range(PACK)})
 
 
+def level(n: np.ndarray) -> np.ndarray:
+    """Half powers of two."""
+    return np.minimum(np.floor(2 * np.log2(np.maximum(n, 1))), (1 << LEVEL_BITS) - 1).astype(np.uint8)
+
+
+def salts() -> np.ndarray:
+    """Over how many salts the tokens of each level are split."""
+    return np.maximum(1, 2 ** ((np.arange(1 << LEVEL_BITS) + 1) / 2) // GROUP_ROWS).astype(np.int64)
+
+
 class SetJoin:
     """One similarity join over the records of a text column; similar: den * overlap >= num * union.
 
@@ -202,7 +212,7 @@ class SetJoin:
         self.ranked = _ranker(self.table, bits)
 
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
-        """(level, salts) of each counter: 2^bits numbers."""
+        """(level of each counter, salts of each level): 2^bits numbers and 64."""
         splitter, bits = self.splitter, self.bits
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,13 +224,11 @@ class SetJoin:
         return self._levels(self.texts.mapInArrow(counted, PACKED))
 
     def _levels(self, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """(level, salts) of each counter, of the packed counts of all tasks."""
+        """(level of each counter, salts of each level), of the packed counts of all tasks."""
         summed = counts.groupBy("bucket").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(PACK))).toArrow()  # at most 2^bits numbers
         n = np.zeros((1 << self.bits) // PACK * PACK, np.int64).reshape(-1, PACK)
         n[summed["bucket"].to_numpy()] = np.stack([summed[f"n{i}"].to_numpy() for i in range(PACK)], axis=1)
-        n = n.ravel()
-        levels = np.minimum(np.floor(2 * np.log2(np.maximum(n, 1))), (1 << LEVEL_BITS) - 1).astype(np.uint8)
-        return levels, np.maximum(1, n // GROUP_ROWS).astype(np.int32)
+        return level(n.ravel()), salts()
 
     def rows(self) -> DataFrame:
         """(id, record, n, c1, c2) of every record; n is the size of its set."""
@@ -256,7 +264,7 @@ class SetJoin:
                 at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
                 keep = at < (n - -(-num * n // den) + 1)[record]
                 record, value = record[keep], value[keep]
-                salts = table.value[1][(value >> below & mask).astype(np.int64)]
+                salts = table.value[1][table.value[0][(value >> below & mask).astype(np.int64)]]
                 salt = np.where(salts > 1, 1 + (one[record] & 0x7FFFFFFF) % salts, 0)
                 columns = value.astype(np.int64), salt.astype(np.int32), one[record], two[record], n[record].astype(np.int32), at[keep].astype(np.int32)
                 for i in range(0, len(record), 100_000):
@@ -311,6 +319,14 @@ class SetJoin:
         most = shared + F.least(a - at_a, b - at_b) - 1
         return most * (self.num + self.den) >= (a + b) * self.num
 
+    def in_prefixes(self, a: Column, b: Column, at_a: Column, at_b: Column) -> Column:
+        """Whether the token at these places can be the first that two similar sets of these sizes share.
+
+        Prefixes are listed for the smallest partner that a set can have; for a given one they are shorter. The first shared
+        token of a similar pair passes, and with a token all that the two share before it.
+        """
+        return self.can_reach(a, b, F.lit(1), at_a, at_b)
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The similar ones of (a1, a2, b1, b2), two distinct classes each.
 
