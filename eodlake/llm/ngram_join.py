@@ -2,8 +2,8 @@
 
 Sets are ordered globally, candidates share a token of their prefixes, and the candidates of a document are
 compared with it along their prefix tree (see setjoin). Groups of near copies are joined through pivots and
-contracted to components first, so that only pairs of different components are ever listed; no link between
-different components is lost.
+contracted to components first, so that only pairs of different components are ever listed, and of those only
+pairs whose sketches don't already show that they differ too much; no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -25,9 +25,13 @@ NUM, DEN = 85, 100
 #: Rarity comes from 2^24 counters, one byte each where they are used; they are summed in slices of 2^16.
 BITS, SLICE_BITS = 24, 16
 #: How often each class meets a pivot before what is left open is joined.
-ROUNDS = 2
+ROUNDS = 3
+#: A set's sketch: for 512 bits the parity of how many of its tokens fall on them, as eight numbers.
+SKETCH = [f"s{k}" for k in range(8)]
 #: What one pass over the texts writes: rows, and counters of slices.
-READ = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("slice", pa.int32()), ("low", pa.binary())])
+READ = pa.schema([
+    ("id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), *((k, pa.int64()) for k in SKETCH), ("slice", pa.int32()), ("low", pa.binary()),
+])
 
 
 def shingles(words: int = WORDS) -> Splitter:
@@ -63,6 +67,19 @@ def shingles(words: int = WORDS) -> Splitter:
     return split
 
 
+def sketches(sets: Sets) -> dict[str, np.ndarray]:
+    """The sketch of each set. Two sketches differ in no more bits than their sets in tokens."""
+    spot = mixed(sets.tokens + MIX[2]) >> np.uint64(55)
+    bit, where = np.uint64(1) << (spot & np.uint64(63)), spot >> np.uint64(6)
+    full = np.flatnonzero(sets.size)
+    out = {}
+    for k, name in enumerate(SKETCH):
+        out[name] = np.zeros(len(sets.size), np.int64)
+        if len(full):
+            out[name][full] = np.bitwise_xor.reduceat(np.where(where == k, bit, np.uint64(0)), (sets.ends - sets.size)[full]).view(np.int64)
+    return out
+
+
 def _with_nulls(**columns) -> pa.RecordBatch:
     """Some columns of READ, the others null."""
     n = len(next(iter(columns.values())))
@@ -81,7 +98,7 @@ class NgramJoin(SetJoin):
             for ids, texts in _chunks(batches):
                 sets = split(texts)
                 one, two = sets.digests()
-                yield _with_nulls(id=pa.array(ids, pa.int64()), n=sets.size.astype(np.int32), c1=one, c2=two)
+                yield _with_nulls(id=pa.array(ids, pa.int64()), n=sets.size.astype(np.int32), c1=one, c2=two, **sketches(sets))
                 counter = np.sort((sets.tokens >> np.uint64(64 - bits)).astype(np.uint32))
                 ends = np.searchsorted(counter, np.arange(1, parts + 1) << SLICE_BITS)
                 low = (counter & ((1 << SLICE_BITS) - 1)).astype("<u2")
@@ -98,7 +115,7 @@ class NgramJoin(SetJoin):
             levels = [level(n).tobytes() for n in counts.values()]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int32()), pa.array(levels, pa.binary())], names=["slice", "levels"])
 
-        self.read = self.scratch.write(self.texts.mapInArrow(read, "id long, n int, c1 long, c2 long, slice int, low binary"))
+        self.read = self.scratch.write(self.texts.mapInArrow(read, ", ".join(["id long, n int, c1 long, c2 long", *(f"{k} long" for k in SKETCH), "slice int, low binary"])))
         counters = self.read.where("slice is not null").select("slice", "low").repartition("slice")
         table = np.zeros(1 << bits, np.uint8).reshape(parts, -1)
         for row in counters.mapInArrow(summed, "slice int, levels binary").collect():  # 2^bits bytes at most
@@ -109,6 +126,14 @@ class NgramJoin(SetJoin):
         """(id, n, c1, c2) of every row; n is the size of its set."""
         return self.read.where("slice is null").select("id", "n", "c1", "c2")
 
+    def sketched(self) -> DataFrame:
+        """The classes (c1, c2) with their sketches."""
+        return self.read.where("n > 0").groupBy("c1", "c2").agg(*(F.min(k).alias(k) for k in SKETCH))
+
+    def near(self, a: Column, b: Column, apart: Column) -> Column:
+        """Whether sets of these sizes whose sketches differ in so many bits can be similar."""
+        return apart * (self.num + self.den) <= (a + b) * (self.den - self.num)
+
     def first_ids(self) -> DataFrame:
         """(c1, c2, id) of every class with a shingle."""
         return self.classes
@@ -118,6 +143,11 @@ def _ends(df: DataFrame) -> DataFrame:
     return df.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("u"), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("v"))
 
 
+def _apart(a: str, b: str) -> Column:
+    """In how many bits two sketches, with these prefixes to their columns, differ."""
+    return sum((F.bit_count(F.col(a + k).bitwiseXOR(F.col(b + k))) for k in SKETCH), F.lit(0))
+
+
 def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
     """`rows` with the components (r1, r2) of their classes (c1, c2) by the links found."""
     roots = components(found).select(F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), F.col("root.c1").alias("r1"), F.col("root.c2").alias("r2"))
@@ -130,36 +160,36 @@ def _open(rows: DataFrame, *group: str) -> DataFrame:
     return rows.groupBy(*group).agg(F.min(roots).alias("low"), F.max(roots).alias("high")).where("low != high").select(*group)
 
 
-def _to_pivots(join: SetJoin, rows: DataFrame) -> DataFrame:
-    """(a1, a2, b1, b2): for each class b one pivot a of another component, the one that it shares most with.
+def _to_pivots(join: NgramJoin, rows: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """(a1, a2, b1, b2): for each class b one pivot a of another component, the nearest by sketch that it hasn't met.
 
     Each token group names one pivot, its most central class, so a group gives a row a member, and a class one pair.
     """
     group = ["token", "salt"]
-    pivot = F.struct("central", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("n").alias("na"), F.col("at").alias("ata"), F.col("r1").alias("ra1"), F.col("r2").alias("ra2"))
-    best = rows.groupBy(*group).agg(F.max(pivot).alias("p")).select(*group, "p.*").drop("central")
-    met = rows.join(best, group).where((F.col("r1") != F.col("ra1")) | (F.col("r2") != F.col("ra2")))
-    met = met.where(join.lengths_fit(F.col("n"), F.col("na")) & join.in_prefixes(F.col("n"), F.col("na"), F.col("at"), F.col("ata")))
-    shared = (
-        met.groupBy(F.col("c1").alias("b1"), F.col("c2").alias("b2"), "a1", "a2", "na", "n")
-        .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("at").alias("at"))
-        .where(join.can_reach(F.col("na"), F.col("n"), F.col("shared"), F.col("ata"), F.col("at")))
-    )
-    return shared.groupBy("b1", "b2").agg(F.max(F.struct("shared", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2")
-
-
-def _left_open(join: SetJoin, rows: DataFrame) -> DataFrame:
+    own = {"c1": "a1", "c2": "a2", "n": "na", "at": "ata", "r1": "ra1", "r2": "ra2"} | {k: f"a_{k}" for k in SKETCH}
+    best = rows.groupBy(*group).agg(F.max(F.struct("central", *(F.col(k).alias(v) for k, v in own.items()))).alias("p")).select(*group, "p.*").drop("central")
+    sizes = F.col("n"), F.col("na")
+    other = (F.col("r1") != F.col("ra1")) | (F.col("r2") != F.col("ra2"))
+    met = rows.join(best, group).where(other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, F.col("at"), F.col("ata")))
+    met = met.withColumn("apart", _apart("", "a_")).where(join.near(*sizes, F.col("apart"))).withColumnsRenamed({"c1": "b1", "c2": "b2"})
+    if tried is not None:
+        met = met.join(tried, ["a1", "a2", "b1", "b2"], "left_anti")
+    return met.groupBy("b1", "b2").agg(F.min(F.struct("apart", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2")
+
+
+def _left_open(join: NgramJoin, rows: DataFrame) -> DataFrame:
     """(a1, a2, b1, b2): all pairs of different components that may be similar."""
-    rest = rows.join(_open(rows, "token"), "token", "left_semi").select("token", "c1", "c2", "n", "at", "r1", "r2")
-    a = rest.toDF("token", "a1", "a2", "na", "ata", "ra1", "ra2")
-    b = rest.toDF("token", "b1", "b2", "nb", "atb", "rb1", "rb2")
+    rest = rows.join(_open(rows, "token"), "token", "left_semi").select("token", "c1", "c2", "n", "at", "r1", "r2", *SKETCH)
+    a = rest.toDF("token", "a1", "a2", "na", "ata", "ra1", "ra2", *(f"a_{k}" for k in SKETCH))
+    b = rest.toDF("token", "b1", "b2", "nb", "atb", "rb1", "rb2", *(f"b_{k}" for k in SKETCH))
     # of two sets, the smaller one is a; of equal size, the one with the smaller digest
     ordered = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.struct("a1", "a2") < F.struct("b1", "b2"))
     other = (F.col("ra1") != F.col("rb1")) | (F.col("ra2") != F.col("rb2"))
     sizes = F.col("na"), F.col("nb")
     places = F.col("ata"), F.col("atb")
+    fit = join.lengths_fit(*sizes) & join.in_prefixes(*sizes, *places) & join.near(*sizes, _apart("a_", "b_"))
     return (
-        a.join(b, (a["token"] == b["token"]) & ordered & other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, *places))
+        a.join(b, (a["token"] == b["token"]) & ordered & other & fit)
         .groupBy("a1", "a2", "b1", "b2", "na", "nb")
         .agg(F.count("*").alias("shared"), F.max("ata").alias("ata"), F.max("atb").alias("atb"))
         .where(join.can_reach(*sizes, F.col("shared"), *places))
@@ -167,7 +197,7 @@ def _left_open(join: SetJoin, rows: DataFrame) -> DataFrame:
     )
 
 
-def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
+def _links(join: NgramJoin, scratch: Scratch) -> DataFrame:
     """(u, v) of structs (c1, c2): links whose components are those of all links.
 
     ROUNDS times, each class meets one pivot, and what is linked is contracted. Then all pairs of components that are left are
@@ -184,12 +214,15 @@ def _links(join: SetJoin, scratch: Scratch) -> DataFrame:
     )
     rows = scratch.write(rows)
     # Central is a class whose tokens are shared most: copies lie around their original.
-    central = rows.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central"))
-    rows = scratch.write(rows.drop("many").join(central, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
+    known = rows.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central")).join(join.sketched(), ["c1", "c2"])
+    rows = scratch.write(rows.drop("many").join(known, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
     release(join.spark)
-    found = None
+    found = tried = None
     for _ in range(ROUNDS):
-        links = scratch.write(_ends(join.verified(_to_pivots(join, rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")))))
+        apart = rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")
+        pairs = scratch.write(_to_pivots(join, apart, tried))
+        tried = pairs if tried is None else tried.union(pairs)
+        links = scratch.write(_ends(join.verified(pairs)))
         found = links if found is None else found.union(links)
         rows = scratch.write(_rooted(rows, found))
         release(join.spark)
