@@ -394,3 +394,37 @@ def test_rows_without_an_id_or_with_a_repeated_one_lose_no_text_of_their_own(spa
     assert sorted(left, key=str) == sorted([(1, same), (None, alone[0]), (7, alone[1]), (7, alone[1])], key=str)
     left = [(r.doc_id, r.text) for r in ngram_join.keep_one(docs(spark, *rows), words=5, num=80, den=100).collect()]
     assert sorted(left, key=str) == sorted([r for r in rows if r != (7, same)], key=str)
+
+
+def test_registered_ngram_join_with_hot_groups(spark, tmp_path):
+    """Whole written table, by the registered query: near copies of one original, a chain of near copies, a passage that many share."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    base, passage = [word() for _ in range(90)], " ".join(word() for _ in range(60))
+    rows = []
+    for i in range(70):  # from near to beyond the threshold
+        words = list(base)
+        for _ in range(i % 6):
+            words[rnd.randrange(len(words))] = word()
+        rows.append((i, " ".join(words)))
+    chain = [word() for _ in range(80)]
+    for i in range(70, 85):  # each like the one before, the last unlike the first
+        chain[(i - 70) * 4] = word()
+        rows.append((i, " ".join(chain)))
+    rows += [(i, f"{passage} {' '.join(word() for _ in range(i % 30 + 1))}") for i in range(85, 125)]
+    rows += [(125, None), (126, ""), (127, "one two"), (128, "One  two"), (129, " ".join(base * 300))]
+    docs(spark, *rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_ngram_join"](spark, str(tmp_path)).select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in got.collect()) == shingle_components(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice("abcdef") for _ in range(rnd.randint(0, 60))).encode() for _ in range(40)]
+    sets = ngram_join.shingles()(texts)
+    found = ngram_join.sketches(sets)
+    tokens = [set(sets.tokens[e - n : e].tolist()) for e, n in zip(sets.ends.tolist(), sets.size.tolist(), strict=True)]
+    for i, a in enumerate(tokens):
+        for j, b in enumerate(tokens):
+            apart = sum(((int(s[i]) ^ int(s[j])) & ((1 << 64) - 1)).bit_count() for s in found.values())
+            assert apart <= len(a ^ b)
