@@ -3,9 +3,9 @@
 An exact set-similarity join: words of a line are ordered by rarity, lines that share a word of their prefixes meet
 in that word's group, and pass the length and positional filters there. A 128-bit parity sketch of each set bounds
 the distance of two sets from below, so pairs of unlike lines are dropped unseen by the rest, and no like ones are.
-Each group names at most one earlier line for each line, the nearest by sketch, so groups of copies give no pairs of
-their own; the Jaccard similarity of what is named is computed. Only lines that it leaves open, having more than one
-line to compare with and no match yet, meet all of theirs.
+Each group names a few earlier lines for each line, the nearest by sketch among them, so groups of copies don't give all
+their pairs; the Jaccard similarity of what is named is computed. Only lines that it leaves open, having more lines to
+compare with and no match yet, meet all of theirs.
 
 Every line with a word takes part. Sets of up to three words match equal ones only (at 0.8): their class settles them,
 and they have no prefixes.
@@ -20,11 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eodlake.llm.common import cut, fresh, row_keys
-from eodlake.llm.setjoin import MIX, NO_ID, SetJoin, Sets, Splitter, WordHashes, _chunks, _remembered, distinct, mixed, sort_each
+from eodlake.llm.setjoin import (
+    CACHED_WORDS, MIX, PACK, PACKED, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, level, mixed, packed, salts, sort_each,
+)
 from eodlake.session import Scratch
 
 NUM, DEN = 4, 5
@@ -33,11 +36,21 @@ MIN_WORDS = 1
 BITS = 21
 #: The group of a word that more lines have is split: every two of its parts meet in a group of their own.
 GROUP_ROWS = 50_000
-#: Classes or words that are wanted again are marked in a bitmap of 2^22 bits; false marks only cost time.
-MARK_BITS = 22
+#: Places and words that are wanted again are marked in bitmaps of at most so many bits; false marks only cost time.
+MARK_BITS, TOKEN_BITS = 28, 22
+#: So many earlier lines are named for a line in each group, besides the nearest.
+NAMED = 3
 BATCH_ROWS = 100_000
+#: Counters travel in slices of 2^16.
+SLICE_BITS = 16
 #: A class of equal sets: 64 bits of a digest and the 128 bits of the sketch.
 CLASS = ("c1", "s1", "s2")
+#: Where a line stands: the key of its document and its number.
+PLACE = ("id", "record")
+PAIR = ("b_id", "b_record", "a_id", "a_record")
+#: What a prefix row holds besides its token, packed into one column.
+BODY = np.dtype([(k, "<i8") for k in ("id", *CLASS)] + [(k, "<i4") for k in ("record", "n", "at")])
+READ = pa.schema([("id", pa.int64()), ("record", pa.int32()), *((k, pa.int64()) for k in CLASS), ("slice", pa.int32()), ("counts", pa.binary())])
 
 
 def line_sets(min_words: int = MIN_WORDS) -> Splitter:
@@ -78,23 +91,25 @@ def others_match(n: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.ndarray]:
-    """For each row that an earlier one of its group may match, the nearest such row by sketch, and whether it is the only one.
+    """Earlier rows of its group that a row may match: the nearest by sketch, NAMED others at most, and whether there are more.
 
     Rows lie group by group, see `LineJoin.prefixes`. Memory is linear in them, whatever a group holds.
     """
-    new = np.zeros(len(rows["token"]), np.int64)
-    for k in ("token", "part"):
-        new[1:] |= rows[k][1:] != rows[k][:-1]
-    group = np.cumsum(new)
-    order = np.lexsort((rows["record"], rows["id"], rows["c1"], rows["n"], group))
-    rows, group = {k: v[order] for k, v in rows.items()}, group[order]
+    token = rows["token"]
+    alone = np.ones(len(token), bool)
+    alone[1:] &= token[1:] != token[:-1]
+    alone[:-1] &= token[1:] != token[:-1]
+    rows = {k: v[~alone] for k, v in rows.items()}
+    order = np.lexsort((rows["record"], rows["id"], rows["c1"], rows["n"], rows["token"]))
+    rows = {k: v[order] for k, v in rows.items()}
     again = np.zeros(len(order), bool)
-    again[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in (group, rows["n"], *(rows[k] for k in CLASS))])
-    rows, group = {k: v[~again] for k, v in rows.items()}, group[~again]
-    n, at, place, record, s1, s2 = (rows[k] for k in ("n", "at", "id", "record", "s1", "s2"))
+    again[1:] = np.logical_and.reduce([rows[k][1:] == rows[k][:-1] for k in ("token", "n", *CLASS)])
+    rows = {k: v[~again] for k, v in rows.items()}
+    group, n, at, place, record, s1, s2 = (rows[k] for k in ("token", "n", "at", "id", "record", "s1", "s2"))
     s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
     size, left = len(n), n - at
-    best, by, several = np.full(size, 1 << 30), np.full(size, -1), np.zeros(size, bool)
+    best, by, more, count = np.full(size, 1 << 30), np.full(size, -1), np.zeros(size, bool), np.zeros(size, np.int64)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
     i, step = np.arange(size), 1
     while len(i):
         # Of rows in order of n, each meets the one that many steps on, until that is too long or of another group.
@@ -109,17 +124,104 @@ def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.nda
             before = (place[a] < place[b]) | (place[a] == place[b]) & (record[a] < record[b])
             for later, early, these in ((b, a, before), (a, b, ~before)):
                 later, early, d = later[these], early[these], apart[these]
-                several[later] |= by[later] >= 0
                 closer = d < best[later]
                 best[later[closer]], by[later[closer]] = d[closer], early[closer]
+                few = count[later] < NAMED
+                pairs.append((later[few], early[few]))
+                more[later[~few]] = True
+                count[later] += 1
         step += 1
-    named = np.flatnonzero(by >= 0)
-    out = {f"b_{k}": rows[k][named] for k in CLASS} | {f"a_{k}": rows[k][by[named]] for k in CLASS}
-    return out | {"apart": best[named], "several": several[named]}
+    far = np.flatnonzero(count > NAMED)
+    later = np.concatenate([far, *(p[0] for p in pairs)]).astype(np.int64)
+    early = np.concatenate([by[far], *(p[1] for p in pairs)]).astype(np.int64)
+    sides = (("b", later), ("a", early))
+    return {f"{side}_{k}": rows[k][which].astype(np.int64) for side, which in sides for k in PLACE} | {"more": more[later].astype(np.int64)}
+
+
+def _spots(id_: np.ndarray, record: np.ndarray, bits: int) -> np.ndarray:
+    """The place of a line as one of 2^bits bits."""
+    return (mixed(mixed(id_.astype(np.int64).view(np.uint64) + MIX[0]) + record.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _first_here(seen: dict, one: np.ndarray, two: np.ndarray, id_: np.ndarray, record: np.ndarray) -> np.ndarray:
+    """Which lines have no earlier one of equal words in this task, as far as it remembers."""
+    first = np.ones(len(one), bool)
+    for i, (a, b, *place) in enumerate(zip(one.tolist(), two.tolist(), id_.tolist(), record.tolist(), strict=True)):
+        known = seen.get((a, b))
+        if known is not None and known < tuple(place):
+            first[i] = False
+        else:
+            if len(seen) >= CACHED_WORDS:
+                seen.clear()
+            seen[a, b] = tuple(place)
+    return first
+
+
+def _bodies(columns: dict[str, np.ndarray]) -> pa.Array:
+    """The columns of BODY as one binary column."""
+    size = len(columns["id"])
+    body = np.empty(size, BODY)
+    for k in BODY.names:
+        body[k] = columns[k]
+    ends = np.arange(size + 1, dtype=np.int32) * BODY.itemsize
+    return pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(ends), pa.py_buffer(body)])
+
+
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """The tokens of a batch of `LineJoin.prefixes`, and the columns of BODY."""
+    bodies = batch.column(1)
+    start = int(np.frombuffer(bodies.buffers()[1], np.int32, 1, bodies.offset * 4)[0])
+    body = np.frombuffer(bodies.buffers()[2], BODY, len(bodies), start)
+    return {"token": batch.column(0).to_numpy()} | {k: body[k].astype(np.int64) for k in BODY.names}
 
 
 class LineJoin(SetJoin):
-    """The join of the lines of some documents; classes are known by `CLASS`."""
+    """The join of the lines of some documents; a line is known by its place, a class of equal sets by the first one."""
+
+    def _table(self) -> tuple[np.ndarray, np.ndarray]:
+        """One pass lists the lines and counts their tokens."""
+        splitter, bits = self.splitter, self.bits
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split, seen, counts = splitter(), {}, np.zeros(1 << bits, np.int64)
+            for ids, texts in _chunks(batches):
+                sets = split(texts)
+                if not len(sets.size):
+                    continue
+                counts += counted_tokens(sets, bits)
+                one, (s1, s2), own = sets.digests()[0], sketches(sets), np.array(ids, np.int64)[sets.text]
+                again = pa.array(~_first_here(seen, one, s1, own, sets.number))
+                known = [pc.if_else(again, None, pa.array(x)) for x in (one, s1, s2)]
+                empty = [pa.nulls(len(own), t) for t in (pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sets.number.astype(np.int32)), *known, *empty], schema=READ)
+            for k in range(len(counts) >> SLICE_BITS):
+                part = counts[k << SLICE_BITS : (k + 1) << SLICE_BITS]
+                if part.any():
+                    row = {f.name: [None] for f in READ} | {"slice": [k], "counts": [part.astype("<i8").tobytes()]}
+                    yield pa.RecordBatch.from_pydict(row, schema=READ)
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}  # 2^bits numbers at most
+            for batch in batches:
+                for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    n = sums.setdefault(k, np.zeros(1 << SLICE_BITS, np.int64))
+                    n += np.frombuffer(part.as_py(), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([level(n).tobytes() for n in sums.values()], pa.binary())], names=["slice", "levels"])
+
+        fields = "id long, record int, c1 long, s1 long, s2 long, slice int, counts binary"
+        self.read = self.scratch.write(self.texts.mapInArrow(read, fields))
+        counters = self.read.where("slice is not null").select("slice", "counts").repartition("slice")
+        table = np.zeros(1 << bits, np.uint8).reshape(-1, 1 << SLICE_BITS)
+        for row in counters.mapInArrow(summed, "slice int, levels binary").collect():  # 2^bits bytes at most
+            table[row.slice] = np.frombuffer(row.levels, np.uint8)
+        return table.ravel(), salts()
+
+    def copies(self) -> DataFrame:
+        """(id, record) of every line with an earlier one of equal words. Each task lists few lines of a class, so no class is hot."""
+        lines = self.read.where("slice is null")
+        first = F.min(F.struct(*PLACE)).over(Window.partitionBy(*CLASS))
+        later = lines.where("c1 is not null").select(*PLACE, first.alias("first")).where(F.struct(*PLACE) != F.col("first"))
+        return lines.where("c1 is null").select(*PLACE).union(later.select(*PLACE))
 
     def group_sizes(self) -> np.ndarray:
         """Into how many parts the group of each counter is split, by how many prefixes hold its tokens."""
@@ -128,101 +230,96 @@ class LineJoin(SetJoin):
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen, counts = splitter(), {}, np.zeros(1 << bits, np.int64)
-            for _, texts in _chunks(batches):
+            for ids, texts in _chunks(batches):
                 sets = split(texts)
-                n = sets.size
-                new = _remembered(seen, sets.digests()[0], sketches(sets)[0], others_match(n, num, den), np.zeros(len(n), np.int64))
-                value = sort_each(ranked(sets.tokens), n)
-                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
-                keep = np.repeat(new, n) & (at < np.repeat(n - -(-num * n // den) + 1, n))
+                n, own = sets.size, np.array(ids, np.int64)[sets.text]
+                new = _first_here(seen, sets.digests()[0], sketches(sets)[0], own, sets.number) & others_match(n, num, den)
+                n, value = n[new], ranked(sets.tokens[np.repeat(new, n)])
+                value = sort_each(value, n)
+                at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
+                keep = at < np.repeat(n - -(-num * n // den) + 1, n)
                 counts += np.bincount((value[keep] >> below & mask).astype(np.int64), minlength=1 << bits)
-            full = np.flatnonzero(counts)
-            for i in range(0, len(full), BATCH_ROWS):
-                part = full[i : i + BATCH_ROWS]
-                yield pa.RecordBatch.from_pydict({"bucket": part.astype(np.int32), "n": counts[part]})
+            yield from packed(counts)
 
-        counts = self.texts.mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-        large = counts.where(F.col("n") > GROUP_ROWS).toArrow()  # at most 2^bits rows
-        parts = np.ones(1 << bits, np.int32)
-        parts[large["bucket"].to_numpy()] = -(-large["n"].to_numpy() // GROUP_ROWS)
-        return parts
+        counts = self.texts.mapInArrow(counted, PACKED).groupBy("bucket").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(PACK)))
+        large = counts.where(F.greatest(*(f"n{i}" for i in range(PACK))) > GROUP_ROWS).toArrow()  # at most 2^bits numbers
+        parts = np.ones(1 << bits, np.int32).reshape(-1, PACK)
+        parts[large["bucket"].to_numpy()] = np.maximum(1, -(-np.stack([large[f"n{i}"].to_numpy() for i in range(PACK)], axis=1) // GROUP_ROWS))
+        return parts.ravel()
 
-    def rows(self) -> DataFrame:
-        """(id, record, *CLASS) of every line that takes part."""
-        splitter = self.splitter
+    def marked(self, places: DataFrame) -> tuple[np.ndarray, int]:
+        """The places (id, record) as a bitmap and its bits: 16 or more times their number, up to 2^MARK_BITS."""
+        bits = min(MARK_BITS, max(16, (16 * places.count()).bit_length()))
 
-        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split = splitter()
-            for ids, texts in _chunks(batches):
-                sets = split(texts)
-                columns = pa.array(ids, pa.int64()).take(pa.array(sets.text)), sets.number.astype(np.int32), sets.digests()[0], *sketches(sets)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "record", *CLASS])
-
-        return self.texts.mapInArrow(listed, "id long, record int, c1 long, s1 long, s2 long")
+        def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"spot": _spots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits).astype(np.int32)})
 
-    def marked(self, df: DataFrame, column: str) -> np.ndarray:
-        """The leading bits of a column, as a bitmap of bounded size."""
-        found = df.select(F.shiftrightunsigned(column, 64 - MARK_BITS).cast("int").alias("m")).distinct().toArrow()["m"].to_numpy()
-        marked = np.zeros(1 << MARK_BITS, bool)
-        marked[found] = True
-        return np.packbits(marked)
+        words = places.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits"))
+        words = words.toArrow()  # 2^(MARK_BITS - 6) numbers at most
+        marks = np.zeros(1 << bits - 6, np.int64)
+        marks[words["word"].to_numpy()] = words["bits"].to_numpy()
+        return marks, bits
 
-    def prefixes(self, classes: np.ndarray | None = None, tokens: np.ndarray | None = None) -> DataFrame:
-        """(token, part, n, at, id, record, *CLASS): the prefix of every class, once or more, by rarity of tokens.
+    def prefixes(self, places: tuple[np.ndarray, int] | None = None, tokens: np.ndarray | None = None, packed_: bool = True) -> DataFrame:
+        """The prefix of every class, once or more, by rarity of tokens: (token, body), or (token, *BODY) if not packed.
 
-        Only of the marked classes, and only the marked tokens, where marks are given. A row without an id counts as the
-        last. Within a task, a class is listed once while it is remembered, and again when it comes at a smaller id.
+        Only of the lines at marked places, and only the marked tokens, where marks are given. Within a task, a class is listed
+        once while it is remembered, and again when it comes at an earlier place. token names the group in which a row meets
+        others: that of its token, or of two parts of it.
         """
         splitter, ranked, parts, num, den, bits = self.splitter, self.ranked, self.parts, self.num, self.den, self.bits
-        below, mask, shift = np.uint64(57 - bits), np.uint64((1 << bits) - 1), np.uint64(64 - MARK_BITS)
-        wanted = self.spark.sparkContext.broadcast((classes, tokens))
-
-        def among(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
-            at = (values.view(np.uint64) >> shift).astype(np.int64)
-            return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        below, mask = np.uint64(57 - bits), np.uint64((1 << bits) - 1)
+        wanted = self.spark.sparkContext.broadcast((places, tokens))
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen = splitter(), {}
-            classes, tokens = wanted.value
+            places, tokens = wanted.value
             for ids, texts in _chunks(batches):
                 sets = split(texts)
-                one, (s1, s2), n = sets.digests()[0], sketches(sets), sets.size
-                own = np.array([NO_ID if i is None else i for i in ids], np.int64)[sets.text]
-                want = others_match(n, num, den)
-                if classes is not None:
-                    want &= among(classes, one)
+                one, (s1, s2), n, own = sets.digests()[0], sketches(sets), sets.size, np.array(ids, np.int64)[sets.text]
+                new = _first_here(seen, one, s1, own, sets.number) & others_match(n, num, den)
+                if places is not None:
+                    new &= _among(places, _spots(own, sets.number, places[1]))
+                value = ranked(sets.tokens[np.repeat(new, n)])
+                own, number, one, s1, s2, n = (x[new] for x in (own, sets.number, one, s1, s2, n))
+                value = sort_each(value, n)
                 record = np.repeat(np.arange(len(n)), n)
-                new = _remembered(seen, one, s1, want, own)
-                value = sort_each(ranked(sets.tokens), n)
-                at = np.arange(len(value)) - np.repeat(sets.ends - n, n)
-                keep = new[record] & (at < (n - -(-num * n // den) + 1)[record])
+                at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
+                keep = at < (n - -(-num * n // den) + 1)[record]
                 record, value, at = record[keep], value[keep], at[keep]
                 if tokens is not None:
-                    keep = among(tokens, value)
+                    keep = _among((tokens, TOKEN_BITS), (mixed(value) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64))
                     record, value, at = record[keep], value[keep], at[keep]
-                salts = parts.value[(value >> below & mask).astype(np.int64)]
-                part = np.zeros(len(value), np.int32)
-                hot = np.flatnonzero(salts > 1)
+                split_to = parts.value[(value >> below & mask).astype(np.int64)]
+                hot = np.flatnonzero(split_to > 1)
                 if len(hot):
                     # A row of a hot token goes to the groups in which its part meets each of the others.
                     copies = np.ones(len(value), np.int64)
-                    copies[hot] = salts[hot]
+                    copies[hot] = split_to[hot]
                     which = np.repeat(np.arange(len(value)), copies)
                     other = np.arange(len(which)) - np.repeat(np.cumsum(copies) - copies, copies)
-                    record, value, at, salts = record[which], value[which], at[which], salts[which]
-                    mine = (one[record] & 0x7FFFFFFF) % salts
+                    record, value, at, split_to = record[which], value[which], at[which], split_to[which]
+                    mine = (one[record] & 0x7FFFFFFF) % split_to
                     low, high = np.minimum(mine, other), np.maximum(mine, other)
-                    part = np.where(salts > 1, 1 + low * salts + high, 0).astype(np.int32)
-                    keep = (salts == 1) | (mine != other)
-                    record, value, at, part = record[keep], value[keep], at[keep], part[keep]
-                columns = value.view(np.int64), part, n[record].astype(np.int32), at.astype(np.int32), own[record], sets.number[record].astype(np.int32), one[record], s1[record], s2[record]
+                    part = np.where(split_to > 1, 1 + low * split_to + high, 0).astype(np.uint64)
+                    keep = (split_to == 1) | (mine != other)
+                    value = np.where(part > 0, mixed(value + part * MIX[0]), value)
+                    record, value, at = record[keep], value[keep], at[keep]
+                columns = {"id": own, "c1": one, "s1": s1, "s2": s2, "record": number.astype(np.int32), "n": n.astype(np.int32)}
                 for i in range(0, len(record), BATCH_ROWS):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + BATCH_ROWS]) for c in columns], names=["token", "part", "n", "at", "id", "record", *CLASS])
+                    here = record[i : i + BATCH_ROWS]
+                    body = {k: v[here] for k, v in columns.items()} | {"at": at[i : i + BATCH_ROWS].astype(np.int32)}
+                    token = pa.array(value[i : i + BATCH_ROWS].view(np.int64))
+                    if packed_:
+                        yield pa.RecordBatch.from_arrays([token, _bodies(body)], names=["token", "body"])
+                    else:
+                        yield pa.RecordBatch.from_arrays([token, *(pa.array(body[k]) for k in BODY.names)], names=["token", *BODY.names])
 
-        return self.texts.mapInArrow(listed, "token long, part int, n int, at int, id long, record int, c1 long, s1 long, s2 long")
+        return self.texts.mapInArrow(listed, "token long, body binary" if packed_ else "token long, id long, c1 long, s1 long, s2 long, record int, n int, at int")
 
     def named(self) -> DataFrame:
-        """(b_*, a, several): for each class that an earlier one may match, the nearest one, and whether there are others."""
+        """(b_*, a_*, more): places of classes b and of earlier ones that they may match, and whether b has others."""
         num, den = self.num, self.den
 
         def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +329,12 @@ class LineJoin(SetJoin):
                 return pa.RecordBatch.from_pydict(nearest(rows, num, den))
 
             for batch in batches:
-                held.append({k: batch.column(k).to_numpy().astype(np.int64) for k in batch.schema.names})
+                if not batch.num_rows:
+                    continue
+                held.append(_columns(batch))
                 if sum(len(x["token"]) for x in held) >= BATCH_ROWS:
                     rows = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
-                    last = np.flatnonzero((rows["token"] != rows["token"][-1]) | (rows["part"] != rows["part"][-1]))
+                    last = np.flatnonzero(rows["token"] != rows["token"][-1])
                     end = int(last[-1]) + 1 if len(last) else 0
                     if end:
                         yield found({k: v[:end] for k, v in rows.items()})
@@ -243,78 +342,87 @@ class LineJoin(SetJoin):
             if held:
                 yield found({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
-        fields = ", ".join(f"{side}_{k} long" for side in "ba" for k in CLASS)
-        together = self.prefixes().repartition("token", "part").sortWithinPartitions("token", "part")
-        each = together.mapInArrow(grouped, f"{fields}, apart long, several boolean")
-        near = F.struct("apart", *(f"a_{k}" for k in CLASS))
-        other = F.struct(*(f"a_{k}" for k in CLASS))
-        return (
-            each.groupBy(*(f"b_{k}" for k in CLASS))
-            .agg(F.min(near).alias("a"), (F.bool_or("several") | (F.min(other) != F.max(other))).alias("several"))
-            .select(*(f"b_{k}" for k in CLASS), *(F.col(f"a.a_{k}") for k in CLASS), "several")
-        )
+        together = self.prefixes().repartition("token").sortWithinPartitions("token")
+        each = together.mapInArrow(grouped, ", ".join(f"{k} long" for k in (*PAIR, "more")))
+        return each.groupBy(*PAIR).agg(F.max("more").alias("more"))
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """The rows of `pairs` (a_*, b_*, ...) whose sets have the similarity."""
+        """(id, record): the places b of the rows of `pairs` (PAIR) whose sets have the similarity."""
         splitter, ranked = self.splitter, self.ranked
-        sides = [pairs.select(*(F.col(f"{side}_{k}").alias(k) for k in CLASS)) for side in "ab"]
-        wanted, shift = self.spark.sparkContext.broadcast(self.marked(sides[0].union(sides[1]), "c1")), np.uint64(64 - MARK_BITS)
+        places = [pairs.select(*(F.col(f"{side}_{k}").alias(k) for k in PLACE)) for side in "ab"]
+        wanted = self.spark.sparkContext.broadcast(self.marked(places[0].union(places[1]).distinct()))
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, marked, seen = splitter(), np.unpackbits(wanted.value).astype(bool), {}
-            for _, texts in _chunks(batches):
+            split = splitter()
+            for ids, texts in _chunks(batches):
                 sets = split(texts)
-                one, (s1, s2) = sets.digests()[0], sketches(sets)
-                here = marked[(one.view(np.uint64) >> shift).astype(np.int64)]
-                new = _remembered(seen, one, s1, here, np.zeros(len(one), np.int64))
-                ends = np.concatenate([[0], np.cumsum(sets.size[new])]).astype(np.int32)
-                tokens = ranked(sets.tokens[np.repeat(new, sets.size)]).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
-                yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(s1[new]), pa.array(s2[new]), lists], names=[*CLASS, "words"])
-
-        sets = self.texts.mapInArrow(listed, "c1 long, s1 long, s2 long, words array<long>").dropDuplicates(list(CLASS))
-        sets = self.scratch.write(sets)
-        joined = pairs
-        for side in "ba":
-            own = sets.select(*(F.col(k).alias(f"{side}_{k}") for k in CLASS), F.col("words").alias(f"{side}_words"))
-            joined = joined.join(own, [f"{side}_{k}" for k in CLASS])
+                own = np.array(ids, np.int64)[sets.text]
+                here = _among(wanted.value, _spots(own, sets.number, wanted.value[1]))
+                ends = np.concatenate([[0], np.cumsum(sets.size[here])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ranked(sets.tokens[np.repeat(here, sets.size)]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(own[here]), pa.array(sets.number[here].astype(np.int64)), lists], names=[*PLACE, "words"])
+
+        sets = self.scratch.write(self.texts.mapInArrow(listed, "id long, record long, words array<long>"))
+        joined = pairs.select(*PAIR)
+        for side in "ab":
+            own = sets.select(*(F.col(k).alias(f"{side}_{k}") for k in PLACE), F.col("words").alias(f"{side}_words"))
+            joined = joined.join(own, [f"{side}_{k}" for k in PLACE])
         shared, both = F.size(F.array_intersect("a_words", "b_words")), F.size("a_words") + F.size("b_words")
-        return joined.where(shared * (self.num + self.den) >= both * self.num).select(*pairs.columns)
+        return joined.where(shared * (self.num + self.den) >= both * self.num).select(F.col("b_id").alias("id"), F.col("b_record").alias("record")).distinct()
 
     def met(self, open_: DataFrame) -> DataFrame:
-        """(a_*, b_*): all earlier classes that may match each class b of `open_`."""
-        tokens = self.marked(self.prefixes(classes=self.marked(open_, "c1")), "token")
-        own = ("token", "part", "n", "at", *CLASS)
-        rows = self.prefixes(tokens=tokens).groupBy(*own).agg(F.min(_place("id", "record")).alias("first"))
-        rows = self.scratch.write(rows)
-        side = lambda x, df: df.select("token", "part", *(F.col(k).alias(f"{x}_{k}") for k in df.columns if k not in ("token", "part")))
-        a, b = side("a", rows), side("b", rows.join(open_, list(CLASS), "left_semi").select(*rows.columns))
+        """PAIR: all earlier classes that may match each class at the places `open_`."""
+        own = self.prefixes(places=self.marked(open_), packed_=False).select("token").distinct()
+
+        def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"spot": (mixed(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - TOKEN_BITS)).astype(np.int32)})
+
+        # Groups of parts of a hot token have other names than the token: such rows are all listed.
+        hot = bool((self.parts.value > 1).any())
+        tokens = None
+        if not hot:
+            tokens = np.zeros(1 << TOKEN_BITS - 6, np.int64)
+            found = own.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
+            tokens[found["word"].to_numpy()] = found["bits"].to_numpy()
+        rows = self.prefixes(tokens=tokens, packed_=False).join(self.scratch.write(own), "token", "left_semi")
+        rows = self.scratch.write(rows.groupBy("token", "n", "at", *CLASS).agg(F.min(F.struct("id", "record")).alias("first")))
+        rows = rows.select("token", "n", "at", "s1", "s2", F.col("first.id").alias("id"), F.col("first.record").cast("long").alias("record"))
+        side = lambda x, df: df.select("token", *(F.col(k).alias(f"{x}_{k}") for k in df.columns if k != "token"))
+        a, b = side("a", rows), side("b", rows.join(open_, list(PLACE), "left_semi").select(*rows.columns))
         differ = sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in ("s1", "s2")), F.lit(0))
         both = F.col("a_n") + F.col("b_n")
         may = (
-            (F.col("a_first") < F.col("b_first"))
+            (F.struct("a_id", "a_record") < F.struct("b_id", "b_record"))
             & self.lengths_fit(F.col("a_n"), F.col("b_n"))
             & (differ * (self.num + self.den) <= both * (self.den - self.num))
             & self.can_reach(F.col("a_n"), F.col("b_n"), F.lit(1), F.col("a_at"), F.col("b_at"))
         )
-        same = F.struct(*(f"a_{k}" for k in CLASS)) == F.struct(*(f"b_{k}" for k in CLASS))
-        return a.join(b, ["token", "part"]).where(may & ~same).select(*(f"{x}_{k}" for x in "ab" for k in CLASS)).distinct()
+        return a.join(b, "token").where(may).select(*PAIR).distinct()
 
     def matched(self) -> DataFrame:
-        """The classes that an earlier one matches."""
+        """(id, record): the first lines of the classes that an earlier one matches."""
         self.parts = self.spark.sparkContext.broadcast(self.group_sizes())
         named = self.scratch.write(self.named())
-        gone = self.scratch.write(self.similar(named).select(*(F.col(f"b_{k}").alias(k) for k in CLASS)))
-        open_ = named.where("several").select(*(F.col(f"b_{k}").alias(k) for k in CLASS)).join(gone, list(CLASS), "left_anti")
-        open_ = self.scratch.write(open_)
+        gone = self.scratch.write(self.similar(named))
+        more = named.where("more > 0").select(F.col("b_id").alias("id"), F.col("b_record").alias("record")).distinct()
+        open_ = self.scratch.write(more.join(gone, list(PLACE), "left_anti"))
         if open_.isEmpty():
             return gone
-        pairs = self.scratch.write(self.met(open_))
-        return gone.union(self.similar(pairs).select(*(F.col(f"b_{k}").alias(k) for k in CLASS)).distinct())
+        return gone.union(self.similar(self.scratch.write(self.met(open_))))
+
 
+def _among(marks: tuple[np.ndarray, int], spots: np.ndarray) -> np.ndarray:
+    return (marks[0][spots >> 6] >> (spots & 63) & 1).astype(bool)
 
-def _place(*names: str) -> Column:
-    return F.struct(*names)
+
+def _removed(keyed: DataFrame, key: str, text_col: str, min_words: int, num: int, den: int) -> DataFrame:
+    """(id, record) of the removed lines. Rows have a key, and rows of one key have one text."""
+    if not keyed.groupBy(key).count().where("count > 1").isEmpty():
+        keyed = keyed.select(key, text_col).dropDuplicates([key])
+    with Scratch(keyed.sparkSession) as scratch:
+        join = LineJoin(keyed, key, text_col, lambda: line_sets(min_words), num, den, BITS, scratch)
+        return cut(join.copies().union(join.matched().select("id", F.col("record").cast("int"))))
 
 
 def removed_lines(
@@ -323,26 +431,27 @@ def removed_lines(
     """(id, record): the numbers of the lines, from 0, that an earlier line matches.
 
     Lines are parts between line feeds. Null and empty texts have no lines to remove. Rows without an id count as the
-    last of all. Rows that repeat an id are taken as one document: a line at the first place of its set stays in
-    each of them. An empty table gives no rows. Further columns are not read.
+    last of all. Rows that repeat an id, and rows without one, are documents of their own unless their texts are equal; equal
+    rows are one document. An empty table gives no rows. Further columns are not read.
     """
-    with Scratch(df.sparkSession) as scratch:
-        join = LineJoin(df, id_col, text_col, lambda: line_sets(min_words), num, den, BITS, scratch)
-        rows = scratch.write(join.rows().withColumn("id", F.coalesce("id", F.lit(NO_ID))))
-        first = rows.groupBy(*CLASS).agg(F.min(_place("id", "record")).alias("first"))
-        verdict = first.join(join.matched().withColumn("matched", F.lit(True)), list(CLASS), "left")
-        found = rows.join(verdict, list(CLASS)).where(F.col("matched").isNotNull() | (_place("id", "record") != F.col("first")))
-        return cut(found.select("id", "record"))
+    key = fresh(df, "line_key")
+    numbered = row_keys(df.select(id_col, text_col), id_col, text_col, key)
+    ids = numbered.select(F.col(id_col).cast("long").alias("own"), F.col(key).alias("id")).distinct()
+    return _removed(numbered, key, text_col, min_words, num, den).join(ids, "id").select(F.col("own").alias("id"), "record")
 
 
 def line_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_lines, n_removed, removed): per row of `df`, its lines with a word, and the numbers of those removed."""
-    removed = removed_lines(df, id_col, text_col).distinct().groupBy("id").agg(F.array_sort(F.collect_list("record")).alias("removed"))
+    """(id, n_lines, n_removed, removed): per row of `df`, its lines with a word, and the numbers of those removed.
+
+    Nulls, repeated ids and empty tables as in `removed_lines`.
+    """
+    key = fresh(df, "line_key")
+    numbered = row_keys(df.select(id_col, text_col), id_col, text_col, key)
+    removed = _removed(numbered, key, text_col, MIN_WORDS, NUM, DEN).groupBy(F.col("id").alias("key")).agg(F.array_sort(F.collect_list("record")).alias("removed"))
     lines = F.filter(F.split(F.coalesce(text_col, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    counted = df.select(F.col(id_col).cast("long").alias("id"), F.size(lines).cast("long").alias("n_lines"))
+    counted = numbered.select(F.col(key).alias("key"), F.col(id_col).cast("long").alias("id"), F.size(lines).cast("long").alias("n_lines"))
     return (
-        counted.withColumn("key", F.coalesce("id", F.lit(NO_ID)))
-        .join(removed.withColumnRenamed("id", "key"), "key", "left")
+        counted.join(removed, "key", "left")
         .withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
         .select("id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
     )
@@ -357,7 +466,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars
     """
     key, gone = fresh(df, "line_key"), fresh(df, "removed_lines")
     numbered = row_keys(df, id_col, text_col, key)
-    removed = removed_lines(numbered, key, text_col).distinct().groupBy(F.col("id").alias(key)).agg(F.collect_list("record").alias(gone))
+    removed = _removed(numbered, key, text_col, MIN_WORDS, NUM, DEN).groupBy(F.col("id").alias(key)).agg(F.collect_list("record").alias(gone))
     lines = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(gone, i))
     joined = numbered.join(removed, key, "left")
     cleaned = joined.withColumn(text_col, F.when(F.col(gone).isNotNull(), F.array_join(lines, "\n")).otherwise(F.col(text_col)))
