@@ -25,7 +25,8 @@ def fresh_folder(spark: SparkSession) -> str:
 def write_landing(raw: DataFrame, product: str, root: str) -> None:
     """Write a raw frame as one folder of CSV parts per day, in the landing layout.
 
-    Rows are spread by range of `row_no`, so part names follow the file order.
+    Rows are spread by range of (day, `row_no`), so part names follow the file order, and a day has as many parts as its
+    rows need, not one for every task.
     """
     spark = raw.sparkSession
     draft = f"{root}/draft-{uuid.uuid4().hex}"
@@ -36,7 +37,7 @@ def write_landing(raw: DataFrame, product: str, root: str) -> None:
         "row_no",
         *[col(h) for h in headers],
     )
-    ordered = placed.repartitionByRange("row_no").sortWithinPartitions("place", "name", "row_no")
+    ordered = placed.repartitionByRange("place", "name", "row_no").sortWithinPartitions("place", "name", "row_no")
     ordered.drop("row_no").write.partitionBy("place", "name").options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(draft)
@@ -55,8 +56,9 @@ def write_landing(raw: DataFrame, product: str, root: str) -> None:
 def write_archives(raw: DataFrame, product: str, root: str) -> None:
     """Write a raw frame as one folder of zip archives per day, in the landing layout.
 
-    Rows are spread by range of `row_no`. Each Arrow batch is packed by itself, one archive per day in it, so no
-    task holds more than a batch; names follow the file order.
+    Rows are spread by range of (day, `row_no`). Each Arrow batch is packed by itself, one archive per day in it, so no
+    task holds more than a batch; a batch holds few days, so archives are as many as full batches, about. Names follow the
+    file order.
     """
     headers = [c for c in raw.columns if c not in ("file_date", "row_no")]
     placed = raw.select(
@@ -69,7 +71,7 @@ def write_archives(raw: DataFrame, product: str, root: str) -> None:
     )
     for row in placed.select("_path").distinct().collect():
         delete(raw.sparkSession, row["_path"])
-    ordered = placed.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
+    ordered = placed.repartitionByRange("_path", "row_no").sortWithinPartitions("_path", "row_no").drop("row_no")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()

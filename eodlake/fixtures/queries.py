@@ -528,14 +528,18 @@ def _parts(spark, root, products=DAILY_PRODUCTS) -> DataFrame:
     return files.resolve_files(listed)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    folder = landing.fresh_folder(spark)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def _scanned(spark, sf, products=DAILY_PRODUCTS) -> tuple[DataFrame, list[tuple[str, DataFrame]]]:
     """Inspected parts of landed files, and the raw frames that a scan gives, by product."""
-    inspected = scan.inspect(spark, _parts(spark, _landing(spark, sf, products), products))
-    data = scan.unpacked(inspected, landing.fresh_folder(spark))
-    # kept: unpacking again would give other file names
-    kept = landing.fresh_folder(spark)
-    data.write.parquet(kept)
-    data = spark.read.parquet(kept)
+    # both are kept: each use would hash and scan all files again, and unpacking again would give other file names
+    inspected = _kept(scan.inspect(spark, _parts(spark, _landing(spark, sf, products), products)))
+    data = _kept(scan.unpacked(inspected, landing.fresh_folder(spark)))
     frames = [
         (p, frame)
         for p in products

@@ -207,9 +207,10 @@ def look(spark: SparkSession, parts: DataFrame, folder: str | None = None, size:
 
 def inspect(spark: SparkSession, parts: DataFrame) -> DataFrame:
     """Add (sha256, header, breaks, error) to resolved parts, plain and zipped, of any size."""
-    hashed = fingerprints(spark, parts).withColumnRenamed("error", "unread")
-    found = look(spark, hashed).withColumn("error", F.coalesce("unread", "error"))
-    return found.drop("unread", "data")
+    # side by side: on top of the hashes, every use of the listing would hash all files again
+    hashed = fingerprints(spark, parts).select("path", "sha256", F.col("error").alias("unread"))
+    found = look(spark, parts).join(hashed, "path").withColumn("error", F.coalesce("unread", "error"))
+    return found.select(*parts.columns, "sha256", "header", "breaks", "error")
 
 
 def unpacked(parts: DataFrame, folder: str) -> DataFrame:

@@ -8,6 +8,9 @@ import zipfile
 import pytest
 from conftest import CM_CSV, CM_HEADER, CM_ROWS, DAY, DELIV_CSV, FO_CSV, IDX_CSV, rows_of
 
+from pyspark.sql import functions as F
+
+from eodlake.fixtures import landing as landing_files
 from eodlake.plans import ingest
 from eodlake.plans.ingest import update, update_product
 from eodlake.sources import files, scan
@@ -239,3 +242,27 @@ def test_archive_members(tmp_path):
     assert b"".join(member_blocks(str(path), "TWO.csv")) == b"C\n1\n"
     with pytest.raises(ValueError, match="no CSV found in archive"):
         list(member_blocks(str(path), "none.csv"))
+
+
+@pytest.mark.parametrize("write", [landing_files.write_landing, landing_files.write_archives])
+def test_a_landed_day_has_few_parts_in_file_order(spark, tmp_path, write):
+    """Days that alternate from row to row don't get a part in every task and batch."""
+    days, rows = 6, 600
+    raw = spark.range(rows).select(
+        F.expr(f"date_add(DATE '2024-03-13', cast(id % {days} as int))").alias("file_date"), F.col("id").alias("row_no"), F.col("id").cast("string").alias("SYMBOL")
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        write(raw, "cm", str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = sorted(p for p in tmp_path.rglob("*") if p.suffix in (".csv", ".zip") and p.is_file())
+    assert len(parts) <= rows // 50 + tasks + days
+    got = {}
+    for part in parts:
+        text = b"".join(member_blocks(str(part))).decode() if part.suffix == ".zip" else part.read_text()
+        got.setdefault(part.parent.name, []).extend(int(x.strip('"')) for x in text.split()[1:])
+    assert sorted(got.values()) == [list(range(d, rows, days)) for d in range(days)]
