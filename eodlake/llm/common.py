@@ -9,7 +9,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.session import checkpoint_root
+from eodlake.session import checkpoint_root, shuffles_removed
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Words are runs of anything but the six ASCII blanks, the same as bytes.split() of the UTF-8 text.
@@ -25,7 +25,8 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint()
+    with shuffles_removed(df.sparkSession):
+        return df.checkpoint()
 
 
 def release(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ or not, so the result doesn't depend on the order of the work.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +90,15 @@ def others_match(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return (n > 0) & (n * den >= (n + 1) * num)
 
 
+def one_each(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The first row of each class of each group, in order of the group and of n."""
+    order = np.lexsort((rows["record"], rows["id"], rows["c1"], rows["n"], rows["token"]))
+    rows = {k: v[order] for k, v in rows.items()}
+    again = np.zeros(len(order), bool)
+    again[1:] = np.logical_and.reduce([rows[k][1:] == rows[k][:-1] for k in ("token", "n", *CLASS)])
+    return {k: v[~again] for k, v in rows.items()}
+
+
 def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.ndarray]:
     """Earlier rows of its group that a row may match: the nearest by sketch, NAMED others at most, and whether there are more.
 
@@ -99,12 +108,7 @@ def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.nda
     alone = np.ones(len(token), bool)
     alone[1:] &= token[1:] != token[:-1]
     alone[:-1] &= token[1:] != token[:-1]
-    rows = {k: v[~alone] for k, v in rows.items()}
-    order = np.lexsort((rows["record"], rows["id"], rows["c1"], rows["n"], rows["token"]))
-    rows = {k: v[order] for k, v in rows.items()}
-    again = np.zeros(len(order), bool)
-    again[1:] = np.logical_and.reduce([rows[k][1:] == rows[k][:-1] for k in ("token", "n", *CLASS)])
-    rows = {k: v[~again] for k, v in rows.items()}
+    rows = one_each({k: v[~alone] for k, v in rows.items()})
     group, n, at, place, record, s1, s2 = (rows[k] for k in ("token", "n", "at", "id", "record", "s1", "s2"))
     s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
     size, left = len(n), n - at
@@ -138,6 +142,32 @@ def nearest(rows: dict[str, np.ndarray], num: int, den: int) -> dict[str, np.nda
     return {f"{side}_{k}": rows[k][which].astype(np.int64) for side, which in sides for k in PLACE} | {"more": more[later].astype(np.int64)}
 
 
+def all_near(rows: dict[str, np.ndarray], asked: np.ndarray, num: int, den: int) -> dict[str, np.ndarray]:
+    """PAIR: for each row that is asked for, all earlier ones of its group that it may match. Rows are those of `one_each`.
+
+    Only rows asked for are held against their group: work and memory are linear in a group for each of them.
+    """
+    token, n, place, record = (rows[k] for k in ("token", "n", "id", "record"))
+    s1, s2, left = rows["s1"].view(np.uint64), rows["s2"].view(np.uint64), rows["n"] - rows["at"]
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(token))
+    later, early = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for b in np.flatnonzero(asked).tolist():
+        g = int(np.searchsorted(starts, b, "right")) - 1
+        of = slice(int(starts[g]), int(ends[g]))
+        low, high = np.searchsorted(n[of], [-(-n[b] * num // den), n[b] * den // num + 1])
+        of = slice(of.start + int(low), of.start + int(high))
+        apart = np.bitwise_count(s1[of] ^ s1[b]).astype(np.int64) + np.bitwise_count(s2[of] ^ s2[b])
+        both = n[of] + n[b]
+        before = (place[of] < place[b]) | (place[of] == place[b]) & (record[of] < record[b])
+        hit = before & (apart * (num + den) <= both * (den - num)) & (np.minimum(left[of], left[b]) * (num + den) >= both * num)
+        a = np.flatnonzero(hit) + of.start
+        early.append(a)
+        later.append(np.full(len(a), b))
+    sides = (("b", np.concatenate(later)), ("a", np.concatenate(early)))
+    return {f"{side}_{k}": rows[k][which].astype(np.int64) for side, which in sides for k in PLACE}
+
+
 def _spots(id_: np.ndarray, record: np.ndarray, bits: int) -> np.ndarray:
     """The place of a line as one of 2^bits bits."""
     return (mixed(mixed(id_.astype(np.int64).view(np.uint64) + MIX[0]) + record.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
@@ -318,16 +348,11 @@ class LineJoin(SetJoin):
 
         return self.texts.mapInArrow(listed, "token long, body binary" if packed_ else "token long, id long, c1 long, s1 long, s2 long, record int, n int, at int")
 
-    def named(self) -> DataFrame:
-        """(b_*, a_*, more): places of classes b and of earlier ones that they may match, and whether b has others."""
-        num, den = self.num, self.den
+    def grouped(self, prefixes: DataFrame, found: Callable[[dict[str, np.ndarray]], pa.RecordBatch], columns: tuple[str, ...]) -> DataFrame:
+        """What `found` gives (columns of long) of the rows of whole groups of tokens, some groups at a time."""
 
-        def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[dict[str, np.ndarray]] = []
-
-            def found(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-                return pa.RecordBatch.from_pydict(nearest(rows, num, den))
-
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -342,8 +367,13 @@ class LineJoin(SetJoin):
             if held:
                 yield found({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
-        together = self.prefixes().repartition("token").sortWithinPartitions("token")
-        each = together.mapInArrow(grouped, ", ".join(f"{k} long" for k in (*PAIR, "more")))
+        together = prefixes.repartition("token").sortWithinPartitions("token")
+        return together.mapInArrow(each, ", ".join(f"{k} long" for k in columns))
+
+    def named(self) -> DataFrame:
+        """(b_*, a_*, more): places of classes b and of earlier ones that they may match, and whether b has others."""
+        num, den = self.num, self.den
+        each = self.grouped(self.prefixes(), lambda rows: pa.RecordBatch.from_pydict(nearest(rows, num, den)), (*PAIR, "more"))
         return each.groupBy(*PAIR).agg(F.max("more").alias("more"))
 
     def similar(self, pairs: DataFrame) -> DataFrame:
@@ -372,7 +402,7 @@ class LineJoin(SetJoin):
 
     def met(self, open_: DataFrame) -> DataFrame:
         """PAIR: all earlier classes that may match each class at the places `open_`."""
-        own = self.prefixes(places=self.marked(open_), packed_=False).select("token").distinct()
+        marks = self.marked(open_)
 
         def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -382,23 +412,20 @@ class LineJoin(SetJoin):
         hot = bool((self.parts.value > 1).any())
         tokens = None
         if not hot:
+            own = self.prefixes(places=marks, packed_=False).select("token")
             tokens = np.zeros(1 << TOKEN_BITS - 6, np.int64)
-            found = own.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
-            tokens[found["word"].to_numpy()] = found["bits"].to_numpy()
-        rows = self.prefixes(tokens=tokens, packed_=False).join(self.scratch.write(own), "token", "left_semi")
-        rows = self.scratch.write(rows.groupBy("token", "n", "at", *CLASS).agg(F.min(F.struct("id", "record")).alias("first")))
-        rows = rows.select("token", "n", "at", "s1", "s2", F.col("first.id").alias("id"), F.col("first.record").cast("long").alias("record"))
-        side = lambda x, df: df.select("token", *(F.col(k).alias(f"{x}_{k}") for k in df.columns if k != "token"))
-        a, b = side("a", rows), side("b", rows.join(open_, list(PLACE), "left_semi").select(*rows.columns))
-        differ = sum((F.bit_count(F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))) for k in ("s1", "s2")), F.lit(0))
-        both = F.col("a_n") + F.col("b_n")
-        may = (
-            (F.struct("a_id", "a_record") < F.struct("b_id", "b_record"))
-            & self.lengths_fit(F.col("a_n"), F.col("b_n"))
-            & (differ * (self.num + self.den) <= both * (self.den - self.num))
-            & self.can_reach(F.col("a_n"), F.col("b_n"), F.lit(1), F.col("a_at"), F.col("b_at"))
-        )
-        return a.join(b, "token").where(may).select(*PAIR).distinct()
+            bits = own.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
+            tokens[bits["word"].to_numpy()] = bits["bits"].to_numpy()
+        wanted, num, den = self.spark.sparkContext.broadcast(marks), self.num, self.den
+
+        def near(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+            rows = one_each(rows)
+            asked = _among(wanted.value, _spots(rows["id"], rows["record"], wanted.value[1]))
+            return pa.RecordBatch.from_pydict(all_near(rows, asked, num, den))
+
+        pairs = self.grouped(self.prefixes(tokens=tokens), near, PAIR)
+        # a mark may be that of another place
+        return pairs.join(open_.select(*(F.col(k).cast("long").alias(f"b_{k}") for k in PLACE)), ["b_id", "b_record"], "left_semi").select(*PAIR).distinct()
 
     def matched(self) -> DataFrame:
         """(id, record): the first lines of the classes that an earlier one matches."""
@@ -420,7 +447,7 @@ def _removed(keyed: DataFrame, key: str, text_col: str, min_words: int, num: int
     """(id, record) of the removed lines. Rows have a key, and rows of one key have one text."""
     if not keyed.groupBy(key).count().where("count > 1").isEmpty():
         keyed = keyed.select(key, text_col).dropDuplicates([key])
-    with Scratch(keyed.sparkSession) as scratch:
+    with Scratch(keyed.sparkSession, lean=True) as scratch:
         join = LineJoin(keyed, key, text_col, lambda: line_sets(min_words), num, den, BITS, scratch)
         return cut(join.copies().union(join.matched().select("id", F.col("record").cast("int"))))
 

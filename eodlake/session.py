@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,21 +78,37 @@ def recover_folder(spark: SparkSession, target: str) -> None:
         fs.rename(old, place)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within the block, Spark removes the shuffle files of every query as it ends; for tables that are written once."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """A fresh folder for intermediate tables, removed on leaving the `with` block.
 
     Written tables cut the lineage: later jobs read columns from Parquet and a lost executor costs
-    a re-read, not a re-parse of the input.
+    a re-read, not a re-parse of the input. With `lean`, the shuffle files of a write go with its end; not for
+    loads that run side by side, as this is a setting of the session.
     """
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, lean: bool = False):
+        self.spark, self.lean = spark, lean
         self.path = f"{checkpoint_root(spark)}/eodlake/{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)  # loads that run side by side share a scratch folder
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self.path}/{next(self._numbers)}"
-        df.write.parquet(path)
+        with shuffles_removed(self.spark) if self.lean else nullcontext():
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def folder(self) -> str:
