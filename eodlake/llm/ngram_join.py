@@ -8,7 +8,7 @@ pairs whose sketches don't already show that they differ too much; no link betwe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,11 @@ WORDS = 4
 NUM, DEN = 85, 100
 #: Rarity comes from 2^24 counters, one byte each where they are used; they are summed in slices of 2^16.
 BITS, SLICE_BITS = 24, 16
-#: How often each class meets a pivot before what is left open is joined.
+#: How often each class meets another one, first a pivot, then near ones, before what is left open is joined.
 ROUNDS = 3
+#: Rows of a group that are held against each other; of a larger group, so many at a time.
+BLOCK_ROWS = 500
+BATCH_ROWS = 50_000
 #: A set's sketch: for 512 bits the parity of how many of its tokens fall on them, as eight numbers.
 SKETCH = [f"s{k}" for k in range(8)]
 #: What one pass over the texts writes: rows, and counters of slices.
@@ -160,8 +163,8 @@ def _open(rows: DataFrame, *group: str) -> DataFrame:
     return rows.groupBy(*group).agg(F.min(roots).alias("low"), F.max(roots).alias("high")).where("low != high").select(*group)
 
 
-def _to_pivots(join: NgramJoin, rows: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """(a1, a2, b1, b2): for each class b one pivot a of another component, the nearest by sketch that it hasn't met.
+def _to_pivots(join: NgramJoin, rows: DataFrame) -> DataFrame:
+    """(a1, a2, b1, b2): for each class b one pivot a of another component, the nearest by sketch.
 
     Each token group names one pivot, its most central class, so a group gives a row a member, and a class one pair.
     """
@@ -172,11 +175,112 @@ def _to_pivots(join: NgramJoin, rows: DataFrame, tried: DataFrame | None) -> Dat
     other = (F.col("r1") != F.col("ra1")) | (F.col("r2") != F.col("ra2"))
     met = rows.join(best, group).where(other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, F.col("at"), F.col("ata")))
     met = met.withColumn("apart", _apart("", "a_")).where(join.near(*sizes, F.col("apart"))).withColumnsRenamed({"c1": "b1", "c2": "b2"})
-    if tried is not None:
-        met = met.join(tried, ["a1", "a2", "b1", "b2"], "left_anti")
     return met.groupBy("b1", "b2").agg(F.min(F.struct("apart", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2")
 
 
+def closest(rows: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, distance) of the two rows nearest to each by sketch, of other components of its group, that it may be similar to.
+
+    Two columns each, -1 for none. Rows lie group by group; of every BLOCK_ROWS rows of a group, all meet.
+    """
+    size = len(rows["n"])
+    new = np.ones(size, bool)
+    new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["salt"][1:] != rows["salt"][:-1])
+    starts = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    group = np.cumsum(new | ((np.arange(size) - starts[group]) % BLOCK_ROWS == 0))
+    order = np.lexsort((rows["n"], group))
+    group, n, r1, r2 = group[order], rows["n"][order], rows["r1"][order], rows["r2"][order]
+    left, sketch = n - rows["at"][order], [rows[k][order].view(np.uint64) for k in SKETCH]
+    by, far = np.full((size, 2), -1), np.full((size, 2), 1 << 30)
+    i, step = np.arange(size), 1
+    while len(i):
+        # Of rows in order of n, each meets the one that many steps on, until that is too long or of another group.
+        i = i[i + step < size]
+        j = i + step
+        fits = (group[i] == group[j]) & (n[i] * den >= n[j] * num)
+        i, j = i[fits], j[fits]
+        both = n[i] + n[j]
+        hit = ((r1[i] != r1[j]) | (r2[i] != r2[j])) & (np.minimum(left[i], left[j]) * (num + den) >= both * num)
+        a, b, both = i[hit], j[hit], both[hit]
+        apart = np.zeros(len(a), np.int64)
+        for s in sketch:
+            apart += np.bitwise_count(s[a] ^ s[b])
+        hit = apart * (num + den) <= both * (den - num)
+        a, b, apart = a[hit], b[hit], apart[hit]
+        for one, other in ((a, b), (b, a)):
+            first = apart < far[one, 0]
+            at, to, d = one[first], other[first], apart[first]
+            by[at, 1], far[at, 1] = by[at, 0], far[at, 0]
+            by[at, 0], far[at, 0] = to, d
+            second = ~first & (apart < far[one, 1])
+            by[one[second], 1], far[one[second], 1] = other[second], apart[second]
+        step += 1
+    found, apart = np.empty_like(by), np.empty_like(far)
+    found[order], apart[order] = np.where(by >= 0, order[by], -1), far
+    return found, apart
+
+
+def _in_groups(rows: DataFrame, found: Callable[[dict[str, np.ndarray]], pa.RecordBatch], schema: str, *order: Column) -> DataFrame:
+    """What `found` gives of the rows of whole groups (token, salt), of larger ones than BATCH_ROWS in pieces."""
+    columns = ["token", "salt", "c1", "c2", "n", "at", "r1", "r2", *SKETCH]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = dict.fromkeys(columns, np.zeros(0, np.int64))
+        for batch in batches:
+            held = {k: np.concatenate([v, batch.column(k).to_numpy().astype(np.int64)]) for k, v in held.items()}
+            if len(held["n"]) >= BATCH_ROWS:
+                last = np.flatnonzero((held["token"] != held["token"][-1]) | (held["salt"] != held["salt"][-1]))
+                end = int(last[-1]) + 1 if len(last) else len(held["n"])
+                yield found({k: v[:end] for k, v in held.items()})
+                held = {k: v[end:] for k, v in held.items()}
+        if len(held["n"]):
+            yield found(held)
+
+    return rows.select(*columns).repartition("token", "salt").sortWithinPartitions("token", "salt", *order).mapInArrow(each, schema)
+
+
+def _with_partners(join: NgramJoin, rows: DataFrame) -> DataFrame:
+    """`rows` without those that no other of their token can be similar to: common words alone link nothing.
+
+    Of a similar pair, the rows of every token that counts for it stay. Tokens that many share, or that are split over salts, stay as they are.
+    """
+    num, den = join.num, join.den
+    small = (F.col("many") <= BLOCK_ROWS) & (F.col("salt") == 0)
+
+    def partnered(x: dict[str, np.ndarray]) -> pa.RecordBatch:
+        keep = closest(x, num, den)[0][:, 0] >= 0
+        return pa.RecordBatch.from_pydict({k: x[k][keep] for k in ("token", "c1", "c2")})
+
+    kept = _in_groups(rows.where(small), partnered, "token long, c1 long, c2 long")
+    return rows.where(~small).union(rows.where(small).join(kept, ["token", "c1", "c2"], "left_semi").select(*rows.columns))
+
+
+def _canonical(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs, the smaller class first."""
+    a, b = F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2"))
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).selectExpr("a.c1 AS a1", "a.c2 AS a2", "b.c1 AS b1", "b.c2 AS b2").distinct()
+
+
+def _to_nearest(join: NgramJoin, rows: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """(a1, a2, b1, b2): for each class the nearest by sketch, of another component, that it hasn't met.
+
+    A token group names two for each row, of a block that changes every turn.
+    """
+    num, den = join.num, join.den
+
+    def near(x: dict[str, np.ndarray]) -> pa.RecordBatch:
+        found, apart = closest(x, num, den)
+        own, k = np.nonzero(found >= 0)
+        to = found[own, k]
+        return pa.RecordBatch.from_pydict({"a1": x["c1"][to], "a2": x["c2"][to], "b1": x["c1"][own], "b2": x["c2"][own], "apart": apart[own, k]})
+
+    named = _in_groups(rows, near, "a1 long, a2 long, b1 long, b2 long, apart long", F.xxhash64(F.lit(turn), "c1"))
+    known = tried.union(tried.select("b1", "b2", "a1", "a2").toDF(*tried.columns))
+    named = named.join(known, ["a1", "a2", "b1", "b2"], "left_anti")
+    return _canonical(named.groupBy("b1", "b2").agg(F.min(F.struct("apart", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2"))
+
+
 def _left_open(join: NgramJoin, rows: DataFrame) -> DataFrame:
     """(a1, a2, b1, b2): all pairs of different components that may be similar."""
     rest = rows.join(_open(rows, "token"), "token", "left_semi").select("token", "c1", "c2", "n", "at", "r1", "r2", *SKETCH)
@@ -200,8 +304,9 @@ def _left_open(join: NgramJoin, rows: DataFrame) -> DataFrame:
 def _links(join: NgramJoin, scratch: Scratch) -> DataFrame:
     """(u, v) of structs (c1, c2): links whose components are those of all links.
 
-    ROUNDS times, each class meets one pivot, and what is linked is contracted. Then all pairs of components that are left are
-    compared, which those rounds make few: so no link between components is lost.
+    ROUNDS times, each class meets another one, and what is linked is contracted: first a pivot, which links a whole group around
+    it, then the nearest one of another component, which links groups that have no middle. Then all pairs of components that are
+    left are compared, which those rounds make few: so no link between components is lost.
     """
     own = Window.partitionBy("token", "salt")
     # Groups are of GROUP_ROWS at most in the mean of what shares a counter: a hot token has many salts.
@@ -215,12 +320,13 @@ def _links(join: NgramJoin, scratch: Scratch) -> DataFrame:
     rows = scratch.write(rows)
     # Central is a class whose tokens are shared most: copies lie around their original.
     known = rows.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central")).join(join.sketched(), ["c1", "c2"])
-    rows = scratch.write(rows.drop("many").join(known, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
+    rows = scratch.write(rows.join(known, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
+    rows = scratch.write(_with_partners(join, rows).drop("many"))
     release(join.spark)
     found = tried = None
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         apart = rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")
-        pairs = scratch.write(_to_pivots(join, apart, tried))
+        pairs = scratch.write(_to_nearest(join, apart, tried, turn) if turn else _to_pivots(join, apart))
         tried = pairs if tried is None else tried.union(pairs)
         links = scratch.write(_ends(join.verified(pairs)))
         found = links if found is None else found.union(links)
@@ -236,7 +342,7 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     shingles and no links; rows without an id take part, and have a null component_id only if nothing they are
     linked with has an id. An empty table gives no rows. Further columns are not read.
     """
-    with Scratch(df.sparkSession) as scratch:
+    with Scratch(df.sparkSession, lean=True) as scratch:
         join = NgramJoin(df, id_col, text_col, lambda: shingles(words), num, den, BITS, scratch)
         rows = join.rows()
         join.classes = scratch.write(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id")))

@@ -16,6 +16,7 @@ from eodlake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join,
 from eodlake.llm.oracle import ORACLES
 from eodlake.llm.queries import QUERIES
 from eodlake.llm.setjoin import WordHashes
+from eodlake.session import Scratch, shuffles_removed
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, Kept string, token string, c1 string, row string, size string"
@@ -428,3 +429,50 @@ def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
         for j, b in enumerate(tokens):
             apart = sum(((int(s[i]) ^ int(s[j])) & ((1 << 64) - 1)).bit_count() for s in found.values())
             assert apart <= len(a ^ b)
+
+
+def test_the_nearest_of_another_component_is_named():
+    rnd = np.random.default_rng(6)
+    size = 200
+    rows = {"token": np.sort(rnd.integers(0, 8, size)), "salt": np.zeros(size, np.int64), "n": rnd.integers(40, 50, size), "at": rnd.integers(0, 6, size)}
+    rows |= {"r1": rnd.integers(0, 3, size), "r2": rnd.integers(0, 2, size)} | {k: rnd.integers(0, 8, size) for k in ngram_join.SKETCH}
+    found, apart = ngram_join.closest(rows, 85, 100)
+    r = [dict(zip(rows, x, strict=True)) for x in zip(*(v.tolist() for v in rows.values()), strict=True)]
+    for k, b in enumerate(r):
+        want = []
+        for a in r:
+            d, both = sum((a[s] ^ b[s]).bit_count() for s in ngram_join.SKETCH), a["n"] + b["n"]
+            fits = 100 * min(a["n"], b["n"]) >= 85 * max(a["n"], b["n"]) and 185 * min(a["n"] - a["at"], b["n"] - b["at"]) >= 85 * both
+            if a["token"] == b["token"] and (a["r1"], a["r2"]) != (b["r1"], b["r2"]) and fits and 185 * d <= 15 * both:
+                want.append(d)
+        want = sorted(want)[:2]
+        assert [int(d) for d, i in zip(apart[k], found[k], strict=True) if i >= 0] == want
+
+
+def test_shuffle_files_go_with_a_lean_write(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with shuffles_removed(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
+    with Scratch(spark, lean=True) as scratch:
+        assert scratch.write(spark.range(10).repartition(3, "id")).count() == 10
+
+
+def test_rows_asked_for_meet_all_earlier_ones_of_their_group():
+    rnd = np.random.default_rng(4)
+    size = 300
+    rows = {"token": np.sort(rnd.integers(0, 6, size)), "n": rnd.integers(4, 9, size), "at": rnd.integers(0, 2, size), "id": rnd.integers(0, 40, size)}
+    rows |= {"record": np.arange(size), "c1": np.arange(size), "s1": rnd.integers(0, 4, size), "s2": rnd.integers(0, 2, size)}
+    rows = line_dedup.one_each(rows)
+    asked = rnd.random(size) < 0.2
+    got = line_dedup.all_near(rows, asked, 4, 5)
+    r = [dict(zip(rows, x, strict=True)) for x in zip(*(v.tolist() for v in rows.values()), strict=True)]
+    want = set()
+    for k, b in enumerate(r):
+        for a in r if asked[k] else []:
+            apart, both = (a["s1"] ^ b["s1"]).bit_count() + (a["s2"] ^ b["s2"]).bit_count(), a["n"] + b["n"]
+            fits = 5 * min(a["n"], b["n"]) >= 4 * max(a["n"], b["n"]) and 9 * min(a["n"] - a["at"], b["n"] - b["at"]) >= 4 * both
+            if a["token"] == b["token"] and (a["id"], a["record"]) < (b["id"], b["record"]) and fits and 9 * apart <= both:
+                want.add((b["id"], b["record"], a["id"], a["record"]))
+    assert want and set(zip(*(got[k].tolist() for k in line_dedup.PAIR), strict=True)) == want
