@@ -30,8 +30,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import cut, release, utf8
+from eodlake.llm.common import cut, utf8
 from eodlake.llm.suffix_array import common_prefixes, suffix_order
+from eodlake.session import Scratch
 
 LENGTH = 50
 ANCHOR = 16
@@ -43,7 +44,7 @@ _SEPARATOR = 255  # never a byte of UTF-8
 
 #: `place` is where a span starts and how long it is, in one number: most of the shuffled bytes are these rows.
 OPEN = "a long, e long, doc long, part long, place long, open boolean"
-FOUND = "a long, e long, doc long, part long, place long, covered boolean"
+FOUND = "a long, doc long, part long, place long, covered boolean"
 START, STOP = "cast(place >> 32 AS int)", "cast((place >> 32) + (place & 4294967295) AS int)"
 
 
@@ -153,6 +154,12 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     )
 
 
+def _covered(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of OPEN as covered ones, whose anchor no longer matters."""
+    n = rows.num_rows
+    return _batch(FOUND, np.zeros(n, np.int64), *rows.columns[2:5], np.ones(n, bool))
+
+
 def _sent(doc: np.ndarray, part: np.ndarray, at: np.ndarray, text: np.ndarray, ends: np.ndarray, length: int) -> pa.RecordBatch | None:
     """The rows that a block sends. Its documents have the ids `doc`, begin at `at` and end at `ends`."""
     a, e, start, stop = contexts(text, ends, length)
@@ -207,7 +214,7 @@ def _settle(branches: bool):
         for batch in batches:
             decided = batch.filter(pa.compute.invert(batch.column("open")))
             if decided.num_rows:
-                yield _batch(FOUND, *decided.columns[:5], np.ones(decided.num_rows, bool))
+                yield _covered(decided)
             batch = batch.filter(batch.column("open"))
             n = batch.num_rows
             if not n:
@@ -220,7 +227,7 @@ def _settle(branches: bool):
             least = np.append(before[2], doc[new_e])[group]
             covered = doc > least
             if covered.any():
-                yield _batch(FOUND, *batch.filter(pa.array(covered)).columns[:5], np.ones(int(covered.sum()), bool))
+                yield _covered(batch.filter(pa.array(covered)))
             if branches:
                 anchor = np.cumsum(new_a)  # 0: goes on from the batch before
                 kinds = np.bincount(anchor, new_e).astype(np.int64)
@@ -229,7 +236,8 @@ def _settle(branches: bool):
                     yield from waiting
                 if len(kinds) > 1 or kinds[0] > 1:
                     waiting = []
-                kept = _batch(FOUND, *batch.filter(pa.array(~covered)).columns[:5], np.zeros(n - int(covered.sum()), bool))
+                left = batch.filter(pa.array(~covered))
+                kept = _batch(FOUND, left.column("a"), *left.columns[2:5], np.zeros(left.num_rows, bool))
                 many = kinds[anchor[~covered]] > 1
                 if many.any():
                     yield kept.filter(pa.array(many))
@@ -277,7 +285,7 @@ def _same_strings(block: list[tuple], length: int, split: int | None) -> Iterato
     covered = covered[np.lexsort((place[covered], owner[covered]))]
     first, stop = merged(owner[covered], place[covered], place[covered] + length)
     pick = covered[first]
-    yield _batch(OPEN, a[owner[pick]], np.zeros(len(pick)), doc[owner[pick]], part[owner[pick]], _place(place[pick], stop), np.zeros(len(pick), bool))
+    yield _batch(OPEN, np.zeros(len(pick)), np.zeros(len(pick)), doc[owner[pick]], part[owner[pick]], _place(place[pick], stop), np.zeros(len(pick), bool))
     if split is not None:
         left = np.flatnonzero((doc[owner] == least) & (a[owner] == split))
         one, two = (Hashes(text, i).at(order[left], order[left] + length).view(np.int64) for i in (0, 1))
@@ -316,20 +324,17 @@ def _sort_suffixes(length: int, size: int):
     return sort
 
 
-def covered(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
+def covered(docs: DataFrame, scratch: Scratch, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """(doc, part, start, stop) of the spans to remove, of `docs` (doc, part, text as bytes); ids not null."""
     known = docs.where("doc IS NOT NULL").where(F.length("text") >= length)
-    spark = docs.sparkSession
     sent = known.mapInArrow(_anchors(length), OPEN)
-    found = cut(sent.repartition("a").sortWithinPartitions("a", "e", "doc").mapInArrow(_settle(True), FOUND))
-    release(spark)
+    found = scratch.write(sent.repartition("a").sortWithinPartitions("a", "e", "doc").mapInArrow(_settle(True), FOUND))
     wanted = F.collect_list(F.struct("a", F.expr(START).alias("start"), F.expr(STOP).alias("stop"))).alias("wanted")
     wanted = found.where("NOT covered").groupBy("doc", "part").agg(wanted)
     pieces = known.join(wanted, ["doc", "part"]).select("doc", "part", "text", "wanted").mapInArrow(
         _cut_out, "a long, doc long, part long, start int, text binary"
     )
-    sorted_ = cut(pieces.repartition("a").sortWithinPartitions("a").mapInArrow(_sort_suffixes(length, block), OPEN))
-    release(spark)
+    sorted_ = scratch.write(pieces.repartition("a").sortWithinPartitions("a").mapInArrow(_sort_suffixes(length, block), OPEN))
     split = sorted_.where("open").repartition("a").sortWithinPartitions("a", "e", "doc").mapInArrow(_settle(False), FOUND)
     spans = found.where("covered").select("doc", "part", "place").union(sorted_.where("NOT open").select("doc", "part", "place"))
     return spans.union(split.select("doc", "part", "place")).selectExpr("doc", "part", f"{START} AS start", f"{STOP} AS stop")
@@ -373,7 +378,8 @@ def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", len
     else:
         part = F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
         docs = docs.join(again, "doc", "left").withColumn("part", part)
-    spans = covered(docs, length, block).groupBy("doc", "part").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    with Scratch(docs.sparkSession, lean=True) as scratch:
+        spans = cut(covered(docs, scratch, length, block).groupBy("doc", "part").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     return (
         docs.join(spans, ["doc", "part"], "left")
