@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eodlake.llm.common import cut, fresh, release, row_keys
 from eodlake.llm.components import components
 from eodlake.llm.setjoin import MIX, SetJoin, Sets, Splitter, WordHashes, _chunks, distinct, level, mixed, salts
-from eodlake.session import Scratch
+from eodlake.session import Scratch, shuffles_removed
 
 WORDS = 4
 NUM, DEN = 85, 100
@@ -31,6 +31,8 @@ BLOCK_ROWS = 500
 BATCH_ROWS = 50_000
 #: A set's sketch: for 512 bits the parity of how many of its tokens fall on them, as eight numbers.
 SKETCH = [f"s{k}" for k in range(8)]
+#: A class in the group of a token: with its component, how much it shares its tokens, and its sketch.
+ROW = ["token", "salt", "c1", "c2", "n", "at", "r1", "r2", "central", *SKETCH]
 #: What one pass over the texts writes: rows, and counters of slices.
 READ = pa.schema([
     ("id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), *((k, pa.int64()) for k in SKETCH), ("slice", pa.int32()), ("low", pa.binary()),
@@ -168,12 +170,12 @@ def _to_pivots(join: NgramJoin, rows: DataFrame) -> DataFrame:
 
     Each token group names one pivot, its most central class, so a group gives a row a member, and a class one pair.
     """
-    group = ["token", "salt"]
     own = {"c1": "a1", "c2": "a2", "n": "na", "at": "ata", "r1": "ra1", "r2": "ra2"} | {k: f"a_{k}" for k in SKETCH}
-    best = rows.groupBy(*group).agg(F.max(F.struct("central", *(F.col(k).alias(v) for k, v in own.items()))).alias("p")).select(*group, "p.*").drop("central")
+    best = F.max(F.struct("central", *(F.col(k).alias(v) for k, v in own.items()))).over(Window.partitionBy("token", "salt"))
     sizes = F.col("n"), F.col("na")
     other = (F.col("r1") != F.col("ra1")) | (F.col("r2") != F.col("ra2"))
-    met = rows.join(best, group).where(other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, F.col("at"), F.col("ata")))
+    met = rows.withColumn("p", best).select(*rows.columns, *(f"p.{v}" for v in own.values()))
+    met = met.where(other & join.lengths_fit(*sizes) & join.in_prefixes(*sizes, F.col("at"), F.col("ata")))
     met = met.withColumn("apart", _apart("", "a_")).where(join.near(*sizes, F.col("apart"))).withColumnsRenamed({"c1": "b1", "c2": "b2"})
     return met.groupBy("b1", "b2").agg(F.min(F.struct("apart", "a1", "a2")).alias("p")).select("p.a1", "p.a2", "b1", "b2")
 
@@ -223,7 +225,7 @@ def closest(rows: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarray
 
 def _in_groups(rows: DataFrame, found: Callable[[dict[str, np.ndarray]], pa.RecordBatch], schema: str, *order: Column) -> DataFrame:
     """What `found` gives of the rows of whole groups (token, salt), of larger ones than BATCH_ROWS in pieces."""
-    columns = ["token", "salt", "c1", "c2", "n", "at", "r1", "r2", *SKETCH]
+    columns = ROW
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = dict.fromkeys(columns, np.zeros(0, np.int64))
@@ -250,10 +252,23 @@ def _with_partners(join: NgramJoin, rows: DataFrame) -> DataFrame:
 
     def partnered(x: dict[str, np.ndarray]) -> pa.RecordBatch:
         keep = closest(x, num, den)[0][:, 0] >= 0
-        return pa.RecordBatch.from_pydict({k: x[k][keep] for k in ("token", "c1", "c2")})
+        return pa.RecordBatch.from_pydict({k: x[k][keep] for k in ROW})
 
-    kept = _in_groups(rows.where(small), partnered, "token long, c1 long, c2 long")
-    return rows.where(~small).union(rows.where(small).join(kept, ["token", "c1", "c2"], "left_semi").select(*rows.columns))
+    kept = _in_groups(rows.where(small), partnered, ", ".join(f"{k} long" for k in ROW))
+    return rows.where(~small).select(*(F.col(k).cast("long") for k in ROW)).union(kept)
+
+
+def _of_fitting_length(join: NgramJoin, rows: DataFrame) -> DataFrame:
+    """`rows` (one a class and token) without those whose token no other of a fitting size has; tokens split over salts stay.
+
+    Of all sizes, the next ones below and above fit best. Larger partners must also leave enough behind the token.
+    """
+    by_size = Window.partitionBy("token", "salt").orderBy("n")
+    n, below, above = F.col("n"), F.lag("n").over(by_size), F.lead("n").over(by_size)
+    sized = rows.withColumns({"below": below, "above": above})
+    smaller = F.col("below").isNotNull() & join.lengths_fit(n, F.col("below"))
+    larger = F.col("above").isNotNull() & join.lengths_fit(n, F.col("above")) & join.in_prefixes(n, F.col("above"), F.col("at"), F.lit(0))
+    return sized.where((F.col("salt") > 0) | smaller | larger).drop("below", "above")
 
 
 def _canonical(pairs: DataFrame) -> DataFrame:
@@ -275,6 +290,8 @@ def _to_nearest(join: NgramJoin, rows: DataFrame, tried: DataFrame, turn: int) -
         to = found[own, k]
         return pa.RecordBatch.from_pydict({"a1": x["c1"][to], "a2": x["c2"][to], "b1": x["c1"][own], "b2": x["c2"][own], "apart": apart[own, k]})
 
+    # few groups are open after pivots, while most have several classes before
+    rows = rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")
     named = _in_groups(rows, near, "a1 long, a2 long, b1 long, b2 long, apart long", F.xxhash64(F.lit(turn), "c1"))
     known = tried.union(tried.select("b1", "b2", "a1", "a2").toDF(*tried.columns))
     named = named.join(known, ["a1", "a2", "b1", "b2"], "left_anti")
@@ -317,20 +334,20 @@ def _links(join: NgramJoin, scratch: Scratch) -> DataFrame:
         .dropDuplicates(["token", "salt", "c1", "c2"])
         .drop("low", "high")
     )
-    rows = scratch.write(rows)
+    rows = scratch.write(_of_fitting_length(join, rows))
     # Central is a class whose tokens are shared most: copies lie around their original.
-    known = rows.groupBy("c1", "c2").agg(F.avg(F.log("many")).alias("central")).join(join.sketched(), ["c1", "c2"])
-    rows = scratch.write(rows.join(known, ["c1", "c2"]).withColumns({"r1": F.col("c1"), "r2": F.col("c2")}))
-    rows = scratch.write(_with_partners(join, rows).drop("many"))
+    central = (1e6 * F.avg(F.log("many")).over(Window.partitionBy("c1", "c2"))).cast("long")
+    own_root = {"r1": F.col("c1"), "r2": F.col("c2")}
+    rows = scratch.write(rows.withColumn("central", central).join(join.sketched(), ["c1", "c2"]).withColumns(own_root), rows)
+    rows = scratch.write(_with_partners(join, rows), rows)
     release(join.spark)
     found = tried = None
     for turn in range(ROUNDS):
-        apart = rows.join(_open(rows, "token", "salt"), ["token", "salt"], "left_semi")
-        pairs = scratch.write(_to_nearest(join, apart, tried, turn) if turn else _to_pivots(join, apart))
+        pairs = scratch.write(_to_nearest(join, rows, tried, turn) if turn else _to_pivots(join, rows))
         tried = pairs if tried is None else tried.union(pairs)
         links = scratch.write(_ends(join.verified(pairs)))
         found = links if found is None else found.union(links)
-        rows = scratch.write(_rooted(rows, found))
+        rows = scratch.write(_rooted(rows, found), rows)
         release(join.spark)
     return found.union(_ends(join.verified(_left_open(join, rows))))
 
@@ -342,7 +359,7 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     shingles and no links; rows without an id take part, and have a null component_id only if nothing they are
     linked with has an id. An empty table gives no rows. Further columns are not read.
     """
-    with Scratch(df.sparkSession, lean=True) as scratch:
+    with Scratch(df.sparkSession, lean=True) as scratch, shuffles_removed(df.sparkSession):
         join = NgramJoin(df, id_col, text_col, lambda: shingles(words), num, den, BITS, scratch)
         rows = join.rows()
         join.classes = scratch.write(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id")))

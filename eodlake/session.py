@@ -96,7 +96,7 @@ class Scratch:
     """A fresh folder for intermediate tables, removed on leaving the `with` block.
 
     Written tables cut the lineage: later jobs read columns from Parquet and a lost executor costs
-    a re-read, not a re-parse of the input. With `lean`, the shuffle files of a write go with its end; not for
+    a re-read, not a re-parse of the input. What is written `instead` of an earlier table removes it. With `lean`, the shuffle files of a write go with its end; not for
     loads that run side by side, as this is a setting of the session.
     """
 
@@ -105,11 +105,15 @@ class Scratch:
         self.path = f"{checkpoint_root(spark)}/eodlake/{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)  # loads that run side by side share a scratch folder
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, instead: DataFrame | None = None) -> DataFrame:
         path = f"{self.path}/{next(self._numbers)}"
         with shuffles_removed(self.spark) if self.lean else nullcontext():
             df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        if instead is not None:
+            delete(self.spark, instead._scratch_path)
+        return out
 
     def folder(self) -> str:
         """The address of a folder inside, for files that are no table."""

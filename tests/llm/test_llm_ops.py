@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eodlake.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality_model, quality_rules, toxicity, url_filters, warc
 from eodlake.llm.oracle import ORACLES
 from eodlake.llm.queries import QUERIES
-from eodlake.llm.setjoin import WordHashes
+from eodlake.llm.setjoin import SetJoin, WordHashes
 from eodlake.session import Scratch, shuffles_removed
 
 SF = "/root/testdata/sf0.001"
@@ -476,3 +476,40 @@ def test_rows_asked_for_meet_all_earlier_ones_of_their_group():
             if a["token"] == b["token"] and (a["id"], a["record"]) < (b["id"], b["record"]) and fits and 9 * apart <= both:
                 want.add((b["id"], b["record"], a["id"], a["record"]))
     assert want and set(zip(*(got[k].tolist() for k in line_dedup.PAIR), strict=True)) == want
+
+
+def test_a_replaced_scratch_table_goes(spark):
+    with Scratch(spark) as scratch:
+        first = scratch.write(spark.range(3))
+        second = scratch.write(first.withColumn("x", F.col("id") + 1), first)
+        kept = os.listdir(scratch.path.removeprefix("file:"))
+        assert kept == ["2"] and second.count() == 3
+
+
+def test_rows_of_lengths_that_fit_no_other_of_their_token_go(spark):
+    class Lengths(SetJoin):
+        num, den = 85, 100
+
+        def __init__(self):
+            pass
+
+    # token, salt, c1, c2, n, at: sizes 100 and 117 fit up to place 7 of the smaller one, 100 and 118 never do
+    rows = [(1, 0, 1, 1, 100, 0), (1, 0, 2, 2, 117, 0), (2, 0, 1, 1, 100, 0), (2, 0, 2, 2, 118, 0), (3, 1, 1, 1, 100, 0),
+            (4, 0, 1, 1, 100, 9), (4, 0, 2, 2, 117, 0), (5, 0, 1, 1, 50, 0), (5, 0, 2, 2, 100, 0), (5, 0, 3, 3, 100, 0)]
+    kept = ngram_join._of_fitting_length(Lengths(), spark.createDataFrame(rows, "token long, salt int, c1 long, c2 long, n int, at int"))
+    assert sorted((r.token, r.c1) for r in kept.collect()) == [(1, 1), (1, 2), (3, 1), (4, 2), (5, 2), (5, 3)]
+
+
+def test_partners_are_kept_in_one_shuffle_of_their_rows(spark):
+    class Lengths(SetJoin):
+        num, den = 85, 100
+
+        def __init__(self):
+            pass
+
+    like, other = [0] * 8, [-1] * 8
+    rows = [(1, 0, 1, 1, 100, 0, 1, 1, 5, 2, *like), (1, 0, 2, 2, 100, 0, 2, 2, 6, 2, *like), (2, 0, 1, 1, 100, 1, 1, 1, 5, 2, *like), (2, 0, 3, 3, 100, 1, 3, 3, 7, 2, *other)]
+    columns = [*ngram_join.ROW[:9], "many", *ngram_join.SKETCH]
+    kept = ngram_join._with_partners(Lengths(), spark.createDataFrame(rows, ", ".join(f"{k} long" for k in columns)))
+    assert sorted((r.token, r.c1, r.central) for r in kept.collect()) == [(1, 1, 5), (1, 2, 6)]
+    assert kept._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
