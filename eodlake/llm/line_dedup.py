@@ -16,6 +16,7 @@ or not, so the result doesn't depend on the order of the work.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,6 +42,10 @@ MARK_BITS, TOKEN_BITS = 28, 22
 #: So many earlier lines are named for a line in each group, besides the nearest.
 NAMED = 3
 BATCH_ROWS = 100_000
+#: Prefix rows of open lines that every task may hold; more of them are shuffled to their groups.
+OPEN_ROWS = 100_000
+#: So many pairs are held against each other at a time.
+PAIRS = 1_000_000
 #: Counters travel in slices of 2^16.
 SLICE_BITS = 16
 #: A class of equal sets: 64 bits of a digest and the 128 bits of the sketch.
@@ -168,6 +173,42 @@ def all_near(rows: dict[str, np.ndarray], asked: np.ndarray, num: int, den: int)
     return {f"{side}_{k}": rows[k][which].astype(np.int64) for side, which in sides for k in PLACE}
 
 
+class OpenRows:
+    """Prefix rows of open lines, to hold against the rows of other lines where these are listed. Tokens are whole ones."""
+
+    def __init__(self, rows: dict[str, np.ndarray], num: int, den: int):
+        order = np.lexsort((rows["n"], rows["token"]))
+        self.rows, self.num, self.den = {k: v[order] for k, v in rows.items()}, num, den
+        self.tokens, group = np.unique(self.rows["token"], return_inverse=True)
+        self.step = int(rows["n"].max()) + 2  # beyond any size
+        self.keys = group * self.step + self.rows["n"]
+
+    def known(self, tokens: np.ndarray) -> np.ndarray:
+        """Which tokens open lines have, too."""
+        return self.tokens[np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)] == tokens
+
+    def later(self, rows: dict[str, np.ndarray]) -> Iterator[dict[str, np.ndarray]]:
+        """PAIR and the class of a: the open lines b that come after a line a of `rows` and may match it. All tokens are known ones."""
+        num, den, own, top = self.num, self.den, self.rows, self.step - 1
+        base, n = np.searchsorted(self.tokens, rows["token"]) * self.step, rows["n"].astype(np.int64)
+        low = np.searchsorted(self.keys, base + np.minimum(-(-n * num // den), top))
+        count = np.searchsorted(self.keys, base + np.minimum(n * den // num, top), "right") - low
+        ends = np.cumsum(count)
+        cuts = np.unique(np.append(np.searchsorted(ends, np.arange(PAIRS, ends[-1], PAIRS)) if len(ends) else 0, [0, len(count)]))
+        for i, j in itertools.pairwise(cuts.tolist()):
+            c = count[i:j]
+            a = np.repeat(np.arange(i, j), c)
+            b = np.repeat(low[i:j] - np.cumsum(c) + c, c) + np.arange(len(a))
+            both = n[a] + own["n"][b]
+            before = (rows["id"][a] < own["id"][b]) | (rows["id"][a] == own["id"][b]) & (rows["record"][a] < own["record"][b])
+            hit = before & (np.minimum(n[a] - rows["at"][a], own["n"][b] - own["at"][b]) * (num + den) >= both * num)
+            a, b, both = a[hit], b[hit], both[hit]
+            apart = sum(np.bitwise_count(rows[k][a].view(np.uint64) ^ own[k][b].view(np.uint64)).astype(np.int64) for k in ("s1", "s2"))
+            hit = apart * (num + den) <= both * (den - num)
+            sides = (("b", own, b[hit]), ("a", rows, a[hit]))
+            yield {f"{side}_{k}": of[k][x].astype(np.int64) for side, of, x in sides for k in PLACE} | {k: rows[k][a[hit]] for k in CLASS}
+
+
 def _spots(id_: np.ndarray, record: np.ndarray, bits: int) -> np.ndarray:
     """The place of a line as one of 2^bits bits."""
     return (mixed(mixed(id_.astype(np.int64).view(np.uint64) + MIX[0]) + record.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
@@ -291,20 +332,22 @@ class LineJoin(SetJoin):
         marks[words["word"].to_numpy()] = words["bits"].to_numpy()
         return marks, bits
 
-    def prefixes(self, places: tuple[np.ndarray, int] | None = None, tokens: np.ndarray | None = None, packed_: bool = True) -> DataFrame:
+    def prefixes(
+        self, places: tuple[np.ndarray, int] | None = None, tokens: np.ndarray | None = None, packed_: bool = True, whole: bool = False, asked: OpenRows | None = None
+    ) -> DataFrame:
         """The prefix of every class, once or more, by rarity of tokens: (token, body), or (token, *BODY) if not packed.
 
         Only of the lines at marked places, and only the marked tokens, where marks are given. Within a task, a class is listed
         once while it is remembered, and again when it comes at an earlier place. token names the group in which a row meets
-        others: that of its token, or of two parts of it.
+        others: that of its token, or of two parts of it; of its token with `whole`. With `asked`, only what `OpenRows.later` gives is listed.
         """
         splitter, ranked, parts, num, den, bits = self.splitter, self.ranked, self.parts, self.num, self.den, self.bits
         below, mask = np.uint64(57 - bits), np.uint64((1 << bits) - 1)
-        wanted = self.spark.sparkContext.broadcast((places, tokens))
+        wanted = self.spark.sparkContext.broadcast((places, tokens, asked))
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen = splitter(), {}
-            places, tokens = wanted.value
+            places, tokens, asked = wanted.value
             for ids, texts in _chunks(batches):
                 sets = split(texts)
                 one, (s1, s2), n, own = sets.digests()[0], sketches(sets), sets.size, np.array(ids, np.int64)[sets.text]
@@ -318,11 +361,18 @@ class LineJoin(SetJoin):
                 at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
                 keep = at < (n - -(-num * n // den) + 1)[record]
                 record, value, at = record[keep], value[keep], at[keep]
+                columns = {"id": own, "c1": one, "s1": s1, "s2": s2, "record": number.astype(np.int32), "n": n.astype(np.int32)}
+                if asked is not None:
+                    keep = asked.known(value.view(np.int64))
+                    rows = {"token": value[keep].view(np.int64), "at": at[keep]} | {k: v[record[keep]] for k, v in columns.items()}
+                    for found in asked.later(rows):
+                        yield pa.RecordBatch.from_pydict(found)
+                    continue
                 if tokens is not None:
                     keep = _among((tokens, TOKEN_BITS), (mixed(value) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64))
                     record, value, at = record[keep], value[keep], at[keep]
                 split_to = parts.value[(value >> below & mask).astype(np.int64)]
-                hot = np.flatnonzero(split_to > 1)
+                hot = np.flatnonzero(split_to > 1) if not whole else ()
                 if len(hot):
                     # A row of a hot token goes to the groups in which its part meets each of the others.
                     copies = np.ones(len(value), np.int64)
@@ -336,7 +386,6 @@ class LineJoin(SetJoin):
                     keep = (split_to == 1) | (mine != other)
                     value = np.where(part > 0, mixed(value + part * MIX[0]), value)
                     record, value, at = record[keep], value[keep], at[keep]
-                columns = {"id": own, "c1": one, "s1": s1, "s2": s2, "record": number.astype(np.int32), "n": n.astype(np.int32)}
                 for i in range(0, len(record), BATCH_ROWS):
                     here = record[i : i + BATCH_ROWS]
                     body = {k: v[here] for k, v in columns.items()} | {"at": at[i : i + BATCH_ROWS].astype(np.int32)}
@@ -346,6 +395,8 @@ class LineJoin(SetJoin):
                     else:
                         yield pa.RecordBatch.from_arrays([token, *(pa.array(body[k]) for k in BODY.names)], names=["token", *BODY.names])
 
+        if asked is not None:
+            return self.texts.mapInArrow(listed, ", ".join(f"{k} long" for k in (*PAIR, *CLASS)))
         return self.texts.mapInArrow(listed, "token long, body binary" if packed_ else "token long, id long, c1 long, s1 long, s2 long, record int, n int, at int")
 
     def grouped(self, prefixes: DataFrame, found: Callable[[dict[str, np.ndarray]], pa.RecordBatch], columns: tuple[str, ...]) -> DataFrame:
@@ -401,8 +452,18 @@ class LineJoin(SetJoin):
         return joined.where(shared * (self.num + self.den) >= both * self.num).select(F.col("b_id").alias("id"), F.col("b_record").alias("record")).distinct()
 
     def met(self, open_: DataFrame) -> DataFrame:
-        """PAIR: all earlier classes that may match each class at the places `open_`."""
+        """PAIR: all earlier classes that may match each class at the places `open_`.
+
+        While their prefixes are few, the tasks that list the texts hold them, and nothing but pairs is shuffled.
+        """
         marks = self.marked(open_)
+        places = open_.select("id", F.col("record").cast("int").alias("record"))
+        own = self.scratch.write(self.prefixes(places=marks, packed_=False, whole=True).join(places, list(PLACE), "left_semi"))
+        if own.count() <= OPEN_ROWS:
+            rows = own.toArrow()  # OPEN_ROWS at most
+            asked = OpenRows({k: rows[k].to_numpy() for k in rows.column_names}, self.num, self.den)
+            found = self.prefixes(asked=asked).groupBy("b_id", "b_record", *CLASS).agg(F.min(F.struct("a_id", "a_record")).alias("a"))
+            return found.select("b_id", "b_record", "a.a_id", "a.a_record")
 
         def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -412,7 +473,7 @@ class LineJoin(SetJoin):
         hot = bool((self.parts.value > 1).any())
         tokens = None
         if not hot:
-            own = self.prefixes(places=marks, packed_=False).select("token")
+            own = own.select("token")
             tokens = np.zeros(1 << TOKEN_BITS - 6, np.int64)
             bits = own.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
             tokens[bits["word"].to_numpy()] = bits["bits"].to_numpy()

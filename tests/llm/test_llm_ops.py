@@ -513,3 +513,22 @@ def test_partners_are_kept_in_one_shuffle_of_their_rows(spark):
     kept = ngram_join._with_partners(Lengths(), spark.createDataFrame(rows, ", ".join(f"{k} long" for k in columns)))
     assert sorted((r.token, r.c1, r.central) for r in kept.collect()) == [(1, 1, 5), (1, 2, 6)]
     assert kept._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+
+
+@pytest.mark.parametrize("pairs", [1_000_000, 7])
+def test_open_lines_meet_earlier_ones_where_these_are_listed(monkeypatch, pairs):
+    monkeypatch.setattr(line_dedup, "PAIRS", pairs)
+    rnd = np.random.default_rng(5)
+    size = 300
+    rows = {"token": np.sort(rnd.integers(0, 6, size)), "n": rnd.integers(4, 12, size), "at": rnd.integers(0, 2, size), "id": rnd.integers(0, 40, size)}
+    rows |= {"record": np.arange(size), "c1": np.arange(size), "s1": rnd.integers(0, 4, size), "s2": rnd.integers(0, 2, size)}
+    rows = line_dedup.one_each(rows)
+    asked = (rnd.random(size) < 0.2) & (rows["token"] != 3)
+    want = line_dedup.all_near(rows, asked, 4, 5)
+    open_ = line_dedup.OpenRows({k: v[asked] for k, v in rows.items()}, 4, 5)
+    known = open_.known(rows["token"])
+    assert known.tolist() == np.isin(rows["token"], rows["token"][asked]).tolist()
+    got = list(open_.later({k: v[known] for k, v in rows.items()}))
+    pairs_of = lambda x: set(zip(*(x[k].tolist() for k in line_dedup.PAIR), strict=True))
+    assert pairs_of(want) and set().union(*map(pairs_of, got)) == pairs_of(want)
+    assert list(open_.later({k: v[:0] for k, v in rows.items()})) == []
