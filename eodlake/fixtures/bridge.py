@@ -108,17 +108,19 @@ def sql(view: str, dialect: dict[str, str]) -> str:
     return text.strip()
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A bridge view on the tables of one folder."""
+def view(spark: SparkSession, sf_dir: str, name: str, ordered: bool = False) -> DataFrame:
+    """A bridge view on the tables of one folder; `ordered` spreads events by range of (day, id) before any text is made of them."""
     source = _SOURCE.get(name, "events")
     frame = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    if ordered and source == "events":
+        frame = frame.repartitionByRange(F.to_date("ts"), "event_id")
     text = sql(name, SPARK).replace(f"from {source}", "from {source}")
     return spark.sql(text, source=frame)
 
 
-def raw(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, product: str, ordered: bool = False) -> DataFrame:
     """A bridge view under file headers, as the scan of a folder of day files gives it."""
-    frame = view(spark, sf_dir, f"raw_{product}")
+    frame = view(spark, sf_dir, f"raw_{product}", ordered)
     meta = ["row_no"] if product == "master" else ["file_date", "row_no"]
     return frame.select(
         *meta, *[F.col(c).alias(header) for c, header in HEADERS[product].items()]

@@ -512,17 +512,20 @@ def master_drift(spark, sf):
 # ---- files ----------------------------------------------------------------------------------
 
 def _land(raw: DataFrame, product: str, root: str) -> None:
-    """F&O as archives, the others as plain files."""
-    (landing.write_archives if product == "fo" else landing.write_landing)(raw, product, root)
+    """F&O as archives, the others as plain files; rows come in ranges of (day, number)."""
+    (landing.write_archives if product == "fo" else landing.write_landing)(raw, product, root, ordered=True)
 
 
-def _landing(spark, sf, products=DAILY_PRODUCTS) -> str:
-    root = landing.fresh_folder(spark)
-    for p in products:
-        _land(bridge.raw(spark, sf, p), p, root)
+def _landed(spark, raws: dict[str, DataFrame], root: str) -> str:
+    """Files of several products, written at the same time."""
+    ingest.side_by_side(spark, [lambda p=p, raw=raw: _land(raw, p, root) for p, raw in raws.items()])
     return root
 
 
+def _landing(spark, sf, products=DAILY_PRODUCTS) -> str:
+    return _landed(spark, {p: bridge.raw(spark, sf, p, ordered=True) for p in products}, landing.fresh_folder(spark))
+
+
 def _parts(spark, root, products=DAILY_PRODUCTS) -> DataFrame:
     listed = files.list_files(spark, [f"{root}/{p}" for p in products])
     return files.resolve_files(listed)
@@ -1338,8 +1341,7 @@ def ingest_incremental(spark, sf):
     s = fresh_store(spark)
     early = F.col("file_date") <= F.lit(FIRST_LOAD_TO)
     for arrived in (early, ~early):
-        for p in DAILY_PRODUCTS:
-            _land(bridge.raw(spark, sf, p).where(arrived), p, root)
+        _landed(spark, {p: bridge.raw(spark, sf, p, ordered=True).where(arrived) for p in DAILY_PRODUCTS}, root)
         incremental.ingest_stream(s, root, f"{s.root}-stream", DAILY_PRODUCTS).awaitTermination()
     return _all_tables(s)
 
@@ -1366,9 +1368,8 @@ def restate_day(spark, sf):
     s = fresh_store(spark)
     days = _event_days(spark, sf)
     ingest.update_days(s, root, dict.fromkeys(DAILY_PRODUCTS, days))
-    for p, (header, _) in _RESTATED.items():
-        raw = bridge.raw(spark, sf, p).withColumn(header, F.lit("7"))
-        _land(raw.where(F.col("file_date") >= F.lit(RESTATED_FROM)), p, root)
+    late = F.col("file_date") >= F.lit(RESTATED_FROM)
+    _landed(spark, {p: bridge.raw(spark, sf, p, ordered=True).where(late).withColumn(h, F.lit("7")) for p, (h, _) in _RESTATED.items()}, root)
     for again in ingest.update_days(s, root, dict.fromkeys(DAILY_PRODUCTS, days)):
         assert again.skipped == sum(d < RESTATED_FROM for d in days), again
     return _all_tables(s, "source_file")

@@ -79,13 +79,13 @@ def _load(store: Store, scratch: Scratch, product: str, groups: list[scan.FileGr
         F.lit(product).alias("product"), F.col("file_date").alias("date"),
         "symbol", "series", "code", "message",
     )
-    _, issues = _side_by_side(store.spark, [
+    _, issues = side_by_side(store.spark, [
         lambda: store.upsert(PRODUCTS[product].table, rows, last_file_first()), lambda: scratch.write(issues)
     ])
     return status.select(F.lit(product).alias("product"), F.col("file_date").alias("date"), "status", "num_rows", "error"), issues
 
 
-def _side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
+def side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
     """Run loads that share no table at the same time, so that the end of one's jobs is not idle time."""
     if len(tasks) < 2:
         return [task() for task in tasks]
@@ -136,7 +136,7 @@ def update_days(
         names = usable.select("product", F.col("date").alias("file_date"), F.col("name").alias("source_file")).distinct()
         loads = [lambda p=p: _load(store, scratch, p, groups[p], names) for p in days if p in groups]
         loaded = spark.createDataFrame([], _STATUS)
-        done = _side_by_side(spark, loads)
+        done = side_by_side(spark, loads)
         for status, _ in done:
             loaded = loaded.unionByName(status)
         if done:

@@ -10,6 +10,7 @@ from conftest import CM_CSV, CM_HEADER, CM_ROWS, DAY, DELIV_CSV, FO_CSV, IDX_CSV
 
 from pyspark.sql import functions as F
 
+from eodlake.fixtures import bridge
 from eodlake.fixtures import landing as landing_files
 from eodlake.plans import ingest
 from eodlake.plans.ingest import update, update_product
@@ -266,3 +267,26 @@ def test_a_landed_day_has_few_parts_in_file_order(spark, tmp_path, write):
         text = b"".join(member_blocks(str(part))).decode() if part.suffix == ".zip" else part.read_text()
         got.setdefault(part.parent.name, []).extend(int(x.strip('"')) for x in text.split()[1:])
     assert sorted(got.values()) == [list(range(d, rows, days)) for d in range(days)]
+
+
+@pytest.mark.parametrize("product", ["cm", "fo"])
+def test_landed_text_is_made_after_the_shuffle(spark, tmp_path, product):
+    """Events are spread as they are; their files hold the same lines in the same order as those of rows spread as text."""
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_seconds(1704070800 + id % 3 * 86400)").alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.expr("element_at(array('view', 'click', 'signup'), cast(id % 3 as int) + 1)").alias("event_type"), (F.col("id") / 4).alias("value"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    raw = bridge.raw(spark, str(tmp_path), product, ordered=True)
+    before = raw._jdf.queryExecution().executedPlan().toString().split("rangepartitioning")
+    assert len(before) == 2 and "lpad" in before[0] and "lpad" not in before[1]
+    write = landing_files.write_archives if product == "fo" else landing_files.write_landing
+    found = []
+    for root, rows, ordered in ((tmp_path / "a", raw, True), (tmp_path / "b", bridge.raw(spark, str(tmp_path), product), False)):
+        write(rows, product, str(root), ordered)
+        days = {}
+        for part in sorted(p for p in (root / product).rglob("*") if p.suffix in (".csv", ".zip") and p.is_file()):
+            text = b"".join(member_blocks(str(part))) if part.suffix == ".zip" else part.read_bytes()
+            days.setdefault(part.parent.name, []).extend(text.splitlines()[1:])
+        found.append(days)
+    assert found[0] == found[1] and sum(map(len, found[0].values())) == 400 and len(found[0]) == 3
