@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from eodlake.llm.common import cut, fresh, row_keys
 from eodlake.llm.setjoin import (
-    CACHED_WORDS, MIX, PACK, PACKED, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, level, mixed, packed, salts, sort_each,
+    CACHED_WORDS, LEVEL_BITS, MIX, SetJoin, Sets, Splitter, WordHashes, _chunks, counted_tokens, distinct, level, mixed, salts, sort_each,
 )
 from eodlake.session import Scratch
 
@@ -35,15 +35,19 @@ NUM, DEN = 4, 5
 #: Every line with a word takes part.
 MIN_WORDS = 1
 BITS = 21
-#: The group of a word that more lines have is split: every two of its parts meet in a group of their own.
+#: The group of a word that more prefixes hold is split: every two of its parts meet in a group of their own.
 GROUP_ROWS = 50_000
 #: Places and words that are wanted again are marked in bitmaps of at most so many bits; false marks only cost time.
 MARK_BITS, TOKEN_BITS = 28, 22
 #: So many earlier lines are named for a line in each group, besides the nearest.
 NAMED = 3
 BATCH_ROWS = 100_000
-#: Prefix rows of open lines that every task may hold; more of them are shuffled to their groups.
+#: Prefix rows of open lines that every task may hold; more of them are shuffled to their groups. So many documents may be picked by their keys.
 OPEN_ROWS = 100_000
+#: Tokens of open lines are told by so many bits of theirs first.
+KNOWN_BITS = 20
+#: Over so many tasks the rows of a frequent token are spread until its prefix rows are counted.
+SPREAD = 64
 #: So many pairs are held against each other at a time.
 PAIRS = 1_000_000
 #: Counters travel in slices of 2^16.
@@ -182,6 +186,15 @@ class OpenRows:
         self.tokens, group = np.unique(self.rows["token"], return_inverse=True)
         self.step = int(rows["n"].max()) + 2  # beyond any size
         self.keys = group * self.step + self.rows["n"]
+        self.bits = np.zeros(1 << KNOWN_BITS, bool)
+        self.bits[self.tokens & (1 << KNOWN_BITS) - 1] = True
+
+    def near(self, sets: Sets) -> Sets:
+        """The sets that may have a token of an open line, told by its last bits, which ranking leaves as they are."""
+        last = (sets.tokens >> np.uint64(LEVEL_BITS + 1) & np.uint64((1 << KNOWN_BITS) - 1)).astype(np.int64)
+        here = np.zeros(len(sets.size), bool)
+        here[np.searchsorted(sets.ends, np.flatnonzero(self.bits[last]), "right")] = True
+        return Sets(sets.text[here], sets.number[here], sets.size[here], sets.tokens[np.repeat(here, sets.size)])
 
     def known(self, tokens: np.ndarray) -> np.ndarray:
         """Which tokens open lines have, too."""
@@ -294,30 +307,6 @@ class LineJoin(SetJoin):
         later = lines.where("c1 is not null").select(*PLACE, first.alias("first")).where(F.struct(*PLACE) != F.col("first"))
         return lines.where("c1 is null").select(*PLACE).union(later.select(*PLACE))
 
-    def group_sizes(self) -> np.ndarray:
-        """Into how many parts the group of each counter is split, by how many prefixes hold its tokens."""
-        splitter, ranked, num, den, bits = self.splitter, self.ranked, self.num, self.den, self.bits
-        below, mask = np.uint64(57 - bits), np.uint64((1 << bits) - 1)
-
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, seen, counts = splitter(), {}, np.zeros(1 << bits, np.int64)
-            for ids, texts in _chunks(batches):
-                sets = split(texts)
-                n, own = sets.size, np.array(ids, np.int64)[sets.text]
-                new = _first_here(seen, sets.digests()[0], sketches(sets)[0], own, sets.number) & others_match(n, num, den)
-                n, value = n[new], ranked(sets.tokens[np.repeat(new, n)])
-                value = sort_each(value, n)
-                at = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
-                keep = at < np.repeat(n - -(-num * n // den) + 1, n)
-                counts += np.bincount((value[keep] >> below & mask).astype(np.int64), minlength=1 << bits)
-            yield from packed(counts)
-
-        counts = self.texts.mapInArrow(counted, PACKED).groupBy("bucket").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(PACK)))
-        large = counts.where(F.greatest(*(f"n{i}" for i in range(PACK))) > GROUP_ROWS).toArrow()  # at most 2^bits numbers
-        parts = np.ones(1 << bits, np.int32).reshape(-1, PACK)
-        parts[large["bucket"].to_numpy()] = np.maximum(1, -(-np.stack([large[f"n{i}"].to_numpy() for i in range(PACK)], axis=1) // GROUP_ROWS))
-        return parts.ravel()
-
     def marked(self, places: DataFrame) -> tuple[np.ndarray, int]:
         """The places (id, record) as a bitmap and its bits: 16 or more times their number, up to 2^MARK_BITS."""
         bits = min(MARK_BITS, max(16, (16 * places.count()).bit_length()))
@@ -333,23 +322,23 @@ class LineJoin(SetJoin):
         return marks, bits
 
     def prefixes(
-        self, places: tuple[np.ndarray, int] | None = None, tokens: np.ndarray | None = None, packed_: bool = True, whole: bool = False, asked: OpenRows | None = None
+        self, texts: DataFrame | None = None, places: tuple[np.ndarray, int] | None = None, tokens: np.ndarray | None = None, packed_: bool = True, asked: OpenRows | None = None
     ) -> DataFrame:
         """The prefix of every class, once or more, by rarity of tokens: (token, body), or (token, *BODY) if not packed.
 
-        Only of the lines at marked places, and only the marked tokens, where marks are given. Within a task, a class is listed
-        once while it is remembered, and again when it comes at an earlier place. token names the group in which a row meets
-        others: that of its token, or of two parts of it; of its token with `whole`. With `asked`, only what `OpenRows.later` gives is listed.
+        Only of some texts, of the lines at marked places, and only the marked tokens, where these are given. Within a task, a class
+        is listed once while it is remembered, and again when it comes at an earlier place. With `asked`, only what
+        `OpenRows.later` gives is listed.
         """
-        splitter, ranked, parts, num, den, bits = self.splitter, self.ranked, self.parts, self.num, self.den, self.bits
-        below, mask = np.uint64(57 - bits), np.uint64((1 << bits) - 1)
+        splitter, ranked, num, den = self.splitter, self.ranked, self.num, self.den
+        texts = self.texts if texts is None else texts
         wanted = self.spark.sparkContext.broadcast((places, tokens, asked))
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split, seen = splitter(), {}
             places, tokens, asked = wanted.value
             for ids, texts in _chunks(batches):
-                sets = split(texts)
+                sets = split(texts) if asked is None else asked.near(split(texts))
                 one, (s1, s2), n, own = sets.digests()[0], sketches(sets), sets.size, np.array(ids, np.int64)[sets.text]
                 new = _first_here(seen, one, s1, own, sets.number) & others_match(n, num, den)
                 if places is not None:
@@ -371,21 +360,6 @@ class LineJoin(SetJoin):
                 if tokens is not None:
                     keep = _among((tokens, TOKEN_BITS), (mixed(value) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64))
                     record, value, at = record[keep], value[keep], at[keep]
-                split_to = parts.value[(value >> below & mask).astype(np.int64)]
-                hot = np.flatnonzero(split_to > 1) if not whole else ()
-                if len(hot):
-                    # A row of a hot token goes to the groups in which its part meets each of the others.
-                    copies = np.ones(len(value), np.int64)
-                    copies[hot] = split_to[hot]
-                    which = np.repeat(np.arange(len(value)), copies)
-                    other = np.arange(len(which)) - np.repeat(np.cumsum(copies) - copies, copies)
-                    record, value, at, split_to = record[which], value[which], at[which], split_to[which]
-                    mine = (one[record] & 0x7FFFFFFF) % split_to
-                    low, high = np.minimum(mine, other), np.maximum(mine, other)
-                    part = np.where(split_to > 1, 1 + low * split_to + high, 0).astype(np.uint64)
-                    keep = (split_to == 1) | (mine != other)
-                    value = np.where(part > 0, mixed(value + part * MIX[0]), value)
-                    record, value, at = record[keep], value[keep], at[keep]
                 for i in range(0, len(record), BATCH_ROWS):
                     here = record[i : i + BATCH_ROWS]
                     body = {k: v[here] for k, v in columns.items()} | {"at": at[i : i + BATCH_ROWS].astype(np.int32)}
@@ -396,11 +370,17 @@ class LineJoin(SetJoin):
                         yield pa.RecordBatch.from_arrays([token, *(pa.array(body[k]) for k in BODY.names)], names=["token", *BODY.names])
 
         if asked is not None:
-            return self.texts.mapInArrow(listed, ", ".join(f"{k} long" for k in (*PAIR, *CLASS)))
-        return self.texts.mapInArrow(listed, "token long, body binary" if packed_ else "token long, id long, c1 long, s1 long, s2 long, record int, n int, at int")
+            return texts.mapInArrow(listed, ", ".join(f"{k} long" for k in (*PAIR, *CLASS)))
+        return texts.mapInArrow(listed, "token long, body binary" if packed_ else "token long, id long, c1 long, s1 long, s2 long, record int, n int, at int")
 
     def grouped(self, prefixes: DataFrame, found: Callable[[dict[str, np.ndarray]], pa.RecordBatch], columns: tuple[str, ...]) -> DataFrame:
-        """What `found` gives (columns of long) of the rows of whole groups of tokens, some groups at a time."""
+        """What `found` gives (columns of long) of the rows of whole groups of tokens, some groups at a time.
+
+        A ranked token begins with its level. Those that at most about GROUP_ROWS lines have are groups at once; rows of others
+        are spread and kept first, so that their prefixes are counted where they are few, and then meet by parts.
+        """
+        frequent = int(level(np.array([GROUP_ROWS]))[0]) + 1
+        above = 63 - LEVEL_BITS
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[dict[str, np.ndarray]] = []
@@ -418,8 +398,63 @@ class LineJoin(SetJoin):
             if held:
                 yield found({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
-        together = prefixes.repartition("token").sortWithinPartitions("token")
-        return together.mapInArrow(each, ", ".join(f"{k} long" for k in columns))
+        def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: list[pa.RecordBatch] = []
+
+            def few() -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    # in order of tokens, frequent ones are last
+                    n = int(np.searchsorted(batch.column(0).to_numpy(), frequent << above))
+                    if n < batch.num_rows:
+                        kept.append(batch.slice(n))
+                    yield batch.slice(0, n)
+                    if kept:
+                        return
+
+            for batch in each(few()):
+                empty = [pa.nulls(batch.num_rows, t) for t in (pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *empty], names=[*columns, "token", "body"])
+            for batch in itertools.chain(kept, batches):
+                empty = [pa.nulls(batch.num_rows, pa.int64())] * len(columns)
+                yield pa.RecordBatch.from_arrays([*empty, *batch.columns], names=[*columns, "token", "body"])
+
+        longs = ", ".join(f"{k} long" for k in columns)
+        salt = F.when(F.shiftright("token", above) >= frequent, F.crc32("body") % SPREAD).otherwise(0)
+        first = prefixes.repartition("token", salt).sortWithinPartitions("token").mapInArrow(rare, f"{longs}, token long, body binary")
+        first = self.scratch.write(first)
+        done, left = first.where("body is null").select(*columns), first.where("body is not null").select("token", "body")
+        sizes = left.groupBy("token").count().orderBy("token").toArrow()  # tokens that more than GROUP_ROWS words are
+        if not sizes.num_rows:
+            return done
+        wanted = self.spark.sparkContext.broadcast((sizes["token"].to_numpy(), -(-sizes["count"].to_numpy() // GROUP_ROWS)))
+
+        def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens, parts = wanted.value
+            for batch in batches:
+                rows = _columns(batch)
+                split_to = parts[np.searchsorted(tokens, rows["token"])]
+                # A row goes to the groups in which its part meets each of the others.
+                which = np.repeat(np.arange(len(split_to)), split_to)
+                other = np.arange(len(which)) - np.repeat(np.cumsum(split_to) - split_to, split_to)
+                value, split_to = rows["token"][which].view(np.uint64), split_to[which]
+                mine = (rows["c1"][which] & 0x7FFFFFFF) % split_to
+                low, high = np.minimum(mine, other), np.maximum(mine, other)
+                part = np.where(split_to > 1, 1 + low * split_to + high, 0).astype(np.uint64)
+                keep = (split_to == 1) | (mine != other)
+                value = np.where(part > 0, mixed(value + part * MIX[0]), value)[keep].view(np.int64)
+                bodies = batch.column(1).take(pa.array(which[keep]))
+                for i in range(0, len(value), BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(value[i : i + BATCH_ROWS]), bodies.slice(i, BATCH_ROWS)], names=["token", "body"])
+
+        together = left.mapInArrow(parted, "token long, body binary").repartition("token").sortWithinPartitions("token")
+        return done.union(together.mapInArrow(each, longs))
+
+    def of(self, places: DataFrame) -> DataFrame:
+        """The texts that `places` (id, ...) lie in, or all if they lie in many."""
+        ids = places.select("id").distinct()
+        if ids.limit(OPEN_ROWS + 1).count() > OPEN_ROWS:
+            return self.texts
+        return self.texts.join(F.broadcast(ids), "id", "left_semi")
 
     def named(self) -> DataFrame:
         """(b_*, a_*, more): places of classes b and of earlier ones that they may match, and whether b has others."""
@@ -431,7 +466,8 @@ class LineJoin(SetJoin):
         """(id, record): the places b of the rows of `pairs` (PAIR) whose sets have the similarity."""
         splitter, ranked = self.splitter, self.ranked
         places = [pairs.select(*(F.col(f"{side}_{k}").alias(k) for k in PLACE)) for side in "ab"]
-        wanted = self.spark.sparkContext.broadcast(self.marked(places[0].union(places[1]).distinct()))
+        places = self.scratch.write(places[0].union(places[1]).distinct())
+        wanted = self.spark.sparkContext.broadcast(self.marked(places))
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split = splitter()
@@ -443,7 +479,7 @@ class LineJoin(SetJoin):
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ranked(sets.tokens[np.repeat(here, sets.size)]).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(own[here]), pa.array(sets.number[here].astype(np.int64)), lists], names=[*PLACE, "words"])
 
-        sets = self.scratch.write(self.texts.mapInArrow(listed, "id long, record long, words array<long>"))
+        sets = self.scratch.write(self.of(places).mapInArrow(listed, "id long, record long, words array<long>"))
         joined = pairs.select(*PAIR)
         for side in "ab":
             own = sets.select(*(F.col(k).alias(f"{side}_{k}") for k in PLACE), F.col("words").alias(f"{side}_words"))
@@ -458,7 +494,7 @@ class LineJoin(SetJoin):
         """
         marks = self.marked(open_)
         places = open_.select("id", F.col("record").cast("int").alias("record"))
-        own = self.scratch.write(self.prefixes(places=marks, packed_=False, whole=True).join(places, list(PLACE), "left_semi"))
+        own = self.scratch.write(self.prefixes(texts=self.of(open_), places=marks, packed_=False).join(places, list(PLACE), "left_semi"))
         if own.count() <= OPEN_ROWS:
             rows = own.toArrow()  # OPEN_ROWS at most
             asked = OpenRows({k: rows[k].to_numpy() for k in rows.column_names}, self.num, self.den)
@@ -469,14 +505,9 @@ class LineJoin(SetJoin):
             for batch in batches:
                 yield pa.RecordBatch.from_pydict({"spot": (mixed(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - TOKEN_BITS)).astype(np.int32)})
 
-        # Groups of parts of a hot token have other names than the token: such rows are all listed.
-        hot = bool((self.parts.value > 1).any())
-        tokens = None
-        if not hot:
-            own = own.select("token")
-            tokens = np.zeros(1 << TOKEN_BITS - 6, np.int64)
-            bits = own.mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
-            tokens[bits["word"].to_numpy()] = bits["bits"].to_numpy()
+        tokens = np.zeros(1 << TOKEN_BITS - 6, np.int64)
+        bits = own.select("token").mapInArrow(spots, "spot int").groupBy(F.expr("spot >> 6").alias("word")).agg(F.expr("bit_or(shiftleft(1L, spot & 63))").alias("bits")).toArrow()
+        tokens[bits["word"].to_numpy()] = bits["bits"].to_numpy()
         wanted, num, den = self.spark.sparkContext.broadcast(marks), self.num, self.den
 
         def near(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -490,7 +521,6 @@ class LineJoin(SetJoin):
 
     def matched(self) -> DataFrame:
         """(id, record): the first lines of the classes that an earlier one matches."""
-        self.parts = self.spark.sparkContext.broadcast(self.group_sizes())
         named = self.scratch.write(self.named())
         gone = self.scratch.write(self.similar(named))
         more = named.where("more > 0").select(F.col("b_id").alias("id"), F.col("b_record").alias("record")).distinct()

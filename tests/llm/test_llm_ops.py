@@ -532,3 +532,40 @@ def test_open_lines_meet_earlier_ones_where_these_are_listed(monkeypatch, pairs)
     pairs_of = lambda x: set(zip(*(x[k].tolist() for k in line_dedup.PAIR), strict=True))
     assert pairs_of(want) and set().union(*map(pairs_of, got)) == pairs_of(want)
     assert list(open_.later({k: v[:0] for k, v in rows.items()})) == []
+
+
+def test_open_lines_pick_the_lines_to_rank():
+    """Before lines are ranked and sorted, those without a token of an open line go; none that has one does."""
+    rnd = np.random.default_rng(6)
+    size = rnd.integers(0, 9, 400)
+    tokens = rnd.integers(0, 1 << 63, int(size.sum())).astype(np.uint64) * np.uint64(2)
+    sets = line_dedup.Sets(np.arange(400) // 3, np.arange(400) % 3, size, tokens)
+    ranked = (np.uint64(5) << np.uint64(57) | tokens >> np.uint64(7)).view(np.int64)
+    own = ranked[rnd.choice(len(ranked), 12, replace=False)]
+    rows = {k: np.zeros(12, np.int64) for k in (*line_dedup.PLACE, *line_dedup.CLASS, "at")} | {"token": own, "n": np.full(12, 5)}
+    got = line_dedup.OpenRows(rows, 4, 5).near(sets)
+    has = [i for i, (end, n) in enumerate(zip(sets.ends, size, strict=True)) if np.isin(ranked[end - n : end], own).any()]
+    kept = dict(zip((got.text * 3 + got.number).tolist(), np.split(got.tokens, got.ends[:-1]), strict=True))
+    assert set(has) <= set(kept) and len(kept) < len(has) + 5
+    assert all(np.array_equal(kept[i], tokens[sets.ends[i] - size[i] : sets.ends[i]]) for i in has)
+
+
+def test_line_dedup_reads_few_texts_more_than_twice(spark):
+    """Texts are split once to list lines, once for their prefixes; later only those with a line that is compared."""
+    read = spark.sparkContext.accumulator(0)
+
+    def splitter():
+        split = line_dedup.line_sets()
+
+        def counted(texts):
+            read.add(len(texts))
+            return split(texts)
+
+        return counted
+
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(200)]
+    rows.append((200, rows[3][1].replace("w3x4", "other")))
+    with Scratch(spark) as scratch:
+        join = line_dedup.LineJoin(docs(spark, *rows), "doc_id", "text", splitter, 4, 5, 16, scratch)
+        assert [tuple(r) for r in join.matched().collect()] == [(200, 0)]
+    assert read.value == 2 * 201 + 2
